@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,20 +89,26 @@ class Contract:
         """
         spark = df.sparkSession
         missing = self._missing(df)
-        found = spark.createDataFrame(
-            [("column_present", c, None, None) for c in missing], VIOLATION_SCHEMA
-        )
+        parts = []
         if missing:
-            # Conditions may name an absent column; report presence first.
+            parts.append(
+                spark.createDataFrame(
+                    [("column_present", c, None, None) for c in missing], VIOLATION_SCHEMA
+                )
+            )
+            # Conditions may name an absent column: only the column rules remain.
             rules = Contract(self.name, self.columns)._row_rules(df)
         else:
             rules = self._row_rules(df)
         if rules:
-            found = found.unionByName(self._broken_rows(df, rules))
-        for key in self.unique:
-            if not set(key) & set(missing):
-                found = found.unionByName(self._repeated(df, key))
-        return found
+            parts.append(self._broken_rows(df, rules))
+        parts += [self._repeated(df, k) for k in self.unique if not set(k) & set(missing)]
+        if not parts:
+            return spark.createDataFrame([], VIOLATION_SCHEMA)
+        return reduce(DataFrame.unionByName, parts)
+
+    def holds(self, df: DataFrame) -> bool:
+        return self.violations(df).isEmpty()
 
     def _broken_rows(self, df: DataFrame, rules) -> DataFrame:
         measured = []

@@ -12,7 +12,6 @@ from ..operators.contracts import (
     GOLD_STANDINGS,
     SILVER_MATCHES,
     require_refined,
-    whole_numbers,
 )
 from ..operators.refine import clean_teams, refine_matches
 from ..operators.standings import standings
@@ -20,9 +19,7 @@ from ..schema import (
     BRONZE_MATCHES,
     BRONZE_TEAMS,
     MATCH_CHECKS,
-    MATCH_NUMBERS,
     TEAM_CHECKS,
-    TEAM_NUMBERS,
 )
 from ..session import stage
 from ..sources.envelopes import ingest, type_bronze_matches, type_teams
@@ -47,6 +44,10 @@ class Lake:
     def bronze_matches(self) -> LakeTable:
         return self._table("bronze/matches")
 
+    @property
+    def source_health(self) -> LakeTable:
+        return self._table("bronze/source_health")
+
     @property
     def silver_matches(self) -> LakeTable:
         return self._table("silver/matches")
@@ -93,11 +94,14 @@ def run_bronze(
     """Load landed responses into bronze; returns the health of the sources."""
     create_bronze(lake)
     landed = ingest(lake.spark, teams_path, matches_path, as_of, leagues, whole_files)
-    whole_numbers("landed_teams", TEAM_NUMBERS).enforce(landed.teams)
-    whole_numbers("landed_matches", MATCH_NUMBERS).enforce(landed.matches)
+    landed.require_whole_numbers()
     load_teams(type_teams(landed.teams), lake.bronze_teams)
     load_matches(type_bronze_matches(landed.matches), lake.bronze_matches)
-    return landed.health
+    # One row per source, kept after the staged parse is gone.
+    health = lake.source_health
+    health.save(landed.health, schema_mode="overwrite")
+    landed.discard()
+    return health.read()
 
 
 def run_silver(lake: Lake) -> int:

@@ -64,11 +64,12 @@ SILVER = f"""silver AS (
   WHERE event_id IS NOT NULL AND home_score IS NOT NULL AND away_score IS NOT NULL AND {FINISHED}))"""
 
 NAMES = """sightings AS (
- SELECT home_id AS team_id, home_team AS team, 0 AS role, event_date, event_id FROM silver
- UNION ALL SELECT away_id, away_team, 1, event_date, event_id FROM silver),
+ SELECT home_id AS team_id, home_team AS team, 0 AS role, event_date FROM silver
+ UNION ALL SELECT away_id, away_team, 1, event_date FROM silver),
 names AS (
  SELECT team_id, team FROM sightings WHERE team_id IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY role, event_date, event_id) = 1)"""
+ QUALIFY row_number() OVER (PARTITION BY team_id
+  ORDER BY role, event_date NULLS LAST, team NULLS FIRST) = 1)"""
 
 GOLD = """sides AS (
  SELECT league, home_id AS team_id, home_score AS f, away_score AS a,

@@ -375,66 +375,56 @@ def _response(field: str, fields: dict[str, str]) -> Column:
     return F.to_json(body, {"ignoreNullFields": "false"})
 
 
-def _land(responses: DataFrame, path: str, order: list[Column]) -> str:
-    """Write (source, value, order columns) as one response a line, in order."""
-    responses.orderBy("source", *order).select("source", "value").write.partitionBy(
-        "source"
-    ).text(path)
+def _land(responses: DataFrame, label: str, key: str, order: list[Column]) -> str:
+    """Write (source, value) as one response a line, copies of a key in order.
+
+    Copies of one key go to one file; the order among keys does not matter.
+    """
+    path = scratch_path(responses.sparkSession, label)
+    placed = responses.repartition("source", key).sortWithinPartitions("source", key, *order)
+    placed.select("source", "value").write.partitionBy("source").text(path)
     return path
 
 
-def _land_matches(spark, sf) -> str:
-    raw = matches_raw(spark, sf).withColumns(
-        {"source": F.col("league_id"), "value": _response("events", MATCH_FIELDS)}
-    )
-    order = [F.asc("event_id"), F.desc("extract_date"), *_tie_break()]
-    return _land(raw, scratch_path(spark, "events"), order)
+def _land_matches(matches: DataFrame, value: Column | None = None) -> str:
+    value = _response("events", MATCH_FIELDS) if value is None else value
+    raw = matches.withColumns({"source": F.col("league_id"), "value": value})
+    return _land(raw, "events", "event_id", [F.desc("extract_date"), *_tie_break()])
 
 
-def _land_teams(spark, teams: DataFrame) -> str:
-    raw = teams.withColumns(
-        {"source": F.col("league_id"), "value": _response("teams", TEAM_FIELDS)}
-    )
-    return _land(raw, scratch_path(spark, "teams"), [F.asc("team_id")])
+def _land_teams(teams: DataFrame, value: Column | None = None) -> str:
+    value = _response("teams", TEAM_FIELDS) if value is None else value
+    raw = teams.withColumns({"source": F.col("league_id"), "value": value})
+    return _land(raw, "teams", "team_id", [])
 
 
 def map_raw_matches(spark, sf):
-    return envelopes.read_matches(spark, _land_matches(spark, sf), AS_OF)
+    return envelopes.read_matches(spark, _land_matches(matches_raw(spark, sf)), AS_OF)
 
 
 def map_raw_teams(spark, sf):
-    return envelopes.read_teams(spark, _land_teams(spark, teams_raw(spark, sf)), AS_OF)
+    return envelopes.read_teams(spark, _land_teams(teams_raw(spark, sf)), AS_OF)
 
 
 def ingest_union_with_health(spark, sf):
     """Sources of all states: one without teams, one without matches, one with
     cut-off text, one configured but never landed."""
-    teams = teams_raw(spark, sf).withColumns(
-        {
-            "source": F.col("league_id"),
-            "value": F.when(F.col("league_id") == "0", '{"teams":null}').otherwise(
-                _response("teams", TEAM_FIELDS)
-            ),
-        }
-    )
-    whole = _response("events", MATCH_FIELDS)
-    events = matches_raw(spark, sf).withColumns(
-        {
-            "source": F.col("league_id"),
-            "value": F.when(F.col("league_id") == "1", '{"events":null}')
-            .when(
-                (F.col("league_id") == "2") & F.col("venue").isNull(),
-                F.expr("concat('{\"events\":[', event_id)"),
-            )
-            .otherwise(whole),
-        }
+    responses = F.when(F.col("league_id") == "0", '{"teams":null}').otherwise(
+        _response("teams", TEAM_FIELDS)
+    )
+    events = (
+        F.when(F.col("league_id") == "1", '{"events":null}')
+        .when(
+            (F.col("league_id") == "2") & F.col("venue").isNull(),
+            F.concat(F.lit('{"events":['), "event_id"),
+        )
+        .otherwise(_response("events", MATCH_FIELDS))
     )
-    order = [F.asc("event_id"), F.desc("extract_date"), *_tie_break()]
     leagues = [(f"league {i}", str(i), "2024") for i in range(6)]
     landed = envelopes.ingest(
         spark,
-        _land(teams, scratch_path(spark, "teams"), [F.asc("team_id")]),
-        _land(events, scratch_path(spark, "events"), order),
+        _land_teams(teams_raw(spark, sf), responses),
+        _land_matches(matches_raw(spark, sf), events),
         AS_OF,
         leagues,
     )
@@ -497,9 +487,11 @@ _UPSERTED = ["event_id", "season", "league", "home_score", "away_score"]
 def upsert_silver(spark, sf):
     """Silver upserted by match id: changed matches (some move to another
     season), new matches, and matches the second load does not name."""
-    first = silver(spark, sf).select(*_UPSERTED)
     lake = _new_table(spark, "silver")
-    lake.upsert(first, ["event_id"], partition_by=["season"])
+    lake.upsert(
+        silver(spark, sf).select(*_UPSERTED), ["event_id"], partition_by=["season"]
+    )
+    first = lake.read()
     changed = first.where("home_score = 3").withColumns(
         {"away_score": F.col("away_score") + 100, "season": F.lit("1999")}
     )
@@ -512,10 +504,9 @@ def upsert_silver(spark, sf):
 
 def upsert_gold(spark, sf):
     """Standings upserted by team and league."""
-    first = gold(spark, sf)
     lake = _new_table(spark, "gold")
-    lake.upsert(first, ["team_id", "league"], partition_by=["league"])
-    later = first.where("won > 1").withColumn("points", F.col("points") + 3)
+    lake.upsert(gold(spark, sf), ["team_id", "league"], partition_by=["league"])
+    later = lake.read().where("won > 1").withColumn("points", F.col("points") + 3)
     lake.upsert(later, ["team_id", "league"])
     return lake.read()
 
@@ -631,7 +622,7 @@ def _medallion(spark, sf) -> jobs.Lake:
     # The bronze table takes named teams only.
     named = teams_raw(spark, sf).where(F.col("name").isNotNull())
     lake = jobs.Lake(spark, scratch_path(spark, "lake"))
-    jobs.run_all(lake, _land_teams(spark, named), _land_matches(spark, sf), AS_OF)
+    jobs.run_all(lake, _land_teams(named), _land_matches(matches_raw(spark, sf)), AS_OF)
     return lake
 
 

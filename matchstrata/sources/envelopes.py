@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import first_filled, load_stamp, to_long
+from ..operators.contracts import whole_numbers
 from ..operators.dedup import keep_first
 from ..session import Staged, stage
 from ..schema import (
@@ -174,11 +175,27 @@ class Ingest:
     matches: DataFrame
     health: DataFrame
     broken: DataFrame
-    stages: tuple[Staged, ...]
+    staged_teams: Staged
+    staged_matches: Staged
+
+    def require_whole_numbers(self) -> None:
+        """Raise for a fraction in a number column of a row that would be loaded.
+
+        All landed rows are looked at first, two columns without a shuffle; the
+        deduplicated rows only when that finds anything.
+        """
+        for label, numbers, staged, rows in (
+            ("landed_teams", TEAM_NUMBERS, self.staged_teams, self.teams),
+            ("landed_matches", MATCH_NUMBERS, self.staged_matches, self.matches),
+        ):
+            contract = whole_numbers(label, numbers)
+            if not contract.holds(staged.df):
+                contract.enforce(rows)
 
     def discard(self) -> None:
-        for staged in self.stages:
-            staged.discard()
+        """Delete the staged parse; no frame of this ingest can be read after it."""
+        self.staged_teams.discard()
+        self.staged_matches.discard()
 
 
 def source_health(
@@ -268,5 +285,6 @@ def ingest(
                 F.lit("matches").alias("kind"), "source", "broken"
             )
         ),
-        stages=(all_teams, all_matches),
+        staged_teams=all_teams,
+        staged_matches=all_matches,
     )
