@@ -237,7 +237,7 @@ def oracle_sql() -> dict[str, str]:
  UNION ALL SELECT event_id, league, home_score + 10, away_score, extract_month
  FROM (SELECT *, substr(extract_date, 1, 7) AS extract_month FROM matches_raw)
  WHERE extract_month >= '1999-01' AND league <> 'ASIA'""",
-        "publish_messages": """SELECT 'partidos' AS topic, event_id AS key,
+        "publish_messages": """SELECT 'partidos' AS topic, event_id AS key, true AS is_object,
  * EXCLUDE (tie_price, tie_supplier)
  REPLACE (home_score::VARCHAR AS home_score, away_score::VARCHAR AS away_score)
  FROM matches_raw""",

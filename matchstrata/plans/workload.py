@@ -542,10 +542,11 @@ def publish_messages(spark, sf):
     messages.publish(
         messages.to_messages(rows, MATCH_TOPIC, "event_id", PUBLISHED_MATCHES), path
     )
-    fields, is_object = messages.parsed(MATCH_COLUMNS, PUBLISHED_MATCHES)
     back = spark.read.schema(messages.MESSAGE).json(path)
-    return back.where(is_object).select("topic", "key", fields.alias("f")).select(
-        "topic", "key", "f.*"
+    trees = back.withColumn("tree", messages.parsed(MATCH_COLUMNS, PUBLISHED_MATCHES))
+    return trees.select(
+        "topic", "key", messages.is_object("value", "tree").alias("is_object"),
+        *messages.fields("tree", MATCH_COLUMNS, PUBLISHED_MATCHES),
     )
 
 

@@ -60,7 +60,7 @@ def read_responses(
     envelope = StructType(
         [StructField(field, ArrayType(record)), StructField("_broken", StringType())]
     )
-    lines = spark.read.option("wholetext", whole_files).text(path)
+    lines = spark.read.text(path, wholetext=whole_files)
     folder = F.regexp_extract(F.col("_metadata.file_path"), "/source=([^/]+)/", 1)
     source = F.coalesce(F.nullif(_decoded(folder), F.lit("")), F.col("_metadata.file_name"))
     parsed = F.from_json("value", envelope, {"columnNameOfCorruptRecord": "_broken"})

@@ -89,47 +89,64 @@ def decoded(raw: DataFrame) -> DataFrame:
 
 
 def parsed(
-    columns: Sequence[str], names: Mapping[str, str] | None = None, value: str = "value"
-) -> tuple[Column, Column]:
-    """(fields as text, whether the value is a JSON object) of a message value."""
+    columns: Sequence[str], names: Mapping[str, str] | None = None, value: Column | str = "value"
+) -> Column:
+    """The JSON value as a struct of texts under its own keys.
+
+    Select it under a name first and use :func:`is_object` and :func:`fields`
+    on that name: the text is then parsed once per row.
+    """
     keys = [(names or {}).get(c, c) for c in columns]
     layout = StructType([StructField(k, StringType()) for k in [*keys, "_broken"]])
-    tree = F.from_json(value, layout, {"columnNameOfCorruptRecord": "_broken"})
+    return F.from_json(value, layout, {"columnNameOfCorruptRecord": "_broken"})
+
+
+def is_object(value: str, tree: str) -> Column:
+    """Whether the text is one JSON object and nothing else."""
     text = F.btrim(value, F.lit(" \t\r\n"))
-    is_object = (
-        text.startswith("{") & text.endswith("}") & tree.isNotNull()
-        & tree.getField("_broken").isNull()
+    whole = (
+        text.startswith("{") & text.endswith("}")
+        & F.col(tree).isNotNull() & F.col(f"{tree}._broken").isNull()
     )
-    fields = F.struct(*[tree.getField(k).alias(c) for k, c in zip(keys, columns)])
-    return fields, F.coalesce(is_object, F.lit(False))
+    return F.coalesce(whole, F.lit(False))
+
+
+def fields(
+    tree: str, columns: Sequence[str], names: Mapping[str, str] | None = None
+) -> list[Column]:
+    """The columns of a parsed value under their own names."""
+    return [F.col(f"{tree}.{(names or {}).get(c, c)}").alias(c) for c in columns]
 
 
 def feed_line(messages: DataFrame, names: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """One readable line per message of a known topic, for a console sink."""
     names = names or {}
-    team, _ = parsed(("name", "city", "venue"), names.get(TEAM_TOPIC))
-    match, _ = parsed(
-        ("home_team", "away_team", "home_score", "away_score", "event_date", "status"),
-        names.get(MATCH_TOPIC),
+    team = ("name", "city", "venue")
+    match = ("home_team", "away_team", "home_score", "away_score", "event_date", "status")
+    trees = messages.select(
+        "topic", "key",
+        parsed(team, names.get(TEAM_TOPIC)).alias("team"),
+        parsed(match, names.get(MATCH_TOPIC)).alias("match"),
     )
 
-    def shown(fields: Column, *columns: str) -> list[Column]:
-        return [F.coalesce(fields.getField(c), F.lit("None")) for c in columns]
+    def shown(tree: str, columns: Sequence[str], topic: str) -> list[Column]:
+        return [F.coalesce(c, F.lit("None")) for c in fields(tree, columns, names.get(topic))]
 
+    # Wording of the lines.
     line = (
         F.when(
             F.col("topic") == TEAM_TOPIC,
-            F.format_string("EQUIPO | %s | Ciudad: %s | Estadio: %s",
-                            *shown(team, "name", "city", "venue")),
+            F.format_string(
+                "EQUIPO | %s | Ciudad: %s | Estadio: %s", *shown("team", team, TEAM_TOPIC)
+            ),
         )
         .when(
             F.col("topic") == MATCH_TOPIC,
             F.format_string(
                 "PARTIDO | %s vs %s | %s-%s | Fecha: %s | Estado: %s",
-                *shown(match, "home_team", "away_team", "home_score", "away_score",
-                       "event_date", "status"),
+                *shown("match", match, MATCH_TOPIC),
             ),
         )
         .otherwise(F.concat(F.lit("Mensaje de tópico desconocido: "), F.col("topic")))
     )
-    return messages.select("topic", "key", line.alias("line"))
+    return trees.select("topic", "key", line.alias("line"))

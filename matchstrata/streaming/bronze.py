@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +26,7 @@ from ..schema import (
 )
 from ..session import stage
 from ..sources.envelopes import type_bronze_matches, type_teams
-from ..sources.messages import parsed
+from ..sources.messages import fields, is_object, parsed
 from ..sources.tables import LakeTable
 
 REJECTED = StructType(
@@ -74,41 +76,46 @@ class BronzeStream:
         self.written = {team_topic: 0, match_topic: 0}
 
     def classified(self, messages: DataFrame) -> DataFrame:
-        """Messages with their fields, a ``kind`` to route by and a reason to reject."""
-        team, team_ok = parsed(TEAM_COLUMNS, self.names.get(self.team_topic))
-        match, match_ok = parsed(MATCH_COLUMNS, self.names.get(self.match_topic))
+        """Messages with their parsed value, a ``kind`` to route by, a reason to reject."""
         is_team = F.col("topic") == self.team_topic
         is_match = F.col("topic") == self.match_topic
+        trees = messages.select(
+            "topic", "key", "value", "offset",
+            parsed(TEAM_COLUMNS, self._names(self.team_topic), F.when(is_team, F.col("value")))
+            .alias("team"),
+            parsed(MATCH_COLUMNS, self._names(self.match_topic), F.when(is_match, F.col("value")))
+            .alias("match"),
+        )
+
+        def any_fraction(tree: str, topic: str, numbers: tuple[str, ...]) -> Column:
+            found = [not_integral(c) for c in fields(tree, numbers, self._names(topic))]
+            return reduce(or_, found)
 
-        def any_of(conditions: list[Column]) -> Column:
-            result = F.lit(False)
-            for c in conditions:
-                result = result | c
-            return result
+        def any_null(tree: str, topic: str, required: tuple[str, ...]) -> Column:
+            return reduce(or_, [c.isNull() for c in fields(tree, required, self._names(topic))])
 
+        whole = F.when(is_team, is_object("value", "team")).otherwise(is_object("value", "match"))
         fraction = F.when(
-            is_team, any_of([not_integral(F.col("team").getField(c)) for c in TEAM_NUMBERS])
-        ).otherwise(any_of([not_integral(F.col("match").getField(c)) for c in MATCH_NUMBERS]))
+            is_team, any_fraction("team", self.team_topic, TEAM_NUMBERS)
+        ).otherwise(any_fraction("match", self.match_topic, MATCH_NUMBERS))
         keyless = F.when(
-            is_team, F.col("team.team_id").isNull() | F.col("team.name").isNull()
-        ).otherwise(F.col("match.event_id").isNull())
+            is_team, any_null("team", self.team_topic, ("team_id", "name"))
+        ).otherwise(any_null("match", self.match_topic, ("event_id",)))
         reason = (
             F.when(~F.coalesce(is_team | is_match, F.lit(False)), "unknown_topic")
-            .when(~F.col("is_object"), "not_a_json_object")
+            .when(~whole, "not_a_json_object")
             .when(fraction, "fractional_number")
             .when(keyless, "constraint")
         )
-        kind = F.when(reason.isNotNull(), "rejected").when(is_team, "team").otherwise("match")
-        return (
-            messages.select(
-                "topic", "key", "value", "offset",
-                F.when(is_team, team).alias("team"),
-                F.when(is_match, match).alias("match"),
-                F.when(is_team, team_ok).otherwise(match_ok).alias("is_object"),
-            )
-            .withColumns({"reason": reason, "kind": kind})
-            .drop("is_object")
+        kind = (
+            F.when(F.col("reason").isNotNull(), "rejected")
+            .when(is_team, "team")
+            .otherwise("match")
         )
+        return trees.withColumn("reason", reason).withColumn("kind", kind)
+
+    def _names(self, topic: str) -> Mapping[str, str] | None:
+        return self.names.get(topic)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch; safe to repeat with the same ``batch_id``."""
@@ -117,10 +124,14 @@ class BronzeStream:
                  staged.df.groupBy("kind").agg(F.count("*").alias("n")).collect()}
         stream = (self.name, batch_id)
         if sizes.get("team"):
-            rows = staged.df.where("kind = 'team'").select("offset", "team.*")
+            rows = staged.df.where("kind = 'team'").select(
+                "offset", *fields("team", TEAM_COLUMNS, self._names(self.team_topic))
+            )
             self._upsert(self.teams, type_teams, rows, "team_id", self.team_topic, stream)
         if sizes.get("match"):
-            rows = staged.df.where("kind = 'match'").select("offset", "match.*")
+            rows = staged.df.where("kind = 'match'").select(
+                "offset", *fields("match", MATCH_COLUMNS, self._names(self.match_topic))
+            )
             self._upsert(self.matches, type_bronze_matches, rows, "event_id",
                          self.match_topic, stream)
         if sizes.get("rejected"):
