@@ -64,6 +64,7 @@ def create_bronze(lake: Lake) -> None:
         partition_by=["extract_date"],
         checks=MATCH_CHECKS,
         description="matches, daily increments",
+        sort_by=["event_id"],
     )
 
 

@@ -3,9 +3,9 @@
 A table is a folder of snapshot directories written by Spark plus one small
 JSON file per version that names the live directories. Publishing a version is
 one rename, so readers see the former version or the new one, never a mix, and
-a frame that fails its checks is never published. Directories that a write
-does not touch are carried over by name: replacing a partition or upserting a
-few keys costs the partitions concerned, not the table.
+a frame that fails its checks is never published. Directories and files that a
+write does not touch are carried over by name: replacing a partition costs that
+partition, upserting a few keys the files that hold them.
 
 Where a lakehouse format is on the classpath its own MERGE does the same work;
 plain Parquet has none, hence this layer.
@@ -35,9 +35,13 @@ SNAPSHOT = "snapshot_id"
 VERSIONS = "_versions"
 # A partition value '' would come back as NULL; this stands for it on disk.
 EMPTY_VALUE = "__EMPTY__"
-# Directories of one partition that an upsert leaves side by side before it
-# folds them into one.
+# An upsert folds the small entries of a partition into one once there are more
+# than this many below this size.
 MAX_FRAGMENTS = 8
+SMALL_BYTES = 128 * 1024 * 1024
+# Up to this many files with matches are replaced one by one; beyond it the
+# directories that hold them are, so that file names never pile up on the driver.
+MAX_SINGLE_FILES = 10_000
 
 
 class VersionConflict(RuntimeError):
@@ -149,23 +153,24 @@ class LakeTable:
     def read(self, version: int | None = None) -> DataFrame:
         """The whole table; partition filters prune directories."""
         state = self._state(version)
-        return self._scan(state, state["dirs"])
+        return self._scan(state, state["entries"])
 
     def read_or_empty(self, schema: StructType) -> DataFrame:
         if not self.exists():
             return self.spark.createDataFrame([], schema)
         return self.read()
 
-    def _scan(self, state: dict, dirs: Sequence[str], with_path: bool = False) -> DataFrame:
+    def _scan(self, state: dict, entries: Sequence[str], with_file: bool = False) -> DataFrame:
+        """Live entries (directories or single files) as one frame."""
         schema = StructType.fromJson(state["schema"])
-        if not dirs:
+        if not entries:
             empty = self.spark.createDataFrame([], schema)
-            return empty.withColumn("_dir", F.lit("")) if with_path else empty
+            return empty.withColumn("_file", F.lit("")) if with_file else empty
         on_disk = StructType(list(schema) + [StructField(SNAPSHOT, StringType())])
         df = (
             self.spark.read.schema(on_disk)
             .option("basePath", self.path)
-            .parquet(*[f"{self.path}/{d}" for d in dirs])
+            .parquet(*[f"{self.path}/{e}" for e in entries])
         )
         columns = []
         for f in schema:
@@ -173,10 +178,8 @@ class LakeTable:
             if f.name in state["partition_by"] and isinstance(f.dataType, StringType):
                 c = F.when(c == EMPTY_VALUE, F.lit("")).otherwise(c).alias(f.name)
             columns.append(c)
-        if with_path:
-            columns.append(
-                F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1).alias("_dir")
-            )
+        if with_file:
+            columns.append(F.col("_metadata.file_path").alias("_file"))
         return df.select(*columns)
 
     # -- writing ----------------------------------------------------------
@@ -186,8 +189,13 @@ class LakeTable:
         partition_by: Sequence[str] = (),
         checks: Mapping[str, str] | None = None,
         description: str = "",
+        sort_by: Sequence[str] = (),
     ) -> "LakeTable":
-        """An empty table with fixed columns and constraints; no-op if it exists."""
+        """An empty table with fixed columns and constraints; no-op if it exists.
+
+        Files are sorted by ``sort_by``, so that a lookup by those columns skips
+        the Parquet pages that cannot match.
+        """
         if not self.exists():
             empty = self._next_state(None, None)
             try:
@@ -198,35 +206,38 @@ class LakeTable:
                         "schema": _nullable(schema).jsonValue(),
                         "partition_by": list(partition_by),
                         "checks": dict(checks or {}),
+                        "sort_by": list(sort_by),
                     }
                 )
             except VersionConflict:
                 pass  # created by another writer meanwhile
         return self
 
-    def _write_snapshot(self, df: DataFrame, version: int, partition_by: Sequence[str]):
+    def _write_snapshot(self, df: DataFrame, state: dict) -> list[str]:
         """Write ``df`` as a new snapshot; returns its directories, not yet live.
 
         Rows are rebalanced by partition value first: one file set per value,
         and AQE splits a value that holds a large share of the rows.
         """
+        partition_by, version = state["partition_by"], state["version"]
         snapshot = f"{SNAPSHOT}={version:012d}-{uuid.uuid4().hex[:8]}"
         root = f"{self.path}/{snapshot}"
-        if not partition_by:
-            df.write.parquet(root)
-            return [snapshot]
-        text = [
-            f.name for f in df.schema
-            if f.name in partition_by and isinstance(f.dataType, StringType)
-        ]
         marked = {
-            c: F.when(F.col(f"`{c}`") == "", F.lit(EMPTY_VALUE)).otherwise(F.col(f"`{c}`"))
-            for c in text
+            f.name: F.when(F.col(f"`{f.name}`") == "", F.lit(EMPTY_VALUE)).otherwise(
+                F.col(f"`{f.name}`")
+            )
+            for f in df.schema
+            if f.name in partition_by and isinstance(f.dataType, StringType)
         }
         df = df.withColumns(marked) if marked else df
-        df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by]).write.partitionBy(
-            *partition_by
-        ).parquet(root)
+        if partition_by:
+            df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+        order = [c for c in [*partition_by, *state["sort_by"]] if c in df.columns]
+        if state["sort_by"] and order:
+            df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
+        df.write.partitionBy(*partition_by).parquet(root)
+        if not partition_by:
+            return [snapshot]
         return [f"{snapshot}/{d}" for d in self._leaf_dirs(root, len(partition_by))]
 
     def _leaf_dirs(self, root: str, depth: int) -> list[str]:
@@ -241,13 +252,13 @@ class LakeTable:
             ]
         return [prefix.rstrip("/") for prefix, _ in found]
 
-    def _check(self, state: dict, dirs: Sequence[str], written: Sequence[str]) -> None:
+    def _check(self, state: dict, written: Sequence[str]) -> None:
         """Constraints on what was written, before it is published."""
-        if not state["checks"] or not dirs:
+        if not state["checks"] or not written:
             return
         contract = Contract(f"checks of {self.path}", rows=state["checks"])
         try:
-            contract.enforce(self._scan(state, dirs))
+            contract.enforce(self._scan(state, written))
         except ContractViolation:
             jvm, fs = self._hadoop()
             for snapshot in {d.split("/")[0] for d in written}:
@@ -262,7 +273,8 @@ class LakeTable:
         replace_partitions: bool = False,
         schema_mode: str = "overwrite",
         stream: tuple[str, int] | None = None,
-    ) -> int | None:
+        sort_by: Sequence[str] | None = None,
+    ) -> int:
         """Write a frame and publish it; returns the table's version.
 
         ``mode``: overwrite, append, error (if the table exists) or ignore.
@@ -281,9 +293,11 @@ class LakeTable:
 
         df = storable(df)
         state = self._next_state(current, stream)
-        if partition_by is not None and (not state["dirs"] or mode == "overwrite"):
-            state["partition_by"] = list(partition_by)
         keeps_rows = replace_partitions or mode == "append"
+        if partition_by is not None and not (keeps_rows and state["entries"]):
+            state["partition_by"] = list(partition_by)
+        if sort_by is not None:
+            state["sort_by"] = list(sort_by)
         schema = _nullable(df.schema)
         if current is not None and (schema_mode == "merge" or keeps_rows):
             known = StructType.fromJson(current["schema"])
@@ -293,24 +307,27 @@ class LakeTable:
             schema = merged_schema(known, schema)
         state["schema"] = schema.jsonValue()
 
-        written = self._write_snapshot(
-            conform(df, schema), state["version"], state["partition_by"]
-        )
-        self._check(state, written, written)
+        written = self._write_snapshot(conform(df, schema), state)
+        self._check(state, written)
         if mode == "append":
-            state["dirs"] = state["dirs"] + written
+            state["entries"] = state["entries"] + written
         elif replace_partitions:
-            replaced = {d.partition("/")[2] for d in written}
-            kept = [d for d in state["dirs"] if d.partition("/")[2] not in replaced]
-            state["dirs"] = kept + written
+            replaced = {self._partition_of(state, e) for e in written}
+            kept = [e for e in state["entries"] if self._partition_of(state, e) not in replaced]
+            state["entries"] = kept + written
         else:
-            state["dirs"] = written
+            state["entries"] = written
         return self._publish(state)
 
+    @staticmethod
+    def _partition_of(state: dict, entry: str) -> str:
+        """The partition folders of an entry: between snapshot and file name."""
+        return "/".join(entry.split("/")[1 : 1 + len(state["partition_by"])])
+
     def _next_state(self, current: dict | None, stream: tuple[str, int] | None) -> dict:
         if current is None:
-            state = {"version": 0, "description": "", "partition_by": [], "checks": {},
-                     "dirs": [], "streams": {}}
+            state = {"version": 0, "description": "", "partition_by": [], "sort_by": [],
+                     "checks": {}, "entries": [], "streams": {}}
         else:
             state = {**current, "version": current["version"] + 1,
                      "streams": dict(current["streams"])}
@@ -338,9 +355,10 @@ class LakeTable:
         matches nothing and is inserted. Two source rows with one key are an
         error, unless the caller has already checked (``keys_are_unique``).
 
-        The table is scanned for its key columns only; the source side of that
-        semi join is broadcast while it is small. Only the directories that
-        hold a match are read whole and written anew.
+        The table is scanned for its key columns only, within the range of the
+        source's keys; the source side of that semi join is broadcast while it
+        is small. Only the files that hold a match are read whole and written
+        anew.
         """
         current = self._state() if self.exists() else None
         if current is not None and self._applied(current, stream):
@@ -351,7 +369,7 @@ class LakeTable:
             present = src.na.drop(subset=list(keys))
             Contract(f"upsert into {self.path}", unique=(tuple(keys),)).enforce(present)
         if current is None:
-            version = self.save(src, partition_by=partition_by, stream=stream)
+            version = self.save(src, partition_by=partition_by, stream=stream, sort_by=keys)
         else:
             version = self._merge(current, src, list(keys), schema_mode, stream)
         if staged is not source:
@@ -367,40 +385,91 @@ class LakeTable:
         schema = merged_schema(known, _nullable(src.schema))
         state["schema"] = schema.jsonValue()
 
+        held = self._scan(current, current["entries"], with_file=True).select(*keys, "_file")
         hits = stage(
-            self._scan(current, current["dirs"], with_path=True)
-            .select(*keys, "_dir")
+            self._within_bounds(held, src, keys)
             .join(src.select(*keys), keys, "left_semi")
             .distinct(),
             "hits",
         )
-        # At most one entry per live directory.
-        seen = {unquote(r["_dir"]) for r in hits.df.select("_dir").distinct().collect()}
-        touched = [d for d in current["dirs"] if any(s.endswith(f"/{d}") for s in seen)]
-        touched += self._fragments(current["dirs"], set(touched))
-
+        rewritten, kept = self._split(current, hits.df.select("_file").distinct())
         matched = hits.df.select(*keys).distinct()
-        inserted = conform(src.join(matched, keys, "left_anti"), schema)
-        if touched:
-            updated = self._updated(self._scan(state, touched), src, keys, schema)
-            inserted = updated.unionByName(inserted)
-        written = self._write_snapshot(inserted, state["version"], state["partition_by"])
-        self._check(state, written, written)
-        state["dirs"] = [d for d in current["dirs"] if d not in set(touched)] + written
+        new = conform(src.join(matched, keys, "left_anti"), schema)
+        if rewritten:
+            updated = self._updated(self._scan(state, rewritten), src, keys, schema)
+            new = updated.unionByName(new)
+        written = self._write_snapshot(new, state)
+        self._check(state, written)
+        state["entries"] = kept + written
         version = self._publish(state)
         hits.discard()
         return version
 
     @staticmethod
-    def _fragments(dirs: Sequence[str], touched: set[str]) -> list[str]:
-        """Directories of partitions that have gathered too many of them."""
+    def _within_bounds(held: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
+        """Table keys between the smallest and the largest source key: a filter
+        that Parquet statistics can answer, and that loses no match."""
+        ends = src.agg(
+            *[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
+            *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)],
+        ).first()
+        for i, k in enumerate(keys):
+            if ends[f"lo{i}"] is None:
+                return held.where(F.lit(False))
+            held = held.where(F.col(k).between(F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"])))
+        return held
+
+    def _split(self, state: dict, files: DataFrame) -> tuple[list[str], list[str]]:
+        """(entries to rewrite, entries to keep) for the files that hold matches."""
+        depth = len(state["partition_by"])
+
+        def relative(path: str) -> str:
+            return "/".join(unquote(path).split("/")[-(depth + 2):])
+
+        single = files.limit(MAX_SINGLE_FILES + 1).count() <= MAX_SINGLE_FILES
+        folder = F.regexp_extract("_file", "^(.*)/[^/]+$", 1)
+        names = files if single else files.select(F.concat(folder, F.lit("/")).alias("_file"))
+        touched = {relative(r["_file"]) for r in names.distinct().collect()}
+        folders = {t.rpartition("/")[0] for t in touched}
+
+        rewritten, kept = [], []
+        for entry in state["entries"]:
+            if entry in touched or (not single and entry.rpartition("/")[0] in folders):
+                rewritten.append(entry)  # a single file
+            elif entry not in folders:
+                kept.append(entry)
+            elif single:
+                for name in self._files(entry):
+                    (rewritten if f"{entry}/{name}" in touched else kept).append(f"{entry}/{name}")
+            else:
+                rewritten.append(entry)
+        small = self._small_entries(state, kept)
+        return rewritten + small, [e for e in kept if e not in set(small)]
+
+    def _files(self, entry: str) -> list[str]:
+        jvm, fs = self._hadoop()
+        listed = fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{entry}"))
+        names = [s.getPath().getName() for s in listed]
+        return [n for n in names if not n.startswith(("_", "."))]
+
+    def _small_entries(self, state: dict, entries: Sequence[str]) -> list[str]:
+        """Entries below the size limit, of partitions that gathered too many."""
+        jvm, fs = self._hadoop()
         by_partition: dict[str, list[str]] = {}
-        for d in dirs:
-            by_partition.setdefault(d.partition("/")[2], []).append(d)
-        return [
-            d for group in by_partition.values() if len(group) > MAX_FRAGMENTS
-            for d in group if d not in touched
-        ]
+        for e in entries:
+            by_partition.setdefault(self._partition_of(state, e), []).append(e)
+        found = []
+        for group in by_partition.values():
+            if len(group) <= MAX_FRAGMENTS:
+                continue
+            small = [
+                e for e in group
+                if fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{e}")).getLength()
+                < SMALL_BYTES
+            ]
+            if len(small) > MAX_FRAGMENTS:
+                found += small
+        return found
 
     @staticmethod
     def _updated(old: DataFrame, src: DataFrame, keys: list[str], schema: StructType) -> DataFrame:

@@ -70,7 +70,7 @@ class BronzeStream:
         self.names = names or {}
         self.teams = LakeTable(spark, teams_path).create(BRONZE_TEAMS, checks=TEAM_CHECKS)
         self.matches = LakeTable(spark, matches_path).create(
-            BRONZE_MATCHES, partition_by=["extract_date"], checks=MATCH_CHECKS
+            BRONZE_MATCHES, partition_by=["extract_date"], checks=MATCH_CHECKS, sort_by=["event_id"]
         )
         self.rejected = LakeTable(spark, rejected_path).create(REJECTED)
         self.written = {team_topic: 0, match_topic: 0}

@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.debug.maxToStringFields": "200",
+            "spark.sql.maxMetadataStringLength": "2000",
             CHECKPOINT_CONF: str(tmp_path_factory.mktemp("scratch")),
         },
     )

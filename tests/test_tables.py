@@ -21,7 +21,7 @@ def frame(spark, data, schema=KV):
 
 
 def live_dirs(lake):
-    return set(lake._state()["dirs"])
+    return set(lake._state()["entries"])
 
 
 def test_absent_table(spark, lake):
@@ -187,7 +187,41 @@ def test_insert_only_upserts_do_not_gather_directories_for_ever(spark, lake):
     for i in range(MAX_FRAGMENTS + 3):
         lake.upsert(frame(spark, [(str(i), "p", i)]), ["k"], partition_by=["part"])
     assert lake.read().count() == MAX_FRAGMENTS + 3
-    assert len(live_dirs(lake)) <= MAX_FRAGMENTS + 1
+    assert len(live_dirs(lake)) <= MAX_FRAGMENTS + 2
+
+
+def test_only_files_with_a_match_are_written_anew(spark, lake):
+    """One key in one of many files: the other files stay live as they are."""
+    data = [(f"{i:03d}", "p", i) for i in range(80)]
+    lake.save(frame(spark, data).repartition(8), sort_by=["k"])
+    (before,) = live_dirs(lake)
+    files = {f"{before}/{n}" for n in lake._files(before)}
+    lake.upsert(frame(spark, [("040", "p", -1)]), ["k"])
+    assert len(files) == 8 and len(files & live_dirs(lake)) == 7
+    expected = [(k, p, -1 if k == "040" else v) for k, p, v in data]
+    assert rows(lake.read()) == expected
+    lake.upsert(frame(spark, [("041", "p", -2)]), ["k"])
+    expected = [(k, p, -2 if k == "041" else v) for k, p, v in expected]
+    assert rows(lake.read()) == expected
+
+
+def test_many_matching_files_are_replaced_by_directory(spark, lake, monkeypatch):
+    from matchstrata.sources import tables
+
+    monkeypatch.setattr(tables, "MAX_SINGLE_FILES", 2)
+    data = [(f"{i:03d}", "pq"[i % 2], i) for i in range(80)]
+    lake.save(frame(spark, data).repartition(8), partition_by=["part"])
+    lake.upsert(frame(spark, [("007", "q", 0)]), ["k"])
+    lake.upsert(frame(spark, [(k, p, v + 100) for k, p, v in data]), ["k"])
+    assert rows(lake.read(), "k", "part", "v") == [(k, p, v + 100) for k, p, v in data]
+
+
+def test_key_range_reaches_the_scan(spark, lake):
+    lake.save(frame(spark, [("a", "p", 1), ("b", "p", 2)]))
+    held = lake._scan(lake._state(), lake._state()["entries"], with_file=True)
+    source = frame(spark, [("b", "p", 3), ("c", "p", 3)])
+    plan = lake._within_bounds(held, source, ["k"]).select("k", "_file")._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(k,b), LessThanOrEqual(k,c)" in plan and "ReadSchema: struct<k:string>" in plan
 
 
 def test_two_writers_of_one_version_conflict(spark, lake):
