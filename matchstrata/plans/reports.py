@@ -36,8 +36,9 @@ def ranked_standings(gold: DataFrame, league: str | None = None) -> DataFrame:
 def standings_display(gold: DataFrame, league: str | None = None) -> DataFrame:
     """Ranked standings as shown: podium label and the scale of the points bar."""
     ranked = ranked_standings(gold, league)
-    # One row per league.
-    scale = points_scale(gold)
+    # The first team has the most points: one row per league, from the ranked
+    # rows that are already stored.
+    scale = points_scale(ranked.where("position = 1"))
     return (
         ranked.join(scale, "league", "left")
         .withColumn("place", podium("position"))
