@@ -247,6 +247,9 @@ def oracle_sql() -> dict[str, str]:
         "full_overwrite": _with(TEAMS, select="SELECT * FROM teams_raw WHERE name IS NOT NULL"),
         "append_and_modes": _with(TEAMS, select="""SELECT team_id, name, league FROM teams_raw
  UNION ALL SELECT team_id, name, league FROM teams_raw WHERE league = 'ASIA'"""),
+        "replace_by_condition": _with(TEAMS, select="""SELECT team_id,
+ CASE WHEN founded_year < 1910 THEN upper(league) ELSE name END AS name, league, founded_year
+ FROM teams_raw"""),
         "schema_evolution": _with(TEAMS, select="""SELECT team_id, name, league,
  CASE WHEN league = 'ASIA' THEN city END AS city FROM teams_raw"""),
         "table_summary": _with(TEAMS, select="""SELECT 'bronze/teams' AS name, 1::BIGINT AS version,

@@ -55,6 +55,7 @@ def points_scale(gold: DataFrame) -> DataFrame:
 def leaders(gold: DataFrame, league: str | None = None) -> DataFrame:
     """The first team of each league, with its headline."""
     best = top_of_group(_one_league(gold, league), ["league"], _best_first())
+    # Wording of the headline.
     headline = F.format_string(
         "%s: %d pts · %d PG · DG %s", F.coalesce("team", F.lit("None")), "points", "won",
         signed("goal_difference"),

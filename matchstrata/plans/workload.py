@@ -27,7 +27,7 @@ from ..schema import (
     TEAM_TOPIC,
     with_published_names,
 )
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..sources import envelopes, messages
 from ..sources.tables import LakeTable
 from ..streaming import BronzeStream
@@ -132,6 +132,11 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
     return table.standings(silver(spark, sf))
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a layer of the lake: written once, read by every use."""
+    return stage(df, label).df
+
+
 def _null_some_scores(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -260,7 +265,8 @@ def leaders(spark, sf):
 
 
 def league_kpis(spark, sf):
-    return reports.league_kpis(silver(spark, sf), gold(spark, sf))
+    matches = _stored(silver(spark, sf), "silver")
+    return reports.league_kpis(matches, table.standings(matches))
 
 
 def outcome_counts(spark, sf):
@@ -304,7 +310,7 @@ def played_pending_counts(spark, sf):
 # -- contracts -------------------------------------------------------------
 def contract_silver(spark, sf):
     """Silver with faults: no league, negative score, unknown outcome, repeated id."""
-    good = silver(spark, sf)
+    good = _stored(silver(spark, sf), "silver")
     faulty = good.withColumns(
         {
             "league": F.nullif("league", F.lit("ASIA")),
@@ -319,7 +325,7 @@ def contract_silver(spark, sf):
 
 def contract_gold(spark, sf):
     """Gold with faults: broken sums, negative goals, no name, repeated team."""
-    good = gold(spark, sf)
+    good = _stored(gold(spark, sf), "gold")
     faulty = good.withColumns(
         {
             "points": F.when(F.col("won") == 0, F.lit(99)).otherwise(F.col("points")).cast("bigint"),
@@ -337,7 +343,7 @@ def contract_gold(spark, sf):
 
 def contract_violations(spark, sf):
     """Coercion faults: gold columns that arrive as text, one of them absent."""
-    good = gold(spark, sf).withColumns(
+    good = _stored(gold(spark, sf), "gold").withColumns(
         {
             "played": F.when(F.col("won") == 0, F.lit("none")).otherwise(
                 F.col("played").cast("string")
@@ -350,8 +356,10 @@ def contract_violations(spark, sf):
 
 def contract_clean(spark, sf):
     """The contracts over sound layers: no violation at all."""
-    return contracts.SILVER_MATCHES.violations(silver(spark, sf)).unionByName(
-        contracts.GOLD_STANDINGS.violations(gold(spark, sf))
+    matches = _stored(silver(spark, sf), "silver")
+    standing = _stored(table.standings(matches), "gold")
+    return contracts.SILVER_MATCHES.violations(matches).unionByName(
+        contracts.GOLD_STANDINGS.violations(standing)
     )
 
 
@@ -471,6 +479,16 @@ def partition_overwrite(spark, sf):
     return lake.read()
 
 
+def replace_by_condition(spark, sf):
+    """A load that replaces the rows a condition names, in whatever files they are."""
+    teams = teams_raw(spark, sf).select("team_id", "name", "league", "founded_year")
+    lake = _new_table(spark, "conditional")
+    lake.save(teams)
+    newer = teams.where("founded_year < 1910").withColumn("name", F.upper("league"))
+    lake.save(newer, replace_where="founded_year < 1910")
+    return lake.read()
+
+
 def append_and_modes(spark, sf):
     """Append adds rows, ignore leaves the table as it is."""
     teams = teams_raw(spark, sf).select("team_id", "name", "league")
@@ -646,7 +664,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         text_formats, played_pending_counts, contract_silver, contract_gold,
         contract_violations, contract_clean, cross_layer_check, map_raw_teams,
         map_raw_matches, ingest_union_with_health, full_overwrite, partition_overwrite,
-        append_and_modes, upsert_silver, upsert_gold, schema_evolution, table_summary,
+        replace_by_condition, append_and_modes, upsert_silver, upsert_gold, schema_evolution, table_summary,
         publish_messages, stream_upsert, stream_rejected, feed_lines, run_medallion,
         medallion_silver,
     ]

@@ -252,11 +252,14 @@ class LakeTable:
             ]
         return [prefix.rstrip("/") for prefix, _ in found]
 
-    def _check(self, state: dict, written: Sequence[str]) -> None:
+    def _check(
+        self, state: dict, written: Sequence[str], more: Mapping[str, str] | None = None
+    ) -> None:
         """Constraints on what was written, before it is published."""
-        if not state["checks"] or not written:
+        rules = {**state["checks"], **(more or {})}
+        if not rules or not written:
             return
-        contract = Contract(f"checks of {self.path}", rows=state["checks"])
+        contract = Contract(f"checks of {self.path}", rows=rules)
         try:
             contract.enforce(self._scan(state, written))
         except ContractViolation:
@@ -274,12 +277,14 @@ class LakeTable:
         schema_mode: str = "overwrite",
         stream: tuple[str, int] | None = None,
         sort_by: Sequence[str] | None = None,
+        replace_where: str | None = None,
     ) -> int:
         """Write a frame and publish it; returns the table's version.
 
         ``mode``: overwrite, append, error (if the table exists) or ignore.
         ``replace_partitions`` overwrites the partitions found in the frame and
-        keeps the others. ``schema_mode``: merge adds the frame's new columns to
+        keeps the others; ``replace_where`` overwrites the rows that meet the
+        condition, which every row of the frame must meet too. ``schema_mode``: merge adds the frame's new columns to
         the table's, overwrite takes the frame's columns.
         """
         if mode not in ("overwrite", "append", "error", "ignore"):
@@ -293,7 +298,7 @@ class LakeTable:
 
         df = storable(df)
         state = self._next_state(current, stream)
-        keeps_rows = replace_partitions or mode == "append"
+        keeps_rows = replace_partitions or replace_where is not None or mode == "append"
         if partition_by is not None and not (keeps_rows and state["entries"]):
             state["partition_by"] = list(partition_by)
         if sort_by is not None:
@@ -308,9 +313,17 @@ class LakeTable:
         state["schema"] = schema.jsonValue()
 
         written = self._write_snapshot(conform(df, schema), state)
-        self._check(state, written)
+        met = f"coalesce({replace_where}, false)"
+        self._check(state, written, {"replace_where": met} if replace_where else {})
         if mode == "append":
             state["entries"] = state["entries"] + written
+        elif replace_where is not None:
+            held = self._scan(state, state["entries"], with_file=True).where(replace_where)
+            rewritten, kept = self._split(state, held.select("_file").distinct())
+            if rewritten:
+                rest = self._scan(state, rewritten).where(f"NOT {met}")
+                kept = kept + self._write_snapshot(rest, state)
+            state["entries"] = kept + written
         elif replace_partitions:
             replaced = {self._partition_of(state, e) for e in written}
             kept = [e for e in state["entries"] if self._partition_of(state, e) not in replaced]

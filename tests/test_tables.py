@@ -80,6 +80,19 @@ def test_replacing_partitions_keeps_the_others(spark, lake):
     assert kept <= live_dirs(lake)
 
 
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_replacing_by_condition(spark, lake, partition_by):
+    lake.save(frame(spark, [("a", "p", 1), ("b", "q", 2), ("c", "q", 3), ("d", None, 4)]),
+              partition_by=partition_by)
+    lake.save(frame(spark, [("x", "q", 7)]), replace_where="part = 'q'")
+    expected = [("a", "p", 1), ("d", None, 4), ("x", "q", 7)]
+    assert rows(lake.read(), "k", "part", "v") == expected
+    with pytest.raises(ContractViolation, match="replace_where"):
+        lake.save(frame(spark, [("y", "p", 8)]), replace_where="part = 'q'")
+    lake.save(frame(spark, [("z", None, 0)]), replace_where="v = 0 OR k = 'a'")
+    assert rows(lake.read(), "k", "part", "v") == expected[1:] + [("z", None, 0)]
+
+
 def test_odd_partition_values_survive(spark, lake):
     parts = ["a b", "x/y: z=1", "100%", "", None, "ü", "[q]{r}*?", "a+b"]
     data = [(str(i), p, i) for i, p in enumerate(parts)]
