@@ -22,9 +22,14 @@ def month_number(c: Column | str) -> Column:
     return F.month(_col(c)).cast("bigint")
 
 
+# Day names, Monday first.
+DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
+
 def day_name(c: Column | str) -> Column:
-    """Full English day name."""
-    return F.date_format(_col(c), "EEEE")
+    """Full English day name, whatever the session's time zone."""
+    names = F.array(*[F.lit(d) for d in DAYS])
+    return F.get(names, F.weekday(_col(c)))
 
 
 def load_stamp(as_of: datetime) -> tuple[str, str]:

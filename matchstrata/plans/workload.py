@@ -13,7 +13,17 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import not_integral, one_decimal, parse_date, signed, thousands, to_long
+from ..functions import (
+    day_name,
+    month_number,
+    not_integral,
+    one_decimal,
+    parse_date,
+    signed,
+    thousands,
+    to_long,
+    year_number,
+)
 from ..operators import contracts, dedup, refine, standings as table
 from ..schema import (
     BRONZE_TEAMS,
@@ -42,7 +52,7 @@ def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _day(c: str) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    return F.col(c).cast("date").cast("string")
 
 
 def _tie_break() -> list[Column]:
@@ -209,9 +219,9 @@ def parse_dates(spark, sf):
     dated = _read(spark, sf, "orders").select("o_orderkey", parse_date(day).alias("event_date"))
     return dated.withColumns(
         {
-            "match_year": F.year("event_date").cast("bigint"),
-            "match_month": F.month("event_date").cast("bigint"),
-            "weekday": F.date_format("event_date", "EEEE"),
+            "match_year": year_number("event_date"),
+            "match_month": month_number("event_date"),
+            "weekday": day_name("event_date"),
         }
     )
 

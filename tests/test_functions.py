@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from matchstrata import functions as fn
 
@@ -54,6 +55,17 @@ def test_date_parts(spark):
     assert [tuple(r) for r in got] == [(2022, 5, "Sunday"), (None, None, None)]
 
 
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    """At this midnight the clocks of that zone went forward."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([("1996-10-06",)], "t string").select(fn.parse_date("t").alias("d"))
+        got = df.select(F.col("d").cast("string"), fn.day_name("d"), fn.year_number("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(got) == ("1996-10-06 00:00:00", "Sunday", 1996)
+
+
 def test_labels(spark):
     assert column(spark, "bigint", [1, 2, 3, 4, 12], fn.podium("c")) == ["🥇", "🥈", "🥉", "4", "12"]
     assert column(spark, "bigint", [3, -1, 0, None], fn.signed("c")) == ["+3", "-1", "+0", None]
