@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.contracts import (
     GOLD_STANDINGS,
@@ -26,6 +27,9 @@ from ..sources.envelopes import ingest, type_bronze_matches, type_teams
 from ..sources.tables import LakeTable
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers live."""
@@ -102,16 +106,30 @@ def run_bronze(
     health = lake.source_health
     health.save(landed.health, schema_mode="overwrite")
     landed.discard()
+    for status, sources, matches, finished in (
+        health.read().groupBy("status")
+        .agg(F.count("*"), F.sum("n_matches"), F.sum("n_finished")).collect()
+    ):
+        log.info("bronze: %d sources %s, %d matches, %d finished", sources, status, matches, finished)
     return health.read()
 
 
-def run_silver(lake: Lake) -> int:
-    """Refine bronze, hold the result to its contract, then upsert it."""
+def run_silver(lake: Lake, since: str | None = None) -> int:
+    """Refine bronze, hold the result to its contract, then upsert it.
+
+    ``since`` (an extract date) limits the run to matches extracted on that day
+    or later and so to those partitions: the newest extract of such a match lies
+    there. A change in the teams then reaches these matches only; without
+    ``since`` all matches are refined anew.
+    """
     bronze = lake.bronze_matches.read()
+    if since is not None:
+        bronze = bronze.where(F.col("extract_date") >= since)
     teams = clean_teams(lake.bronze_teams.read())
     refined = stage(refine_matches(bronze, teams), "silver")
     require_refined(bronze, refined.df)
     SILVER_MATCHES.enforce(refined.df)
+    log.info("silver: %d matches refined", refined.df.count())
     version = lake.silver_matches.upsert(
         refined, ["event_id"], partition_by=["season"], keys_are_unique=True
     )
@@ -123,6 +141,7 @@ def run_gold(lake: Lake) -> int:
     """Standings from silver, held to their contract, then upserted."""
     table = stage(standings(lake.silver_matches.read()), "gold")
     GOLD_STANDINGS.enforce(table.df)
+    log.info("gold: %d teams with standings", table.df.count())
     version = lake.gold_standings.upsert(
         table, ["team_id", "league"], partition_by=["league"], keys_are_unique=True
     )

@@ -280,16 +280,17 @@ def oracle_sql() -> dict[str, str]:
 first_matches AS (SELECT * FROM responses QUALIFY row_number() OVER (PARTITION BY event_id
   ORDER BY extract_date DESC NULLS LAST, tie_price DESC, tie_supplier, away_id, home_score) = 1),
 counts AS (
- SELECT league_id AS source, 0 AS n_teams, count(*) AS n_matches, 0 AS n_broken, 0 AS kept_teams,
+ SELECT league_id AS source, 0 AS n_teams, count(*) AS n_matches,
+  count(*) FILTER (status = ' ft ') AS n_finished, 0 AS n_broken, 0 AS kept_teams,
   0 AS kept_matches FROM responses GROUP BY 1
- UNION ALL SELECT league_id, 0, 0, count(*), 0, 0 FROM matches_raw
+ UNION ALL SELECT league_id, 0, 0, 0, count(*), 0, 0 FROM matches_raw
   WHERE league_id = '2' AND venue IS NULL GROUP BY 1
- UNION ALL SELECT league_id, count(*), 0, 0, count(*), 0 FROM teams_raw WHERE league_id <> '0'
+ UNION ALL SELECT league_id, count(*), 0, 0, 0, count(*), 0 FROM teams_raw WHERE league_id <> '0'
   GROUP BY 1
- UNION ALL SELECT league_id, 0, 0, 0, 0, count(*) FROM first_matches WHERE league_id <> '0' GROUP BY 1
- UNION ALL SELECT i::VARCHAR, 0, 0, 0, 0, 0 FROM range(6) r(i)),
+ UNION ALL SELECT league_id, 0, 0, 0, 0, 0, count(*) FROM first_matches WHERE league_id <> '0' GROUP BY 1
+ UNION ALL SELECT i::VARCHAR, 0, 0, 0, 0, 0, 0 FROM range(6) r(i)),
 totals AS (SELECT source, sum(n_teams)::BIGINT AS n_teams, sum(n_matches)::BIGINT AS n_matches,
- sum(n_broken)::BIGINT AS n_broken, sum(kept_teams)::BIGINT AS kept_teams,
+ sum(n_finished)::BIGINT AS n_finished, sum(n_broken)::BIGINT AS n_broken, sum(kept_teams)::BIGINT AS kept_teams,
  sum(kept_matches)::BIGINT AS kept_matches FROM counts GROUP BY source)"""
     latest_message = """SELECT * FROM messages WHERE topic = '{topic}' AND whole
  QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1"""

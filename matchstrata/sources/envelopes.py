@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions import first_filled, load_stamp, to_long
+from ..functions import finished, first_filled, load_stamp, to_long
 from ..operators.contracts import whole_numbers
 from ..operators.dedup import keep_first
 from ..session import Staged, stage
@@ -201,7 +201,7 @@ class Ingest:
 def source_health(
     teams: DataFrame, matches: DataFrame, expected: DataFrame | None = None
 ) -> DataFrame:
-    """Per source: records and broken responses of both kinds, and a status.
+    """Per source: teams, matches, finished matches, broken responses, a status.
 
     ``no_teams``: the source is left out as a whole. ``no_matches``: its teams
     are kept. ``ok``: both kinds are loaded. A configured source that landed
@@ -210,15 +210,19 @@ def source_health(
     zero = F.lit(0).cast("bigint")
     record = F.col("_position").isNotNull().cast("bigint")
     broken = F.col("broken").isNotNull().cast("bigint").alias("n_broken")
+    played = finished("status").cast("bigint")
     rows = teams.select(
-        "source", record.alias("n_teams"), zero.alias("n_matches"), broken
+        "source", record.alias("n_teams"), zero.alias("n_matches"), zero.alias("n_finished"), broken
     ).unionByName(
-        matches.select("source", zero.alias("n_teams"), record.alias("n_matches"), broken)
+        matches.select(
+            "source", zero.alias("n_teams"), record.alias("n_matches"),
+            played.alias("n_finished"), broken,
+        )
     )
     if expected is not None:
         rows = rows.unionByName(
             expected.select(
-                "source", zero.alias("n_teams"), zero.alias("n_matches"), zero.alias("n_broken")
+                "source", *[zero.alias(c) for c in rows.columns if c != "source"]
             )
         )
     status = (
@@ -228,7 +232,7 @@ def source_health(
     )
     return (
         rows.groupBy("source")
-        .agg(*[F.sum(c).alias(c) for c in ("n_teams", "n_matches", "n_broken")])
+        .agg(*[F.sum(c).alias(c) for c in rows.columns if c != "source"])
         .withColumn("status", status)
     )
 

@@ -128,7 +128,7 @@ def landed(tmp_path):
     land(tmp_path, "teams", "4", {"teams": None})
     teams = land(tmp_path, "teams", "99", {"teams": [team(idTeam="foreign")]})
     land(tmp_path, "events", "1", {"events": [match(idEvent="a", strEvent="of one")]}, "{cut off")
-    land(tmp_path, "events", "2", {"events": [match(idEvent="a", strEvent="of two"), match(idEvent="b")]})
+    land(tmp_path, "events", "2", {"events": [match(idEvent="a", strEvent="of two"), match(idEvent="b", strStatus="NS")]})
     land(tmp_path, "events", "3", {"events": []})
     events = land(tmp_path, "events", "4", {"events": [match(idEvent="lost")]})
     return teams, events
@@ -136,9 +136,10 @@ def landed(tmp_path):
 
 def test_ingest_skips_bad_sources_and_reports_them(spark, tmp_path):
     got = envelopes.ingest(spark, *landed(tmp_path), AS_OF, LEAGUES)
-    assert rows(got.health, "source", "n_teams", "n_matches", "n_broken", "status") == [
-        ("1", 1, 1, 1, "ok"), ("2", 1, 2, 0, "ok"), ("3", 1, 0, 0, "no_matches"),
-        ("4", 0, 1, 0, "no_teams"), ("5", 0, 0, 0, "no_teams")]
+    counts = ["n_teams", "n_matches", "n_finished", "n_broken"]
+    assert rows(got.health, "source", *counts, "status") == [
+        ("1", 1, 1, 1, 1, "ok"), ("2", 1, 2, 1, 0, "ok"), ("3", 1, 0, 0, 0, "no_matches"),
+        ("4", 0, 1, 1, 0, "no_teams"), ("5", 0, 0, 0, 0, "no_teams")]
     assert rows(got.teams, "team_id", "name") == [("x", "of two"), ("y", "Rovers")]
     assert rows(got.matches, "event_id", "event_name") == [("a", "of two"), ("b", MATCH["strEvent"])]
     assert rows(got.broken) == [("matches", "1", "{cut off")]

@@ -74,6 +74,18 @@ def test_rows_refined_earlier_are_not_retracted(spark, lake, tmp_path):
     assert rows(lake.silver_matches.read(), "event_id") == [("9001",), ("9002",), ("9009",)]
 
 
+def test_refining_recent_extracts_only_gives_the_same_silver(spark, lake, tmp_path):
+    jobs.run_all(lake, *fixtures(tmp_path), AS_OF)
+    teams, _ = fixtures(tmp_path / "later")
+    events = land(tmp_path / "other", "events", "77", {"events": [match(intHomeScore="6"), match(idEvent="9009")]})
+    jobs.run_bronze(lake, teams, events, LATER)
+    jobs.run_silver(lake, since="2024-05-02")
+    recent = rows(lake.silver_matches.read())
+    assert [r[0] for r in rows(lake.silver_matches.read(), "event_id", "home_score")] == ["9001", "9002", "9009"]
+    jobs.run_silver(lake)
+    assert rows(lake.silver_matches.read()) == recent
+
+
 def test_a_broken_contract_publishes_nothing_and_stops_the_chain(spark, lake, tmp_path):
     teams, events = fixtures(tmp_path)
     land(tmp_path, "events", "77", {"events": [match(idEvent="9005", intHomeScore="-1")]})
