@@ -61,17 +61,19 @@ def _tie_break() -> list[Column]:
 
 # -- adapter ---------------------------------------------------------------
 def matches_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze-shaped matches, plus the two columns that settle ties."""
-    place = (
-        _read(spark, sf, "customer")
-        .join(_read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(_read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
+    """Bronze-shaped matches, plus the two columns that settle ties.
+
+    Each table is joined by itself: the size of a file is known before the
+    query runs, that of a join is only guessed, and the guess would shuffle
+    the lines where a broadcast does.
+    """
     return (
         _read(spark, sf, "lineitem")
         .join(_read(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(place, F.col("o_custkey") == F.col("c_custkey"))
+        .join(_read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_read(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(_read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
             F.concat_ws(" vs ", "c_name", "p_name").alias("event_name"),

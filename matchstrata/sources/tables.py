@@ -35,8 +35,8 @@ SNAPSHOT = "snapshot_id"
 VERSIONS = "_versions"
 # A partition value '' would come back as NULL; this stands for it on disk.
 EMPTY_VALUE = "__EMPTY__"
-# An upsert folds the small entries of a partition into one once there are more
-# than this many below this size.
+# An upsert folds the small directories of a partition into one once there are
+# more than this many below this size.
 MAX_FRAGMENTS = 8
 SMALL_BYTES = 128 * 1024 * 1024
 # Up to this many files with matches are replaced one by one; beyond it the
@@ -466,11 +466,16 @@ class LakeTable:
         return [n for n in names if not n.startswith(("_", "."))]
 
     def _small_entries(self, state: dict, entries: Sequence[str]) -> list[str]:
-        """Entries below the size limit, of partitions that gathered too many."""
+        """Directories below the size limit, of partitions that gathered too many.
+
+        Single files of a larger directory are not pieces of their own.
+        """
         jvm, fs = self._hadoop()
+        depth = len(state["partition_by"])
         by_partition: dict[str, list[str]] = {}
         for e in entries:
-            by_partition.setdefault(self._partition_of(state, e), []).append(e)
+            if e.count("/") == depth:
+                by_partition.setdefault(self._partition_of(state, e), []).append(e)
         found = []
         for group in by_partition.values():
             if len(group) <= MAX_FRAGMENTS:
