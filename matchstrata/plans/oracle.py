@@ -133,7 +133,7 @@ def _repeated(key: str, shown: str, source: str, name: str) -> str:
     )
 
 
-def _response_match(alias_as_of: bool = True) -> str:
+def _response_match() -> str:
     """Matches as the landed JSON gives them: one row per id, stamped by the load."""
     return f"""SELECT * REPLACE ('2024-05-01T12:00:00+00:00' AS extracted_at,
   '2024-05-01' AS extract_date) FROM (SELECT {_MATCH} FROM latest)"""
