@@ -1,0 +1,245 @@
+"""Token files, packing, sharding, search and archives against plain Python."""
+
+import hashlib
+import zlib
+from itertools import groupby
+
+import numpy as np
+import pyarrow.orc as orc
+import pytest
+
+from matchstrata.llm import packing, sharding, token_files, vector_search, warc
+from matchstrata.llm.tokens import BulkEncoder, vocabulary_path
+from matchstrata.session import scratch_path
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, ids string"
+TEXTS = [
+    "The cat, the dog.\nThe  end \n here ", None, "", " lead", "one", "a\t b", "tail \n", "<|endoftext|> it's",
+    "Über  größe 12 34", "x" * 5000, " ".join(f"word{i % 90}" for i in range(9000)), "one", "\n\n a", "é　 b",
+    "mixed \n\n  lines\n of text", "'s 're", "a \nb", "b\n", "b\n\n",
+]
+
+
+def documents(spark, texts=TEXTS):
+    rows = [(i, t, "en", "s", len(t or ""), 1, "x") for i, t in enumerate(texts)]
+    rows.append((None, "no id", None, None, None, None, None))
+    rows.append((3, " lead", "en", "s", 5, 2, "y"))
+    return spark.createDataFrame(rows, DOCS).repartition(3), rows
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    tokenizer.encode_special_tokens = True
+    return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_bulk_encoder_is_the_tokenizer(plain):
+    encoder = BulkEncoder(vocabulary_path())
+    rng = np.random.default_rng(5)
+    parts = ["a", " ", "  ", "\n", "the", "12", "'s", "é", " ", ".", " of", "\t", "zz", "\u0085", "-"]
+    texts = TEXTS + ["".join(rng.choice(parts, 12)) for _ in range(3000)]
+    for start in range(0, len(texts), 100):
+        part = texts[start : start + 100]
+        for text, ids in zip(part, encoder.encode(part), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain(text), repr(text)
+
+
+def test_token_files_hold_every_id(spark, plain):
+    docs, rows = documents(spark)
+    path = scratch_path(spark, "test-tokens")
+    token_files.write_tokens(docs, path)
+    stored = token_files.read_tokens(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in stored] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+    start = 0
+    by_id = {r[0]: r[1] for r in rows}
+    for r in stored:
+        assert r["ids"] == plain(by_id[r["doc_id"]]) + [0] and r["n_tokens"] == len(r["ids"])
+        assert r["start"] == start
+        start += r["n_tokens"]
+    some = token_files.read_tokens(spark, path, [3, 7])
+    assert sorted(r["doc_id"] for r in some.collect()) == [3, 3, 7]
+    assert {(r["doc_id"], r["start"]) for r in some.collect()} <= {(r["doc_id"], r["start"]) for r in stored}
+    plan = some._jdf.queryExecution().toString()
+    assert "PushedFilters" in plan and "In(doc_id" in plan
+    crc = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in token_files.with_crc(token_files.read_tokens(spark, path)).collect()}
+    for r in stored:
+        assert crc[(r["doc_id"], r["start"])] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+
+
+def test_token_files_are_indexed_orc(spark):
+    docs, _ = documents(spark)
+    path = scratch_path(spark, "test-tokens")
+    token_files.write_tokens(docs, path)
+    import glob
+
+    files = sorted(glob.glob(path.removeprefix("file://") + "/*.orc"))
+    assert files
+    assert any(orc.ORCFile(f).nstripes >= 1 and orc.ORCFile(f).row_index_stride == token_files.ROWS_PER_INDEX for f in files)
+    assert b"orc" in open(files[0], "rb").read()[:3].lower()
+
+
+def test_packing_covers_each_id_once(spark, plain):
+    docs, rows = documents(spark)
+    packed = packing.pack_documents(docs).collect()
+    ids = {}
+    for r in packed:
+        assert 1 <= r["length"] <= 2048 and r["length"] == len(r["ids"]) // 4
+        assert r["ids_crc32"] == zlib.crc32(r["ids"])
+        ids.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    for i, text in {r[0]: r[1] for r in rows if r[0] != 3}.items():
+        whole = [x for _, part in sorted(ids[i]) for x in part]
+        assert whole == plain(text) + [1]
+        assert {r["doc_tokens"] for r in packed if r["doc_id"] == i} == {len(whole)}
+    assert len(ids[3]) == 2
+    for _, pieces in groupby(sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])), key=lambda r: r["sequence_id"]):
+        at = 0
+        for p in pieces:
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= 2048
+    assert "ids" not in packing.pack_documents(docs, keep_ids=False).columns
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_best_fit_decreasing_takes_the_tightest_window():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        window = int(rng.integers(1, 70))
+        lengths = rng.integers(1, window + 1, int(rng.integers(0, 60)))
+        at, offset, used = packing.best_fit_decreasing(lengths, window)
+        room, want = [], {}
+        for k in np.argsort(-lengths, kind="stable"):
+            fits = [r for r in room if r >= lengths[k]]
+            if fits:
+                room.remove(min(fits))
+                room.append(min(fits) - lengths[k])
+            else:
+                room.append(window - lengths[k])
+            want[k] = None
+        fill = np.bincount(at, lengths, used) if len(lengths) else np.zeros(0)
+        assert sorted(window - fill) == sorted(room)
+        spans = sorted(zip(at, offset, lengths, strict=True))
+        assert all(b[1] == a[1] + a[2] if a[0] == b[0] else b[1] == 0 for a, b in zip(spans, spans[1:], strict=False))
+
+
+def _minimax(sizes, shards):
+    def enough(c):
+        used, left = 1, c
+        for s in sizes:
+            if s > c:
+                return False
+            if s > left:
+                used, left = used + 1, c
+            left -= s
+        return used <= shards
+
+    return next(c for c in range(1, sum(sizes) + 1) if enough(c))
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8])
+def test_minimax_cuts_are_optimal(spark, shards):
+    rng = np.random.default_rng(shards)
+    for n in (1, 5, 200):
+        keys = [hashlib.sha256(str(k).encode()).hexdigest() for k in range(n)]
+        rows = [(k, int(s)) for k in keys for s in rng.integers(1, 90, int(rng.integers(1, 4)))]
+        rows += [(keys[0], 60)] * (n // 2)
+        capacity, cuts = sharding.minimax_cuts(spark.createDataFrame(rows, "digest string, size long"), shards)
+        totals = {k: sum(s for d, s in rows if d == k) for k in sorted(keys)}
+        assert capacity == _minimax(list(totals.values()), shards)
+        fill = np.bincount([sum(k > c for c in cuts) for k in totals], list(totals.values()))
+        assert fill.max() == capacity and len(fill) <= shards
+
+
+def test_shards_keep_equal_texts_together(spark):
+    docs, rows = documents(spark, TEXTS + ["copy"] * 12)
+    got = sharding.minimax_shards(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = "no id" if r["doc_id"] is None else (TEXTS + ["copy"] * 12)[r["doc_id"]]
+        raw = (text or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
+    by_digest = {}
+    for r in got:
+        by_digest.setdefault(r["digest"], set()).add(r["shard"])
+    assert all(len(s) == 1 for s in by_digest.values())
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    assert sharding.minimax_shards(docs.limit(0)).count() == 0
+
+
+def test_top_k_is_exact(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(300, 10)).round(2)
+    vectors = [[float(x) for x in v] for v in base] + [[float(x) for x in base[7]]] * 4
+    rows = [(i, v, 1) for i, v in enumerate(vectors)]
+    rows += [(50, vectors[3], 0), (900, None, 0), (901, [1.0, None], 0), (902, [float("nan")] * 10, 0)]
+    rows += [(950, [float("inf")] * 10, 0), (1000, [1.0, 2.0], 0), (1001, [2.0, 2.0], 0), (1002, [], 0), (None, vectors[5], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row int").repartition(4)
+    got = vector_search.top_k(vector_search.quantized(df), F.col("vec_id") % 50 == 0).collect()
+    good = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v, _ in rows if v and None not in v and np.isfinite(v).all()]
+    want = []
+    for a, (i, q) in enumerate(good):
+        if i is None or i % 50:
+            continue
+        scores = sorted(
+            ((-int(q @ x), j is not None, j) for b, (j, x) in enumerate(good) if b != a and len(x) == len(q)),
+            key=lambda s: (s[0], s[1], s[2] or 0),
+        )
+        want += [(i, k + 1, j, -s) for k, (s, _, j) in enumerate(scores[:5])]
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted([(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got], key=key) == sorted(want, key=key)
+    assert vector_search.top_k(vector_search.quantized(df.limit(0)), F.col("vec_id") % 50 == 0).count() == 0
+
+
+PAGES = [
+    (1, "http://a/1", "<p>" + "x" * 200), (2, "http://a/2", "<p>" + "x" * 200), (3, None, None), (4, "u\r\nWARC-Type: no", ""),
+    (5, "u", "short"), (6, "u", "short"), (7, "u", "before WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\n" * 9),
+    (8, "ü", "größe \r\n\r\n" * 50), (9, "u", "WARC/1.0\r\n" + "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n" * 3),
+    (0, "u", "<p>" + "x" * 200), (0, "u", "<p>" + "x" * 200), (None, "u", "<p>" + "x" * 200), (None, "u", "y" * 150), (None, "v", "y" * 150),
+    (10, "u", "z" * 100), (11, "u", "z" * 100), (12, "u", "q" * 99), (13, "u", "q" * 99),
+]
+
+
+@pytest.mark.parametrize("split", ["128m", "200"])
+def test_archives_round_trip(spark, split):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(2)
+    path = scratch_path(spark, "test-archives")
+    warc.write_archives(pages, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        records = warc.read_archives(spark, path)
+        got = warc.page_records(records).collect()
+        payloads = [(r["record_type"], bytes(r["payload"])) for r in records.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = []
+    for i, _, html in PAGES:
+        raw = (html or "").encode()
+        same = [j for j, _, h in PAGES if (h or "").encode() == raw and j is not None]
+        revisit = len(raw) >= 100 and bool(same) and i != min(same)
+        want.append((i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if revisit else "response", min(same) if revisit else None))
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert sorted(p for t, p in payloads if t == "response") == sorted(
+        (p[2] or "").encode() for p, w in zip(PAGES, want, strict=True) if w[3] == "response"
+    )
+
+
+def test_broken_archives_end_early(spark, tmp_path):
+    record = lambda n, body: f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <{n}>\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n"
+    (tmp_path / "a").write_text(record(1, "one") + record(2, "two").replace("Length: 3", "Length: 30000") + record(3, "three"), newline="")
+    (tmp_path / "b").write_text("junk" + record(4, "four"), newline="")
+    (tmp_path / "c").write_text(record(5, "") + record(6, "WARC/1.0\r\n"), newline="")
+    (tmp_path / "d").write_text("")
+    got = warc.read_archives(spark, str(tmp_path)).select("record_id", "payload").collect()
+    assert sorted((r[0], bytes(r[1])) for r in got) == [("<1>", b"one"), ("<5>", b""), ("<6>", b"WARC/1.0\r\n")]
+
+
+def test_no_pages_no_records(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    path = scratch_path(spark, "test-archives")
+    warc.write_archives(pages, path)
+    assert warc.read_archives(spark, path).count() == 0
