@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable
 
 import numpy as np
 
-#: Words whose ids one Python worker keeps; at the bound the store is emptied.
-KEPT_WORDS = 150_000
+#: Words whose ids one Python worker keeps, twice: those it met lately, and those before them.
+KEPT_WORDS = 500_000
 
-_DOCS_AT_ONCE = 256
-# White space beside a space: there a cut before the space could split a token.
-_UNSAFE = re.compile(r"\s | \s| $|^ ")
+_DOCS_AT_ONCE = 1_024
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -27,10 +24,11 @@ class BulkEncoder:
 
     The vocabulary's splitting rule never lets a token reach over a space that
     has a non-space character on both sides, except as the token's first
-    character. So the ids of a text are those of its space-led pieces, one after
-    the other, and a piece that occurs again is looked up. New pieces go to the
-    library joined as one text, cut again by the byte length of each token. Texts
-    with white space beside a space are encoded whole.
+    character; a line end between two such characters is a token of its own. So
+    the ids of a text are those of its pieces, each led by a space or a line end,
+    one after the other, and a piece that occurs again is looked up. New pieces
+    go to the library joined as one text, cut again by the byte length of each
+    token. Texts with two white-space characters in a row are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -42,45 +40,54 @@ class BulkEncoder:
         size = self.tokenizer.get_vocab_size()
         # A byte-level token shows each of its bytes as one character.
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], dtype=np.int64)
+        self.stops = {c: self.whole(c) for c in ",."}
+        self.line_end = self.whole("\n")
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        ids = np.array(
-            self.tokenizer.encode("".join(pieces), add_special_tokens=False).ids, dtype="<u4"
-        )
-        ends = np.cumsum(np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces)))
-        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="left") + 1
-        raw, start = ids.tobytes(), 0
-        for piece, cut in zip(pieces, (4 * cuts).tolist(), strict=True):
-            self.known[piece[1:]] = raw[start:cut]
-            start = cut
+        if not text:
+            return b""
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        """Look up or encode ``words``; those with more white space at an end stay unknown."""
+        known, stops = self.known, self.stops
+        again = words & self.before.keys()
+        known.update(zip(again, map(self.before.__getitem__, again), strict=True))
+        stopped = [w for w in words - again if w[-1:] in stops and w[-2:-1].isalpha()]
+        plain = (words - again).difference(stopped).union([w[:-1] for w in stopped])
+        new = [
+            w
+            for w in plain - known.keys()
+            if w and not (w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1:2].isspace())))
+        ]
+        if new:
+            led = [w if w[0] == "\n" else " " + w for w in new]
+            raw = self.whole("".join(led))
+            lengths = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in led), np.int64, len(new))
+            token_ends = np.cumsum(self.n_bytes[np.frombuffer(raw, "<u4")])
+            cuts = (4 * (np.searchsorted(token_ends, np.cumsum(lengths)) + 1)).tolist()
+            known.update({w: raw[a:b] for w, a, b in zip(new, [0, *cuts], cuts, strict=False)})
+        # A full stop or comma after a letter, before a space or line end, is a token of its own.
+        known.update({w: known[w[:-1]] + stops[w[-1]] for w in stopped if w[:-1] in known})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null counts as empty."""
+        # A line end is put before each text, so that all pieces are led by white space.
+        pieces = [("\n" + (text or "")).replace("\n", " \n").split(" ")[1:] for text in texts]
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        split, new = [], {}
-        for text in texts:
-            if not text or _UNSAFE.search(text):
-                split.append(None)
-                continue
-            words = text.split(" ")
-            split.append(words)
-            for w in words[1:]:
-                if w not in self.known:
-                    new[w] = None
+            self.known, self.before = {}, self.known
+        new = set().union(*pieces) - self.known.keys()
         if new:
-            self._learn([" " + w for w in new])
-        found = self.known.__getitem__
-        out = []
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                out.append(self.whole(text) if text else b"")
-            else:
-                out.append(self.whole(words[0]) + b"".join(map(found, words[1:])))
+            self._learn(new)
+        found, skip, out = self.known.__getitem__, len(self.line_end), []
+        for text, words in zip(texts, pieces, strict=True):
+            try:
+                out.append(b"".join(map(found, words))[skip:])
+            except KeyError:  # white space beside white space, or at an end, or no text
+                out.append(self.whole(text or ""))
         return out
 
 
