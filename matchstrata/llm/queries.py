@@ -7,17 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchstrata.llm import packing, sharding, token_files, vector_search, warc
+from matchstrata.llm import (
+    decontamination,
+    jaccard,
+    language_id,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    token_files,
+    vector_search,
+    warc,
+)
 from matchstrata.llm.common import scan
 from matchstrata.session import scratch_path
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "labels"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(scan(spark, sf_dir, "documents"), path)
     return token_files.with_crc(token_files.read_tokens(spark, path))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(scan(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.minimax_shards(scan(spark, sf_dir, "documents"), shards=8)
     return dealt.select(
@@ -31,18 +50,32 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(scan(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_equal", "n_near", "text")
+
+
 def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vector_search.quantized(scan(spark, sf_dir, "embeddings"))
     found = vector_search.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(scan(spark, sf_dir, "pages"), path)
     return warc.page_records(warc.read_archives(spark, path))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(scan(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(scan(spark, sf_dir, "documents"), keep_ids=False)
 
@@ -50,7 +83,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op2_token_files, op4_sharding, op6_vector_search, op8_warc, op10_packing)
+        for f in (
+            op1_quality,
+            op2_token_files,
+            op3_language_id,
+            op4_sharding,
+            op5_line_dedup,
+            op6_vector_search,
+            op7_decontamination,
+            op8_warc,
+            op9_jaccard,
+            op10_packing,
+        )
     }
 
 
@@ -86,5 +130,93 @@ FROM f
 """
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP5 = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM documents WHERE text IS NOT NULL
+), long AS (
+  SELECT doc_id, line_no, line, length(line) AS n FROM lines WHERE length(line) >= 50
+), classes AS (
+  SELECT line, n, min((doc_id, line_no)) AS first FROM long GROUP BY line, n
+), near AS (
+  SELECT DISTINCT a.line FROM classes a
+  JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM classes) b ON a.n = b.m AND b.first < a.first
+  WHERE levenshtein(a.line, b.line) <= 2
+), judged AS (
+  SELECT l.doc_id, l.line_no, l.line,
+         coalesce(c.line IS NOT NULL AND x.line IS NOT NULL, false) AS near,
+         coalesce(c.first <> (l.doc_id, l.line_no), false) AS again
+  FROM lines l LEFT JOIN classes c ON c.line = l.line LEFT JOIN near x ON x.line = l.line
+)
+SELECT doc_id, count(*)::INTEGER AS n_lines,
+       count(*) FILTER (WHERE again AND NOT near)::INTEGER AS n_equal,
+       count(*) FILTER (WHERE near)::INTEGER AS n_near,
+       coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT again AND NOT near), '') AS text
+FROM judged GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, 0, text FROM documents WHERE text IS NULL
+"""
+
+_OP7 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), iw AS (
+  SELECT item_id, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s, w
+  FROM i WHERE len(w) > 0
+), ig AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS g FROM iw
+), dw AS (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM ig) WHERE len(w) >= n
+), occ AS (
+  SELECT DISTINCT x.r, x.s, x.n, ig.item_id
+  FROM (SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS g FROM dw) x JOIN ig ON ig.n = x.n AND ig.g = x.g
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM occ) GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT r, item_id FROM occ WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+_OP9 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, array_to_string(w[k:k + 2], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+), n AS (SELECT r, count(*) AS n FROM s GROUP BY r
+), links AS (
+  SELECT x.a, x.b FROM (
+    SELECT p.r AS a, q.r AS b, count(*) AS i FROM s p JOIN s q ON p.g = q.g AND p.r <> q.r GROUP BY ALL
+  ) x JOIN n na ON na.r = x.a JOIN n nb ON nb.r = x.b
+  WHERE 100 * x.i >= 90 * (na.n + nb.n - x.i)
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles,
+       least(d.doc_id, min(o.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN reach ON reach.a = d.r LEFT JOIN d o ON o.r = reach.b
+GROUP BY d.r, d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_vector_search": _OP6, "op8_warc": _OP8}
+    return {
+        "op5_line_dedup": _OP5,
+        "op6_vector_search": _OP6,
+        "op7_decontamination": _OP7,
+        "op8_warc": _OP8,
+        "op9_jaccard": _OP9,
+    }
