@@ -306,7 +306,8 @@ def _units(prefixes: DataFrame, rule: Rule) -> DataFrame:
         prefixes.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().where("count > 1"), "shared-shingles"
     ).df
     postings = stage(
-        prefixes.select("key", "n", "matches", F.explode("shingles").alias("shingle")).join(small(times), "shingle"), "postings"
+        # Both sides grow with the corpus: joined by shuffle at every size.
+        prefixes.select("key", "n", "matches", F.explode("shingles").alias("shingle")).join(times, "shingle"), "postings"
     ).df
     hot = postings.where(F.col("count") > HOT)
     stars = hot.join(hot.groupBy("shingle").agg(F.min("key").alias("first")), "shingle")
