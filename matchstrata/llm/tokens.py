@@ -8,9 +8,9 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words whose ids one Python worker keeps, twice: those it met lately, and those before them.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 700_000
 
-_DOCS_AT_ONCE = 1_024
+_DOCS_AT_ONCE = 2_048
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
