@@ -32,7 +32,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def text_bytes(column: Column | str) -> Column:
     """UTF-8 bytes of a text, none for null."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.encode(F.coalesce(column, F.lit("")), "UTF-8")
+    return F.coalesce(column, F.lit("")).cast("binary")
 
 
 def numbered(df: DataFrame, order: list[Column], out: str, label: str) -> DataFrame:

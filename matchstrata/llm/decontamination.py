@@ -125,7 +125,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     prints = stage(_prints(items), "benchmark-prints").df
     short = [r["gram"] for r in prints.where(F.col("span") < SPAN).select("gram").distinct().collect()]  # at most 9
     rows = docs.select(
-        F.col("doc_id"), F.col("text"), F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("text_key")
+        F.col("doc_id"), F.col("text"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_key")
     )
     # One pass over all texts: their sizes, and the keys of those that share a fingerprint.
     folded = rows.select("text_key", _folded(F.col("text")).alias("words"))
@@ -210,7 +210,7 @@ def _covered(found: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a window of an item."""
-    key = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
+    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     hit = stage(
         contaminated(docs, items).where("contaminated").select(F.col("text_key").alias("__key")).distinct(), "contaminated"
     ).df

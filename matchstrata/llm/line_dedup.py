@@ -37,30 +37,20 @@ def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     ]
 
 
-def _entries(line: Column, edits: int) -> Column:
-    """``role, hash`` of the segments of a line and of the substrings that it is looked up by."""
-    length = F.char_length(line)
-    out = []
-
-    def add(role: int, target: Column, k: int, start: Column, size: Column) -> None:
-        out.append(
-            F.struct(
-                F.lit(role).alias("role"),
-                F.xxhash64(target, F.lit(k), F.substring(line, start, size)).alias("hash"),
-            )
-        )
-
+def _hashes(line: Column, length: Column, edits: int) -> Column:
+    """Hashes of a line's segments (the first ``edits + 1``), then of what it is looked up by."""
+    indexed, probes = [], []
     for less in range(edits + 1):  # to lines as long or shorter by this
         target = length - less
         for k, (start, size) in enumerate(segments(target, edits)):
+            of = lambda at: F.xxhash64(target, F.lit(k), F.substring(line, at, size))  # noqa: B023, E731
             if less == 0:
-                add(_INDEX, target, k, start, size)
+                indexed.append(of(start))
             low = max(-k, less - (edits - k))
             high = min(k, less + (edits - k))
-            for shift in range(low, high + 1):
-                if less or shift:  # unshifted segments of its own length are in the index
-                    add(_PROBE, target, k, F.greatest(start + shift, F.lit(1)), size)
-    return F.array(*out)
+            # Unshifted segments of its own length are in the index.
+            probes += [of(F.greatest(start + shift, F.lit(1))) for shift in range(low, high + 1) if less or shift]
+    return F.array(*indexed, *probes)
 
 
 def _let(value: Column, then) -> Column:
@@ -116,7 +106,9 @@ def within(a: Column, b: Column, edits: int) -> Column:
                     (state["score"] + F.when(down, lower).otherwise(along)).alias("score"),
                 )
 
-            return _let(matches(i), with_matches)
+            # The score falls by one a step at most, and only along the last row.
+            lost = state["score"] > 2 * edits + F.size(other) - F.size(one)
+            return F.when(lost, state).otherwise(_let(matches(i), with_matches))
 
         start = F.struct(
             F.lit(((1 << (edits + 1)) - 1) << edits).cast("long").alias("vp"), zero.alias("vn"), F.lit(edits).alias("score")
@@ -128,61 +120,101 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
 def _key(text: Column) -> Column:
     """A 128-bit digest."""
-    return F.substring(F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)), 1, 16)
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
+
+
+#: Characters that are counted in each line of a candidate pair, before it is verified.
+_COUNTED = "acdehilnorstu "
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """``doc_id, text_key, line_no, line`` of the lines long enough."""
+    """``doc_id, text_key, line_no, line, length`` of the lines long enough."""
     return (
         docs.where("text IS NOT NULL")
         .select("doc_id", _key(F.col("text")).alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .where(F.char_length("line") >= least)
+        .withColumn("length", F.char_length("line"))
+        .where(F.col("length") >= least)
     )
 
 
-def _near(lines: DataFrame, places: DataFrame, edits: int) -> DataFrame:
-    """``line_key``: lines with another line within ``edits`` edits that occurs earlier."""
-    keyed = lines.select(_key(F.col("line")).alias("line_key"), F.col("line"))
-    entry = F.explode(_entries(F.col("line"), edits)).alias("e")
-    # Most segments occur in one line only; of a line that repeats, one hash is the least and the greatest.
-    hashes = lines.select(F.xxhash64("line").alias("id"), entry).select("id", "e.hash")
-    shared = hashes.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    shared = stage(shared.select("hash"), "shared-segments").df
+def _counts(line: Column) -> dict[str, Column]:
+    """How often each of some characters occurs. ``edits`` edits change the counts by twice that together."""
+    size = F.octet_length(line)
+    return {f"c{k}": (size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("short") for k, c in enumerate(_COUNTED)}
+
+
+def _alike(a: str, b: str, edits: int) -> Column:
+    """Whether the counts and lengths of two lines allow ``edits`` edits."""
+    apart = F.lit(0)
+    for k in range(len(_COUNTED)):
+        apart = apart + F.abs(F.col(f"{a}.c{k}").cast("int") - F.col(f"{b}.c{k}").cast("int"))
+    return (apart <= 2 * edits) & (F.abs(F.col(f"{a}.length") - F.col(f"{b}.length")) <= edits)
+
+
+def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFrame:
+    """``line_key``: lines with another line within ``edits`` edits that occurs earlier.
+
+    ``lines`` are stored: ``place, line_key, id, hashes``.
+    """
+    # Most segments occur in one line only; of a line that repeats, one id is the least and the greatest.
+    shared = (
+        lines.select("id", F.explode("hashes").alias("hash"))
+        .groupBy("hash")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        .where("low <> high")
+        .select("hash")
+    )
+    shared = stage(shared, "shared-segments").df
+    role = F.when(F.col("k") <= edits, _INDEX).otherwise(_PROBE)
     entries = (
-        keyed.select("line_key", F.char_length("line").alias("length"), entry)
-        .select("line_key", "length", "e.role", "e.hash")
+        lines.select("line_key", "id", F.posexplode("hashes").alias("k", "hash"))
         .join(small(shared), "hash")
+        .select("line_key", "id", "hash", role.alias("role"))
         .distinct()
     )
     entries = stage(entries, "segments").df
-    keys = stage(entries.select("line_key").distinct(), "segment-lines").df
-    first = places.join(small(keys), "line_key", "left_semi").groupBy("line_key").agg(F.min("place").alias("place"))
-    placed = stage(entries.join(first, "line_key"), "placed-segments").df
-    texts = stage(keyed.join(small(keys), "line_key", "left_semi").dropDuplicates(["line_key"]), "segment-texts").df
+    keys = stage(entries.select("line_key", "id").distinct(), "segment-lines").df
+    first = lines.join(small(keys.select("line_key")), "line_key", "left_semi").groupBy("line_key").agg(F.min("place").alias("place"))
+    texts = (
+        _lines(docs, least)
+        .select("line", "length", F.xxhash64("line").alias("id"))
+        .join(small(keys.select("id")), "id", "left_semi")
+        .withColumn("line_key", _key(F.col("line")))
+        .dropDuplicates(["line_key"])
+    )
+    texts = stage(texts.withColumns(_counts(F.col("line"))).join(first, "line_key"), "segment-texts").df
+    placed = stage(entries.select("line_key", "hash", "role").join(texts.drop("line", "id"), "line_key"), "placed-segments").df
 
     def near(pairs: DataFrame) -> DataFrame:
         """Of ``later, earlier`` the later ones of those within reach."""
         texts_a = texts.select(F.col("line_key").alias("later"), F.col("line").alias("__a"))
         texts_b = texts.select(F.col("line_key").alias("earlier"), F.col("line").alias("__b"))
-        found = pairs.distinct().join(texts_a, "later").join(texts_b, "earlier")
+        # Dealt out again: the pairs of a few large groups would else be verified by a few tasks.
+        found = pairs.distinct().join(texts_a, "later").join(texts_b, "earlier").repartition("later", "earlier")
         return found.where(within(F.col("__a"), F.col("__b"), edits)).select(F.col("later").alias("line_key")).distinct()
 
-    hot = placed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("place", "line_key", "length")).alias("head")).where(
+    # Large groups: all are first compared with the line that occurs earliest.
+    hot = placed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("place", "line_key")).alias("head")).where(
         F.col("n") > HOT
     )
-    hot = stage(hot.select("hash", "head.line_key", "head.length"), "hot-segments").df
-    heads = hot.select("hash", F.col("line_key").alias("earlier"), F.col("length").alias("__length"))
-    led = placed.join(small(heads), "hash").where(
-        (F.col("line_key") != F.col("earlier")) & (F.abs(F.col("length") - F.col("__length")) <= edits)
+    hot = stage(hot.select("hash", F.col("head.line_key").alias("line_key")), "hot-segments").df
+    counts = [f"c{k}" for k in range(len(_COUNTED))]
+    heads = hot.join(texts.select("line_key", "length", *counts), "line_key")
+    heads = stage(heads, "hot-heads").df
+    led = placed.alias("a").join(
+        heads.alias("b"),
+        (F.col("a.hash") == F.col("b.hash")) & (F.col("a.line_key") != F.col("b.line_key")) & _alike("a", "b", edits),
     )
-    done = stage(near(led.select(F.col("line_key").alias("later"), "earlier")), "near-heads").df
+    done = stage(near(led.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))), "near-heads").df
     open_ = placed.join(small(done), "line_key", "left_anti")
-    a = open_.select("hash", F.col("line_key").alias("later"), F.col("place").alias("pa"), F.col("role").alias("ra"), F.col("length").alias("la"))
-    b = placed.select("hash", F.col("line_key").alias("earlier"), F.col("place").alias("pb"), F.col("role").alias("rb"), F.col("length").alias("lb"))
-    pairs = a.join(b, "hash").where(
-        (F.col("pb") < F.col("pa")) & ((F.col("ra") == _INDEX) | (F.col("rb") == _INDEX)) & (F.abs(F.col("la") - F.col("lb")) <= edits)
+    pairs = open_.alias("a").join(
+        placed.alias("b"),
+        (F.col("a.hash") == F.col("b.hash"))
+        & (F.col("b.place") < F.col("a.place"))
+        & ((F.col("a.role") == _INDEX) | (F.col("b.role") == _INDEX))
+        & _alike("a", "b", edits),
     )
-    rest = stage(near(pairs.select("later", "earlier")), "near-rest").df
+    rest = near(pairs.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier")))
     return done.unionByName(rest)
 
 
@@ -200,11 +232,16 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     """
     counts = ["n_lines", "n_equal", "n_near"]
     docs = docs.drop(*counts)
-    lines = _lines(docs, least_chars)
     places = stage(
-        lines.select(_key(F.col("line")).alias("line_key"), F.struct("doc_id", "text_key", "line_no").alias("place")), "lines"
+        _lines(docs, least_chars).select(
+            F.struct("doc_id", "text_key", "line_no").alias("place"),
+            _key(F.col("line")).alias("line_key"),
+            F.xxhash64("line").alias("id"),
+            _hashes(F.col("line"), F.col("length"), edits).alias("hashes"),
+        ),
+        "lines",
     ).df
-    near = stage(_near(lines, places, edits).withColumn("near", F.lit(True)), "near-lines").df
+    near = stage(_near(docs, places, least_chars, edits).withColumn("near", F.lit(True)), "near-lines").df
     repeated = (
         places.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("line_key", "first")
     )
