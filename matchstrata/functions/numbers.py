@@ -16,13 +16,15 @@ def _as_double(c: Column) -> Column:
 
 
 def to_long(c: Column | str) -> Column:
-    """Text to a whole number: '2', ' 3 ', '2.0', '1e2'; anything else is NULL.
+    """Text to a whole number: '2', ' 3 ', '2.0', '1e2'; anything else, fractions too, is NULL.
 
-    A fraction loses its decimals here, so frames are gated by
-    :func:`not_integral` before they are coerced.
+    Loads tell fractions apart by :func:`not_integral`.
     """
     c = _col(c).cast("string")
-    return F.coalesce(c.try_cast("bigint"), _as_double(c).try_cast("bigint"))
+    number = _as_double(c)
+    whole = F.when(number == F.floor(number).cast("double"), number)
+    exact = F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), c.try_cast("bigint"))
+    return F.coalesce(exact, whole.try_cast("bigint"))
 
 
 def not_integral(c: Column | str) -> Column:

@@ -107,10 +107,20 @@ class Contract:
             return spark.createDataFrame([], VIOLATION_SCHEMA)
         return reduce(DataFrame.unionByName, parts)
 
+    def report(self, df: DataFrame) -> DataFrame:
+        """One row for every rule, broken or not: rule, column, failing rows.
+
+        For frames with all columns of the contract.
+        """
+        rules = self._row_rules(df)
+        parts = [self._broken_rows(df, rules, all_rules=True)] if rules else []
+        parts += [self._repeated(df, k, all_rules=True) for k in self.unique]
+        return reduce(DataFrame.unionByName, parts).select("rule", "column", "n_failed")
+
     def holds(self, df: DataFrame) -> bool:
         return self.violations(df).isEmpty()
 
-    def _broken_rows(self, df: DataFrame, rules) -> DataFrame:
+    def _broken_rows(self, df: DataFrame, rules, all_rules: bool = False) -> DataFrame:
         measured = []
         for i, (_, _, failed, shown) in enumerate(rules):
             measured.append(F.count_if(failed).alias(f"n{i}"))
@@ -125,23 +135,24 @@ class Contract:
             for i, (rule, column, _, _) in enumerate(rules)
         ]
         totals = df.agg(*measured)
-        return totals.select(F.inline(F.array(*entries))).where("n_failed > 0")
+        found = totals.select(F.inline(F.array(*entries)))
+        return found if all_rules else found.where("n_failed > 0")
 
-    def _repeated(self, df: DataFrame, key: Sequence[str]) -> DataFrame:
+    def _repeated(self, df: DataFrame, key: Sequence[str], all_rules: bool = False) -> DataFrame:
         quoted = [f"`{k}`" for k in key]
         shown = F.concat_ws("|", *[F.col(k).cast("string") for k in quoted])
-        return (
+        found = (
             df.groupBy(*quoted)
             .agg(F.count("*").alias("_copies"))
             .where("_copies > 1")
             .agg(F.sum("_copies").alias("n_failed"), F.min(shown).alias("sample"))
-            .where("n_failed IS NOT NULL")
-            .select(
-                F.lit("unique").alias("rule"),
-                F.lit("|".join(key)).alias("column"),
-                "n_failed",
-                "sample",
-            )
+        )
+        found = found.fillna(0, ["n_failed"]) if all_rules else found.where("n_failed IS NOT NULL")
+        return found.select(
+            F.lit("unique").alias("rule"),
+            F.lit("|".join(key)).alias("column"),
+            "n_failed",
+            "sample",
         )
 
     def enforce(self, df: DataFrame) -> None:

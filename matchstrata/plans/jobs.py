@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.contracts import (
     GOLD_STANDINGS,
@@ -22,7 +22,6 @@ from ..schema import (
     MATCH_CHECKS,
     TEAM_CHECKS,
 )
-from ..session import stage
 from ..sources.envelopes import ingest, type_bronze_matches, type_teams
 from ..sources.tables import LakeTable
 
@@ -99,7 +98,6 @@ def run_bronze(
     """Load landed responses into bronze; returns the health of the sources."""
     create_bronze(lake)
     landed = ingest(lake.spark, teams_path, matches_path, as_of, leagues, whole_files)
-    landed.require_whole_numbers()
     load_teams(type_teams(landed.teams), lake.bronze_teams)
     load_matches(type_bronze_matches(landed.matches), lake.bronze_matches)
     # One row per source, kept after the staged parse is gone.
@@ -115,7 +113,7 @@ def run_bronze(
 
 
 def run_silver(lake: Lake, since: str | None = None) -> int:
-    """Refine bronze, hold the result to its contract, then upsert it.
+    """Refine bronze into the next silver version, hold that to its contract, then publish it.
 
     ``since`` (an extract date) limits the run to matches extracted on that day
     or later and so to those partitions: the newest extract of such a match lies
@@ -126,26 +124,29 @@ def run_silver(lake: Lake, since: str | None = None) -> int:
     if since is not None:
         bronze = bronze.where(F.col("extract_date") >= since)
     teams = clean_teams(lake.bronze_teams.read())
-    refined = stage(refine_matches(bronze, teams), "silver")
-    require_refined(bronze, refined.df)
-    SILVER_MATCHES.enforce(refined.df)
-    log.info("silver: %d matches refined", refined.df.count())
+    counted = Observation("silver")
+    refined = refine_matches(bronze, teams).observe(counted, F.count(F.lit(1)).alias("n"))
+
+    def gate(written: DataFrame) -> None:
+        require_refined(bronze, written)
+        SILVER_MATCHES.enforce(written)
+
     version = lake.silver_matches.upsert(
-        refined, ["event_id"], partition_by=["season"], keys_are_unique=True
+        refined, ["event_id"], partition_by=["season"], keys_are_unique=True, gate=gate
     )
-    refined.discard()
+    log.info("silver: %d matches refined", counted.get["n"])
     return version
 
 
 def run_gold(lake: Lake) -> int:
-    """Standings from silver, held to their contract, then upserted."""
-    table = stage(standings(lake.silver_matches.read()), "gold")
-    GOLD_STANDINGS.enforce(table.df)
-    log.info("gold: %d teams with standings", table.df.count())
+    """Standings from silver, held to their contract as written, then published."""
+    counted = Observation("gold")
+    table = standings(lake.silver_matches.read()).observe(counted, F.count(F.lit(1)).alias("n"))
     version = lake.gold_standings.upsert(
-        table, ["team_id", "league"], partition_by=["league"], keys_are_unique=True
+        table, ["team_id", "league"], partition_by=["league"], keys_are_unique=True,
+        gate=GOLD_STANDINGS.enforce,
     )
-    table.discard()
+    log.info("gold: %d teams with standings", counted.get["n"])
     return version
 
 

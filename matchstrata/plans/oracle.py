@@ -108,7 +108,8 @@ numbers AS (
 EVENT_MESSAGES = """messages AS (
  SELECT CASE WHEN event_type IN ('view', 'click') THEN 'partidos'
    WHEN event_type IN ('signup', 'purchase') THEN 'equipos' ELSE 'otros' END AS topic,
-  user_id::VARCHAR AS key, event_id AS "offset", value >= 1 AS whole, event_type,
+  user_id::VARCHAR AS key, event_id AS arrival, event_id // 4 AS "offset",
+  (event_id % 4)::INTEGER AS "partition", value >= 1 AS whole, event_type,
   json_extract_string(props, '$.k') AS k, strftime(ts, '%Y-%m-%d') AS day,
   floor(value)::BIGINT::VARCHAR AS floored
  FROM events)"""
@@ -155,15 +156,33 @@ _FAULTY_SILVER = """faulty AS (
  UNION ALL SELECT * FROM silver WHERE is_blowout)"""
 
 _FAULTY_GOLD = """faulty AS (
- SELECT * REPLACE (CASE WHEN won = 0 THEN 99 ELSE points END AS points,
+ SELECT * REPLACE (CASE WHEN won = 0 THEN points + 7 ELSE points END AS points,
   CASE WHEN drawn = 1 THEN lost + 1 ELSE lost END AS lost,
-  CASE WHEN goals_for = 3 THEN -3 ELSE goals_for END AS goals_for,
+  CASE WHEN goals_for = 4 THEN -11 ELSE goals_for END AS goals_for,
   nullif(team, 'red widget') AS team) FROM gold
  UNION ALL SELECT * FROM gold WHERE league = 'EUROPE')"""
 
 _GOLD_KEY = "league || '|' || team_id"
 
 
+# Every rule of both contracts: rule, column, layer, what fails it.
+_ALL_RULES = [
+    *[("not_null", c, "silver", f"{c} IS NULL") for c in (
+        "event_id", "league", "home_score", "away_score", "outcome", "score_difference", "is_blowout")],
+    *[("at_least_0", c, "silver", f"{c} < 0") for c in ("home_score", "away_score", "score_difference")],
+    ("one_of", "outcome", "silver", "outcome NOT IN ('Local', 'Visitante', 'Empate')"),
+    ("unique", "event_id", "silver", "event_id IN (SELECT event_id FROM silver GROUP BY 1 HAVING count(*) > 1)"),
+    *[("not_null", c, "gold", f"{c} IS NULL") for c in (
+        "league", "team_id", "played", "won", "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points")],
+    *[("at_least_0", c, "gold", f"{c} < 0") for c in (
+        "played", "won", "drawn", "lost", "goals_for", "goals_against", "points")],
+    ("points_are_3_won_plus_drawn", "*", "gold", "points <> won * 3 + drawn"),
+    ("played_is_won_drawn_lost", "*", "gold", "played <> won + drawn + lost"),
+    ("unique", "league|team_id", "gold",
+     "(league, team_id) IN (SELECT (league, team_id) FROM gold GROUP BY league, team_id HAVING count(*) > 1)"),
+]
+
+
 def oracle_sql() -> dict[str, str]:
     gold = {
         "standings": "SELECT * FROM gold",
@@ -171,6 +190,8 @@ def oracle_sql() -> dict[str, str]:
  team AS equipo, played AS "PJ", won AS "PG", drawn AS "PE", lost AS "PP", goals_for AS "GF",
  goals_against AS "GC", goal_difference AS "DG", points AS "Pts" FROM gold""",
         "ranked_standings": f"SELECT *, row_number() OVER ({_BEST}) AS position FROM gold",
+        "ranked_one_league": f"""SELECT league, team_id, points, row_number() OVER ({_BEST}) AS position
+ FROM gold WHERE league = 'EUROPE'""",
         "podium": f"""SELECT league, position, CASE position WHEN 1 THEN '🥇' WHEN 2 THEN '🥈'
   WHEN 3 THEN '🥉' ELSE position::VARCHAR END AS place, team_id, team, played, won, drawn, lost,
   goals_for, goals_against, goal_difference, points, max_points
@@ -255,6 +276,20 @@ def oracle_sql() -> dict[str, str]:
         "table_summary": _with(TEAMS, select="""SELECT 'bronze/teams' AS name, 1::BIGINT AS version,
  count(*) AS n_rows, 14::BIGINT AS n_columns, false AS absent FROM teams_raw
  UNION ALL SELECT 'none', NULL, NULL, NULL, true"""),
+        "partition_edge_values": _with(TEAMS, select="""SELECT team_id,
+ CASE WHEN founded_year < 1905 THEN '' WHEN founded_year < 1910 THEN '__TEXT__'
+  WHEN founded_year < 1915 THEN '__HIVE_DEFAULT_PARTITION__' WHEN founded_year < 1920 THEN 'a/b=c%2F d' END AS part,
+ CASE WHEN founded_year = 1907 THEN 0 ELSE founded_year END AS founded_year FROM teams_raw"""),
+        "check_rejected": _with(TEAMS, select="""SELECT team_id, name, founded_year, 'old_enough' AS rejected_by
+ FROM teams_raw WHERE founded_year < 1920"""),
+        "storable_types": _with(TEAMS, select="""SELECT team_id, NULL::VARCHAR AS nothing, 'string' AS type
+ FROM teams_raw"""),
+        "read_absent": _with(TEAMS, select="""SELECT 'absent' AS state, 0::BIGINT AS n_rows, 14::INTEGER AS n_columns
+ UNION ALL SELECT 'present', count(*), 14 FROM teams_raw"""),
+        "ignore_empty": _with(TEAMS, select="""SELECT league, count(*) AS n_teams FROM teams_raw
+ WHERE league <> 'ASIA' GROUP BY league"""),
+        "table_preview": _with(TEAMS, select="""SELECT team_id, name, league,
+ row_number() OVER (ORDER BY league, team_id)::INTEGER AS place FROM teams_raw QUALIFY place <= 10"""),
         # One team per id and no blank city: the landed JSON gives the same rows,
         # with the venue's location where the city is missing.
         "map_raw_teams": _with(TEAMS, select="""SELECT * REPLACE (coalesce(city, venue_location)
@@ -280,20 +315,23 @@ def oracle_sql() -> dict[str, str]:
 first_matches AS (SELECT * FROM responses QUALIFY row_number() OVER (PARTITION BY event_id
   ORDER BY extract_date DESC NULLS LAST, tie_price DESC, tie_supplier, away_id, home_score) = 1),
 counts AS (
- SELECT league_id AS source, 0 AS n_teams, count(*) AS n_matches,
-  count(*) FILTER (status = ' ft ') AS n_finished, 0 AS n_broken, 0 AS kept_teams,
-  0 AS kept_matches FROM responses GROUP BY 1
- UNION ALL SELECT league_id, 0, 0, 0, count(*), 0, 0 FROM matches_raw
+ SELECT league_id AS source, 'n_matches' AS what, count(*) AS n FROM responses GROUP BY 1
+ UNION ALL SELECT league_id, 'n_finished', count(*) FILTER (status = ' ft ') FROM responses GROUP BY 1
+ UNION ALL SELECT league_id, 'n_fractional', count(*) FROM responses
+  WHERE league_id = '3' AND home_score = 2 GROUP BY 1
+ UNION ALL SELECT league_id, 'n_broken', count(*) FROM matches_raw
   WHERE league_id = '2' AND venue IS NULL GROUP BY 1
- UNION ALL SELECT league_id, count(*), 0, 0, 0, count(*), 0 FROM teams_raw WHERE league_id <> '0'
-  GROUP BY 1
- UNION ALL SELECT league_id, 0, 0, 0, 0, 0, count(*) FROM first_matches WHERE league_id <> '0' GROUP BY 1
- UNION ALL SELECT i::VARCHAR, 0, 0, 0, 0, 0, 0 FROM range(6) r(i)),
-totals AS (SELECT source, sum(n_teams)::BIGINT AS n_teams, sum(n_matches)::BIGINT AS n_matches,
- sum(n_finished)::BIGINT AS n_finished, sum(n_broken)::BIGINT AS n_broken, sum(kept_teams)::BIGINT AS kept_teams,
- sum(kept_matches)::BIGINT AS kept_matches FROM counts GROUP BY source)"""
+ UNION ALL SELECT league_id, 'n_teams', count(*) FROM teams_raw WHERE league_id <> '0' GROUP BY 1
+ UNION ALL SELECT league_id, 'kept_teams', count(*) FROM teams_raw WHERE league_id NOT IN ('0', '4') GROUP BY 1
+ UNION ALL SELECT league_id, 'kept_matches', count(*) FROM first_matches
+  WHERE league_id NOT IN ('0', '3', '4') GROUP BY 1
+ UNION ALL SELECT i::VARCHAR, 'n_teams', 0 FROM range(6) r(i)),
+totals AS (SELECT source, """ + ", ".join(
+        f"coalesce(sum(n) FILTER (what = '{c}'), 0)::BIGINT AS {c}"
+        for c in ("n_teams", "n_matches", "n_finished", "n_broken", "n_fractional", "kept_teams", "kept_matches")
+    ) + """ FROM counts GROUP BY source)"""
     latest_message = """SELECT * FROM messages WHERE topic = '{topic}' AND whole
- QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1"""
+ QUALIFY row_number() OVER (PARTITION BY key ORDER BY arrival DESC) = 1"""
     other = {
         "dedup_latest": _with(MATCHES, LATEST, select=f"SELECT {_MATCH} FROM latest"),
         "dedup_first": """SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey,
@@ -302,7 +340,7 @@ totals AS (SELECT source, sum(n_teams)::BIGINT AS n_teams, sum(n_matches)::BIGIN
         "dedup_last_in_batch": """SELECT event_id, user_id, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
         "coerce_numeric": _with(NUMBER_TEXTS, select="""SELECT event_id, text,
- floor(d)::BIGINT AS number, coalesce(d <> floor(d), false) AS fractional FROM numbers"""),
+ CASE WHEN d = floor(d) THEN d::BIGINT END AS number, coalesce(d <> floor(d), false) AS fractional FROM numbers"""),
         "whole_number_gate": _with(
             NUMBER_TEXTS,
             select=_rule("text_is_whole", "*", "numbers", "d <> floor(d)", "text"),
@@ -331,16 +369,27 @@ totals AS (SELECT source, sum(n_teams)::BIGINT AS n_teams, sum(n_matches)::BIGIN
                 "castable", "played", "faulty", "try_cast(played AS BIGINT) IS NULL", "played"
             ) + ")"
         ),
-        "contract_clean": """SELECT NULL::VARCHAR AS rule, NULL::VARCHAR AS "column",
- NULL::BIGINT AS n_failed, NULL::VARCHAR AS sample WHERE false""",
+        "contract_clean": _with(*_TO_GOLD, select="\nUNION ALL ".join(
+            f"SELECT '{rule}' AS rule, '{column}' AS \"column\", count(*) AS n_failed FROM {source} WHERE {failed}"
+            for rule, column, source, failed in _ALL_RULES)
+        ),
+        "contract_report": _with(
+            *_TO_GOLD, """faulty AS (SELECT * REPLACE (CASE WHEN won <> 1 THEN goals_against END AS goals_against,
+ lost - 1 AS lost) FROM gold)""", select="""SELECT * FROM (
+ SELECT 'not_null' AS rule, 'goals_against' AS "column", count(*) AS n_failed FROM faulty WHERE goals_against IS NULL
+ UNION ALL SELECT 'at_least_0', 'lost', count(*) FROM faulty WHERE lost < 0
+ UNION ALL SELECT 'played_is_won_drawn_lost', '*', count(*) FROM faulty WHERE played <> won + drawn + lost)
+ WHERE n_failed > 0"""),
         "cross_layer_check": _with(*_TO_SILVER, select=f"""SELECT finished, refined,
   NOT (finished > 0 AND refined = 0) AS consistent, layer
  FROM (SELECT count(*) FILTER ({FINISHED}) AS finished FROM matches_raw)
  CROSS JOIN (SELECT count(*) AS refined, 'sound' AS layer FROM silver
   UNION ALL SELECT 0, 'emptied')"""),
-        "map_raw_matches": _with(MATCHES, LATEST, select=_response_match()),
+        "map_raw_matches": _with(MATCHES, LATEST, select=f"""SELECT * REPLACE (nullif(home_score, 5) AS home_score)
+ FROM ({_response_match()})"""),
         "ingest_union_with_health": _with(MATCHES, TEAMS, broken_text, select="""SELECT *,
- CASE WHEN n_teams = 0 THEN 'no_teams' WHEN n_matches = 0 THEN 'no_matches' ELSE 'ok' END AS status
+ CASE WHEN source = '4' THEN 'unlisted' WHEN n_teams = 0 THEN 'no_teams' WHEN n_fractional > 0 THEN 'bad_number'
+  WHEN n_matches = 0 THEN 'no_matches' ELSE 'ok' END AS status
  FROM totals"""),
         "stream_upsert": _with(EVENT_MESSAGES, select=f"""SELECT topic, key AS id,
   event_type AS label, k::BIGINT AS number, day
@@ -358,6 +407,18 @@ totals AS (SELECT source, sum(n_teams)::BIGINT AS n_teams, sum(n_matches)::BIGIN
   WHEN 'partidos' THEN 'PARTIDO | None vs None | ' || k || '-' || floored ||
    ' | Fecha: None | Estado: None'
   ELSE 'Mensaje de tópico desconocido: otros' END AS line FROM messages WHERE whole"""),
+        "stream_resumed": _with(EVENT_MESSAGES, select=f"""SELECT topic, key AS id, 'kept' AS label
+ FROM ({latest_message.format(topic='partidos')})
+ UNION ALL SELECT topic, key, 'kept' FROM ({latest_message.format(topic='equipos')})
+ UNION ALL SELECT topic, key, CASE WHEN topic = 'otros' THEN 'unknown_topic' ELSE 'not_a_json_object' END
+ FROM messages WHERE topic = 'otros' OR NOT whole"""),
+        "stream_counts": _with(EVENT_MESSAGES, select="""SELECT topic, count(*) AS n_messages,
+ count(*) FILTER (topic = 'otros' OR NOT whole) AS n_rejected, 3::BIGINT AS n_batches FROM messages GROUP BY topic"""),
+        "decoded_messages": _with(EVENT_MESSAGES, select="""SELECT topic, key, 'ñ ' || CASE WHEN NOT whole THEN '{"event_id":'
+  WHEN topic = 'partidos' THEN '{"event_id":"' || key || '","event_name":"' || event_type || '","home_score":"' || k ||
+   '","away_score":"' || floored || '","extract_date":"' || day || '"}'
+  ELSE '{"team_id":"' || key || '","name":"user ' || key || ' ' || k ||
+   '","venue_capacity":"' || k || '","extracted_at":"' || day || '"}' END AS value, "offset", "partition" FROM messages"""),
         "run_medallion": _with(
             MATCHES, LATEST, _MEDALLION_BRONZE, _MEDALLION_SILVER, NAMES, GOLD,
             select="SELECT * FROM gold"

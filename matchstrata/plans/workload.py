@@ -340,9 +340,9 @@ def contract_gold(spark, sf):
     good = _stored(gold(spark, sf), "gold")
     faulty = good.withColumns(
         {
-            "points": F.when(F.col("won") == 0, F.lit(99)).otherwise(F.col("points")).cast("bigint"),
+            "points": F.when(F.col("won") == 0, F.col("points") + 7).otherwise(F.col("points")).cast("bigint"),
             "lost": F.when(F.col("drawn") == 1, F.col("lost") + 1).otherwise(F.col("lost")),
-            "goals_for": F.when(F.col("goals_for") == 3, F.lit(-3)).otherwise(
+            "goals_for": F.when(F.col("goals_for") == 4, F.lit(-11)).otherwise(
                 F.col("goals_for")
             ).cast("bigint"),
             "team": F.nullif("team", F.lit("red widget")),
@@ -367,14 +367,32 @@ def contract_violations(spark, sf):
 
 
 def contract_clean(spark, sf):
-    """The contracts over sound layers: no violation at all."""
+    """The contracts over sound layers: every rule, with no failing row."""
     matches = _stored(silver(spark, sf), "silver")
     standing = _stored(table.standings(matches), "gold")
-    return contracts.SILVER_MATCHES.violations(matches).unionByName(
-        contracts.GOLD_STANDINGS.violations(standing)
+    return contracts.SILVER_MATCHES.report(matches).unionByName(
+        contracts.GOLD_STANDINGS.report(standing)
     )
 
 
+def contract_report(spark, sf):
+    """What enforcing a contract raises, once, with all broken rules."""
+    faulty = _stored(gold(spark, sf), "gold").withColumns(
+        {
+            "goals_against": F.when(F.col("won") == 1, F.lit(None)).otherwise(F.col("goals_against")),
+            "lost": F.col("lost") - 1,
+        }
+    )
+    try:
+        contracts.GOLD_STANDINGS.enforce(faulty)
+    except contracts.ContractViolation as error:
+        found = error.failures
+    else:
+        found = []
+    return spark.createDataFrame([tuple(r[c] for c in ("rule", "column", "n_failed")) for r in found],
+                                 "rule string, column string, n_failed long")
+
+
 def cross_layer_check(spark, sf):
     """Bronze against a sound silver, and against one the filter emptied."""
     bronze, kept = matches_raw(spark, sf), silver(spark, sf)
@@ -386,12 +404,12 @@ def cross_layer_check(spark, sf):
 
 
 # -- landed JSON -----------------------------------------------------------
-def _raw_record(fields: dict[str, str]) -> Column:
-    return F.struct(*[F.col(c).cast("string").alias(raw) for raw, c in fields.items()])
+def _raw_record(fields: dict[str, str], **values: Column) -> Column:
+    return F.struct(*[values.get(c, F.col(c)).cast("string").alias(raw) for raw, c in fields.items()])
 
 
-def _response(field: str, fields: dict[str, str]) -> Column:
-    body = F.struct(F.array(_raw_record(fields)).alias(field))
+def _response(field: str, fields: dict[str, str], **values: Column) -> Column:
+    body = F.struct(F.array(_raw_record(fields, **values)).alias(field))
     return F.to_json(body, {"ignoreNullFields": "false"})
 
 
@@ -419,7 +437,11 @@ def _land_teams(teams: DataFrame, value: Column | None = None) -> str:
 
 
 def map_raw_matches(spark, sf):
-    return envelopes.read_matches(spark, _land_matches(matches_raw(spark, sf)), AS_OF)
+    """Matches as stored; a score that arrives as a fraction is NULL."""
+    score = F.when(F.col("home_score") == 5, F.lit("5.5")).otherwise(F.col("home_score").cast("string"))
+    raw = matches_raw(spark, sf)
+    path = _land_matches(raw, _response("events", MATCH_FIELDS, home_score=score))
+    return envelopes.read_matches(spark, path, AS_OF, on_fraction="null")
 
 
 def map_raw_teams(spark, sf):
@@ -428,7 +450,8 @@ def map_raw_teams(spark, sf):
 
 def ingest_union_with_health(spark, sf):
     """Sources of all states: one without teams, one without matches, one with
-    cut-off text, one configured but never landed."""
+    cut-off text, one with fractions for scores, one that is not configured, one
+    configured but never landed."""
     responses = F.when(F.col("league_id") == "0", '{"teams":null}').otherwise(
         _response("teams", TEAM_FIELDS)
     )
@@ -438,9 +461,13 @@ def ingest_union_with_health(spark, sf):
             (F.col("league_id") == "2") & F.col("venue").isNull(),
             F.concat(F.lit('{"events":['), "event_id"),
         )
+        .when(
+            (F.col("league_id") == "3") & (F.col("home_score") == 2),
+            _response("events", MATCH_FIELDS, home_score=F.lit("2.5")),
+        )
         .otherwise(_response("events", MATCH_FIELDS))
     )
-    leagues = [(f"league {i}", str(i), "2024") for i in range(6)]
+    leagues = [(f"league {i}", str(i), "2024") for i in range(6) if i != 4]
     landed = envelopes.ingest(
         spark,
         _land_teams(teams_raw(spark, sf), responses),
@@ -554,6 +581,77 @@ def schema_evolution(spark, sf):
     return lake.read()
 
 
+def partition_edge_values(spark, sf):
+    """Partition values that a path cannot hold as they are: '', NULL, and names with a meaning on disk."""
+    odd = (
+        F.when(F.col("founded_year") < 1905, F.lit(""))
+        .when(F.col("founded_year") < 1910, F.lit("__TEXT__"))
+        .when(F.col("founded_year") < 1915, F.lit("__HIVE_DEFAULT_PARTITION__"))
+        .when(F.col("founded_year") < 1920, F.lit("a/b=c%2F d"))
+    )
+    teams = teams_raw(spark, sf).select("team_id", odd.alias("part"), "founded_year")
+    lake = _new_table(spark, "edges")
+    lake.save(teams, partition_by=["part"])
+    lake.upsert(teams.where("founded_year = 1907").withColumn("founded_year", F.lit(0).cast("bigint")), ["team_id"])
+    return lake.read()
+
+
+def check_rejected(spark, sf):
+    """A write that breaks a constraint is not published, and names the rule."""
+    teams = teams_raw(spark, sf).select("team_id", "name", "founded_year")
+    lake = _new_table(spark, "checked").create(teams.schema, checks={"old_enough": "founded_year < 1920"})
+    lake.save(teams.where("founded_year < 1920"), mode="append")
+    try:
+        lake.save(teams, mode="append")
+    except contracts.ContractViolation as error:
+        rules = ", ".join(r["rule"] for r in error.failures)
+    else:
+        rules = None
+    return lake.read().withColumn("rejected_by", F.lit(rules))
+
+
+def storable_types(spark, sf):
+    """Columns of a type that Parquet lacks are stored as text."""
+    teams = teams_raw(spark, sf).select("team_id", F.lit(None).alias("nothing"))
+    lake = _new_table(spark, "storable")
+    lake.save(teams)
+    return lake.read().withColumn("type", F.lit(dict(lake.read().dtypes)["nothing"]))
+
+
+def read_absent(spark, sf):
+    """A table that is not there reads as an empty one of the asked-for columns."""
+    lake = _new_table(spark, "absent")
+    absent = lake.read_or_empty(BRONZE_TEAMS)
+    jobs.load_teams(teams_raw(spark, sf), lake)
+    sized = [
+        rows.agg(F.count("*").alias("n_rows")).select(
+            F.lit(label).alias("state"), "n_rows", F.lit(len(rows.columns)).alias("n_columns")
+        )
+        for label, rows in (("absent", absent), ("present", lake.read_or_empty(BRONZE_TEAMS)))
+    ]
+    return sized[0].unionByName(sized[1])
+
+
+def ignore_empty(spark, sf):
+    """Responses without records are passed over where that is asked for."""
+    empty = F.when(F.col("league") == "ASIA", '{"teams":[]}').otherwise(_response("teams", TEAM_FIELDS))
+    path = _land_teams(teams_raw(spark, sf), empty)
+    kept = envelopes.read_teams(spark, path, AS_OF, on_empty="ignore")
+    return kept.groupBy("league").agg(F.count("*").alias("n_teams"))
+
+
+def ranked_one_league(spark, sf):
+    """Positions within the one league that is asked for."""
+    return reports.ranked_standings(gold(spark, sf), "EUROPE").select("league", "team_id", "points", "position")
+
+
+def table_preview(spark, sf):
+    """The first ten rows of a table in a stated order."""
+    lake = _new_table(spark, "previewed")
+    lake.save(teams_raw(spark, sf).select("team_id", "name", "league"))
+    return lake.preview(["league", "team_id"])
+
+
 def table_summary(spark, sf):
     lake = _new_table(spark, "summed").create(BRONZE_TEAMS)
     jobs.load_teams(teams_raw(spark, sf), lake)
@@ -607,24 +705,79 @@ def event_messages(spark, sf) -> DataFrame:
         F.to_json(team)
     )
     cut = F.when(F.col("value") < 1, F.expr("'{\"event_id\":'")).otherwise(value)
+    # Offsets restart in each of four partitions of the topic; time tells the order.
     return _read(spark, sf, "events").select(
         topic.alias("topic"), user.alias("key"), cut.alias("value"),
-        F.col("event_id").alias("offset"),
+        F.floor(F.col("event_id") / 4).alias("offset"),
+        (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.timestamp_seconds("event_id").alias("timestamp"),
     )
 
 
-def _run_stream(spark, sf) -> BronzeStream:
+_FILES = 3
+
+
+def _landed_messages(spark, sf, where: str = "true") -> str:
+    """Messages as files in the order of their arrival."""
     landed = scratch_path(spark, "messages")
-    event_messages(spark, sf).write.json(landed)
+    sent = event_messages(spark, sf).where(where)
+    sent.repartitionByRange(_FILES, "timestamp").write.json(landed)
+    return landed
+
+
+def _new_sink(spark) -> BronzeStream:
     root = scratch_path(spark, "stream")
-    sink = BronzeStream(spark, f"{root}/teams", f"{root}/matches", f"{root}/rejected")
-    sink.start(messages.file_stream(spark, landed), f"{root}/checkpoint").awaitTermination()
+    return BronzeStream(spark, f"{root}/teams", f"{root}/matches", f"{root}/rejected")
+
+
+def _run_stream(spark, sf) -> BronzeStream:
+    """A file a micro-batch: later batches merge into what earlier ones left."""
+    sink = _new_sink(spark)
+    stream = messages.file_stream(spark, _landed_messages(spark, sf), files_per_batch=1)
+    sink.start(stream, scratch_path(spark, "checkpoint")).awaitTermination()
+    return sink
+
+
+def _resumed_stream(spark, sf) -> BronzeStream:
+    """Half of the messages under one checkpoint, the rest under a fresh one."""
+    sink = _new_sink(spark)
+    for half in ("partition < 2", "partition >= 2"):
+        stream = messages.file_stream(spark, _landed_messages(spark, sf, half))
+        sink.start(stream, scratch_path(spark, "checkpoint")).awaitTermination()
     return sink
 
 
 def stream_upsert(spark, sf):
     """The bronze tables after the stream has caught up: the last message per id."""
-    sink = _run_stream(spark, sf)
+    return _stream_tables(_run_stream(spark, sf))
+
+
+def stream_resumed(spark, sf):
+    """The same tables filled under two checkpoints: nothing of the second is skipped."""
+    sink = _resumed_stream(spark, sf)
+    rejected = sink.rejected.read().select("topic", F.col("key").alias("id"), F.col("reason").alias("label"))
+    kept = _stream_tables(sink).select("topic", "id", F.lit("kept").alias("label"))
+    return kept.unionByName(rejected)
+
+
+def stream_counts(spark, sf):
+    """What the stream recorded: messages and rejected messages by topic, over all batches."""
+    counts = _run_stream(spark, sf).counts.read()
+    return counts.groupBy("topic").agg(
+        F.sum("n_messages").alias("n_messages"), F.sum("n_rejected").alias("n_rejected"),
+        F.count_distinct("batch_id").alias("n_batches"),
+    )
+
+
+def decoded_messages(spark, sf):
+    """Binary keys and values, as a connector gives them, as text."""
+    raw = event_messages(spark, sf).withColumns(
+        {"key": F.col("key").cast("binary"), "value": F.encode(F.concat(F.lit("ñ "), "value"), "UTF-8")}
+    )
+    return messages.decoded(raw).select("topic", "key", "value", "offset", "partition")
+
+
+def _stream_tables(sink: BronzeStream) -> DataFrame:
     matches = sink.matches.read().select(
         F.lit(MATCH_TOPIC).alias("topic"), F.col("event_id").alias("id"),
         F.col("event_name").alias("label"), F.col("home_score").alias("number"),
@@ -643,27 +796,31 @@ def stream_rejected(spark, sf):
 
 
 def feed_lines(spark, sf):
-    return messages.feed_line(event_messages(spark, sf).where(F.col("value").contains("}"))).select(
-        "topic", "key", "line"
-    )
+    return messages.feed_line(event_messages(spark, sf))
 
 
 # -- the whole chain -------------------------------------------------------
-def _medallion(spark, sf) -> jobs.Lake:
+def _landed_lake(spark, sf) -> jobs.Lake:
     # The bronze table takes named teams only.
     named = teams_raw(spark, sf).where(F.col("name").isNotNull())
     lake = jobs.Lake(spark, scratch_path(spark, "lake"))
-    jobs.run_all(lake, _land_teams(named), _land_matches(matches_raw(spark, sf)), AS_OF)
+    jobs.run_bronze(lake, _land_teams(named), _land_matches(matches_raw(spark, sf)), AS_OF)
     return lake
 
 
 def run_medallion(spark, sf):
     """Landed JSON through bronze and silver to the stored standings."""
-    return _medallion(spark, sf).gold_standings.read()
+    lake = _landed_lake(spark, sf)
+    jobs.run_silver(lake)
+    jobs.run_gold(lake)
+    return lake.gold_standings.read()
 
 
 def medallion_silver(spark, sf):
-    return _medallion(spark, sf).silver_matches.read()
+    """Landed JSON to the stored silver matches."""
+    lake = _landed_lake(spark, sf)
+    jobs.run_silver(lake)
+    return lake.silver_matches.read()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -678,6 +835,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         map_raw_matches, ingest_union_with_health, full_overwrite, partition_overwrite,
         replace_by_condition, append_and_modes, upsert_silver, upsert_gold, schema_evolution, table_summary,
         publish_messages, stream_upsert, stream_rejected, feed_lines, run_medallion,
-        medallion_silver,
+        medallion_silver, partition_edge_values, check_rejected, storable_types, read_absent,
+        ignore_empty, ranked_one_league, table_preview, stream_resumed, stream_counts,
+        decoded_messages, contract_report,
     ]
     return {q.__name__: q for q in named}

@@ -43,7 +43,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     root = tempfile.mkdtemp(prefix=_SCRATCH_PREFIX)
     spark.conf.set(CHECKPOINT_CONF, root)

@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions import finished, first_filled, load_stamp, to_long
+from ..functions import finished, first_filled, load_stamp, not_integral, to_long
 from ..operators.contracts import whole_numbers
 from ..operators.dedup import keep_first
 from ..session import Staged, stage
@@ -147,24 +149,43 @@ def league_config(spark: SparkSession, leagues: Sequence[tuple[str, str, str]] =
     )
 
 
+def _whole(rows: DataFrame, label: str, numbers: Sequence[str], on_fraction: str) -> DataFrame:
+    if on_fraction == "fail":
+        whole_numbers(label, numbers).enforce(rows)
+    return rows
+
+
 def read_teams(
-    spark: SparkSession, path: str, as_of: datetime, on_empty: str = "fail", **read
+    spark: SparkSession,
+    path: str,
+    as_of: datetime,
+    on_empty: str = "fail",
+    on_fraction: str = "fail",
+    **read,
 ) -> DataFrame:
-    """Landed team responses as stored team rows, first one per id."""
+    """Landed team responses as stored team rows, first one per id.
+
+    A fraction in a number column is an error, or NULL with ``on_fraction='null'``.
+    """
     records = explode_records(read_responses(spark, path, "teams", RAW_TEAM, **read), on_empty)
     first = keep_first(map_teams(records, as_of), ["team_id"], ["source", *ARRIVAL])
-    return type_teams(first)
+    return type_teams(_whole(first, "landed_teams", TEAM_NUMBERS, on_fraction))
 
 
 def read_matches(
-    spark: SparkSession, path: str, as_of: datetime, on_empty: str = "fail", **read
+    spark: SparkSession,
+    path: str,
+    as_of: datetime,
+    on_empty: str = "fail",
+    on_fraction: str = "fail",
+    **read,
 ) -> DataFrame:
     """Landed match responses as stored match rows, first one per id and load date."""
     records = explode_records(read_responses(spark, path, "events", RAW_MATCH, **read), on_empty)
     first = keep_first(
         map_matches(records, as_of), ["event_id", "extract_date"], ["source", *ARRIVAL]
     )
-    return type_bronze_matches(first)
+    return type_bronze_matches(_whole(first, "landed_matches", MATCH_NUMBERS, on_fraction))
 
 
 @dataclass(frozen=True)
@@ -178,62 +199,61 @@ class Ingest:
     staged_teams: Staged
     staged_matches: Staged
 
-    def require_whole_numbers(self) -> None:
-        """Raise for a fraction in a number column of a row that would be loaded.
-
-        All landed rows are looked at first, two columns without a shuffle; the
-        deduplicated rows only when that finds anything.
-        """
-        for label, numbers, staged, rows in (
-            ("landed_teams", TEAM_NUMBERS, self.staged_teams, self.teams),
-            ("landed_matches", MATCH_NUMBERS, self.staged_matches, self.matches),
-        ):
-            contract = whole_numbers(label, numbers)
-            if not contract.holds(staged.df):
-                contract.enforce(rows)
-
     def discard(self) -> None:
         """Delete the staged parse; no frame of this ingest can be read after it."""
         self.staged_teams.discard()
         self.staged_matches.discard()
 
 
+def _fractional(numbers: Sequence[str]) -> Column:
+    return reduce(or_, [not_integral(c) for c in numbers])
+
+
 def source_health(
     teams: DataFrame, matches: DataFrame, expected: DataFrame | None = None
 ) -> DataFrame:
-    """Per source: teams, matches, finished matches, broken responses, a status.
-
-    ``no_teams``: the source is left out as a whole. ``no_matches``: its teams
-    are kept. ``ok``: both kinds are loaded. A configured source that landed
-    nothing shows as ``no_teams``.
+    """Per source: teams, matches, finished matches, broken responses, records
+    with a fraction where a whole number belongs, a status.
+
+    ``unlisted``: landed, but not among the configured sources; left out.
+    ``no_teams``: the source is left out as a whole. ``bad_number``: its matches
+    are left out, and its teams too if the fraction is in one of them.
+    ``no_matches``: its teams are kept. ``ok``: both kinds are loaded. A
+    configured source that landed nothing shows as ``no_teams``.
     """
     zero = F.lit(0).cast("bigint")
     record = F.col("_position").isNotNull().cast("bigint")
     broken = F.col("broken").isNotNull().cast("bigint").alias("n_broken")
     played = finished("status").cast("bigint")
     rows = teams.select(
-        "source", record.alias("n_teams"), zero.alias("n_matches"), zero.alias("n_finished"), broken
+        "source", record.alias("n_teams"), zero.alias("n_matches"), zero.alias("n_finished"), broken,
+        _fractional(TEAM_NUMBERS).cast("bigint").alias("n_fractional"),
+        F.lit(expected is None).alias("listed"),
     ).unionByName(
         matches.select(
             "source", zero.alias("n_teams"), record.alias("n_matches"),
             played.alias("n_finished"), broken,
+            _fractional(MATCH_NUMBERS).cast("bigint").alias("n_fractional"),
+            F.lit(expected is None).alias("listed"),
         )
     )
+    counts = [c for c in rows.columns if c.startswith("n_")]
     if expected is not None:
         rows = rows.unionByName(
-            expected.select(
-                "source", *[zero.alias(c) for c in rows.columns if c != "source"]
-            )
+            expected.select("source", *[zero.alias(c) for c in counts], F.lit(True).alias("listed"))
         )
     status = (
-        F.when(F.col("n_teams") == 0, "no_teams")
+        F.when(~F.col("listed"), "unlisted")
+        .when(F.col("n_teams") == 0, "no_teams")
+        .when(F.col("n_fractional") > 0, "bad_number")
         .when(F.col("n_matches") == 0, "no_matches")
         .otherwise("ok")
     )
     return (
         rows.groupBy("source")
-        .agg(*[F.sum(c).alias(c) for c in rows.columns if c != "source"])
+        .agg(*[F.sum(c).alias(c) for c in counts], F.bool_or("listed").alias("listed"))
         .withColumn("status", status)
+        .drop("listed")
     )
 
 
@@ -258,9 +278,8 @@ def ingest(
     def landed(path: str, field: str, record, mapping) -> Staged:
         responses = read_responses(spark, path, field, record, whole_files)
         if expected is not None:
-            # One short row per configured league: bounded by that list.
             order = expected.select("source", F.col("load_order").alias("_load_order"))
-            responses = responses.join(F.broadcast(order), "source")
+            responses = responses.join(order, "source", "left")
         rest = [c for c in responses.columns if c != "records"]
         every = responses.select(
             *rest, F.posexplode_outer("records").alias("_position", "record")
@@ -271,9 +290,17 @@ def ingest(
     all_matches = landed(matches_path, "events", RAW_MATCH, map_matches)
     health = source_health(all_teams.df, all_matches.df, expected)
 
-    team_rows = all_teams.df.where("_position IS NOT NULL")
-    usable = team_rows.select("source").distinct()
-    match_rows = all_matches.df.where("_position IS NOT NULL").join(usable, "source", "left_semi")
+    def usable(staged: Staged, numbers: Sequence[str]) -> DataFrame:
+        """Records of listed sources in which no record of this kind has a fraction."""
+        rows = staged.df.where("_position IS NOT NULL")
+        bad = rows.where(_fractional(numbers)).select("source").distinct()
+        if expected is not None:
+            rows = rows.where("_load_order IS NOT NULL")
+        return rows.join(bad, "source", "left_anti")
+
+    team_rows = usable(all_teams, TEAM_NUMBERS)
+    with_teams = team_rows.select("source").distinct()
+    match_rows = usable(all_matches, MATCH_NUMBERS).join(with_teams, "source", "left_semi")
     if match_rows.isEmpty():
         raise EmptySource("no source returned matches")
     return Ingest(

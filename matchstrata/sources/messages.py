@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..schema import MATCH_TOPIC, TEAM_TOPIC
 
@@ -15,9 +15,14 @@ MESSAGE = StructType(
         StructField("key", StringType()),
         StructField("value", StringType()),
         StructField("offset", LongType()),
+        StructField("partition", IntegerType()),
+        StructField("timestamp", TimestampType()),
     ]
 )
 
+# Offsets count within one partition of a topic; between partitions time decides.
+ARRIVAL_ORDER = ("timestamp", "partition", "offset")
+
 
 def to_messages(
     df: DataFrame, topic: str, key: str, names: Mapping[str, str] | None = None
@@ -85,6 +90,8 @@ def decoded(raw: DataFrame) -> DataFrame:
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.col("offset").cast("bigint").alias("offset"),
+        F.col("partition").cast("int").alias("partition"),
+        F.col("timestamp").cast("timestamp").alias("timestamp"),
     )
 
 
@@ -119,12 +126,15 @@ def fields(
 
 
 def feed_line(messages: DataFrame, names: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
-    """One readable line per message of a known topic, for a console sink."""
+    """One readable line per message, for a console sink.
+
+    Messages whose text is no JSON object show no line, whatever their topic.
+    """
     names = names or {}
     team = ("name", "city", "venue")
     match = ("home_team", "away_team", "home_score", "away_score", "event_date", "status")
     trees = messages.select(
-        "topic", "key",
+        "topic", "key", "value",
         parsed(team, names.get(TEAM_TOPIC)).alias("team"),
         parsed(match, names.get(MATCH_TOPIC)).alias("match"),
     )
@@ -149,4 +159,7 @@ def feed_line(messages: DataFrame, names: Mapping[str, Mapping[str, str]] | None
         )
         .otherwise(F.concat(F.lit("Mensaje de tópico desconocido: "), F.col("topic")))
     )
-    return trees.select("topic", "key", line.alias("line"))
+    shows = F.when(F.col("topic") == MATCH_TOPIC, is_object("value", "match")).otherwise(
+        is_object("value", "team")
+    )
+    return trees.where(shows).select("topic", "key", line.alias("line"))

@@ -3,9 +3,9 @@
 A table is a folder of snapshot directories written by Spark plus one small
 JSON file per version that names the live directories. Publishing a version is
 one rename, so readers see the former version or the new one, never a mix, and
-a frame that fails its checks is never published. Directories and files that a
-write does not touch are carried over by name: replacing a partition costs that
-partition, upserting a few keys the files that hold them.
+a frame that fails its checks is never published. Directories that a write does
+not touch are carried over by name: replacing a partition costs that partition,
+upserting a few keys the partitions that hold them or take them in.
 
 Where a lakehouse format is on the classpath its own MERGE does the same work;
 plain Parquet has none, hence this layer.
@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import (
     CalendarIntervalType,
     LongType,
@@ -33,15 +35,13 @@ from ..session import Staged, stage
 
 SNAPSHOT = "snapshot_id"
 VERSIONS = "_versions"
-# A partition value '' would come back as NULL; this stands for it on disk.
-EMPTY_VALUE = "__EMPTY__"
-# An upsert folds the small directories of a partition into one once there are
-# more than this many below this size.
-MAX_FRAGMENTS = 8
-SMALL_BYTES = 128 * 1024 * 1024
-# Up to this many files with matches are replaced one by one; beyond it the
-# directories that hold them are, so that file names never pile up on the driver.
-MAX_SINGLE_FILES = 10_000
+# Fixed value: what Spark names the partition of NULL. A partition value '' would
+# be read back as NULL, and so would that name as a value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Put before such values, and before values that begin with it, on disk.
+ESCAPE = "__TEXT__"
+# How often a write is done again when another writer published first.
+ATTEMPTS = 5
 
 
 class VersionConflict(RuntimeError):
@@ -66,6 +66,15 @@ def merged_schema(old: StructType, new: StructType) -> StructType:
     return StructType(list(old) + [f for f in new if f.name not in known])
 
 
+def _escaped(c: Column) -> Column:
+    odd = (c == "") | (c == NULL_PARTITION) | c.startswith(ESCAPE)
+    return F.when(odd, F.concat(F.lit(ESCAPE), c)).otherwise(c)
+
+
+def _unescaped(c: Column) -> Column:
+    return F.when(c.startswith(ESCAPE), F.substring(c, len(ESCAPE) + 1, 1 << 30)).otherwise(c)
+
+
 def _nullable(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in schema])
 
@@ -160,12 +169,12 @@ class LakeTable:
             return self.spark.createDataFrame([], schema)
         return self.read()
 
-    def _scan(self, state: dict, entries: Sequence[str], with_file: bool = False) -> DataFrame:
-        """Live entries (directories or single files) as one frame."""
+    def _scan(self, state: dict, entries: Sequence[str], with_folder: bool = False) -> DataFrame:
+        """Live directories as one frame."""
         schema = StructType.fromJson(state["schema"])
         if not entries:
             empty = self.spark.createDataFrame([], schema)
-            return empty.withColumn("_file", F.lit("")) if with_file else empty
+            return empty.withColumn("_folder", F.lit("")) if with_folder else empty
         on_disk = StructType(list(schema) + [StructField(SNAPSHOT, StringType())])
         df = (
             self.spark.read.schema(on_disk)
@@ -176,10 +185,11 @@ class LakeTable:
         for f in schema:
             c = F.col(f"`{f.name}`")
             if f.name in state["partition_by"] and isinstance(f.dataType, StringType):
-                c = F.when(c == EMPTY_VALUE, F.lit("")).otherwise(c).alias(f.name)
+                c = _unescaped(c).alias(f.name)
             columns.append(c)
-        if with_file:
-            columns.append(F.col("_metadata.file_path").alias("_file"))
+        if with_folder:
+            folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+            columns.append(folder.alias("_folder"))
         return df.select(*columns)
 
     # -- writing ----------------------------------------------------------
@@ -223,9 +233,7 @@ class LakeTable:
         snapshot = f"{SNAPSHOT}={version:012d}-{uuid.uuid4().hex[:8]}"
         root = f"{self.path}/{snapshot}"
         marked = {
-            f.name: F.when(F.col(f"`{f.name}`") == "", F.lit(EMPTY_VALUE)).otherwise(
-                F.col(f"`{f.name}`")
-            )
+            f.name: _escaped(F.col(f"`{f.name}`"))
             for f in df.schema
             if f.name in partition_by and isinstance(f.dataType, StringType)
         }
@@ -253,15 +261,19 @@ class LakeTable:
         return [prefix.rstrip("/") for prefix, _ in found]
 
     def _check(
-        self, state: dict, written: Sequence[str], more: Mapping[str, str] | None = None
+        self,
+        state: dict,
+        written: Sequence[str],
+        more: Mapping[str, str] | None = None,
+        gate: Callable[[DataFrame], None] | None = None,
     ) -> None:
-        """Constraints on what was written, before it is published."""
+        """Constraints, and the caller's gate, on what was written, before it is published."""
         rules = {**state["checks"], **(more or {})}
-        if not rules or not written:
-            return
-        contract = Contract(f"checks of {self.path}", rows=rules)
         try:
-            contract.enforce(self._scan(state, written))
+            if rules and written:
+                Contract(f"checks of {self.path}", rows=rules).enforce(self._scan(state, written))
+            if gate is not None:
+                gate(self._scan(state, written))
         except ContractViolation:
             jvm, fs = self._hadoop()
             for snapshot in {d.split("/")[0] for d in written}:
@@ -278,14 +290,21 @@ class LakeTable:
         stream: tuple[str, int] | None = None,
         sort_by: Sequence[str] | None = None,
         replace_where: str | None = None,
+        gate: Callable[[DataFrame], None] | None = None,
     ) -> int:
         """Write a frame and publish it; returns the table's version.
 
+        ``gate`` is called with the rows as written and raises
+        :class:`ContractViolation` to keep them from being published. A batch of
+        the ``stream`` (its id, the batch's number) that the table has taken
+        already is not taken again.
+
         ``mode``: overwrite, append, error (if the table exists) or ignore.
         ``replace_partitions`` overwrites the partitions found in the frame and
         keeps the others; ``replace_where`` overwrites the rows that meet the
-        condition, which every row of the frame must meet too. ``schema_mode``: merge adds the frame's new columns to
-        the table's, overwrite takes the frame's columns.
+        condition, which every row of the frame must meet too. ``schema_mode``:
+        merge adds the frame's new columns to the table's, overwrite takes the
+        frame's columns.
         """
         if mode not in ("overwrite", "append", "error", "ignore"):
             raise ValueError(f"unknown mode '{mode}'")
@@ -314,12 +333,12 @@ class LakeTable:
 
         written = self._write_snapshot(conform(df, schema), state)
         met = f"coalesce({replace_where}, false)"
-        self._check(state, written, {"replace_where": met} if replace_where else {})
+        self._check(state, written, {"replace_where": met} if replace_where else {}, gate)
         if mode == "append":
             state["entries"] = state["entries"] + written
         elif replace_where is not None:
-            held = self._scan(state, state["entries"], with_file=True).where(replace_where)
-            rewritten, kept = self._split(state, held.select("_file").distinct())
+            held = self._scan(state, state["entries"], with_folder=True).where(replace_where)
+            rewritten, kept = self._split(state, held)
             if rewritten:
                 rest = self._scan(state, rewritten).where(f"NOT {met}")
                 kept = kept + self._write_snapshot(rest, state)
@@ -334,7 +353,7 @@ class LakeTable:
 
     @staticmethod
     def _partition_of(state: dict, entry: str) -> str:
-        """The partition folders of an entry: between snapshot and file name."""
+        """The partition folders of an entry: what follows its snapshot."""
         return "/".join(entry.split("/")[1 : 1 + len(state["partition_by"])])
 
     def _next_state(self, current: dict | None, stream: tuple[str, int] | None) -> dict:
@@ -358,8 +377,8 @@ class LakeTable:
         keys: Sequence[str],
         partition_by: Sequence[str] = (),
         schema_mode: str = "merge",
-        stream: tuple[str, int] | None = None,
         keys_are_unique: bool = False,
+        gate: Callable[[DataFrame], None] | None = None,
     ) -> int:
         """Update rows whose keys match, insert the rest, delete nothing.
 
@@ -367,127 +386,97 @@ class LakeTable:
         another partition and a key held k times stays k times. A NULL key
         matches nothing and is inserted. Two source rows with one key are an
         error, unless the caller has already checked (``keys_are_unique``).
+        Doing it again with the same source changes nothing.
 
-        The table is scanned for its key columns only, within the range of the
-        source's keys; the source side of that semi join is broadcast while it
-        is small. Only the files that hold a match are read whole and written
-        anew.
+        The table is scanned for its keys and partition columns only. The
+        partitions that hold a match or take rows in are written anew, each as
+        one directory; so the live directories are as many as the partitions.
+        If another writer publishes first, the merge is done again on top of it.
         """
-        current = self._state() if self.exists() else None
-        if current is not None and self._applied(current, stream):
-            return current["version"]
+        if not self.exists() and keys_are_unique and not isinstance(source, Staged):
+            return self.save(storable(source), partition_by=partition_by, sort_by=keys, gate=gate)
         staged = source if isinstance(source, Staged) else stage(storable(source), "upsert")
         src = staged.df
         if not keys_are_unique:
             present = src.na.drop(subset=list(keys))
             Contract(f"upsert into {self.path}", unique=(tuple(keys),)).enforce(present)
-        if current is None:
-            version = self.save(src, partition_by=partition_by, stream=stream, sort_by=keys)
-        else:
-            version = self._merge(current, src, list(keys), schema_mode, stream)
+
+        def attempt() -> int:
+            if not self.exists():
+                return self.save(src, partition_by=partition_by, sort_by=keys, gate=gate)
+            return self._merge(self._state(), src, list(keys), schema_mode, gate)
+
+        version = self._repeated(attempt)
         if staged is not source:
             staged.discard()
         return version
 
-    def _merge(self, current, src, keys, schema_mode, stream) -> int:
+    @staticmethod
+    def _repeated(attempt: Callable[[], int]) -> int:
+        """``attempt`` again, at most :data:`ATTEMPTS` times, after a conflict."""
+        for _ in range(ATTEMPTS - 1):
+            try:
+                return attempt()
+            except VersionConflict:
+                continue
+        return attempt()
+
+    def append(self, df: DataFrame, stream: tuple[str, int] | None = None) -> int:
+        """Add rows; done again on top of what another writer published first."""
+        return self._repeated(lambda: self.save(df, mode="append", stream=stream))
+
+    def _merge(self, current, src, keys, schema_mode, gate) -> int:
         known = StructType.fromJson(current["schema"])
         extra = set(src.columns) - set(known.names)
         if extra and schema_mode != "merge":
             raise ValueError(f"columns {sorted(extra)} are not in '{self.path}'")
-        state = self._next_state(current, stream)
+        state = self._next_state(current, None)
         schema = merged_schema(known, _nullable(src.schema))
         state["schema"] = schema.jsonValue()
 
-        held = self._scan(current, current["entries"], with_file=True).select(*keys, "_file")
-        hits = stage(
-            self._within_bounds(held, src, keys)
-            .join(src.select(*keys), keys, "left_semi")
-            .distinct(),
-            "hits",
-        )
-        rewritten, kept = self._split(current, hits.df.select("_file").distinct())
-        matched = hits.df.select(*keys).distinct()
-        new = conform(src.join(matched, keys, "left_anti"), schema)
+        held = self._scan(current, current["entries"], with_folder=True)
+        touched = held.join(src.select(*keys), keys, "left_semi").select("_folder")
+        parts = [c for c in state["partition_by"] if c in src.columns]
+        if parts:
+            values = src.select(*[F.col(f"`{c}`").alias(f"_to_{c}") for c in parts]).distinct()
+            same = reduce(and_, [held[f"`{c}`"].eqNullSafe(values[f"`_to_{c}`"]) for c in parts])
+            touched = touched.unionByName(held.join(values, same, "left_semi").select("_folder"))
+        if state["partition_by"]:
+            rewritten, kept = self._split(current, touched)
+        else:  # the table is one partition
+            rewritten, kept = current["entries"], []
+        new = conform(src, schema)
         if rewritten:
-            updated = self._updated(self._scan(state, rewritten), src, keys, schema)
-            new = updated.unionByName(new)
+            old = self._scan(state, rewritten)
+            added = conform(src.join(old.select(*keys), keys, "left_anti"), schema)
+            new = self._updated(old, src, keys, schema).unionByName(added)
         written = self._write_snapshot(new, state)
-        self._check(state, written)
+        self._check(state, written, gate=gate)
         state["entries"] = kept + written
-        version = self._publish(state)
-        hits.discard()
-        return version
-
-    @staticmethod
-    def _within_bounds(held: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
-        """Table keys between the smallest and the largest source key: a filter
-        that Parquet statistics can answer, and that loses no match."""
-        ends = src.agg(
-            *[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
-            *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)],
-        ).first()
-        for i, k in enumerate(keys):
-            if ends[f"lo{i}"] is None:
-                return held.where(F.lit(False))
-            held = held.where(F.col(k).between(F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"])))
-        return held
-
-    def _split(self, state: dict, files: DataFrame) -> tuple[list[str], list[str]]:
-        """(entries to rewrite, entries to keep) for the files that hold matches."""
-        depth = len(state["partition_by"])
-
-        def relative(path: str) -> str:
-            return "/".join(unquote(path).split("/")[-(depth + 2):])
-
-        single = files.limit(MAX_SINGLE_FILES + 1).count() <= MAX_SINGLE_FILES
-        folder = F.regexp_extract("_file", "^(.*)/[^/]+$", 1)
-        names = files if single else files.select(F.concat(folder, F.lit("/")).alias("_file"))
-        touched = {relative(r["_file"]) for r in names.distinct().collect()}
-        folders = {t.rpartition("/")[0] for t in touched}
-
-        rewritten, kept = [], []
-        for entry in state["entries"]:
-            if entry in touched or (not single and entry.rpartition("/")[0] in folders):
-                rewritten.append(entry)  # a single file
-            elif entry not in folders:
-                kept.append(entry)
-            elif single:
-                for name in self._files(entry):
-                    (rewritten if f"{entry}/{name}" in touched else kept).append(f"{entry}/{name}")
-            else:
-                rewritten.append(entry)
-        small = self._small_entries(state, kept)
-        return rewritten + small, [e for e in kept if e not in set(small)]
-
-    def _files(self, entry: str) -> list[str]:
-        jvm, fs = self._hadoop()
-        listed = fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{entry}"))
-        names = [s.getPath().getName() for s in listed]
-        return [n for n in names if not n.startswith(("_", "."))]
+        return self._publish(state)
 
-    def _small_entries(self, state: dict, entries: Sequence[str]) -> list[str]:
-        """Directories below the size limit, of partitions that gathered too many.
+    def _split(self, state: dict, held: DataFrame) -> tuple[list[str], list[str]]:
+        """(directories to rewrite, directories to keep) for the rows in ``held``.
 
-        Single files of a larger directory are not pieces of their own.
+        What reaches the driver is names of live directories.
         """
-        jvm, fs = self._hadoop()
         depth = len(state["partition_by"])
-        by_partition: dict[str, list[str]] = {}
-        for e in entries:
-            if e.count("/") == depth:
-                by_partition.setdefault(self._partition_of(state, e), []).append(e)
-        found = []
-        for group in by_partition.values():
-            if len(group) <= MAX_FRAGMENTS:
-                continue
-            small = [
-                e for e in group
-                if fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{e}")).getLength()
-                < SMALL_BYTES
-            ]
-            if len(small) > MAX_FRAGMENTS:
-                found += small
-        return found
+        touched = {
+            "/".join(unquote(r["_folder"]).split("/")[-(depth + 1):])
+            for r in held.select("_folder").distinct().collect()
+        }
+        rewritten = [e for e in state["entries"] if e in touched]
+        return rewritten, [e for e in state["entries"] if e not in touched]
+
+    def compact(self) -> int:
+        """Write the whole table anew, one directory for each partition."""
+        def attempt() -> int:
+            current = self._state()
+            state = self._next_state(current, None)
+            state["entries"] = self._write_snapshot(self._scan(current, current["entries"]), state)
+            return self._publish(state)
+
+        return self._repeated(attempt)
 
     @staticmethod
     def _updated(old: DataFrame, src: DataFrame, keys: list[str], schema: StructType) -> DataFrame:
@@ -526,5 +515,7 @@ class LakeTable:
         return self.spark.createDataFrame([row], schema)
 
     def preview(self, order: Sequence[str], n: int = 10) -> DataFrame:
-        """The first rows in a stated order."""
-        return self.read().orderBy(*order).limit(n)
+        """The first rows in a stated order, numbered from 1."""
+        first = self.read().orderBy(*order).limit(n)
+        place = F.row_number().over(Window.orderBy(*order))  # over those n rows
+        return first.withColumn("place", place)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from functools import reduce
 from operator import or_
@@ -26,7 +27,7 @@ from ..schema import (
 )
 from ..session import stage
 from ..sources.envelopes import type_bronze_matches, type_teams
-from ..sources.messages import fields, is_object, parsed
+from ..sources.messages import ARRIVAL_ORDER, fields, is_object, parsed
 from ..sources.tables import LakeTable
 
 REJECTED = StructType(
@@ -41,6 +42,18 @@ REJECTED = StructType(
 )
 
 
+COUNTS = StructType(
+    [
+        StructField("stream_id", StringType()),
+        StructField("batch_id", LongType()),
+        StructField("topic", StringType()),
+        StructField("n_messages", LongType()),
+        StructField("n_rejected", LongType()),
+        StructField("n_upserted", LongType()),
+    ]
+)
+
+
 class BronzeStream:
     """Keeps the newest message per id in the tables the batch load fills too.
 
@@ -49,8 +62,13 @@ class BronzeStream:
     topic, text that is no JSON object, fractional numbers and rows that would
     break a table constraint go to the quarantine table with the reason.
 
-    Every table records the last batch it took from the stream called ``name``,
-    so a batch replayed after a failure changes nothing.
+    A batch replayed after a failure changes nothing: the upserts give the same
+    tables again, and the quarantine records the last batch it took under the id
+    in the stream's checkpoint. A fresh checkpoint has a new id, so its batches,
+    counted from 0 again, are all taken.
+
+    ``counts`` holds a row for each batch and topic: messages that came,
+    messages rejected, rows upserted (one per id).
     """
 
     def __init__(
@@ -73,14 +91,16 @@ class BronzeStream:
             BRONZE_MATCHES, partition_by=["extract_date"], checks=MATCH_CHECKS, sort_by=["event_id"]
         )
         self.rejected = LakeTable(spark, rejected_path).create(REJECTED)
-        self.written = {team_topic: 0, match_topic: 0}
+        self.counts = LakeTable(spark, f"{rejected_path.rstrip('/')}_counts").create(COUNTS)
+        self._checkpoint: str | None = None
+        self._stream_id: str | None = None
 
     def classified(self, messages: DataFrame) -> DataFrame:
         """Messages with their parsed value, a ``kind`` to route by, a reason to reject."""
         is_team = F.col("topic") == self.team_topic
         is_match = F.col("topic") == self.match_topic
         trees = messages.select(
-            "topic", "key", "value", "offset",
+            "topic", "key", "value", *ARRIVAL_ORDER,
             parsed(TEAM_COLUMNS, self._names(self.team_topic), F.when(is_team, F.col("value")))
             .alias("team"),
             parsed(MATCH_COLUMNS, self._names(self.match_topic), F.when(is_match, F.col("value")))
@@ -117,45 +137,70 @@ class BronzeStream:
     def _names(self, topic: str) -> Mapping[str, str] | None:
         return self.names.get(topic)
 
+    def stream_id(self) -> str | None:
+        """The id that the running query keeps in its checkpoint."""
+        if self._stream_id is None and self._checkpoint is not None:
+            line = self.spark.read.text(f"{self._checkpoint}/metadata").first()
+            self._stream_id = json.loads(line["value"])["id"]
+        return self._stream_id
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Apply one micro-batch; safe to repeat with the same ``batch_id``."""
+        """Apply one micro-batch; safe to repeat with the same ``batch_id``.
+
+        Called by hand, without :meth:`start`, there is no stream to recognise a
+        repeated batch by: its rejected messages are then kept again.
+        """
         staged = stage(self.classified(batch), "batch", partition_by=("kind",))
-        sizes = {r["kind"]: r["n"] for r in
-                 staged.df.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-        stream = (self.name, batch_id)
-        if sizes.get("team"):
+        key = F.when(F.col("kind") == "team", fields("team", ["team_id"], self._names(self.team_topic))[0]).when(
+            F.col("kind") == "match", fields("match", ["event_id"], self._names(self.match_topic))[0]
+        )
+        counted = stage(
+            staged.df.groupBy("topic").agg(
+                F.count("*").alias("n_messages"),
+                F.count_if(F.col("kind") == "rejected").alias("n_rejected"),
+                F.count_distinct(key).alias("n_upserted"),
+            ),
+            "counts",
+        )
+        totals = counted.df.agg(F.sum("n_messages"), F.sum("n_rejected")).first()
+        messages, rejected = totals[0] or 0, totals[1] or 0
+        stream = None if self.stream_id() is None else (self.stream_id(), batch_id)
+        if messages > rejected:
             rows = staged.df.where("kind = 'team'").select(
-                "offset", *fields("team", TEAM_COLUMNS, self._names(self.team_topic))
+                *ARRIVAL_ORDER, *fields("team", TEAM_COLUMNS, self._names(self.team_topic))
             )
-            self._upsert(self.teams, type_teams, rows, "team_id", self.team_topic, stream)
-        if sizes.get("match"):
+            self._upsert(self.teams, type_teams, rows, "team_id")
             rows = staged.df.where("kind = 'match'").select(
-                "offset", *fields("match", MATCH_COLUMNS, self._names(self.match_topic))
+                *ARRIVAL_ORDER, *fields("match", MATCH_COLUMNS, self._names(self.match_topic))
             )
-            self._upsert(self.matches, type_bronze_matches, rows, "event_id",
-                         self.match_topic, stream)
-        if sizes.get("rejected"):
+            self._upsert(self.matches, type_bronze_matches, rows, "event_id")
+        if rejected:
             rows = staged.df.where("kind = 'rejected'").select(
                 F.lit(batch_id).cast("bigint").alias("batch_id"),
                 "topic", "key", "value", "offset", "reason",
             )
-            self.rejected.save(rows, mode="append", stream=stream)
+            self.rejected.append(rows, stream)
+        if messages:
+            named = counted.df.select(
+                F.lit(self.stream_id()).cast("string").alias("stream_id"),
+                F.lit(batch_id).cast("bigint").alias("batch_id"),
+                *counted.df.columns,
+            )
+            self.counts.append(named, stream)
         staged.discard()
+        counted.discard()
 
-    def _upsert(self, table, typed, rows, key, topic, stream) -> None:
-        latest = stage(typed(keep_last(rows, [key], ["offset"])), topic)
-        before = table.version()
-        version = table.upsert(
-            latest, [key], stream=stream, keys_are_unique=True
-        )
-        if version != before:
-            self.written[topic] += latest.df.count()
+    def _upsert(self, table, typed, rows, key) -> None:
+        latest = stage(typed(keep_last(rows, [key], list(ARRIVAL_ORDER))), "latest")
+        if not latest.df.isEmpty():
+            table.upsert(latest, [key], keys_are_unique=True)
         latest.discard()
 
     def start(
         self, messages: DataFrame, checkpoint: str, until_caught_up: bool = True
     ) -> StreamingQuery:
         """Run the stream: to the end of what is there, or on and on."""
+        self._checkpoint, self._stream_id = checkpoint, None
         writer = (
             messages.writeStream.queryName(self.name)
             .foreachBatch(self.process)

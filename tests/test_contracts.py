@@ -25,7 +25,7 @@ def gold(spark, *lines, schema=GOLD):
     return spark.createDataFrame(list(lines), schema)
 
 
-def line(league="L", team_id="1", team="North", played=2, won=1, drawn=1, lost=0, f=3, a=1,
+def line(league="East", team_id="40", team="Rovers", played=7, won=4, drawn=1, lost=2, f=13, a=9,
          difference=None, points=None):
     return (league, team_id, team, played, won, drawn, lost, f, a,
             f - a if difference is None else difference,
@@ -41,21 +41,28 @@ def broken(contract, df):
             for r in contract.violations(df).collect()}
 
 
+HOME, AWAY, LEVEL = ("m1", "East", 5, 3, "Local", 2, False), ("m2", "East", 0, 4, "Visitante", 4, True), (
+    "m3", "West", 3, 3, "Empate", 0, False)
+
+
+def changed(row, **values):
+    names = [c.split()[0] for c in SILVER.split(", ")]
+    return tuple(values.get(n, v) for n, v in zip(names, row, strict=True))
+
+
 def test_sound_rows_pass(spark):
-    GOLD_STANDINGS.enforce(gold(spark, line(), line(team_id="2", team=None)))
-    SILVER_MATCHES.enforce(
-        silver(spark, ("1", "L", 2, 0, "Local", 2, False), ("2", "L", 1, 1, "Empate", 0, False))
-    )
+    GOLD_STANDINGS.enforce(gold(spark, line(), line(league="West"), line(team_id="41", team=None)))
+    SILVER_MATCHES.enforce(silver(spark, HOME, AWAY, LEVEL))
 
 
 @pytest.mark.parametrize(
     "faulty, rule",
     [
-        ([line(points=99)], ("points_are_3_won_plus_drawn", "*")),
-        ([line(played=5)], ("played_is_won_drawn_lost", "*")),
-        ([line(), line()], ("unique", "league|team_id")),
-        ([line(f=-3, difference=-4)], ("at_least_0", "goals_for")),
-        ([line(league=None)], ("not_null", "league")),
+        ([line(points=14)], ("points_are_3_won_plus_drawn", "*")),
+        ([line(lost=3)], ("played_is_won_drawn_lost", "*")),
+        ([line(), line(team_id="41"), line(team="Again")], ("unique", "league|team_id")),
+        ([line(a=-6, difference=19)], ("at_least_0", "goals_against")),
+        ([line(team_id=None)], ("not_null", "team_id")),
     ],
 )
 def test_each_gold_fault_is_found(spark, faulty, rule):
@@ -68,17 +75,24 @@ def test_each_gold_fault_is_found(spark, faulty, rule):
 @pytest.mark.parametrize(
     "faulty, rule",
     [
-        ([("1", "L", 2, 0, "Win", 2, False)], ("one_of", "outcome")),
-        ([("1", "L", 2, 0, "Local", 2, False)] * 2, ("unique", "event_id")),
-        ([("1", "L", 2, 0, "Local", 2, None)], ("not_null", "is_blowout")),
+        ([HOME, changed(LEVEL, outcome="Draw")], ("one_of", "outcome")),
+        ([HOME, AWAY, changed(LEVEL, event_id="m2")], ("unique", "event_id")),
+        ([changed(AWAY, score_difference=None)], ("not_null", "score_difference")),
+        ([changed(AWAY, away_score=-4)], ("at_least_0", "away_score")),
     ],
 )
 def test_each_silver_fault_is_found(spark, faulty, rule):
     assert list(broken(SILVER_MATCHES, silver(spark, *faulty))) == [rule]
 
 
+def test_a_report_names_every_rule(spark):
+    report = {(r["rule"], r["column"]): r["n_failed"] for r in SILVER_MATCHES.report(silver(spark, HOME, HOME, LEVEL)).collect()}
+    assert report.pop(("unique", "event_id")) == 2
+    assert len(report) == 11 and set(report.values()) == {0}
+
+
 def test_all_faults_come_in_one_report(spark):
-    df = gold(spark, line(points=99), line(team_id="2", f=-1, difference=0), line(team_id="2"))
+    df = gold(spark, line(points=0), line(team_id="2", f=-1, difference=-10), line(team_id="2"))
     with pytest.raises(ContractViolation) as error:
         GOLD_STANDINGS.enforce(df)
     assert {f["rule"] for f in error.value.failures} == {
@@ -93,10 +107,10 @@ def test_goal_difference_may_have_any_sign_and_extra_columns_are_allowed(spark):
 
 def test_missing_column_and_uncastable_text(spark):
     df = gold(spark, line(), line(team_id="2")).drop("won").selectExpr(
-        "* EXCEPT (played)", "CASE team_id WHEN '1' THEN 'two' ELSE '2' END AS played"
+        "* EXCEPT (played)", "CASE team_id WHEN '40' THEN 'seven' ELSE '7' END AS played"
     )
     assert broken(GOLD_STANDINGS, df) == {
-        ("column_present", "won"): (None, None), ("castable", "played"): (1, "two"),
+        ("column_present", "won"): (None, None), ("castable", "played"): (1, "seven"),
     }
 
 
@@ -121,13 +135,13 @@ def test_whole_numbers_name_the_rows(spark):
 
 
 def test_layers(spark):
-    bronze = spark.createDataFrame([("FT",), ("Match Finished",), ("Not Started",)], "status string")
-    pending = bronze.where("status = 'Not Started'")
+    bronze = spark.createDataFrame([("AET",), (" pen ",), ("HT",), (None,), ("Postponed",), ("finished",)], "status string")
+    pending = bronze.where("status IN ('HT', 'Postponed')")
     none = spark.createDataFrame([], SILVER)
-    some = silver(spark, ("1", "L", 2, 0, "Local", 2, False))
-    assert rows(status_counts(bronze)) == [(2, 1)]
-    assert rows(layer_gap(bronze, none)) == [(2, 0, False)]
-    assert rows(layer_gap(bronze, some)) == [(2, 1, True)]
+    some = silver(spark, AWAY, LEVEL)
+    assert rows(status_counts(bronze)) == [(3, 3)]
+    assert rows(layer_gap(bronze, none)) == [(3, 0, False)]
+    assert rows(layer_gap(bronze, some)) == [(3, 2, True)]
     with pytest.raises(ContractViolation, match="silver is empty"):
         require_refined(bronze, none)
     require_refined(bronze, some)

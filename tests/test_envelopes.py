@@ -139,7 +139,7 @@ def test_ingest_skips_bad_sources_and_reports_them(spark, tmp_path):
     counts = ["n_teams", "n_matches", "n_finished", "n_broken"]
     assert rows(got.health, "source", *counts, "status") == [
         ("1", 1, 1, 1, 1, "ok"), ("2", 1, 2, 1, 0, "ok"), ("3", 1, 0, 0, 0, "no_matches"),
-        ("4", 0, 1, 1, 0, "no_teams"), ("5", 0, 0, 0, 0, "no_teams")]
+        ("4", 0, 1, 1, 0, "no_teams"), ("5", 0, 0, 0, 0, "no_teams"), ("99", 1, 0, 0, 0, "unlisted")]
     assert rows(got.teams, "team_id", "name") == [("x", "of two"), ("y", "Rovers")]
     assert rows(got.matches, "event_id", "event_name") == [("a", "of two"), ("b", MATCH["strEvent"])]
     assert rows(got.broken) == [("matches", "1", "{cut off")]
@@ -159,13 +159,25 @@ def test_ingest_fails_without_any_match(spark, tmp_path):
         envelopes.ingest(spark, teams, events, AS_OF)
 
 
-def test_fractions_stop_the_load_only_in_rows_that_would_be_loaded(spark, tmp_path):
-    teams = land(tmp_path, "teams", "1", {"teams": [TEAM]})
-    events = land(tmp_path, "events", "1", {"events": [match(), match(intHomeScore="1.5")]})
-    envelopes.ingest(spark, teams, events, AS_OF).require_whole_numbers()
-    land(tmp_path, "events", "1", {"events": [match(idEvent="z", intAwayScore="1.5")]})
+def test_a_source_with_fractions_is_left_out_alone(spark, tmp_path):
+    teams, events = landed(tmp_path)
+    land(tmp_path, "teams", "6", {"teams": [team(idTeam="z", intStadiumCapacity="0.5")]})
+    land(tmp_path, "events", "6", {"events": [match(idEvent="f")]})
+    land(tmp_path, "events", "3", {"events": [match(idEvent="c"), match(idEvent="d", intAwayScore="1.5")]})
+    got = envelopes.ingest(spark, teams, events, AS_OF, [*LEAGUES, ("Six", "6", "2024")])
+    state = {r["source"]: (r["n_fractional"], r["status"]) for r in got.health.collect()}
+    assert state == {"1": (0, "ok"), "2": (0, "ok"), "3": (1, "bad_number"), "4": (0, "no_teams"),
+                     "5": (0, "no_teams"), "6": (1, "bad_number"), "99": (0, "unlisted")}
+    assert rows(got.teams, "team_id") == [("x",), ("y",)]
+    assert rows(got.matches, "event_id") == [("a",), ("b",)]
+
+
+def test_readers_refuse_fractions_unless_told(spark, tmp_path):
+    events = land(tmp_path, "events", "1", {"events": [match(), match(intHomeScore="1.5"), match(idEvent="z", intAwayScore="1.5")]})
     with pytest.raises(ContractViolation, match="away_score_is_whole"):
-        envelopes.ingest(spark, teams, events, AS_OF).require_whole_numbers()
+        envelopes.read_matches(spark, events, AS_OF)
+    got = envelopes.read_matches(spark, events, AS_OF, on_fraction="null")
+    assert rows(got.where("event_id = 'z'"), "away_score") == [(None,)]
 
 
 def test_configuration_has_all_leagues(spark):

@@ -31,7 +31,7 @@ NUMBERS = {
     "2": (2, False), "2.0": (2, False), " 3 ": (3, False), "1e2": (100, False), "+5": (5, False),
     "-4": (-4, False), "": (None, False), "abc": (None, False), "2d": (None, False),
     "NaN": (None, False), "Infinity": (None, False), "0x10": (None, False),
-    "2.5": (2, True), ".5": (0, True), "5.": (5, False), "1e400": (None, True),
+    "2.5": (None, True), ".5": (None, True), "7.000": (7, False), "5.": (5, False), "1e400": (None, True),
     "9007199254740993": (9007199254740993, False),
 }
 

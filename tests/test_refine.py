@@ -95,8 +95,8 @@ def test_types(spark):
 
 @pytest.mark.parametrize(
     "scores, expected",
-    [((4, 0), ("Local", 4, True)), ((1, 1), ("Empate", 0, False)), ((0, 2), ("Visitante", 2, False)),
-     ((0, 3), ("Visitante", 3, True))],
+    [((6, 3), ("Local", 3, True)), ((5, 3), ("Local", 2, False)), ((2, 2), ("Empate", 0, False)),
+     ((1, 7), ("Visitante", 6, True)), ((3, 4), ("Visitante", 1, False))],
 )
 def test_derived(spark, scores, expected):
     df = matches(spark, match("1", home_score=scores[0], away_score=scores[1]))

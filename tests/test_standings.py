@@ -48,19 +48,23 @@ def brute_standings(games):
     )
 
 
-def test_points_and_statistics(spark):
-    df = frame(spark, game("L", NORTH, 2, SOUTH, 0), game("L", SOUTH, 1, NORTH, 1))
+def test_a_round_robin_with_byes(spark):
+    """Three teams, one resting in each round."""
+    df = frame(spark, game("L", NORTH, 4, SOUTH, 1), game("L", SOUTH, 2, EAST, 2), game("L", EAST, 5, NORTH, 3))
     got = {r["team_id"]: tuple(r[c] for c in STATS) for r in table.standings(df).collect()}
-    assert got == {"1": (2, 1, 1, 0, 3, 1, 2, 4), "2": (2, 0, 1, 1, 1, 3, -2, 1)}
+    assert got == {
+        "1": (2, 1, 0, 1, 7, 6, 1, 3), "2": (2, 0, 1, 1, 3, 6, -3, 1), "3": (2, 1, 1, 0, 7, 5, 2, 4)}
 
 
-def test_one_row_per_id_whatever_the_name(spark):
+def test_a_club_that_is_renamed_twice_stays_one_row(spark):
     df = frame(
         spark,
-        game("L", NORTH, 1, SOUTH, 0, date=None),
-        game("L", SOUTH, 0, ("1", "Northern FC"), 3),
+        game("L", EAST, 0, ("7", "Athletic"), 0),
+        game("L", ("7", "Union"), 2, SOUTH, 6),
+        game("L", NORTH, 3, ("7", "Dynamo"), 4),
     )
-    assert rows(table.standings(df).where("team_id = '1'"), "team", "played") == [("North", 2)]
+    got = rows(table.standings(df).where("team_id = '7'"), "team", "played", "goals_for", "goals_against")
+    assert got == [("Union", 3, 6, 9)]
 
 
 def test_name_of_first_home_sighting_by_date_even_if_null(spark):
@@ -81,16 +85,17 @@ def test_name_of_first_home_sighting_by_date_even_if_null(spark):
     assert rows(table.standings(df).select("team_id", "team").distinct()) == names
 
 
-def test_leagues_do_not_mix_and_null_keys_form_no_group(spark):
+def test_a_team_of_two_leagues_and_matches_of_none(spark):
     df = frame(
         spark,
-        game("A", NORTH, 2, SOUTH, 0),
-        game("B", NORTH, 1, EAST, 1),
-        game(None, NORTH, 1, EAST, 0),
-        game("A", (None, "nobody"), 1, EAST, 0),
+        game("cup", EAST, 0, SOUTH, 0),
+        game("first", SOUTH, 5, EAST, 2),
+        game("first", EAST, 1, NORTH, 2),
+        game("first", (None, "guest"), 0, SOUTH, 0),
+        game(None, SOUTH, 7, EAST, 0),
     )
-    got = rows(table.standings(df), "league", "team_id", "points")
-    assert got == [("A", "1", 3), ("A", "2", 0), ("A", "3", 0), ("B", "1", 1), ("B", "3", 1)]
+    assert rows(table.standings(df), "league", "team_id", "points", "played") == [
+        ("cup", "2", 1, 1), ("cup", "3", 1, 1), ("first", "1", 3, 1), ("first", "2", 4, 2), ("first", "3", 0, 2)]
 
 
 def test_unknown_outcome_counts_as_loss_and_null_scores_as_zero(spark):
@@ -99,10 +104,10 @@ def test_unknown_outcome_counts_as_loss_and_null_scores_as_zero(spark):
     assert got == [("1", 1, 0, 0, 1, 0, 0, 0, 0), ("2", 1, 0, 0, 1, 0, 0, 0, 0)]
 
 
-def test_table_order(spark):
-    df = frame(spark, game("L", NORTH, 3, SOUTH, 0), game("L", NORTH, 2, EAST, 0))
-    ordered = [r["team_id"] for r in table.in_table_order(table.standings(df)).collect()]
-    assert ordered == ["1", "2", "3"]
+def test_table_order_is_by_points_not_by_id(spark):
+    df = frame(spark, game("L", EAST, 1, SOUTH, 0), game("L", EAST, 2, NORTH, 2))
+    ordered = table.in_table_order(table.standings(df)).collect()
+    assert [(r["team_id"], r["points"]) for r in ordered] == [("3", 4), ("1", 1), ("2", 0)]
 
 
 TEAM = st.tuples(st.sampled_from("1234"), st.sampled_from(["x", "y", None]))

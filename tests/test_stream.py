@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 
@@ -65,7 +66,8 @@ def test_teams_and_matches_reach_their_tables(spark, sink, topic, tmp_path):
     assert rows(sink.teams.read(), "team_id", "name", "venue_capacity") == [
         ("1", "North", 50000), ("2", "Sürd", 50000)]
     assert rows(sink.matches.read(), "event_id", "home_score") == [("m", 1)]
-    assert sink.written == {"equipos": 2, "partidos": 1}
+    assert rows(sink.counts.read(), "topic", "n_messages", "n_rejected", "n_upserted") == [
+        ("equipos", 2, 0, 2), ("partidos", 1, 0, 1)]
 
 
 def test_last_message_wins_within_and_across_batches(spark, sink, topic, tmp_path):
@@ -73,8 +75,27 @@ def test_last_message_wins_within_and_across_batches(spark, sink, topic, tmp_pat
     topic.send(("equipos", team("1", "c")), ("equipos", team("2", "x")))
     drain(spark, sink, topic, tmp_path, files_per_batch=1)
     assert rows(sink.teams.read(), "team_id", "name") == [("1", "c"), ("2", "x")]
-    assert sink.written["equipos"] == 3
-    assert sink.teams._state()["streams"] == {"bronze": 1}
+    assert rows(sink.counts.read(), "batch_id", "topic", "n_upserted") == [(0, "equipos", 1), (1, "equipos", 2)]
+
+
+def test_a_fresh_checkpoint_loses_nothing(spark, sink, topic, tmp_path):
+    topic.send(("equipos", team("1", "a")), ("nowhere", "{}"))
+    drain(spark, sink, topic, tmp_path)
+    topic.send(("equipos", team("2", "b")), ("partidos", "{cut"))
+    (tmp_path / "elsewhere").mkdir()
+    drain(spark, sink, topic, tmp_path / "elsewhere")
+    assert rows(sink.teams.read(), "team_id") == [("1",), ("2",)]
+    # The first file is read again under the new checkpoint: its rejected message is kept again.
+    assert rows(sink.rejected.read(), "topic") == [("nowhere",), ("nowhere",), ("partidos",)]
+
+
+def test_time_decides_between_partitions_of_a_topic(spark, sink):
+    at = [datetime(2024, 1, 1, 10, minute) for minute in (5, 9, 7)]
+    batch = spark.createDataFrame(
+        [("equipos", "1", json.dumps(team("1", name)), 4, part, t) for name, part, t in zip("abc", (0, 1, 2), at)],
+        messages.MESSAGE)
+    sink.process(batch, 0)
+    assert rows(sink.teams.read(), "name") == [("b",)]
 
 
 def test_restart_from_the_checkpoint_reads_only_what_is_new(spark, sink, topic, tmp_path):
@@ -88,12 +109,14 @@ def test_restart_from_the_checkpoint_reads_only_what_is_new(spark, sink, topic,
     assert rows(sink.matches.read(), "event_id", "home_score", "extract_date") == [("m", 4, "2024-01-02")]
 
 
-def test_a_replayed_batch_changes_nothing(spark, sink):
+def test_a_replayed_batch_changes_nothing(spark, sink, topic, tmp_path):
+    topic.send(("equipos", team("1", "North")), ("nowhere", "{}"))
+    drain(spark, sink, topic, tmp_path)
     batch = spark.createDataFrame(
-        [("equipos", "1", json.dumps(team("1", "North")), 0), ("nowhere", "", "{}", 1)], messages.MESSAGE)
-    for _ in range(2):
-        sink.process(batch, 5)
-    assert sink.teams.read().count() == 1 and sink.rejected.read().count() == 1
+        [("equipos", "1", json.dumps(team("1", "North")), 0, 0, None), ("nowhere", "", "{}", 1, 0, None)], messages.MESSAGE)
+    sink.process(batch, 0)
+    assert rows(sink.teams.read(), "team_id", "name") == [("1", "North")]
+    assert sink.rejected.read().count() == 1 and sink.counts.read().count() == 2
 
 
 def test_bad_messages_are_kept_aside_with_the_reason(spark, sink, topic, tmp_path):
@@ -148,10 +171,11 @@ def test_messages_under_published_names(spark, tmp_path):
 
 def test_feed_lines(spark):
     df = spark.createDataFrame(
-        [("equipos", "1", json.dumps(team("1", "North", city="C", venue="V")), 0),
+        [("equipos", "1", json.dumps(team("1", "North", city="C", venue="V")), 0, 0, None),
          ("partidos", "m", json.dumps(match("m", home_team="A", away_team="B", status="FT",
-                                            event_date="2024-02-02")), 1),
-         ("otros", "", "{}", 2)], messages.MESSAGE)
+                                            event_date="2024-02-02")), 1, 0, None),
+         ("equipos", "2", "{cut", 3, 0, None), ("partidos", "n", "[1]", 4, 0, None),
+         ("otros", "", "{}", 2, 0, None)], messages.MESSAGE)
     assert [r["line"] for r in messages.feed_line(df).orderBy("topic").collect()] == [
         "EQUIPO | North | Ciudad: C | Estadio: V",
         "Mensaje de tópico desconocido: otros",
@@ -160,5 +184,6 @@ def test_feed_lines(spark):
 
 def test_connector_messages_are_decoded(spark):
     raw = spark.sql("SELECT 'equipos' AS topic, CAST('k' AS BINARY) AS key, "
-                    "CAST('{\"name\":\"ñ\"}' AS BINARY) AS value, 7L AS offset, 0 AS partition")
-    assert rows(messages.decoded(raw)) == [("equipos", "k", '{"name":"ñ"}', 7)]
+                    "CAST('{\"name\":\"ñ\"}' AS BINARY) AS value, 7L AS offset, 3 AS partition, TIMESTAMP '2024-01-02 03:04:05' AS timestamp")
+    assert rows(messages.decoded(raw)) == [
+        ("equipos", "k", '{"name":"ñ"}', 7, 3, datetime(2024, 1, 2, 3, 4, 5))]

@@ -1,12 +1,14 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from conftest import rows
-from matchstrata.operators.contracts import ContractViolation
+from matchstrata.operators.contracts import Contract, ContractViolation
 from matchstrata.session import scratch_path
-from matchstrata.sources.tables import MAX_FRAGMENTS, LakeTable, VersionConflict
+from matchstrata.sources.tables import ATTEMPTS, LakeTable, VersionConflict
 
 KV = "k string, part string, v int"
 
@@ -108,7 +110,8 @@ def test_partition_filter_prunes_directories(spark, lake):
     lake.save(frame(spark, [("a", "p1", 1), ("b", "p2", 2)]), partition_by=["part"])
     plan = lake.read().where("part = 'p1' AND v > 0").select("k")._jdf.queryExecution().toString()
     scan = plan[plan.index("== Physical Plan =="):]
-    assert "PartitionFilters: [isnotnull(part" in scan or "PartitionFilters: [CASE" in scan
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scan)[1]
+    assert "part#" in filters and "= p1" in filters
     assert "GreaterThan(v,0)" in scan and "ReadSchema: struct<k:string,v:int>" in scan
 
 
@@ -136,7 +139,7 @@ def test_summary_and_preview(spark, lake):
     lake.save(frame(spark, [(str(i).zfill(2), "p", i) for i in range(25)]))
     summary = lake.summary("numbers").first()
     assert (summary["version"], summary["n_rows"], summary["n_columns"]) == (0, 25, 3)
-    assert [r["v"] for r in lake.preview(["k"]).collect()] == list(range(10))
+    assert [(r["v"], r["place"]) for r in lake.preview(["k"]).collect()] == [(i, i + 1) for i in range(10)]
 
 
 # -- upsert ----------------------------------------------------------------
@@ -185,57 +188,84 @@ def test_upsert_by_two_keys_and_new_columns(spark, lake):
     assert rows(lake.read()) == [("a", "p", 1, None), ("a", "q", 5, "n"), ("b", "q", 6, "m")]
 
 
-def test_a_batch_is_applied_once(spark, lake):
-    lake.upsert(frame(spark, [("a", "p", 1)]), ["k"], stream=("s", 0))
-    lake.upsert(frame(spark, [("a", "p", 2)]), ["k"], stream=("s", 1))
+def test_a_batch_of_one_stream_is_appended_once(spark, lake):
+    lake.append(frame(spark, [("a", "p", 1)]), ("s", 0))
+    lake.append(frame(spark, [("b", "p", 2)]), ("s", 1))
     version = lake.version()
-    lake.upsert(frame(spark, [("a", "p", 99)]), ["k"], stream=("s", 1))
-    lake.save(frame(spark, [("z", "p", 99)]), mode="append", stream=("s", 0))
-    assert lake.version() == version and rows(lake.read()) == [("a", "p", 2)]
-    lake.upsert(frame(spark, [("a", "p", 3)]), ["k"], stream=("other", 0))
-    assert rows(lake.read()) == [("a", "p", 3)]
-
-
-def test_insert_only_upserts_do_not_gather_directories_for_ever(spark, lake):
-    for i in range(MAX_FRAGMENTS + 3):
-        lake.upsert(frame(spark, [(str(i), "p", i)]), ["k"], partition_by=["part"])
-    assert lake.read().count() == MAX_FRAGMENTS + 3
-    assert len(live_dirs(lake)) <= MAX_FRAGMENTS + 2
-
-
-def test_only_files_with_a_match_are_written_anew(spark, lake):
-    """One key in one of many files: the other files stay live as they are."""
-    data = [(f"{i:03d}", "p", i) for i in range(80)]
-    lake.save(frame(spark, data).repartition(20), sort_by=["k"])
-    (before,) = live_dirs(lake)
-    files = {f"{before}/{n}" for n in lake._files(before)}
-    lake.upsert(frame(spark, [("040", "p", -1)]), ["k"])
-    assert len(files) > MAX_FRAGMENTS + 2
-    assert len(files & live_dirs(lake)) == len(files) - 1
-    expected = [(k, p, -1 if k == "040" else v) for k, p, v in data]
-    assert rows(lake.read()) == expected
-    lake.upsert(frame(spark, [("041", "p", -2)]), ["k"])
-    expected = [(k, p, -2 if k == "041" else v) for k, p, v in expected]
-    assert rows(lake.read()) == expected
-
-
-def test_many_matching_files_are_replaced_by_directory(spark, lake, monkeypatch):
-    from matchstrata.sources import tables
-
-    monkeypatch.setattr(tables, "MAX_SINGLE_FILES", 2)
-    data = [(f"{i:03d}", "pq"[i % 2], i) for i in range(80)]
-    lake.save(frame(spark, data).repartition(8), partition_by=["part"])
-    lake.upsert(frame(spark, [("007", "q", 0)]), ["k"])
-    lake.upsert(frame(spark, [(k, p, v + 100) for k, p, v in data]), ["k"])
-    assert rows(lake.read(), "k", "part", "v") == [(k, p, v + 100) for k, p, v in data]
-
-
-def test_key_range_reaches_the_scan(spark, lake):
-    lake.save(frame(spark, [("a", "p", 1), ("b", "p", 2)]))
-    held = lake._scan(lake._state(), lake._state()["entries"], with_file=True)
-    source = frame(spark, [("b", "p", 3), ("c", "p", 3)])
-    plan = lake._within_bounds(held, source, ["k"]).select("k", "_file")._jdf.queryExecution().toString()
-    assert "GreaterThanOrEqual(k,b), LessThanOrEqual(k,c)" in plan and "ReadSchema: struct<k:string>" in plan
+    lake.append(frame(spark, [("z", "p", 99)]), ("s", 1))
+    lake.append(frame(spark, [("z", "p", 99)]), ("s", 0))
+    assert lake.version() == version
+    lake.append(frame(spark, [("c", "p", 3)]), ("another checkpoint", 0))
+    assert rows(lake.read(), "k") == [("a",), ("b",), ("c",)]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_live_directories_stay_as_many_as_partitions(spark, lake, partition_by):
+    for i in range(12):
+        lake.upsert(frame(spark, [(str(i), "pq"[i % 2], i)]), ["k"], partition_by=partition_by)
+    assert lake.read().count() == 12
+    assert len(live_dirs(lake)) == (2 if partition_by else 1)
+
+
+def test_only_touched_partitions_are_written_anew(spark, lake):
+    data = [(f"{i:03d}", "pqrs"[i % 4], i) for i in range(80)]
+    lake.save(frame(spark, data), partition_by=["part"])
+    before = live_dirs(lake)
+    # 040 moves from p to q; r and s are neither left nor entered.
+    lake.upsert(frame(spark, [("040", "q", -1)]), ["k"])
+    assert {d.rpartition("=")[2] for d in before & live_dirs(lake)} == {"r", "s"}
+    assert rows(lake.read(), "k", "part", "v") == sorted(
+        [r for r in data if r[0] != "040"] + [("040", "q", -1)], key=repr
+    )
+
+
+def test_compacting_changes_no_row(spark, lake):
+    for i in range(5):
+        lake.save(frame(spark, [(str(i), "pq"[i % 2], i)]), mode="append", partition_by=["part"])
+    held = rows(lake.read(), "k", "part", "v")
+    assert len(live_dirs(lake)) == 5
+    lake.compact()
+    assert len(live_dirs(lake)) == 2 and rows(lake.read(), "k", "part", "v") == held
+
+
+def test_a_merge_is_done_again_after_a_conflict(spark, lake, monkeypatch):
+    lake.save(frame(spark, [("a", "p", 1)]))
+    publish, others = lake._publish, iter([("b", "p", 2), ("c", "p", 3)])
+
+    def raced(state):
+        other = next(others, None)
+        if other is not None:
+            LakeTable(spark, lake.path).save(frame(spark, [other]), mode="append")
+        return publish(state)
+
+    monkeypatch.setattr(lake, "_publish", raced)
+    lake.upsert(frame(spark, [("a", "p", 9), ("d", "p", 4)]), ["k"])
+    assert rows(lake.read(), "k", "v") == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
+    tried = []
+
+    def never(state):
+        tried.append(state["version"])
+        raise VersionConflict("always")
+
+    monkeypatch.setattr(lake, "_publish", never)
+    with pytest.raises(VersionConflict):
+        lake.upsert(frame(spark, [("a", "p", 10)]), ["k"])
+    assert len(tried) == ATTEMPTS
+
+
+def test_a_gate_keeps_rows_from_being_published(spark, lake):
+    lake.save(frame(spark, [("a", "p", 1)]))
+    seen = []
+
+    def gate(written):
+        seen.extend(rows(written, "k"))
+        Contract("gate", rows={"small": "v < 5"}).enforce(written)
+
+    with pytest.raises(ContractViolation):
+        lake.upsert(frame(spark, [("b", "p", 7)]), ["k"], gate=gate)
+    assert rows(lake.read(), "k") == [("a",)] and ("b",) in seen
+    lake.upsert(frame(spark, [("b", "p", 3)]), ["k"], gate=gate)
+    assert rows(lake.read(), "k") == [("a",), ("b",)]
 
 
 def test_two_writers_of_one_version_conflict(spark, lake):
