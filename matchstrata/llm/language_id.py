@@ -31,7 +31,8 @@ RATE = 0.02
 SEED = 20_240_501
 RUN = 128  # bytes read in one go when predicting; longer texts are several runs
 RUNS_AT_ONCE = 4_096
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
+_HASHES = 1 << 30
 
 _PAD = 256
 _LETTER = re.compile(r"[A-Za-z]")
@@ -229,13 +230,19 @@ def sample_of(docs: DataFrame, lang: str = "lang") -> list[tuple[bytes, str]]:
     Ids are chosen by hash from all rows, without their texts; then a part of
     ``SAMPLE_CHARS`` characters, at a place by hash, of each chosen text is read.
     """
-    can = docs.where(F.col(lang).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(lang).alias("lang"))
-    languages = [r["lang"] for r in can.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(SAMPLE_DOCS).collect()]
+    can = docs.where(F.col(lang).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(
+        "doc_id", F.col(lang).alias("lang"), F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("hash")
+    )
+    counts = can.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = [(r["lang"], r["n"]) for r in counts.orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCS).collect()]
     if not languages:
         return []
     each = max(1, SAMPLE_DOCS // len(languages))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = can.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).select(F.col("doc_id").alias("__id")).distinct()
+    # The least hashes of a language lie below this, so what meets in one task stays about as small as the sample.
+    below = F.create_map(*[F.lit(x) for lang_, n in languages for x in (lang_, min(_HASHES, 1 + _HASHES * 4 * (each + 16) // n))])
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    ids = can.where(F.col("hash") < below[F.col("lang")]).withColumn("n", F.row_number().over(order))
+    ids = ids.where(F.col("n") <= each).select(F.col("doc_id").alias("__id")).distinct()
     ids = stage(ids, "language-sample").df
     start = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.greatest(F.char_length("text") - SAMPLE_CHARS + 1, F.lit(1))) + 1
     rows = (
