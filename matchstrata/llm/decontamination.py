@@ -33,8 +33,11 @@ def words_of(text: Column) -> Column:
 
 
 def _folded(text: Column) -> Column:
-    """As many words, in lower case throughout: enough to find candidates, and quicker."""
-    return _split(F.lower(text))
+    """As many words, in lower case throughout: enough to find candidates, and quicker.
+
+    The one letter whose lower case depends on what surrounds the word goes first.
+    """
+    return _split(F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3"))))
 
 
 def _split(text: Column) -> Column:

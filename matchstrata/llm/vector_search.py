@@ -128,7 +128,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
         for batch in batches:
             for one in range(batch.num_rows):
                 dim, q_row, q_id, q, x_row, x_id, x = (c[one] for c in batch.columns)
-                values = lambda s: getattr(s, "values", s).to_numpy(zero_copy_only=False)
+                values = lambda s: s.values.to_numpy(zero_copy_only=False)
                 dim, query_rows = dim.as_py(), values(q_row)
                 ids = x_id.values.fill_null(np.iinfo(np.int64).min).to_numpy()  # a null id comes first
                 queries, block = values(q).reshape(-1, dim), values(x).reshape(-1, dim)

@@ -276,7 +276,7 @@ COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminate
 def test_contamination_is_that_of_brute_force(spark):
     rng = random.Random(4)
     items = [(k, " ".join(words(rng, rng.choice([3, 5, 9, 10, 11, 14, 25, 60]), 200))) for k in range(25)]
-    items += [(100, "Zürich? Straße: x"), (101, ""), (102, None), (None, " ".join(words(rng, 12))), (7, " ".join(words(rng, 15))), (103, "a a a a a a a a a a a a a a")]
+    items += [(100, "Zürich? Straße: x"), (104, "ΟΔΟΣ x"), (101, ""), (102, None), (None, " ".join(words(rng, 12))), (7, " ".join(words(rng, 15))), (103, "a a a a a a a a a a a a a a")]
     rows = []
     for i in range(120):
         w = words(rng, rng.randrange(0, 60), 200)
@@ -285,7 +285,7 @@ def test_contamination_is_that_of_brute_force(spark):
             a = rng.randrange(len(v) + 1)
             w[rng.randrange(len(w) + 1) : 0] = v[a : a + rng.choice([8, 9, 10, 12, 30])]
         rows.append((i, rng.choice([" ", ", ", "--", "\n"]).join(x.upper() if rng.random() < 0.2 else x for x in w)))
-    rows += [(500, None), (501, ""), (502, "ZÜRICH straße X zürich STRAßE x"), (None, items[3][1]), (3, items[5][1]), (503, "a " * 40), rows[7]]
+    rows += [(500, None), (501, ""), (502, "ZÜRICH straße X zürich STRAßE x"), (504, "Zürich ΟΔΟΣ'x! Straße ΟΔΟΣ."), (None, items[3][1]), (3, items[5][1]), (503, "a " * 40), rows[7]]
     got = decontamination.contaminated(frame(spark, [(i, t, None) for i, t in rows]), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted(map(tuple, got.select(*COLUMNS).collect()), key=repr) == brute_hits(rows, items)
 
