@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from matchstrata.llm.tokens import slices, worker_encoder
+from matchstrata.llm.tokens import release, slices, worker_encoder
 
 WINDOW = 2048
 END_ID = 1
@@ -136,6 +136,7 @@ def pack_pieces(
     def run(batches):
         from pyspark import TaskContext
 
+        release()  # all texts are encoded by now
         held, rows = [], 0
         number = TaskContext.get().partitionId() << 40
         for batch in batches:

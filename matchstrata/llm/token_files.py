@@ -24,6 +24,9 @@ STRIPE_BYTES = 16 * 1024 * 1024
 ROWS_PER_INDEX = 1_000
 BLOOM_FALSE_POSITIVES = 0.01
 
+#: Words that a worker keeps while it writes; nothing else is in its memory then.
+KEPT_WORDS = 700_000
+
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
@@ -41,7 +44,7 @@ def encoded(docs: DataFrame, end_id: int = END_ID, vocabulary: str | None = None
     def run(batches):
         from pyspark import TaskContext
 
-        encode = worker_encoder(vocabulary)
+        encode = worker_encoder(vocabulary, KEPT_WORDS)
         end = np.array([end_id], dtype="<u4").tobytes()
         part, start = TaskContext.get().partitionId(), 0
         for batch, texts in slices(batches, 1):

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow.compute as pc
 
 #: Words whose ids one Python worker keeps, twice: those it met lately, and those before them.
-KEPT_WORDS = 700_000
-
-_DOCS_AT_ONCE = 2_048
+KEPT_WORDS = 300_000
+#: Text that is cut into words at once.
+BYTES_AT_ONCE = 4 << 20
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,7 +32,8 @@ class BulkEncoder:
     token. Texts with two white-space characters in a row are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
+        self.kept_words = kept_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
@@ -77,7 +79,7 @@ class BulkEncoder:
         """The ids of each text; null counts as empty."""
         # A line end is put before each text, so that all pieces are led by white space.
         pieces = [("\n" + (text or "")).replace("\n", " \n").split(" ")[1:] for text in texts]
-        if len(self.known) > KEPT_WORDS:
+        if len(self.known) > self.kept_words:
             self.known, self.before = {}, self.known
         new = set().union(*pieces) - self.known.keys()
         if new:
@@ -91,20 +93,29 @@ class BulkEncoder:
         return out
 
 
-def slices(batches, text_at: int) -> "Iterator":  # noqa: F821
-    """Record batches in short runs, so that few encoded texts are held at once."""
+def slices(batches, text_at: int) -> Iterator:
+    """Record batches in short runs of about ``BYTES_AT_ONCE``, so that few texts are held at once."""
     for batch in batches:
-        for start in range(0, batch.num_rows, _DOCS_AT_ONCE):
-            part = batch.slice(start, _DOCS_AT_ONCE)
-            yield part, part.column(text_at).to_pylist()
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text_at)), 0)).astype(np.int64)
+        run = np.cumsum(sizes) // BYTES_AT_ONCE
+        starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(starts, starts[1:], strict=False):
+            if end > start:
+                part = batch.slice(start, end - start)
+                yield part, part.column(text_at).to_pylist()
 
 
-def worker_encoder(path: str | None) -> Callable[[list[str | None]], list[bytes]]:
+def worker_encoder(path: str | None, kept_words: int = KEPT_WORDS) -> Callable[[list[str | None]], list[bytes]]:
     """The encoder of this Python worker for a vocabulary file, built once."""
-    path = path or vocabulary_path()
-    if path not in _ENCODERS:
-        _ENCODERS[path] = BulkEncoder(path)
-    return _ENCODERS[path].encode
+    key = (path or vocabulary_path(), kept_words)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = BulkEncoder(*key)
+    return _ENCODERS[key].encode
+
+
+def release() -> None:
+    """Give back the words that this Python worker keeps."""
+    _ENCODERS.clear()
 
 
-_ENCODERS: dict[str, BulkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], BulkEncoder] = {}
