@@ -48,6 +48,7 @@ def cut_documents(
                 ],
                 names=["doc_id", "start", "length", "doc_tokens", "ids"],
             )
+        release()  # the worker lives on, and other operators need its memory
 
     return rows.mapInArrow(run, PIECE_SCHEMA)
 
@@ -136,7 +137,6 @@ def pack_pieces(
     def run(batches):
         from pyspark import TaskContext
 
-        release()  # all texts are encoded by now
         held, rows = [], 0
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
