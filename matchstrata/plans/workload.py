@@ -714,15 +714,15 @@ def event_messages(spark, sf) -> DataFrame:
     )
 
 
-_FILES = 3
+_PARTS = 3
 
 
-def _landed_messages(spark, sf, where: str = "true") -> str:
-    """Messages as files in the order of their arrival."""
-    landed = scratch_path(spark, "messages")
-    sent = event_messages(spark, sf).where(where)
-    sent.repartitionByRange(_FILES, "timestamp").write.json(landed)
-    return landed
+def _land_part(spark, sf, landed: str, part: int) -> None:
+    """The messages of one third of the time, as further files of the folder."""
+    last = _read(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
+    third = F.floor(F.col("event_id") * _PARTS / (last + 1))
+    ids = _read(spark, sf, "events").where(third == part).select(F.timestamp_seconds("event_id").alias("timestamp"))
+    event_messages(spark, sf).join(ids, "timestamp", "left_semi").write.mode("append").json(landed)
 
 
 def _new_sink(spark) -> BronzeStream:
@@ -731,10 +731,12 @@ def _new_sink(spark) -> BronzeStream:
 
 
 def _run_stream(spark, sf) -> BronzeStream:
-    """A file a micro-batch: later batches merge into what earlier ones left."""
-    sink = _new_sink(spark)
-    stream = messages.file_stream(spark, _landed_messages(spark, sf), files_per_batch=1)
-    sink.start(stream, scratch_path(spark, "checkpoint")).awaitTermination()
+    """A micro-batch for each part that lands: later ones merge into what earlier ones left."""
+    sink, landed, checkpoint = _new_sink(spark), scratch_path(spark, "messages"), scratch_path(spark, "checkpoint")
+    for part in range(_PARTS):
+        _land_part(spark, sf, landed, part)
+        stream = messages.file_stream(spark, landed, files_per_batch=10_000)
+        sink.start(stream, checkpoint).awaitTermination()
     return sink
 
 
@@ -742,8 +744,9 @@ def _resumed_stream(spark, sf) -> BronzeStream:
     """Half of the messages under one checkpoint, the rest under a fresh one."""
     sink = _new_sink(spark)
     for half in ("partition < 2", "partition >= 2"):
-        stream = messages.file_stream(spark, _landed_messages(spark, sf, half))
-        sink.start(stream, scratch_path(spark, "checkpoint")).awaitTermination()
+        landed = scratch_path(spark, "messages")
+        event_messages(spark, sf).where(half).write.json(landed)
+        sink.start(messages.file_stream(spark, landed), scratch_path(spark, "checkpoint")).awaitTermination()
     return sink
 
 
