@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids one Python worker keeps, twice: those it met lately, and those before them.
@@ -114,8 +116,12 @@ def worker_encoder(path: str | None, kept_words: int = KEPT_WORDS) -> Callable[[
 
 
 def release() -> None:
-    """Give back the words that this Python worker keeps."""
+    """Give back the words that this Python worker keeps, and the memory freed with them."""
     _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 _ENCODERS: dict[tuple[str, int], BulkEncoder] = {}
