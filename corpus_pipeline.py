@@ -22,7 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated long lines go; a document that consists of nothing else goes as a whole."""
     kept = line_dedup.dedup_lines(docs)
-    emptied = (F.col("n_equal") + F.col("n_near") > 0) & (F.trim("text") == "")
+    emptied = (F.col("n_equal") + F.col("n_near") > 0) & ~F.col("text").rlike(r"\S")  # blank lines may be left
     changed = F.col("n_equal") + F.col("n_near") > 0
     counted = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.where(~emptied | F.col("text").isNull()).withColumn("n_chars", counted).select(*docs.columns)

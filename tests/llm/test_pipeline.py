@@ -73,6 +73,14 @@ def test_stages_are_those_of_brute_force(spark, tmp_path):
     assert all(r["ids_crc32"] == zlib.crc32(r["ids"]) for r in packed)
 
 
+def test_copies_of_paragraphs_parted_by_blank_lines_go_as_a_whole(spark):
+    text = "\n\n".join(" ".join([w] * 12) for w in ("first", "second", "third"))
+    rows = [(1, text), (2, text), (3, text.replace("\n\n", "\n \t\n\n")), (4, "\n\n"), (5, text + "\n\nan end of its own"), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.distinct_lines(spark, docs, "").collect()}
+    assert set(kept) == {1, 4, 5, 6} and kept[1] == text and kept[5].strip() == "an end of its own"
+
+
 def test_run_is_all_stages(spark, tmp_path):
     docs, items = corpus()
     sf = write(spark, tmp_path, docs[:60], items)
