@@ -9,7 +9,7 @@ import numpy as np
 from matchstrata.llm import language_id
 from matchstrata.llm.queries import oracle_sql, queries
 from matchstrata.llm.tokens import vocabulary_path
-from test_text_operators import LETTERS, brute_hits, brute_join, brute_lines
+from test_text_operators import LETTERS, brute_hits, brute_join, brute_lines, near_copies, union_find
 from tokenizers import Tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -81,6 +81,25 @@ def test_copies_of_paragraphs_parted_by_blank_lines_go_as_a_whole(spark):
     assert set(kept) == {1, 4, 5, 6} and kept[1] == text and kept[5].strip() == "an end of its own"
 
 
+def brute_similar(rows, words, percent):
+    """Ids of the documents that stay: without words, or the first of those that links reach."""
+    split = [(t or "").split() for _, t in rows]
+    sets = [{tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set() for w in split]
+    near = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    reached = union_find([(x, y) for x in range(len(rows)) for y in range(x) if near(sets[x], sets[y])])
+    return {i for k, (i, _) in enumerate(rows) if reached.get(k, k) == k}
+
+
+def test_similar_documents_share_four_fifths_of_five_word_shingles(spark):
+    base = [f"w{k}" for k in range(100)]
+    texts = [" ".join(base), " ".join("other" if k in (30, 60) else w for k, w in enumerate(base)), "", None]
+    rows = list(enumerate(texts + near_copies(9, 12, 5, 100, 4) + near_copies(10, 10, 4, 40, 2)))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3)
+    kept = {r["doc_id"] for r in corpus_pipeline.one_of_similar(spark, docs, "").collect()}
+    assert kept == brute_similar(rows, 5, 80) and {0, 2, 3} <= kept and 1 not in kept
+    assert kept < brute_similar(rows, 3, 90)
+
+
 def test_run_is_all_stages(spark, tmp_path):
     docs, items = corpus()
     sf = write(spark, tmp_path, docs[:60], items)
