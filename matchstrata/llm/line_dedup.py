@@ -140,14 +140,14 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
 def _counts(line: Column) -> dict[str, Column]:
     """How often each of some characters occurs. ``edits`` edits change the counts by twice that together."""
     size = F.octet_length(line)
-    return {f"c{k}": (size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("short") for k, c in enumerate(_COUNTED)}
+    return {f"c{k}": size - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for k, c in enumerate(_COUNTED)}
 
 
 def _alike(a: str, b: str, edits: int) -> Column:
     """Whether the counts and lengths of two lines allow ``edits`` edits."""
     apart = F.lit(0)
     for k in range(len(_COUNTED)):
-        apart = apart + F.abs(F.col(f"{a}.c{k}").cast("int") - F.col(f"{b}.c{k}").cast("int"))
+        apart = apart + F.abs(F.col(f"{a}.c{k}") - F.col(f"{b}.c{k}"))
     return (apart <= 2 * edits) & (F.abs(F.col(f"{a}.length") - F.col(f"{b}.length")) <= edits)
 
 

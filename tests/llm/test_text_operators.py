@@ -247,6 +247,13 @@ def test_lines_keep_all_columns(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_with_more_of_one_character_than_a_short_holds(spark):
+    line = " ".join("x" * 32_768)  # 32,767 spaces
+    docs = frame(spark, [(1, line, None), (2, line + " y", None), (3, line[:-1] + "z", None)])
+    got = {r["doc_id"]: (r["text"], r["n_near"]) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (line, 0), 2: ("", 1), 3: ("", 1)}
+
+
 # Decontamination
 
 def brute_hits(rows, items):
