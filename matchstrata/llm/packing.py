@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from matchstrata.llm.tokens import release, slices, worker_encoder
+from matchstrata.llm.tokens import slices, trim, worker_encoder
 
 WINDOW = 2048
 END_ID = 1
@@ -32,23 +32,29 @@ def cut_documents(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches):
-        encode = worker_encoder(vocabulary)
-        end = np.array([end_id], dtype="<u4").tobytes()
-        for batch, texts in slices(batches, 1):
-            raw = [x + end for x in encode(texts)]
-            at = [(k, s) for k, x in enumerate(raw) for s in range(0, len(x), 4 * window)]
-            pieces = [raw[k][s : s + 4 * window] for k, s in at]
+        encoder = worker_encoder(vocabulary)
+        for batch in slices(batches, 1):
+            ids, counts = encoder.encode(batch.column(1), end_id)
+            n_pieces = -(-counts // window)
+            owner = np.repeat(np.arange(len(counts)), n_pieces)
+            number = np.arange(len(owner)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+            start = number * window
+            length = np.minimum(window, counts[owner] - start)
+            edges = np.concatenate([[0], 4 * np.cumsum(length)])
+            raw = pa.py_buffer(np.ascontiguousarray(ids, "<u4"))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array([k for k, _ in at], pa.int32())),
-                    pa.array([s // 4 for _, s in at], pa.int64()),
-                    pa.array([len(p) // 4 for p in pieces], pa.int64()),
-                    pa.array([len(raw[k]) // 4 for k, _ in at], pa.int64()),
-                    pa.array(pieces, pa.binary()),
+                    batch.column(0).take(pa.array(owner)),
+                    pa.array(start),
+                    pa.array(length),
+                    pa.array(counts[owner]),
+                    pa.Array.from_buffers(
+                        pa.binary(), len(owner), [None, pa.py_buffer(edges.astype(np.int32)), raw]
+                    ),
                 ],
                 names=["doc_id", "start", "length", "doc_tokens", "ids"],
             )
-        release()  # the worker lives on, and other operators need its memory
+        trim()
 
     return rows.mapInArrow(run, PIECE_SCHEMA)
 

@@ -17,16 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchstrata.llm.tokens import slices, worker_encoder
+from matchstrata.llm.tokens import slices, trim, worker_encoder
 
 END_ID = 0
 STRIPE_BYTES = 16 * 1024 * 1024
 ROWS_PER_INDEX = 1_000
 BLOOM_FALSE_POSITIVES = 0.01
 
-#: Words that a worker keeps while it writes; nothing else is in its memory then.
-KEPT_WORDS = 700_000
-
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
@@ -44,21 +41,18 @@ def encoded(docs: DataFrame, end_id: int = END_ID, vocabulary: str | None = None
     def run(batches):
         from pyspark import TaskContext
 
-        encode = worker_encoder(vocabulary, KEPT_WORDS)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        encoder = worker_encoder(vocabulary)
         part, start = TaskContext.get().partitionId(), 0
-        for batch, texts in slices(batches, 1):
-            raw = [x + end for x in encode(texts)]
-            n = np.fromiter((len(x) // 4 for x in raw), np.int64, len(raw))
+        for batch in slices(batches, 1):
+            flat, n = encoder.encode(batch.column(1), end_id)
             ends = np.cumsum(n)
             ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                pa.array(np.frombuffer(b"".join(raw), dtype="<i4")),
+                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat.view("<i4"))
             )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(np.full(len(raw), part, np.int32)),
+                    pa.array(np.full(len(n), part, np.int32)),
                     pa.array(start + ends - n),
                     pa.array(n),
                     ids,
@@ -66,6 +60,7 @@ def encoded(docs: DataFrame, end_id: int = END_ID, vocabulary: str | None = None
                 names=["doc_id", "part", "part_start", "n_tokens", "ids"],
             )
             start += int(ends[-1])
+        trim()
 
     return ranged.mapInArrow(run, FILE_SCHEMA)
 
@@ -98,7 +93,7 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
     if doc_ids is not None:
         stored = stored.where(F.col("doc_id").isin(list(doc_ids)))
     return (
-        stored.join(F.broadcast(starts), "part")
+        stored.join(starts, "part")  # a row per file: broadcast while Catalyst finds it small
         .withColumn("start", F.col("file_start") + F.col("part_start"))
         .drop("file_start")
     )

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import ctypes
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words whose ids one Python worker keeps, twice: those it met lately, and those before them.
-KEPT_WORDS = 300_000
+#: Words that one Python worker keeps between batches, with their ids. Beyond them it keeps the last batch's.
+KEPT_WORDS = 1_000_000
 #: Text that is cut into words at once.
-BYTES_AT_ONCE = 4 << 20
-
+BYTES_AT_ONCE = 8 << 20
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
@@ -22,106 +22,212 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@dataclass
+class _Words:
+    """Words, how many ids each has, and all ids one after the other."""
+
+    words: pa.Array
+    sizes: np.ndarray
+    ids: np.ndarray
+
+    def with_more(self, other: _Words) -> _Words:
+        if not len(other.words):
+            return self
+        return _Words(
+            pa.concat_arrays([self.words, other.words]),
+            np.concatenate([self.sizes, other.sizes]),
+            np.concatenate([self.ids, other.ids]),
+        )
+
+    def taken(self, words: pa.Array, place: np.ndarray, usable: np.ndarray) -> _Words:
+        """The entries at ``place`` under the names ``words``; those not ``usable`` without ids."""
+        if not len(self.words):
+            return _Words(words, np.zeros(len(words), np.int32), np.zeros(0, "<u4"))
+        sizes = np.where(usable, self.sizes[place], 0)
+        return _Words(words, sizes, _gathered(_Words(self.words, self.sizes, self.ids), place[usable]))
+
+    def whole(self, usable: np.ndarray) -> _Words:
+        return _Words(self.words.filter(pa.array(usable)), self.sizes[usable], self.ids)
+
+
+def _gathered(of: _Words, place: np.ndarray) -> np.ndarray:
+    """The ids of the words at ``place``, one word after the other."""
+    starts = np.cumsum(of.sizes, dtype=np.int64) - of.sizes
+    each = of.sizes[place]
+    before = np.cumsum(each, dtype=np.int64) - each
+    total = int(each.sum())
+    return of.ids[np.repeat(starts[place] - before, each) + np.arange(total)]
+
+
 class BulkEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids.
+    """Encodes texts to unsigned 32-bit ids, as the library gives them for the whole text.
 
     The vocabulary's splitting rule never lets a token reach over a space that
     has a non-space character on both sides, except as the token's first
     character; a line end between two such characters is a token of its own. So
     the ids of a text are those of its pieces, each led by a space or a line end,
-    one after the other, and a piece that occurs again is looked up. New pieces
-    go to the library joined as one text, cut again by the byte length of each
-    token. Texts with two white-space characters in a row are encoded whole.
+    one after the other. The pieces of a batch are told apart by a dictionary
+    encoding; only pieces not met lately go to the library, joined as one text
+    and cut again by the byte length of each token; the ids of the batch are then
+    gathered at once. Texts with two white-space characters in a row, or with the
+    name of an added token, are encoded whole.
     """
 
     def __init__(self, path: str, kept_words: int = KEPT_WORDS):
-        self.kept_words = kept_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
+        self.kept_words = kept_words
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True  # for pieces: their texts hold no such name
+        if hasattr(self.plain.model, "_resize_cache"):
+            self.plain.model._resize_cache(0)  # it gets new pieces only
         size = self.tokenizer.get_vocab_size()
         # A byte-level token shows each of its bytes as one character.
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], dtype=np.int64)
-        self.stops = {c: self.whole(c) for c in ",."}
-        self.line_end = self.whole("\n")
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        if not text:
-            return b""
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(found.ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        """Look up or encode ``words``; those with more white space at an end stay unknown."""
-        known, stops = self.known, self.stops
-        again = words & self.before.keys()
-        known.update(zip(again, map(self.before.__getitem__, again), strict=True))
-        stopped = [w for w in words - again if w[-1:] in stops and w[-2:-1].isalpha()]
-        plain = (words - again).difference(stopped).union([w[:-1] for w in stopped])
-        new = [
-            w
-            for w in plain - known.keys()
-            if w and not (w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1:2].isspace())))
-        ]
-        if new:
-            led = [w if w[0] == "\n" else " " + w for w in new]
-            raw = self.whole("".join(led))
-            lengths = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in led), np.int64, len(new))
-            token_ends = np.cumsum(self.n_bytes[np.frombuffer(raw, "<u4")])
-            cuts = (4 * (np.searchsorted(token_ends, np.cumsum(lengths)) + 1)).tolist()
-            known.update({w: raw[a:b] for w, a, b in zip(new, [0, *cuts], cuts, strict=False)})
+        self.stops = {c: self._ids(self.plain, c)[0] for c in ",."}
+        self.line_end = len(self._ids(self.plain, "\n"))
+        self.known = _Words(pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, "<u4"))
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        found = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, dtype="<u4")
+
+    def _learnt(self, words: pa.Array) -> _Words:
+        """Different words, each led by a space or a line end, with the ids of the library."""
+        if not len(words):
+            return _Words(words, np.zeros(0, np.int32), np.zeros(0, "<u4"))
+        led = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise(" ", words, ""))
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(led)], led), "")[0].as_py()
+        ids = self._ids(self.plain, text)
+        ends = np.cumsum(np.asarray(pc.binary_length(led)), dtype=np.int64)
+        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
+        return _Words(words, np.diff(cuts, prepend=0).astype(np.int32), ids)
+
+    def _looked_up(self, words: pa.Array) -> tuple[_Words, np.ndarray]:
+        """``words`` (all different) with their ids, and which of them are no pieces: those
+        with more white space at an end, and the empty one."""
+        first, second = (pc.utf8_slice_codeunits(words, k, k + 1) for k in (0, 1))
+        broken = np.asarray(
+            pc.or_(
+                pc.or_(pc.equal(words, ""), pc.utf8_is_space(pc.utf8_slice_codeunits(words, -1))),
+                pc.and_(
+                    pc.utf8_is_space(first), pc.or_(pc.not_equal(first, "\n"), pc.utf8_is_space(second))
+                ),
+            )
+        )
+        at = pc.index_in(words, value_set=self.known.words)
+        new = np.asarray(at.is_null()) & ~broken
+        learnt = self._learnt(words.filter(pa.array(new)))
+        everything = self.known.with_more(learnt)
+        place = np.asarray(pc.fill_null(at, 0)).astype(np.int64)
+        place[new] = len(self.known.words) + np.arange(len(learnt.words))
+        found = everything.taken(words, place, ~broken)
+        self.known = everything if len(everything.words) <= self.kept_words else found.whole(~broken)
+        return found, broken
+
+    def _pieces(self, words: pa.Array) -> tuple[_Words, np.ndarray]:
+        """Ids of different pieces, and which are none (see ``_looked_up``)."""
         # A full stop or comma after a letter, before a space or line end, is a token of its own.
-        known.update({w: known[w[:-1]] + stops[w[-1]] for w in stopped if w[:-1] in known})
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; null counts as empty."""
+        ends = pc.utf8_slice_codeunits(words, -1)
+        lettered = pc.utf8_is_alpha(pc.utf8_slice_codeunits(words, -2, -1))
+        stop_id = np.full(len(words), -1, np.int64)
+        for c, one in self.stops.items():
+            stop_id[np.asarray(pc.and_(pc.equal(ends, c), lettered))] = one
+        stopped = stop_id >= 0
+        stems = pc.if_else(pa.array(stopped), pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        found, broken = self._looked_up(stems.dictionary)
+        at = np.asarray(stems.indices)
+        base = found.taken(words, at.astype(np.int64), ~broken[at])
+        sizes = base.sizes + stopped
+        ids = np.empty(int(sizes.sum()), "<u4")
+        last = np.cumsum(sizes)[stopped] - 1
+        room = np.ones(len(ids), bool)
+        room[last] = False
+        ids[last] = stop_id[stopped]
+        ids[room] = base.ids
+        return _Words(words, sizes, ids), broken[at]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has. Null counts as empty.
+
+        ``end_id`` is put behind each text.
+        """
+        n = len(texts)
+        if not n:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = pc.fill_null(texts.cast(pa.string()), "")
         # A line end is put before each text, so that all pieces are led by white space.
-        pieces = [("\n" + (text or "")).replace("\n", " \n").split(" ")[1:] for text in texts]
-        if len(self.known) > self.kept_words:
-            self.known, self.before = {}, self.known
-        new = set().union(*pieces) - self.known.keys()
-        if new:
-            self._learn(new)
-        found, skip, out = self.known.__getitem__, len(self.line_end), []
-        for text, words in zip(texts, pieces, strict=True):
-            try:
-                out.append(b"".join(map(found, words))[skip:])
-            except KeyError:  # white space beside white space, or at an end, or no text
-                out.append(self.whole(text or ""))
-        return out
-
-
-def slices(batches, text_at: int) -> Iterator:
-    """Record batches in short runs of about ``BYTES_AT_ONCE``, so that few texts are held at once."""
+        led = pc.binary_join_element_wise("\n", texts, "")
+        lists = pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " ")
+        offsets = np.asarray(lists.offsets).astype(np.int64)
+        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets -= offsets[0]
+        inside = np.ones(len(flat), bool)
+        inside[offsets[:-1]] = False  # what lies before the line end put in front
+        pieces = np.asarray(flat.indices)[inside]
+        bounds = offsets - np.arange(n + 1)
+        found, broken = self._pieces(flat.dictionary)
+        odd = np.zeros(n, bool)
+        if broken.any():
+            odd |= np.add.reduceat(broken[pieces], bounds[:-1]) > 0
+        for name in self.added:
+            odd |= np.asarray(pc.match_substring(texts, name))
+        before = np.concatenate([[0], np.cumsum(found.sizes[pieces])])
+        all_ids = _gathered(found, pieces)
+        edges = before[bounds]
+        skip = self.line_end
+        tail = np.array([] if end_id is None else [end_id], "<u4")
+        if odd.any():
+            whole = self._whole([texts[k].as_py() for k in np.flatnonzero(odd).tolist()])
+            each_text = [
+                next(whole) if odd[k] else all_ids[edges[k] + skip : edges[k + 1]] for k in range(n)
+            ]
+            counts = np.fromiter(map(len, each_text), np.int64, n) + len(tail)
+            return np.concatenate([p for x in each_text for p in (x, tail)]), counts
+        counts = edges[1:] - edges[:-1] - skip
+        kept = np.ones(len(all_ids), bool)
+        for k in range(skip):
+            kept[edges[:-1] + k] = False
+        all_ids = all_ids[kept]
+        if len(tail):
+            all_ids = np.insert(all_ids, np.cumsum(counts), tail[0])
+        return all_ids, counts + len(tail)
+
+    def _whole(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for text in texts:  # one at a time: an encoding holds much more than the ids
+            yield self._ids(self.tokenizer, text)
+
+
+def slices(batches, text_at: int) -> Iterator[pa.RecordBatch]:
+    """Record batches in short runs of about ``BYTES_AT_ONCE`` of text, so that few texts are held at once."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text_at)), 0)).astype(np.int64)
         run = np.cumsum(sizes) // BYTES_AT_ONCE
         starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
         for start, end in zip(starts, starts[1:], strict=False):
             if end > start:
-                part = batch.slice(start, end - start)
-                yield part, part.column(text_at).to_pylist()
+                yield batch.slice(start, end - start)
 
 
-def worker_encoder(path: str | None, kept_words: int = KEPT_WORDS) -> Callable[[list[str | None]], list[bytes]]:
+def worker_encoder(path: str | None) -> BulkEncoder:
     """The encoder of this Python worker for a vocabulary file, built once."""
-    key = (path or vocabulary_path(), kept_words)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = BulkEncoder(*key)
-    return _ENCODERS[key].encode
+    path = path or vocabulary_path()
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = BulkEncoder(path)
+    return _ENCODERS[path]
 
 
-def release() -> None:
-    """Give back the words that this Python worker keeps, and the memory freed with them."""
-    _ENCODERS.clear()
+def trim() -> None:
+    """Give memory that was freed back to the system; the Python worker lives on, others need it."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-    if trim is not None:
-        trim(0)
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if release is not None:
+        release(0)
 
 
-_ENCODERS: dict[tuple[str, int], BulkEncoder] = {}
+_ENCODERS: dict[str, BulkEncoder] = {}

@@ -5,6 +5,7 @@ import zlib
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 
@@ -18,7 +19,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long, shar
 TEXTS = [
     "The cat, the dog.\nThe  end \n here ", None, "", " lead", "one", "a\t b", "tail \n", "<|endoftext|> it's",
     "Über  größe 12 34", "x" * 5000, " ".join(f"word{i % 90}" for i in range(9000)), "one", "\n\n a", "é　 b",
-    "mixed \n\n  lines\n of text", "'s 're", "a \nb", "b\n", "b\n\n",
+    "mixed \n\n  lines\n of text", "'s 're", "end <|endoftext|> start", "<|endoftext|><|endoftext|>\n", "<|endof text|>", "a \nb", "b\n", "b\n\n",
 ]
 
 
@@ -32,7 +33,6 @@ def documents(spark, texts=TEXTS):
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(vocabulary_path())
-    tokenizer.encode_special_tokens = True
     return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
@@ -43,8 +43,23 @@ def test_bulk_encoder_is_the_tokenizer(plain):
     texts = TEXTS + ["".join(rng.choice(parts, 12)) for _ in range(3000)]
     for start in range(0, len(texts), 100):
         part = texts[start : start + 100]
-        for text, ids in zip(part, encoder.encode(part), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == plain(text), repr(text)
+        ids, counts = encoder.encode(pa.array(part), 7)
+        ends = np.cumsum(counts)
+        for text, a, b in zip(part, ends - counts, ends, strict=True):
+            assert ids[a:b].tolist() == plain(text) + [7], repr(text)
+    assert [len(x) for x in encoder.encode(pa.array([], pa.string()))] == [0, 0]
+    assert plain("end <|endoftext|> start")[2] == 50256
+
+
+def test_bulk_encoder_forgets_words_and_stays_right(plain):
+    encoder = BulkEncoder(vocabulary_path(), kept_words=50)
+    rng = np.random.default_rng(6)
+    for _ in range(8):
+        texts = [" ".join(f"{rng.choice(['w', 'Zug', 'é'])}{rng.integers(200)}{rng.choice(['', '.', ','])}" for _ in range(60)) for _ in range(3)]
+        ids, counts = encoder.encode(pa.array(texts))
+        assert ids.tolist() == [x for t in texts for x in plain(t)]
+        assert counts.tolist() == [len(plain(t)) for t in texts]
+        assert len(encoder.known.words) <= 200
 
 
 def test_token_files_hold_every_id(spark, plain):
@@ -69,16 +84,65 @@ def test_token_files_hold_every_id(spark, plain):
         assert crc[(r["doc_id"], r["start"])] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
 
 
-def test_token_files_are_indexed_orc(spark):
-    docs, _ = documents(spark)
+def _bloom_streams(spark, file):
+    """Bloom filter streams of each stripe of an ORC file, with the column they are for."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    conf = spark._jsc.hadoopConfiguration()
+    reader = jvm.org.apache.orc.OrcFile.createReader(path, jvm.org.apache.orc.OrcFile.readerOptions(conf))
+    names = list(reader.getSchema().getFieldNames())
+    found = []
+    rows = reader.rows()
+    for stripe in reader.getStripes():
+        footer = rows.readStripeFooter(stripe)
+        found.append({names[s.getColumn() - 1] for s in footer.getStreamsList() if "BLOOM" in s.getKind().toString()})
+    rows.close()
+    return found
+
+
+def test_token_files_have_stripes_row_indexes_and_bloom_filters(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
     path = scratch_path(spark, "test-tokens")
-    token_files.write_tokens(docs, path)
+    token_files.write_tokens(docs.coalesce(2), path)
     import glob
 
     files = sorted(glob.glob(path.removeprefix("file://") + "/*.orc"))
     assert files
-    assert any(orc.ORCFile(f).nstripes >= 1 and orc.ORCFile(f).row_index_stride == token_files.ROWS_PER_INDEX for f in files)
-    assert b"orc" in open(files[0], "rb").read()[:3].lower()
+    for f in files:
+        assert orc.ORCFile(f).row_index_stride == token_files.ROWS_PER_INDEX
+        streams = _bloom_streams(spark, f)
+        assert streams and all(s == {"doc_id"} for s in streams)
+
+
+def _read_rows(df):
+    """Rows that the file scans of a frame hand on, after it ran."""
+    df.collect()
+    plan, total, stack = df._jdf.queryExecution().executedPlan(), 0, []
+    stack.append(plan)
+    while stack:
+        node = stack.pop()
+        if "Adaptive" in node.nodeName():
+            stack.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+        elif node.nodeName().startswith("Scan") and node.metrics().contains("numOutputRows"):
+            total += node.metrics().apply("numOutputRows").value()
+        else:
+            children = node.children()
+            stack += [children.apply(k) for k in range(children.size())]
+    return total
+
+
+def test_a_look_up_reads_few_row_groups(spark):
+    n = 40_000
+    docs = spark.range(n).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    path = scratch_path(spark, "test-tokens")
+    token_files.write_tokens(docs, path)
+    stored = spark.read.schema(token_files.FILE_SCHEMA).orc(path)
+    assert _read_rows(stored.where(F.col("doc_id").isin(10, 20_002, 60_004))) <= 4 * token_files.ROWS_PER_INDEX
+    # Odd ids lie inside every file's range, but in no Bloom filter.
+    assert _read_rows(stored.where(F.col("doc_id") == 30_001)) <= token_files.ROWS_PER_INDEX
+    assert token_files.read_tokens(spark, path, [10, 20_002, 60_004]).count() == 3
 
 
 def test_packing_covers_each_id_once(spark, plain):
