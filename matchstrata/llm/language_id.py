@@ -16,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchstrata.llm.common import small
+from matchstrata.llm.tokens import trim
 from matchstrata.session import stage
 
 UNKNOWN = "und"
 HIDDEN = 8
-#: Labelled documents used for training, over all languages, and the characters taken from each.
+#: Labelled documents used for training (one of each language at least, whatever their number),
+#: and the characters taken from each.
 SAMPLE_DOCS = 1_600
 SAMPLE_CHARS = 600
 TRAIN_RUN = 48
@@ -30,7 +31,7 @@ TRAIN_STEPS = 260
 RATE = 0.02
 SEED = 20_240_501
 RUN = 128  # bytes read in one go when predicting; longer texts are several runs
-RUNS_AT_ONCE = 4_096
+RUNS_AT_ONCE = 1_024
 LEAST_SCORE = 0.4
 _HASHES = 1 << 30
 
@@ -123,14 +124,19 @@ def new_network(languages: list[str], rng: np.random.Generator, hidden: int = HI
 
 
 def train(samples: list[tuple[bytes, str]], steps: int = TRAIN_STEPS, seed: int = SEED) -> Network:
-    """Adam on random runs of the samples, all languages equally often."""
+    """Adam on random runs of the samples, all languages equally often.
+
+    The labels go round from step to step, so languages beyond the size of a batch
+    take part too; the steps grow with their number.
+    """
     rng = np.random.default_rng(seed)
     languages = sorted({lang for _, lang in samples})
     net = new_network(languages, rng)
     texts = [[np.frombuffer(raw, np.uint8) for raw, lang in samples if lang == one and raw] for one in languages]
     first, second = [np.zeros_like(p) for p in net.parts()], [np.zeros_like(p) for p in net.parts()]
+    steps = max(steps, -(-steps * len(languages) // TRAIN_BATCH))
     for step in range(1, steps + 1):
-        labels = np.arange(TRAIN_BATCH) % len(languages)
+        labels = ((step - 1) * TRAIN_BATCH + np.arange(TRAIN_BATCH)) % len(languages)
         runs = np.full((TRAIN_BATCH, TRAIN_RUN), _PAD, np.int64)
         for k, label in enumerate(labels):
             raw = texts[label][rng.integers(len(texts[label]))]
@@ -181,19 +187,29 @@ class Reader:
             h = new
         return out
 
-    def positions(self, runs: np.ndarray) -> np.ndarray:
-        """Label distribution of every position of every run: run, position, language."""
+    def positions(self, runs: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+        """Label distribution of every position of every run: run, position, language.
+
+        A run may be shorter than the others, with anything behind it: the backward
+        reading starts at its own end, so it does not depend on its neighbours.
+        """
         columns = np.ascontiguousarray(runs.T)
+        steps, n = columns.shape
+        turned = None
+        if lengths is not None and (lengths != steps).any():
+            turned = (lengths[None, :] - 1 - np.arange(steps)[:, None]) % steps, np.arange(n)[None, :]
         forward = self._one_way(columns, 0)
         scores = forward.reshape(-1, self.h) @ self.out[0]
         del forward
-        backward = self._one_way(columns[::-1], 1)[::-1]
-        scores += np.ascontiguousarray(backward).reshape(-1, self.h) @ self.out[1]
+        backward = self._one_way(columns[::-1] if turned is None else columns[turned], 1)
+        back = (backward.reshape(-1, self.h) @ self.out[1]).reshape(steps, n, -1)
+        del backward
+        scores += (back[::-1] if turned is None else back[turned]).reshape(steps * n, -1)
         scores += self.bias
         scores -= scores.max(axis=1, keepdims=True)
         np.exp(scores, out=scores)
         scores /= scores.sum(axis=1, keepdims=True)
-        return scores.reshape(len(columns), len(runs), -1).transpose(1, 0, 2)
+        return scores.reshape(steps, n, -1).transpose(1, 0, 2)
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Mean distribution over all positions of each text; zeros for an empty text."""
@@ -214,7 +230,7 @@ class Reader:
             inside = np.arange(width)[None, :] < length[some, None]
             at = np.minimum(begin[some, None] + np.arange(width)[None, :], len(flat) - 1)
             runs = np.where(inside, flat[at], _PAD).astype(np.int64)
-            p = self.positions(runs)
+            p = self.positions(runs, length[some])
             sums = np.einsum("ntl,nt->nl", p, inside.astype(np.float32))
             np.add.at(total, owner[some], sums)
         return total / np.maximum(sizes, 1)[:, None]
@@ -225,16 +241,17 @@ def has_letter(text: str | None) -> bool:
 
 
 def sample_of(docs: DataFrame, lang: str = "lang") -> list[tuple[bytes, str]]:
-    """At most ``SAMPLE_DOCS`` labelled documents that are not held out, evenly over languages.
+    """``SAMPLE_DOCS`` labelled documents that are not held out, evenly over languages, each with one at least.
 
     Ids are chosen by hash from all rows, without their texts; then a part of
     ``SAMPLE_CHARS`` characters, at a place by hash, of each chosen text is read.
     """
-    can = docs.where(F.col(lang).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(
-        "doc_id", F.col(lang).alias("lang"), F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("hash")
+    docs = docs.select("doc_id", F.col(lang).alias("lang"), "text").where("lang IS NOT NULL")
+    can = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select(
+        "doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("hash")
     )
     counts = can.groupBy("lang").agg(F.count("*").alias("n"))
-    languages = [(r["lang"], r["n"]) for r in counts.orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCS).collect()]
+    languages = [(r["lang"], r["n"]) for r in counts.orderBy(F.desc("n"), "lang").collect()]  # the labels to learn
     if not languages:
         return []
     each = max(1, SAMPLE_DOCS // len(languages))
@@ -243,16 +260,18 @@ def sample_of(docs: DataFrame, lang: str = "lang") -> list[tuple[bytes, str]]:
     order = Window.partitionBy("lang").orderBy("hash", "doc_id")
     ids = can.where(F.col("hash") < below[F.col("lang")]).withColumn("n", F.row_number().over(order))
     ids = ids.where(F.col("n") <= each).select(F.col("doc_id").alias("__id")).distinct()
-    ids = stage(ids, "language-sample").df
+    sampled = stage(ids, "language-sample")
+    ids = sampled.df
     start = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.greatest(F.char_length("text") - SAMPLE_CHARS + 1, F.lit(1))) + 1
     rows = (
-        docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull())
-        .join(small(ids), docs["doc_id"] == F.col("__id"), "left_semi")
-        .select("doc_id", F.col(lang).alias("lang"), F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("part"))
+        docs.where(F.col("text").isNotNull())
+        .join(ids, docs["doc_id"] == F.col("__id"), "left_semi")
+        .select("doc_id", "lang", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("part"))
         .orderBy("doc_id", "lang", "part")
-        .limit(2 * SAMPLE_DOCS)
+        .limit(2 * each * len(languages))
         .collect()
     )
+    sampled.discard()
     return [(r["part"].encode(), r["lang"]) for r in rows if has_letter(r["part"])]
 
 
@@ -282,6 +301,7 @@ def languages_of(docs: DataFrame, net: Network | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"]
                 )
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -314,5 +334,6 @@ def in_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
                 texts = [t.encode() if has_letter(t) else b"" for t in part.column(text_at).to_pylist()]
                 best = reader.pooled(texts).max(axis=1) if any(texts) else np.zeros(len(texts))
                 yield part.filter(pa.array([bool(t) and bool(p >= least) for t, p in zip(texts, best, strict=True)]))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)

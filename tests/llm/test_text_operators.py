@@ -12,11 +12,11 @@ from matchstrata.llm import decontamination, jaccard, language_id, line_dedup, q
 from matchstrata.llm.common import components
 from pyspark.sql import functions as F
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, hash long, words int"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, hash long, words int, __id long, __key string, __gone int"
 
 
 def frame(spark, rows, parts=3):
-    full = [(i, t, lang, "s", len(t or ""), "k", 1, 2) for i, t, lang in rows]
+    full = [(i, t, lang, "s", len(t or ""), "k", 1, 2, 7, "k", 3) for i, t, lang in rows]
     return spark.createDataFrame(full, DOCS).repartition(parts)
 
 
@@ -370,6 +370,68 @@ def test_languages_are_told_apart_on_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def _plain_pooled(net, text):
+    """Mean label distribution over the bytes of a text, a loop over runs, steps and units."""
+    h_size, total = net.states.shape[1], np.zeros(len(net.languages))
+    gate = lambda x: min(1.0, max(0.0, 0.25 * x + 0.5))
+
+    def one_way(part, side):
+        h, out = [0.0] * h_size, []
+        for byte in part:
+            a = net.inputs[side, byte]
+            b = [sum(h[i] * net.states[side, i, j] for i in range(h_size)) for j in range(3 * h_size)]
+            new = []
+            for u in range(h_size):
+                z, r = gate(a[u] + b[u]), gate(a[h_size + u] + b[h_size + u])
+                c = np.tanh(a[2 * h_size + u] + r * b[2 * h_size + u])
+                new.append(c + z * (h[u] - c))
+            h = new
+            out.append(h)
+        return out
+
+    for start in range(0, len(text), language_id.RUN):
+        part = text[start : start + language_id.RUN]
+        for f, b in zip(one_way(part, 0), one_way(part[::-1], 1)[::-1], strict=True):
+            scores = np.array(f) @ net.out[0] + np.array(b) @ net.out[1] + net.bias
+            e = np.exp(scores - scores.max())
+            total += e / e.sum()
+    return total / len(text)
+
+
+def test_prediction_of_a_long_text_is_that_of_plain_loops(spark):
+    net = language_id.train([(t.encode(), lang) for _, t, lang in language_rows(60)], steps=20)
+    texts = ["vwxyz " * 70 + "abc", "é" * 65, "a", "abcde vwxyz éèàùç " * 17]
+    got = {r["doc_id"]: r for r in language_id.languages_of(frame(spark, [(i, t, None) for i, t in enumerate(texts)]), net).collect()}
+    for i, t in enumerate(texts):
+        want = _plain_pooled(net, t.encode())
+        assert got[i]["lang_pred"] == net.languages[int(want.argmax())]
+        assert abs(got[i]["score"] - want.max()) < 1e-3
+
+
+def test_more_languages_than_a_batch_holds_are_all_learnt():
+    names = [f"l{k:03}" for k in range(200)]
+    seen = set()
+    real = language_id.loss_and_gradients
+
+    def watched(net, runs, labels):
+        seen.update(labels.tolist())
+        return real(net, runs, labels)
+
+    language_id.loss_and_gradients = watched
+    try:
+        net = language_id.train([(f"{n} {n}".encode(), n) for n in names], steps=2)
+    finally:
+        language_id.loss_and_gradients = real
+    assert net.languages == names and seen == set(range(200))
+
+
+def test_every_language_has_a_place_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 3)
+    rows = [(i, "text", f"l{i}") for i in range(40)]
+    learnt = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {lang for _, lang in language_id.sample_of(frame(spark, rows))} == learnt
+
+
 def test_labels_of_held_out_documents_are_not_read(spark):
     rows = language_rows(60)
     other = [(i, t, "zz" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]
