@@ -57,9 +57,10 @@ def numbered(df: DataFrame, order: list[Column], out: str, label: str) -> DataFr
         .agg(F.count("*").alias("__n"))
         .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     )
+    starts = stage(starts, f"{label}-starts").df  # stored, so that Catalyst knows its size
     return (
         stored.withColumn("__part", part)
-        .join(F.broadcast(starts), "__part")
+        .join(starts, "__part")
         .withColumn(out, F.col("__start") + F.col("__row").bitwiseAND((1 << _ROW_BITS) - 1))
         .drop("__part", "__row", "__start")
     )

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchstrata.llm.tokens import slices, trim, worker_encoder
+from matchstrata.session import stage
 
 END_ID = 0
 STRIPE_BYTES = 16 * 1024 * 1024
@@ -90,10 +91,11 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
     sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # reads two columns
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))
+    starts = stage(starts, "token-file-starts").df  # a row per file; stored, so that Catalyst knows its size
     if doc_ids is not None:
         stored = stored.where(F.col("doc_id").isin(list(doc_ids)))
     return (
-        stored.join(starts, "part")  # a row per file: broadcast while Catalyst finds it small
+        stored.join(starts, "part")
         .withColumn("start", F.col("file_start") + F.col("part_start"))
         .drop("file_start")
     )
