@@ -15,6 +15,7 @@ from matchstrata.llm import (
     packing,
     quality,
     sharding,
+    simhash,
     token_files,
     vector_search,
     warc,
@@ -80,6 +81,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(scan(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(scan(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_warc,
             op9_jaccard,
             op10_packing,
+            op11_simhash,
         )
     }
 
