@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchstrata.llm import (
     decontamination,
+    fill_in_middle,
     jaccard,
     language_id,
     line_dedup,
@@ -85,6 +86,19 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(scan(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(scan(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -100,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_jaccard,
             op10_packing,
             op11_simhash,
+            op12_fill_in_middle,
         )
     }
 
@@ -218,6 +233,33 @@ GROUP BY d.r, d.doc_id
 """
 
 
+_OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS l,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle,
+         array_to_string(l[b + 1:n], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+                        ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_dedup": _OP5,
@@ -225,4 +267,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontamination": _OP7,
         "op8_warc": _OP8,
         "op9_jaccard": _OP9,
+        "op12_fill_in_middle": _OP12,
     }
