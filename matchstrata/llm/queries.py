@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstrata.llm import (
+    centroids,
     decontamination,
     fill_in_middle,
     jaccard,
@@ -99,6 +100,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clustered(scan(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -115,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op10_packing,
             op11_simhash,
             op12_fill_in_middle,
+            op13_centroids,
         )
     }
 
@@ -260,6 +267,47 @@ FROM p
 """
 
 
+def _op13(k: int, rounds: int) -> str:
+    """Each round as two steps: who wins each vector, and where the centroids go."""
+    steps = [
+        """v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS cluster, q AS c
+  FROM (SELECT q, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h FROM v)
+  QUALIFY row_number() OVER (ORDER BY h, q) <= """
+        + f"{k}\n)"
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(q) AS q,
+         arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d
+  FROM (SELECT r, vec_id, q, cluster,
+               list_dot_product(q, q) - 2 * list_dot_product(q, c) + list_dot_product(c, c) AS d FROM v, c{n})
+  GROUP BY r
+)""")
+        if n < rounds:
+            steps.append(f"""m{n} AS (
+  SELECT cluster, list(m ORDER BY i) AS c FROM (
+    SELECT cluster, i, floor(sum(x::HUGEINT) / count(*)) AS m FROM (
+      SELECT cluster, unnest(q) AS x, unnest(range(64)) AS i FROM a{n}
+    ) GROUP BY cluster, i
+  ) GROUP BY cluster
+), c{n + 1} AS (
+  SELECT cluster, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (cluster)
+)""")
+    return (
+        "WITH " + ", ".join(steps) + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance,
+       (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_dedup": _OP5,
@@ -268,4 +316,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": _OP8,
         "op9_jaccard": _OP9,
         "op12_fill_in_middle": _OP12,
+        "op13_centroids": _op13(centroids.CENTROIDS, centroids.ROUNDS),
     }
