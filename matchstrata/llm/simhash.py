@@ -15,6 +15,8 @@ more than the size of the groups that it meets in. Built-in functions only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ WORDS = 3
 BITS = 3
 #: Pairs that an entry may make for each fingerprint it holds; beyond them its members are cut further.
 PAIRS_EACH = 64
+#: Values that one task makes entries of.
+VALUES_PER_TASK = 16_384
 #: Segments of this many bits are not cut further.
 LEAST_SEGMENT = 8
 
@@ -135,7 +139,9 @@ def linked(values: DataFrame, bits: int = BITS, pairs_each: int = PAIRS_EACH) ->
     if not 1 <= bits <= 3:
         raise ValueError("two segments leave one difference in one of them for 1 to 3 bits only")
     zero = F.lit(0).cast("long")
-    rows = values.select("f").where("f IS NOT NULL").distinct()
+    rows = values.select("f").where("f IS NOT NULL")
+    # Each value becomes some dozens of entries: few small tasks would make them all.
+    rows = rows.repartition(max(1, math.ceil(rows.count() / VALUES_PER_TASK)), "f").distinct()
     rows = rows.select("f", zero.alias("known"), zero.alias("open"), zero.alias("lead"), F.lit(0).alias("rest"))
     half, found = 32, []
     while True:
