@@ -61,13 +61,15 @@ class Lake:
 
 
 def create_bronze(lake: Lake) -> None:
-    lake.bronze_teams.create(BRONZE_TEAMS, checks=TEAM_CHECKS, description="teams, full load")
+    lake.bronze_teams.create(
+        BRONZE_TEAMS, checks=TEAM_CHECKS, description="teams, full load", keys=["team_id"]
+    )
     lake.bronze_matches.create(
         BRONZE_MATCHES,
         partition_by=["extract_date"],
         checks=MATCH_CHECKS,
         description="matches, daily increments",
-        sort_by=["event_id"],
+        keys=["event_id"],
     )
 
 

@@ -17,6 +17,7 @@ MESSAGE = StructType(
         StructField("offset", LongType()),
         StructField("partition", IntegerType()),
         StructField("timestamp", TimestampType()),
+        StructField("undecoded", StringType()),
     ]
 )
 
@@ -53,11 +54,26 @@ def publish(messages: DataFrame, path: str | None = None, kafka: Mapping[str, st
         messages.write.mode("append").json(path)
 
 
-def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Messages landed as JSON files; at most ``files_per_batch`` files a batch."""
+def file_stream(
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | int | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """Messages landed as JSON files, oldest files first.
+
+    A batch admits at most so many files, or files of so many bytes together (one
+    file at least), also when a run catches up with all that is there. Files of a
+    finished batch move below ``archive``, which lies outside ``path``.
+    """
     reader = spark.readStream.schema(MESSAGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)
 
 
@@ -84,14 +100,21 @@ def kafka_stream(
 
 
 def decoded(raw: DataFrame) -> DataFrame:
-    """Binary key and value as UTF-8 text."""
+    """Binary key and value as UTF-8 text.
+
+    A value of other bytes is NULL and stands in ``undecoded``, base64-encoded; a
+    key of other bytes is given base64-encoded.
+    """
+    value, key = F.col("value").cast("string"), F.col("key").cast("string")
+    valid = F.is_valid_utf8(value)
     return raw.select(
         "topic",
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
+        F.when(F.is_valid_utf8(key), key).otherwise(F.base64("key")).alias("key"),
+        F.when(valid, value).alias("value"),
         F.col("offset").cast("bigint").alias("offset"),
         F.col("partition").cast("int").alias("partition"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
+        F.when(~valid, F.base64("value")).alias("undecoded"),
     )
 
 
@@ -133,10 +156,11 @@ def feed_line(messages: DataFrame, names: Mapping[str, Mapping[str, str]] | None
     names = names or {}
     team = ("name", "city", "venue")
     match = ("home_team", "away_team", "home_score", "away_score", "event_date", "status")
-    trees = messages.select(
+    is_match = F.coalesce(F.col("topic") == MATCH_TOPIC, F.lit(False))
+    trees = messages.select(  # each value is parsed under one layout, that of its topic
         "topic", "key", "value",
-        parsed(team, names.get(TEAM_TOPIC)).alias("team"),
-        parsed(match, names.get(MATCH_TOPIC)).alias("match"),
+        parsed(team, names.get(TEAM_TOPIC), F.when(~is_match, F.col("value"))).alias("team"),
+        parsed(match, names.get(MATCH_TOPIC), F.when(is_match, F.col("value"))).alias("match"),
     )
 
     def shown(tree: str, columns: Sequence[str], topic: str) -> list[Column]:

@@ -1,23 +1,31 @@
-"""Versioned Parquet tables.
-
-A table is a folder of snapshot directories written by Spark plus one small
-JSON file per version that names the live directories. Publishing a version is
-one rename, so readers see the former version or the new one, never a mix, and
-a frame that fails its checks is never published. Directories that a write does
-not touch are carried over by name: replacing a partition costs that partition,
-upserting a few keys the partitions that hold them or take them in.
-
-Where a lakehouse format is on the classpath its own MERGE does the same work;
-plain Parquet has none, hence this layer.
+"""Parquet tables: full loads, partition loads, appends and upserts.
+
+The rows of a table lie in one folder, partitioned as its declaration says, and
+are read and written with Spark's own Parquet source; ``_about.json`` beside it
+holds the declaration (columns, partition columns, keys, constraints) and names
+the folder.
+
+* A full load writes a new folder, holds it to the constraints, and then the
+  declaration names that one; the former folder stays until the load after next.
+* A partition load is Spark's dynamic partition overwrite: the partitions found
+  in the frame are replaced when the job commits, the others are not touched.
+* A table with keys is bucketed and sorted by them, so an upsert joins it without
+  shuffling it; Bloom filters on the keys let the search for few keys skip row
+  groups. The partitions that hold a match or take rows in are read, merged and
+  replaced by a dynamic overwrite.
+
+One writer at a time. Where a lakehouse format is on the classpath, its own
+MERGE does the same work for many.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -33,19 +41,18 @@ from pyspark.sql.types import (
 from ..operators.contracts import Contract, ContractViolation
 from ..session import Staged, stage
 
-SNAPSHOT = "snapshot_id"
-VERSIONS = "_versions"
+ABOUT = "_about.json"
 # Fixed value: what Spark names the partition of NULL. A partition value '' would
 # be read back as NULL, and so would that name as a value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Put before such values, and before values that begin with it, on disk.
 ESCAPE = "__TEXT__"
-# How often a write is done again when another writer published first.
-ATTEMPTS = 5
-
+#: Buckets of a table with keys, unless it is created with another number.
+BUCKETS = 4
+#: Up to so many keys of an upsert are looked for by value; beyond them by a join.
+LISTED_KEYS = 1_000
 
-class VersionConflict(RuntimeError):
-    """Another writer published the same version first; run the write again."""
+Gate = Callable[[DataFrame], None]
 
 
 def storable(df: DataFrame) -> DataFrame:
@@ -95,190 +102,198 @@ class LakeTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    # -- versions ---------------------------------------------------------
+    # -- declaration ------------------------------------------------------
     def _hadoop(self):
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return jvm.org.apache.hadoop.fs.Path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _version_file(self, version: int) -> str:
-        return f"{self.path}/{VERSIONS}/{version:012d}.json"
-
-    def version(self) -> int | None:
-        """The newest published version, None for no table."""
-        jvm, fs = self._hadoop()
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{VERSIONS}")
-        if not fs.exists(folder):
+    def _about(self) -> dict | None:
+        new_path, fs = self._hadoop()
+        file = new_path(f"{self.path}/{ABOUT}")
+        if not fs.exists(file):
             return None
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        versions = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
-        return max(versions, default=None)
-
-    def exists(self) -> bool:
-        return self.version() is not None
-
-    def _state(self, version: int | None = None) -> dict:
-        version = self.version() if version is None else version
-        if version is None:
-            raise FileNotFoundError(f"no table at '{self.path}'")
-        jvm, fs = self._hadoop()
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(self._version_file(version)))
+        stream = fs.open(file)
         try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return json.loads(text)
-
-    def _publish(self, state: dict) -> int:
-        """Write the version file aside, then rename it; an existing one wins."""
-        jvm, fs = self._hadoop()
-        new_path = jvm.org.apache.hadoop.fs.Path
-        final = new_path(self._version_file(state["version"]))
-        draft = new_path(f"{self.path}/{VERSIONS}/.{uuid.uuid4().hex}.tmp")
-        stream = fs.create(draft, False)
+
+    def _declare(self, about: dict) -> int:
+        new_path, fs = self._hadoop()
+        stream = fs.create(new_path(f"{self.path}/{ABOUT}"), True)
         try:
-            stream.write(bytearray(json.dumps(state), "utf-8"))
+            stream.write(bytearray(json.dumps(about), "utf-8"))
         finally:
             stream.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            fs.getUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        rename = jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.NONE
-        try:
-            context.rename(fs.makeQualified(draft), fs.makeQualified(final), options)
-        except Exception as error:
-            fs.delete(draft, False)
-            if fs.exists(final):
-                raise VersionConflict(f"version {state['version']} of '{self.path}'") from error
-            raise
-        return state["version"]
+        return about["version"]
 
-    # -- reading ----------------------------------------------------------
-    def schema(self) -> StructType:
-        return StructType.fromJson(self._state()["schema"])
+    def _existing(self) -> dict:
+        about = self._about()
+        if about is None:
+            raise FileNotFoundError(f"no table at '{self.path}'")
+        return about
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The whole table; partition filters prune directories."""
-        state = self._state(version)
-        return self._scan(state, state["entries"])
+    def exists(self) -> bool:
+        return self._about() is not None
 
-    def read_or_empty(self, schema: StructType) -> DataFrame:
-        if not self.exists():
-            return self.spark.createDataFrame([], schema)
-        return self.read()
-
-    def _scan(self, state: dict, entries: Sequence[str], with_folder: bool = False) -> DataFrame:
-        """Live directories as one frame."""
-        schema = StructType.fromJson(state["schema"])
-        if not entries:
-            empty = self.spark.createDataFrame([], schema)
-            return empty.withColumn("_folder", F.lit("")) if with_folder else empty
-        on_disk = StructType(list(schema) + [StructField(SNAPSHOT, StringType())])
-        df = (
-            self.spark.read.schema(on_disk)
-            .option("basePath", self.path)
-            .parquet(*[f"{self.path}/{e}" for e in entries])
-        )
-        columns = []
-        for f in schema:
-            c = F.col(f"`{f.name}`")
-            if f.name in state["partition_by"] and isinstance(f.dataType, StringType):
-                c = _unescaped(c).alias(f.name)
-            columns.append(c)
-        if with_folder:
-            folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
-            columns.append(folder.alias("_folder"))
-        return df.select(*columns)
+    def version(self) -> int | None:
+        """Writes since the table was created, None for no table."""
+        about = self._about()
+        return None if about is None else about["version"]
+
+    def schema(self) -> StructType:
+        return StructType.fromJson(self._existing()["schema"])
 
-    # -- writing ----------------------------------------------------------
     def create(
         self,
         schema: StructType,
         partition_by: Sequence[str] = (),
         checks: Mapping[str, str] | None = None,
         description: str = "",
-        sort_by: Sequence[str] = (),
+        keys: Sequence[str] = (),
+        buckets: int = BUCKETS,
     ) -> "LakeTable":
         """An empty table with fixed columns and constraints; no-op if it exists.
 
-        Files are sorted by ``sort_by``, so that a lookup by those columns skips
-        the Parquet pages that cannot match.
+        With ``keys`` its files are bucketed and sorted by them.
         """
         if not self.exists():
-            empty = self._next_state(None, None)
-            try:
-                self._publish(
-                    {
-                        **empty,
-                        "description": description,
-                        "schema": _nullable(schema).jsonValue(),
-                        "partition_by": list(partition_by),
-                        "checks": dict(checks or {}),
-                        "sort_by": list(sort_by),
-                    }
-                )
-            except VersionConflict:
-                pass  # created by another writer meanwhile
+            self._declare(
+                {
+                    **self._first(partition_by, keys, buckets),
+                    "description": description,
+                    "schema": _nullable(schema).jsonValue(),
+                    "checks": dict(checks or {}),
+                }
+            )
         return self
 
-    def _write_snapshot(self, df: DataFrame, state: dict) -> list[str]:
-        """Write ``df`` as a new snapshot; returns its directories, not yet live.
-
-        Rows are rebalanced by partition value first: one file set per value,
-        and AQE splits a value that holds a large share of the rows.
-        """
-        partition_by, version = state["partition_by"], state["version"]
-        snapshot = f"{SNAPSHOT}={version:012d}-{uuid.uuid4().hex[:8]}"
-        root = f"{self.path}/{snapshot}"
-        marked = {
-            f.name: _escaped(F.col(f"`{f.name}`"))
-            for f in df.schema
-            if f.name in partition_by and isinstance(f.dataType, StringType)
+    @staticmethod
+    def _first(partition_by: Sequence[str] = (), keys: Sequence[str] = (), buckets: int = BUCKETS) -> dict:
+        return {
+            "version": 0, "data": None, "former": None, "description": "", "checks": {},
+            "partition_by": list(partition_by), "keys": list(keys), "buckets": buckets,
         }
-        df = df.withColumns(marked) if marked else df
-        if partition_by:
-            df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
-        order = [c for c in [*partition_by, *state["sort_by"]] if c in df.columns]
-        if state["sort_by"] and order:
-            df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
-        df.write.partitionBy(*partition_by).parquet(root)
-        if not partition_by:
-            return [snapshot]
-        return [f"{snapshot}/{d}" for d in self._leaf_dirs(root, len(partition_by))]
-
-    def _leaf_dirs(self, root: str, depth: int) -> list[str]:
-        jvm, fs = self._hadoop()
-        found = [("", jvm.org.apache.hadoop.fs.Path(root))]
-        for _ in range(depth):
-            found = [
-                (f"{prefix}{s.getPath().getName()}/", s.getPath())
-                for prefix, folder in found
-                for s in fs.listStatus(folder)
-                if s.isDirectory()
-            ]
-        return [prefix.rstrip("/") for prefix, _ in found]
 
-    def _check(
-        self,
-        state: dict,
-        written: Sequence[str],
-        more: Mapping[str, str] | None = None,
-        gate: Callable[[DataFrame], None] | None = None,
-    ) -> None:
-        """Constraints, and the caller's gate, on what was written, before it is published."""
-        rules = {**state["checks"], **(more or {})}
+    def _next(self, about: dict | None) -> dict:
+        return self._first() if about is None else {**about, "version": about["version"] + 1}
+
+    # -- reading ----------------------------------------------------------
+    def read(self) -> DataFrame:
+        """The whole table; partition filters prune folders."""
+        about = self._existing()
+        return self._shown(self._scan(about), about)
+
+    def read_or_empty(self, schema: StructType) -> DataFrame:
+        return self.read() if self.exists() else self.spark.createDataFrame([], schema)
+
+    def _scan(self, about: dict) -> DataFrame:
+        """The table as stored, partition values as on disk."""
+        schema = StructType.fromJson(about["schema"])
+        new_path, fs = self._hadoop()
+        folder = f"{self.path}/{about['data']}"
+        if about["data"] is None or not fs.exists(new_path(folder)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
+    @staticmethod
+    def _texts(about: dict) -> list[str]:
+        """Partition columns of texts."""
+        return [
+            f["name"] for f in about["schema"]["fields"]
+            if f["name"] in about["partition_by"] and f["type"] == "string"
+        ]
+
+    def _shown(self, df: DataFrame, about: dict) -> DataFrame:
+        """Partition values as they were given, columns in the table's order."""
+        texts = self._texts(about)
+        columns = [
+            (_unescaped(F.col(f"`{n}`")).alias(n) if n in texts else F.col(f"`{n}`"))
+            for n in (f["name"] for f in about["schema"]["fields"])
+        ]
+        return df.select(*columns)
+
+    def _hidden(self, df: DataFrame, about: dict) -> DataFrame:
+        """Partition values as on disk."""
+        marked = {c: _escaped(F.col(f"`{c}`")) for c in self._texts(about) if c in df.columns}
+        return df.withColumns(marked) if marked else df
+
+    # -- writing ----------------------------------------------------------
+    @staticmethod
+    def _buckets(about: dict) -> list[str]:
+        """The keys that files are bucketed by: those that are no partition columns."""
+        return [k for k in about["keys"] if k not in about["partition_by"]]
+
+    @contextmanager
+    def _bucketed(self, about: dict) -> Iterator[str]:
+        """The name under which the session knows the table as bucketed, for one statement or two.
+
+        Spark keeps buckets of tables only, not of folders; the entry is external,
+        so dropping it leaves the files.
+        """
+        name = f"matchstrata_{uuid.uuid4().hex}"
+        schema = StructType.fromJson(about["schema"])
+        last = [f for f in schema if f.name in about["partition_by"]]
+        columns = [f for f in schema if f.name not in about["partition_by"]] + last
+        keys = ", ".join(f"`{k}`" for k in self._buckets(about))
+        options = {"path": f"{self.path}/{about['data']}", "partitionOverwriteMode": "dynamic"}
+        options |= {f"parquet.bloom.filter.enabled#{k}": "true" for k in self._buckets(about)}
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        quoted = ", ".join("'{}'='{}'".format(k, v.replace("'", "\\'")) for k, v in options.items())
+        parts = ", ".join(f"`{c}`" for c in about["partition_by"])
+        self.spark.sql(
+            f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) USING parquet "
+            f"OPTIONS ({quoted}) {f'PARTITIONED BY ({parts})' if parts else ''} "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {about['buckets']} BUCKETS"
+        )
         try:
-            if rules and written:
-                Contract(f"checks of {self.path}", rows=rules).enforce(self._scan(state, written))
-            if gate is not None:
-                gate(self._scan(state, written))
+            new_path, fs = self._hadoop()
+            if parts and fs.exists(new_path(options["path"])):
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            yield name
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def _write(self, df: DataFrame, about: dict, overwrite: bool) -> None:
+        """Add the rows of ``df`` (as on disk), or replace the partitions found in it."""
+        by = about["partition_by"]
+        if self._buckets(about):
+            placed = df.repartition(about["buckets"], *[F.col(f"`{k}`") for k in self._buckets(about)])
+            with self._bucketed(about) as name:
+                placed.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=overwrite)
+            return
+        if by:  # one file set per partition value; AQE splits a value with a large share of the rows
+            df = df.hint("rebalance", *[F.col(f"`{c}`") for c in by])
+        writer = df.write.mode("overwrite" if overwrite else "append")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).parquet(f"{self.path}/{about['data']}")
+
+    def _enforce(self, df: DataFrame, about: dict, gate: Gate | None, more: Mapping[str, str] | None = None) -> None:
+        rules = {**about["checks"], **(more or {})}
+        if rules:
+            Contract(f"checks of {self.path}", rows=rules).enforce(df)
+        if gate is not None:
+            gate(df)
+
+    def _delete(self, folder: str) -> None:
+        new_path, fs = self._hadoop()
+        fs.delete(new_path(folder), True)
+
+    def _load(self, df: DataFrame, about: dict, gate: Gate | None, more: Mapping[str, str] | None = None) -> int:
+        """The frame becomes the table: written aside, held to its checks, then named."""
+        former, gone = about["data"], about["former"]
+        about = {**about, "data": f"data-{uuid.uuid4().hex}", "former": former}
+        self._write(self._hidden(df, about), about, overwrite=False)
+        try:
+            self._enforce(self._shown(self._scan(about), about), about, gate, more)
         except ContractViolation:
-            jvm, fs = self._hadoop()
-            for snapshot in {d.split("/")[0] for d in written}:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{snapshot}"), True)
+            self._delete(f"{self.path}/{about['data']}")
             raise
+        version = self._declare(about)
+        if gone:
+            self._delete(f"{self.path}/{gone}")
+        return version
 
     def save(
         self,
@@ -287,90 +302,73 @@ class LakeTable:
         partition_by: Sequence[str] | None = None,
         replace_partitions: bool = False,
         schema_mode: str = "overwrite",
-        stream: tuple[str, int] | None = None,
-        sort_by: Sequence[str] | None = None,
         replace_where: str | None = None,
-        gate: Callable[[DataFrame], None] | None = None,
+        gate: Gate | None = None,
     ) -> int:
-        """Write a frame and publish it; returns the table's version.
-
-        ``gate`` is called with the rows as written and raises
-        :class:`ContractViolation` to keep them from being published. A batch of
-        the ``stream`` (its id, the batch's number) that the table has taken
-        already is not taken again.
+        """Write a frame; returns the table's version.
 
         ``mode``: overwrite, append, error (if the table exists) or ignore.
         ``replace_partitions`` overwrites the partitions found in the frame and
-        keeps the others; ``replace_where`` overwrites the rows that meet the
-        condition, which every row of the frame must meet too. ``schema_mode``:
-        merge adds the frame's new columns to the table's, overwrite takes the
-        frame's columns.
+        keeps the others: done twice, it gives the same table. ``replace_where``
+        overwrites the rows that meet the condition, which every row of the frame
+        must meet too; the whole table is written anew. ``schema_mode``: merge adds
+        the frame's new columns to the table's, overwrite takes the frame's columns.
+        Rows that break a constraint, or that ``gate`` rejects by raising
+        :class:`ContractViolation`, leave the table as it was.
         """
         if mode not in ("overwrite", "append", "error", "ignore"):
             raise ValueError(f"unknown mode '{mode}'")
-        current = self._state() if self.exists() else None
+        current = self._about()
         if current is not None:
             if mode == "error":
                 raise FileExistsError(f"table '{self.path}' exists")
-            if mode == "ignore" or self._applied(current, stream):
+            if mode == "ignore":
                 return current["version"]
-
         df = storable(df)
-        state = self._next_state(current, stream)
+        about = self._next(current)
         keeps_rows = replace_partitions or replace_where is not None or mode == "append"
-        if partition_by is not None and not (keeps_rows and state["entries"]):
-            state["partition_by"] = list(partition_by)
-        if sort_by is not None:
-            state["sort_by"] = list(sort_by)
+        if partition_by is not None and not (keeps_rows and about["data"]):
+            about["partition_by"] = list(partition_by)
         schema = _nullable(df.schema)
         if current is not None and (schema_mode == "merge" or keeps_rows):
-            known = StructType.fromJson(current["schema"])
-            extra = set(df.columns) - set(known.names)
-            if extra and schema_mode != "merge":
-                raise ValueError(f"columns {sorted(extra)} are not in '{self.path}'")
-            schema = merged_schema(known, schema)
-        state["schema"] = schema.jsonValue()
-
-        written = self._write_snapshot(conform(df, schema), state)
-        met = f"coalesce({replace_where}, false)"
-        self._check(state, written, {"replace_where": met} if replace_where else {}, gate)
-        if mode == "append":
-            state["entries"] = state["entries"] + written
-        elif replace_where is not None:
-            held = self._scan(state, state["entries"], with_folder=True).where(replace_where)
-            rewritten, kept = self._split(state, held)
-            if rewritten:
-                rest = self._scan(state, rewritten).where(f"NOT {met}")
-                kept = kept + self._write_snapshot(rest, state)
-            state["entries"] = kept + written
-        elif replace_partitions:
-            replaced = {self._partition_of(state, e) for e in written}
-            kept = [e for e in state["entries"] if self._partition_of(state, e) not in replaced]
-            state["entries"] = kept + written
-        else:
-            state["entries"] = written
-        return self._publish(state)
-
-    @staticmethod
-    def _partition_of(state: dict, entry: str) -> str:
-        """The partition folders of an entry: what follows its snapshot."""
-        return "/".join(entry.split("/")[1 : 1 + len(state["partition_by"])])
+            schema = self._widened(current, schema, schema_mode)
+        about["schema"] = schema.jsonValue()
+        rows = conform(df, schema)
+
+        if about["data"] is None or not keeps_rows:
+            met = {"replace_where": f"coalesce({replace_where}, false)"} if replace_where else None
+            return self._load(rows, about, gate, met)
+        if replace_where is not None:
+            return self._replace_where(rows, about, replace_where, gate)
+        staged = stage(rows, "load") if about["checks"] or gate else None
+        if staged is not None:
+            rows = staged.df
+            self._enforce(rows, about, gate)
+        self._write(self._hidden(rows, about), about, overwrite=mode != "append")
+        if staged is not None:
+            staged.discard()
+        return self._declare(about)
 
-    def _next_state(self, current: dict | None, stream: tuple[str, int] | None) -> dict:
-        if current is None:
-            state = {"version": 0, "description": "", "partition_by": [], "sort_by": [],
-                     "checks": {}, "entries": [], "streams": {}}
-        else:
-            state = {**current, "version": current["version"] + 1,
-                     "streams": dict(current["streams"])}
-        if stream is not None:
-            state["streams"][stream[0]] = stream[1]
-        return state
+    def _widened(self, current: dict, schema: StructType, schema_mode: str) -> StructType:
+        known = StructType.fromJson(current["schema"])
+        extra = set(schema.names) - set(known.names)
+        if extra and schema_mode != "merge":
+            raise ValueError(f"columns {sorted(extra)} are not in '{self.path}'")
+        return merged_schema(known, schema)
+
+    def _replace_where(self, rows: DataFrame, about: dict, condition: str, gate: Gate | None) -> int:
+        met = f"coalesce({condition}, false)"
+        staged = stage(rows, "load")
+        self._enforce(staged.df, about, gate, {"replace_where": met})
+        kept = self._shown(self._scan(about), about).where(f"NOT {met}")
+        version = self._load(kept.unionByName(staged.df), about, None)
+        staged.discard()
+        return version
 
-    @staticmethod
-    def _applied(state: dict, stream: tuple[str, int] | None) -> bool:
-        return stream is not None and state["streams"].get(stream[0], -1) >= stream[1]
+    def append(self, df: DataFrame) -> int:
+        return self.save(df, mode="append")
 
+    # -- upsert -----------------------------------------------------------
     def upsert(
         self,
         source: DataFrame | Staged,
@@ -378,7 +376,7 @@ class LakeTable:
         partition_by: Sequence[str] = (),
         schema_mode: str = "merge",
         keys_are_unique: bool = False,
-        gate: Callable[[DataFrame], None] | None = None,
+        gate: Gate | None = None,
     ) -> int:
         """Update rows whose keys match, insert the rest, delete nothing.
 
@@ -386,113 +384,114 @@ class LakeTable:
         another partition and a key held k times stays k times. A NULL key
         matches nothing and is inserted. Two source rows with one key are an
         error, unless the caller has already checked (``keys_are_unique``).
-        Doing it again with the same source changes nothing.
+        Doing it again with the same source changes nothing, as long as no source
+        row has a NULL key.
 
-        The table is scanned for its keys and partition columns only. The
-        partitions that hold a match or take rows in are written anew, each as
-        one directory; so the live directories are as many as the partitions.
-        If another writer publishes first, the merge is done again on top of it.
+        A table that the first upsert makes is partitioned by ``partition_by`` and
+        bucketed by ``keys``. Later ones look for the keys (see :meth:`_touched`)
+        and write the partitions anew that hold a match or take rows in; the
+        others are not read. An unpartitioned table is written anew as a whole.
         """
-        if not self.exists() and keys_are_unique and not isinstance(source, Staged):
-            return self.save(storable(source), partition_by=partition_by, sort_by=keys, gate=gate)
-        staged = source if isinstance(source, Staged) else stage(storable(source), "upsert")
-        src = staged.df
-        if not keys_are_unique:
-            present = src.na.drop(subset=list(keys))
-            Contract(f"upsert into {self.path}", unique=(tuple(keys),)).enforce(present)
-
-        def attempt() -> int:
-            if not self.exists():
-                return self.save(src, partition_by=partition_by, sort_by=keys, gate=gate)
-            return self._merge(self._state(), src, list(keys), schema_mode, gate)
-
-        version = self._repeated(attempt)
-        if staged is not source:
+        keys = list(keys)
+        current = self._about()
+        if current is None:
+            current = self._first(partition_by, keys)
+            first = storable(source.df if isinstance(source, Staged) else source)
+            staged = source if isinstance(source, Staged) else None
+            if not keys_are_unique:
+                staged = staged or stage(first, "upsert")
+                first = staged.df
+                self._require_unique(first, keys)
+            about = {**current, "schema": _nullable(first.schema).jsonValue()}
+            version = self._load(first, about, gate)
+        else:
+            staged = source if isinstance(source, Staged) else stage(storable(source), "upsert")
+            if not keys_are_unique:
+                self._require_unique(staged.df, keys)
+            version = self._merge(current, staged.df, keys, schema_mode, gate)
+        if staged is not None and staged is not source:
             staged.discard()
         return version
 
+    def _require_unique(self, df: DataFrame, keys: list[str]) -> None:
+        present = df.na.drop(subset=keys)
+        Contract(f"upsert into {self.path}", unique=(tuple(keys),)).enforce(present)
+
+    def _merge(self, current: dict, source: DataFrame, keys: list[str], schema_mode: str, gate: Gate | None) -> int:
+        about = self._next(current)
+        schema = self._widened(current, _nullable(source.schema), schema_mode)
+        about["schema"] = schema.jsonValue()
+        self._enforce(source, about, gate)
+        src = self._hidden(source, about)
+        if about["data"] is None:
+            return self._load(conform(source, schema), about, None)
+        if about["keys"] != keys or not self._buckets(about):  # laid out for other keys, or none
+            return self._replaced(self._scan(about), src, keys, about)
+        with self._bucketed(about) as name:
+            return self._replaced(self.spark.table(name), src, keys, about)
+
+    def _replaced(self, table: DataFrame, src: DataFrame, keys: list[str], about: dict) -> int:
+        schema, by = StructType.fromJson(about["schema"]), about["partition_by"]
+        if not by:
+            return self._load(self._merged(table, src, keys, schema), about, None)
+        left = self._touched(table, src, keys, by)
+        entered = self._distinct(src, by) if set(by) <= set(src.columns) else []
+        touched = left + [p for p in entered if p not in left]
+        old = table.where(_one_of(touched, by)) if touched else table.limit(0)
+        merged = self._merged(old, src, keys, schema)
+        # Rows may move, so a partition may be left empty; a dynamic overwrite would not see it.
+        emptied: list[tuple] = []
+        if [p for p in left if p not in entered] and set(by) & set(src.columns):
+            kept = self._distinct(self._merged(old.select(*keys, *[c for c in by if c not in keys]), src.select(
+                *keys, *[c for c in by if c in src.columns and c not in keys]), keys,
+                StructType([f for f in schema if f.name in {*keys, *by}])), by)
+            emptied = [p for p in left if p not in kept]
+        folders = self._folders(about, emptied)
+        self._write(merged, about, overwrite=True)
+        for folder in folders:
+            self._delete(folder)
+        return self._declare(about)
+
     @staticmethod
-    def _repeated(attempt: Callable[[], int]) -> int:
-        """``attempt`` again, at most :data:`ATTEMPTS` times, after a conflict."""
-        for _ in range(ATTEMPTS - 1):
-            try:
-                return attempt()
-            except VersionConflict:
-                continue
-        return attempt()
-
-    def append(self, df: DataFrame, stream: tuple[str, int] | None = None) -> int:
-        """Add rows; done again on top of what another writer published first."""
-        return self._repeated(lambda: self.save(df, mode="append", stream=stream))
-
-    def _merge(self, current, src, keys, schema_mode, gate) -> int:
-        known = StructType.fromJson(current["schema"])
-        extra = set(src.columns) - set(known.names)
-        if extra and schema_mode != "merge":
-            raise ValueError(f"columns {sorted(extra)} are not in '{self.path}'")
-        state = self._next_state(current, None)
-        schema = merged_schema(known, _nullable(src.schema))
-        state["schema"] = schema.jsonValue()
-
-        held = self._scan(current, current["entries"], with_folder=True)
-        touched = held.join(src.select(*keys), keys, "left_semi").select("_folder")
-        parts = [c for c in state["partition_by"] if c in src.columns]
-        if parts:
-            values = src.select(*[F.col(f"`{c}`").alias(f"_to_{c}") for c in parts]).distinct()
-            same = reduce(and_, [held[f"`{c}`"].eqNullSafe(values[f"`_to_{c}`"]) for c in parts])
-            touched = touched.unionByName(held.join(values, same, "left_semi").select("_folder"))
-        if state["partition_by"]:
-            rewritten, kept = self._split(current, touched)
-        else:  # the table is one partition
-            rewritten, kept = current["entries"], []
-        new = conform(src, schema)
-        if rewritten:
-            old = self._scan(state, rewritten)
-            added = conform(src.join(old.select(*keys), keys, "left_anti"), schema)
-            new = self._updated(old, src, keys, schema).unionByName(added)
-        written = self._write_snapshot(new, state)
-        self._check(state, written, gate=gate)
-        state["entries"] = kept + written
-        return self._publish(state)
-
-    def _split(self, state: dict, held: DataFrame) -> tuple[list[str], list[str]]:
-        """(directories to rewrite, directories to keep) for the rows in ``held``.
-
-        What reaches the driver is names of live directories.
+    def _touched(table: DataFrame, src: DataFrame, keys: list[str], by: list[str]) -> list[tuple]:
+        """Partitions that hold a key of the source: their number is what reaches the driver.
+
+        Few keys are pushed to the scan as values, so that buckets, row groups and
+        pages are skipped by the hash, the least and greatest value and the Bloom
+        filter; many are joined, bucket by bucket.
         """
-        depth = len(state["partition_by"])
-        touched = {
-            "/".join(unquote(r["_folder"]).split("/")[-(depth + 1):])
-            for r in held.select("_folder").distinct().collect()
-        }
-        rewritten = [e for e in state["entries"] if e in touched]
-        return rewritten, [e for e in state["entries"] if e not in touched]
+        if len(keys) == 1:
+            few = src.select(keys[0]).where(F.col(f"`{keys[0]}`").isNotNull()).limit(LISTED_KEYS + 1).collect()
+            if len(few) <= LISTED_KEYS:
+                return LakeTable._distinct(table.where(F.col(f"`{keys[0]}`").isin([r[0] for r in few])), by)
+        return LakeTable._distinct(table.join(src.select(*keys), keys, "left_semi"), by)
 
-    def compact(self) -> int:
-        """Write the whole table anew, one directory for each partition."""
-        def attempt() -> int:
-            current = self._state()
-            state = self._next_state(current, None)
-            state["entries"] = self._write_snapshot(self._scan(current, current["entries"]), state)
-            return self._publish(state)
+    @staticmethod
+    def _distinct(df: DataFrame, by: list[str]) -> list[tuple]:
+        return [tuple(r) for r in df.select(*[F.col(f"`{c}`") for c in by]).distinct().collect()]
 
-        return self._repeated(attempt)
+    def _folders(self, about: dict, partitions: list[tuple]) -> list[str]:
+        if not partitions:
+            return []
+        rows = self._scan(about).where(_one_of(partitions, about["partition_by"]))
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+        return [unquote(r[0]) for r in rows.select(folder).distinct().collect()]
 
     @staticmethod
-    def _updated(old: DataFrame, src: DataFrame, keys: list[str], schema: StructType) -> DataFrame:
-        new = src.select(
-            *[F.col(f"`{c}`").alias(f"_new_{c}") for c in src.columns], F.lit(True).alias("_hit")
-        )
-        same = F.lit(True)
-        for k in keys:
-            same = same & (old[f"`{k}`"] == new[f"`_new_{k}`"])
+    def _merged(old: DataFrame, src: DataFrame, keys: list[str], schema: StructType) -> DataFrame:
+        """Rows of ``old`` with the values of ``src`` where the keys match, and its further rows."""
+        old = conform(old, schema)
+        new = src.select(*[F.col(f"`{c}`").alias(f"_new_{c}") for c in src.columns], F.lit(True).alias("_hit"))
+        same = reduce(and_, [old[f"`{k}`"] == new[f"`_new_{k}`"] for k in keys])
         columns = []
         for f in schema:
             c = F.col(f"`{f.name}`")
             if f.name in src.columns:
                 c = F.when(F.col("_hit"), F.col(f"`_new_{f.name}`")).otherwise(c)
             columns.append(c.alias(f.name))
-        return old.join(new, same, "left").select(*columns)
+        updated = old.join(new, same, "left").select(*columns)
+        added = conform(src.join(old.select(*keys), keys, "left_anti"), schema)
+        return updated.unionByName(added)
 
     # -- describing -------------------------------------------------------
     def summary(self, name: str) -> DataFrame:
@@ -519,3 +518,12 @@ class LakeTable:
         first = self.read().orderBy(*order).limit(n)
         place = F.row_number().over(Window.orderBy(*order))  # over those n rows
         return first.withColumn("place", place)
+
+
+def _one_of(values: list[tuple], columns: list[str]) -> Column:
+    """Whether a row lies in one of the partitions, in a form that prunes folders."""
+    if len(columns) == 1:
+        c, given = F.col(f"`{columns[0]}`"), [v[0] for v in values if v[0] is not None]
+        found = c.isin(given) if given else F.lit(False)
+        return found | c.isNull() if any(v[0] is None for v in values) else found
+    return reduce(or_, [reduce(and_, [F.col(f"`{c}`").eqNullSafe(x) for c, x in zip(columns, v, strict=True)]) for v in values])

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -32,6 +32,7 @@ from ..sources.tables import LakeTable
 
 REJECTED = StructType(
     [
+        StructField("stream_id", StringType()),
         StructField("batch_id", LongType()),
         StructField("topic", StringType()),
         StructField("key", StringType()),
@@ -63,12 +64,14 @@ class BronzeStream:
     break a table constraint go to the quarantine table with the reason.
 
     A batch replayed after a failure changes nothing: the upserts give the same
-    tables again, and the quarantine records the last batch it took under the id
-    in the stream's checkpoint. A fresh checkpoint has a new id, so its batches,
-    counted from 0 again, are all taken.
-
-    ``counts`` holds a row for each batch and topic: messages that came,
-    messages rejected, rows upserted (one per id).
+    tables again, and rejected messages and counts land in a partition of their
+    own (the id in the stream's checkpoint, the batch's number), which the replay
+    overwrites. A fresh checkpoint has a new id, so its batches, counted from 0
+    again, are all taken.
+
+    ``counts`` holds a row for each batch and topic (NULL: all unknown topics
+    together): messages that came, messages rejected, rows upserted (one per id).
+    They are observed while the batch is written; nothing is aggregated for them.
     """
 
     def __init__(
@@ -86,12 +89,13 @@ class BronzeStream:
         self.name = name
         self.team_topic, self.match_topic = team_topic, match_topic
         self.names = names or {}
-        self.teams = LakeTable(spark, teams_path).create(BRONZE_TEAMS, checks=TEAM_CHECKS)
+        self.teams = LakeTable(spark, teams_path).create(BRONZE_TEAMS, checks=TEAM_CHECKS, keys=["team_id"])
         self.matches = LakeTable(spark, matches_path).create(
-            BRONZE_MATCHES, partition_by=["extract_date"], checks=MATCH_CHECKS, sort_by=["event_id"]
+            BRONZE_MATCHES, partition_by=["extract_date"], checks=MATCH_CHECKS, keys=["event_id"]
         )
-        self.rejected = LakeTable(spark, rejected_path).create(REJECTED)
-        self.counts = LakeTable(spark, f"{rejected_path.rstrip('/')}_counts").create(COUNTS)
+        batch = ["stream_id", "batch_id"]
+        self.rejected = LakeTable(spark, rejected_path).create(REJECTED, partition_by=batch)
+        self.counts = LakeTable(spark, f"{rejected_path.rstrip('/')}_counts").create(COUNTS, partition_by=batch)
         self._checkpoint: str | None = None
         self._stream_id: str | None = None
 
@@ -99,8 +103,10 @@ class BronzeStream:
         """Messages with their parsed value, a ``kind`` to route by, a reason to reject."""
         is_team = F.col("topic") == self.team_topic
         is_match = F.col("topic") == self.match_topic
+        undecoded = F.col("undecoded") if "undecoded" in messages.columns else F.lit(None).cast("string")
         trees = messages.select(
-            "topic", "key", "value", *ARRIVAL_ORDER,
+            "topic", "key", F.coalesce("value", undecoded).alias("value"), *ARRIVAL_ORDER,
+            undecoded.isNotNull().alias("broken"),
             parsed(TEAM_COLUMNS, self._names(self.team_topic), F.when(is_team, F.col("value")))
             .alias("team"),
             parsed(MATCH_COLUMNS, self._names(self.match_topic), F.when(is_match, F.col("value")))
@@ -123,6 +129,7 @@ class BronzeStream:
         ).otherwise(any_null("match", self.match_topic, ("event_id",)))
         reason = (
             F.when(~F.coalesce(is_team | is_match, F.lit(False)), "unknown_topic")
+            .when(F.col("broken"), "not_utf8")
             .when(~whole, "not_a_json_object")
             .when(fraction, "fractional_number")
             .when(keyless, "constraint")
@@ -147,54 +154,50 @@ class BronzeStream:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch; safe to repeat with the same ``batch_id``.
 
-        Called by hand, without :meth:`start`, there is no stream to recognise a
-        repeated batch by: its rejected messages are then kept again.
+        Called by hand, without :meth:`start`, there is no stream id; a repeated
+        number then overwrites what was kept under it.
         """
-        staged = stage(self.classified(batch), "batch", partition_by=("kind",))
-        key = F.when(F.col("kind") == "team", fields("team", ["team_id"], self._names(self.team_topic))[0]).when(
-            F.col("kind") == "match", fields("match", ["event_id"], self._names(self.match_topic))[0]
-        )
-        counted = stage(
-            staged.df.groupBy("topic").agg(
-                F.count("*").alias("n_messages"),
-                F.count_if(F.col("kind") == "rejected").alias("n_rejected"),
-                F.count_distinct(key).alias("n_upserted"),
-            ),
-            "counts",
+        kinds = {"team": self.team_topic, "match": self.match_topic}
+        seen = Observation("messages")
+        came = [F.count_if(F.col("topic") == t).alias(k) for k, t in kinds.items()]
+        rejected = [
+            F.count_if((F.col("topic") == t) & (F.col("kind") == "rejected")).alias(f"{k}_rejected") for k, t in kinds.items()
+        ]
+        classified = self.classified(batch).observe(
+            seen, F.count(F.lit(1)).alias("all"), F.count_if(F.col("kind") == "rejected").alias("all_rejected"), *came, *rejected
         )
-        totals = counted.df.agg(F.sum("n_messages"), F.sum("n_rejected")).first()
-        messages, rejected = totals[0] or 0, totals[1] or 0
-        stream = None if self.stream_id() is None else (self.stream_id(), batch_id)
-        if messages > rejected:
-            rows = staged.df.where("kind = 'team'").select(
-                *ARRIVAL_ORDER, *fields("team", TEAM_COLUMNS, self._names(self.team_topic))
-            )
-            self._upsert(self.teams, type_teams, rows, "team_id")
-            rows = staged.df.where("kind = 'match'").select(
-                *ARRIVAL_ORDER, *fields("match", MATCH_COLUMNS, self._names(self.match_topic))
-            )
-            self._upsert(self.matches, type_bronze_matches, rows, "event_id")
-        if rejected:
-            rows = staged.df.where("kind = 'rejected'").select(
-                F.lit(batch_id).cast("bigint").alias("batch_id"),
-                "topic", "key", "value", "offset", "reason",
-            )
-            self.rejected.append(rows, stream)
-        if messages:
-            named = counted.df.select(
-                F.lit(self.stream_id()).cast("string").alias("stream_id"),
-                F.lit(batch_id).cast("bigint").alias("batch_id"),
-                *counted.df.columns,
-            )
-            self.counts.append(named, stream)
+        staged = stage(classified, "batch", partition_by=("kind",))
+        n = seen.get
+        upserted = {}
+        for kind, table, typed, key, columns in (
+            ("team", self.teams, type_teams, "team_id", TEAM_COLUMNS),
+            ("match", self.matches, type_bronze_matches, "event_id", MATCH_COLUMNS),
+        ):
+            upserted[kind] = 0
+            if n[kind] > n[f"{kind}_rejected"]:
+                rows = staged.df.where(F.col("kind") == kind).select(
+                    *ARRIVAL_ORDER, *fields(kind, columns, self._names(kinds[kind]))
+                )
+                upserted[kind] = self._upsert(table, typed, rows, key)
+        mark = [F.lit(self.stream_id() or "by hand").alias("stream_id"), F.lit(batch_id).cast("bigint").alias("batch_id")]
+        if n["all_rejected"]:
+            rows = staged.df.where("kind = 'rejected'").select(*mark, "topic", "key", "value", "offset", "reason")
+            self.rejected.save(rows, replace_partitions=True)
+        if n["all"]:
+            counts = [(kinds[k], n[k], n[f"{k}_rejected"], upserted[k]) for k in kinds]
+            counts.append((None, n["all"] - sum(n[k] for k in kinds), n["all_rejected"] - sum(n[f"{k}_rejected"] for k in kinds), 0))
+            schema = "topic string, n_messages bigint, n_rejected bigint, n_upserted bigint"
+            rows = self.spark.createDataFrame([c for c in counts if c[1]], schema).coalesce(1)  # three rows at most
+            self.counts.save(rows.select(*mark, "*"), replace_partitions=True)
         staged.discard()
-        counted.discard()
 
-    def _upsert(self, table, typed, rows, key) -> None:
-        latest = stage(typed(keep_last(rows, [key], list(ARRIVAL_ORDER))), "latest")
-        if not latest.df.isEmpty():
-            table.upsert(latest, [key], keys_are_unique=True)
+    def _upsert(self, table, typed, rows, key) -> int:
+        counted = Observation("latest")
+        newest = typed(keep_last(rows, [key], list(ARRIVAL_ORDER))).observe(counted, F.count(F.lit(1)).alias("n"))
+        latest = stage(newest, "latest")
+        table.upsert(latest, [key], keys_are_unique=True)
         latest.discard()
+        return counted.get["n"]
 
     def start(
         self, messages: DataFrame, checkpoint: str, until_caught_up: bool = True

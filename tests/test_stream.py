@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -92,7 +93,7 @@ def test_a_fresh_checkpoint_loses_nothing(spark, sink, topic, tmp_path):
 def test_time_decides_between_partitions_of_a_topic(spark, sink):
     at = [datetime(2024, 1, 1, 10, minute) for minute in (5, 9, 7)]
     batch = spark.createDataFrame(
-        [("equipos", "1", json.dumps(team("1", name)), 4, part, t) for name, part, t in zip("abc", (0, 1, 2), at)],
+        [("equipos", "1", json.dumps(team("1", name)), 4, part, t, None) for name, part, t in zip("abc", (0, 1, 2), at)],
         messages.MESSAGE)
     sink.process(batch, 0)
     assert rows(sink.teams.read(), "name") == [("b",)]
@@ -113,10 +114,13 @@ def test_a_replayed_batch_changes_nothing(spark, sink, topic, tmp_path):
     topic.send(("equipos", team("1", "North")), ("nowhere", "{}"))
     drain(spark, sink, topic, tmp_path)
     batch = spark.createDataFrame(
-        [("equipos", "1", json.dumps(team("1", "North")), 0, 0, None), ("nowhere", "", "{}", 1, 0, None)], messages.MESSAGE)
-    sink.process(batch, 0)
-    assert rows(sink.teams.read(), "team_id", "name") == [("1", "North")]
-    assert sink.rejected.read().count() == 1 and sink.counts.read().count() == 2
+        [("equipos", "1", json.dumps(team("1", "North")), 0, 0, None, None), ("nowhere", "", "{}", 1, 0, None, None)], messages.MESSAGE)
+    for _ in range(2):
+        sink.process(batch, 0)
+        assert rows(sink.teams.read(), "team_id", "name") == [("1", "North")]
+        assert rows(sink.rejected.read(), "batch_id", "topic") == [(0, "nowhere")]
+        assert rows(sink.counts.read(), "topic", "n_messages", "n_rejected", "n_upserted") == [("equipos", 1, 0, 1), (None, 1, 1, 0)]
+    assert {r["stream_id"] for r in sink.counts.read().collect()} == {sink.stream_id()}
 
 
 def test_bad_messages_are_kept_aside_with_the_reason(spark, sink, topic, tmp_path):
@@ -171,11 +175,11 @@ def test_messages_under_published_names(spark, tmp_path):
 
 def test_feed_lines(spark):
     df = spark.createDataFrame(
-        [("equipos", "1", json.dumps(team("1", "North", city="C", venue="V")), 0, 0, None),
+        [("equipos", "1", json.dumps(team("1", "North", city="C", venue="V")), 0, 0, None, None),
          ("partidos", "m", json.dumps(match("m", home_team="A", away_team="B", status="FT",
-                                            event_date="2024-02-02")), 1, 0, None),
-         ("equipos", "2", "{cut", 3, 0, None), ("partidos", "n", "[1]", 4, 0, None),
-         ("otros", "", "{}", 2, 0, None)], messages.MESSAGE)
+                                            event_date="2024-02-02")), 1, 0, None, None),
+         ("equipos", "2", "{cut", 3, 0, None, None), ("partidos", "n", "[1]", 4, 0, None, None),
+         ("otros", "", "{}", 2, 0, None, None)], messages.MESSAGE)
     assert [r["line"] for r in messages.feed_line(df).orderBy("topic").collect()] == [
         "EQUIPO | North | Ciudad: C | Estadio: V",
         "Mensaje de tópico desconocido: otros",
@@ -186,4 +190,38 @@ def test_connector_messages_are_decoded(spark):
     raw = spark.sql("SELECT 'equipos' AS topic, CAST('k' AS BINARY) AS key, "
                     "CAST('{\"name\":\"ñ\"}' AS BINARY) AS value, 7L AS offset, 3 AS partition, TIMESTAMP '2024-01-02 03:04:05' AS timestamp")
     assert rows(messages.decoded(raw)) == [
-        ("equipos", "k", '{"name":"ñ"}', 7, 3, datetime(2024, 1, 2, 3, 4, 5))]
+        ("equipos", "k", '{"name":"ñ"}', 7, 3, datetime(2024, 1, 2, 3, 4, 5), None)]
+
+
+def test_bytes_that_are_no_text_end_in_quarantine(spark, sink):
+    raw = spark.sql("""SELECT 'equipos' AS topic, key, value, n AS offset, 0 AS partition, TIMESTAMP '2024-01-02 03:04:05' AS timestamp
+        FROM VALUES (X'FF', X'7B22C3', 1L), (CAST('k' AS BINARY), CAST('{"team_id":"1","name":"ñ"}' AS BINARY), 2L),
+                    (NULL, NULL, 3L), (X'', X'', 4L) AS t(key, value, n)""")
+    read = messages.decoded(raw)
+    assert rows(read, "offset", "key", "value", "undecoded") == [
+        (1, "/w==", None, "eyLD"), (2, "k", '{"team_id":"1","name":"ñ"}', None), (3, None, None, None), (4, "", "", None)]
+    sink.process(read, 0)
+    assert rows(sink.teams.read(), "team_id", "name") == [("1", "ñ")]
+    assert rows(sink.rejected.read(), "offset", "value", "reason") == [
+        (1, "eyLD", "not_utf8"), (3, None, "not_a_json_object"), (4, "", "not_a_json_object")]
+
+
+def test_admission_by_bytes_makes_several_batches_and_archives_what_is_done(spark, topic, tmp_path):
+    for i in range(6):
+        topic.send(("equipos", team(str(i % 4), f"name {i}")), ("nowhere", "{}"))
+    for i, file in enumerate(sorted(topic.folder.iterdir())):
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))  # files come in the order of their times
+    found = {}
+    for label, options in {"one": {}, "several": {"bytes_per_batch": 1, "archive": str(tmp_path / "done")}}.items():
+        root = scratch_path(spark, label)
+        sink = BronzeStream(spark, f"{root}/t", f"{root}/m", f"{root}/r")
+        stream = messages.file_stream(spark, str(topic.folder), **options)
+        sink.start(stream, f"{root}/checkpoint").awaitTermination()
+        counts = sink.counts.read()
+        found[label] = (
+            rows(sink.teams.read(), "team_id", "name"), rows(sink.rejected.read(), "topic", "offset"),
+            counts.where("topic = 'equipos'").agg({"n_messages": "sum"}).first()[0])
+        assert counts.select("batch_id").distinct().count() == {"one": 1, "several": 6}[label]
+    assert found["one"] == found["several"]
+    left = len(list(topic.folder.glob("*.json")))
+    assert left < 6 and left + len(list((tmp_path / "done").rglob("*.json"))) == 6

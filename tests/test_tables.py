@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -8,7 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from conftest import rows
 from matchstrata.operators.contracts import Contract, ContractViolation
 from matchstrata.session import scratch_path
-from matchstrata.sources.tables import ATTEMPTS, LakeTable, VersionConflict
+from matchstrata.sources.tables import BUCKETS, LakeTable
 
 KV = "k string, part string, v int"
 
@@ -22,8 +23,16 @@ def frame(spark, data, schema=KV):
     return spark.createDataFrame(data, schema)
 
 
-def live_dirs(lake):
-    return set(lake._state()["entries"])
+def folder(lake):
+    return Path(f"{lake.path}/{lake._about()['data']}".removeprefix("file:"))
+
+
+def files(lake):
+    """Live data files, by partition folder."""
+    found = {}
+    for f in folder(lake).rglob("*.parquet"):
+        found.setdefault(f.parent.name if f.parent != folder(lake) else "", set()).add(f.name)
+    return found
 
 
 def test_absent_table(spark, lake):
@@ -60,7 +69,7 @@ def test_modes(spark, lake):
     assert rows(lake.read()) == [("a", "p", 1), ("b", "p", 2)]
     lake.save(two, mode="overwrite")
     assert rows(lake.read()) == [("b", "p", 2)]
-    assert rows(lake.read(version=1)) == [("a", "p", 1), ("b", "p", 2)]
+    assert lake.version() == 2
     with pytest.raises(ValueError):
         lake.save(two, mode="upsert")
 
@@ -74,12 +83,12 @@ def test_a_table_can_be_overwritten_from_itself(spark, lake):
 def test_replacing_partitions_keeps_the_others(spark, lake):
     load = {"partition_by": ["part"], "replace_partitions": True, "schema_mode": "merge"}
     lake.save(frame(spark, [("a", "d1", 1), ("b", "d2", 2), ("c", "d2", 3)]), **load)
-    kept = {d for d in live_dirs(lake) if d.endswith("part=d1")}
+    kept = files(lake)["part=d1"]
     again = frame(spark, [("b", "d2", 9), ("e", "d3", 4)])
     for _ in range(2):
         lake.save(again, **load)
         assert rows(lake.read(), *["k", "part", "v"]) == [("a", "d1", 1), ("b", "d2", 9), ("e", "d3", 4)]
-    assert kept <= live_dirs(lake)
+    assert files(lake)["part=d1"] == kept
 
 
 @pytest.mark.parametrize("partition_by", [[], ["part"]])
@@ -146,7 +155,7 @@ def test_summary_and_preview(spark, lake):
 def test_first_upsert_creates(spark, lake):
     lake.upsert(frame(spark, [("a", "p", 1)]), ["k"], partition_by=["part"])
     assert rows(lake.read(), "k", "part", "v") == [("a", "p", 1)]
-    assert live_dirs(lake).pop().endswith("/part=p")
+    assert set(files(lake)) == {"part=p"}
 
 
 def test_upsert_updates_moves_inserts_and_keeps(spark, lake):
@@ -154,12 +163,12 @@ def test_upsert_updates_moves_inserts_and_keeps(spark, lake):
         frame(spark, [("a", "p1", 1), ("b", "p1", 2), ("c", "p2", 3), ("d", "p3", 4)]), ["k"],
         partition_by=["part"],
     )
-    untouched = {d for d in live_dirs(lake) if d.endswith("part=p3")}
+    untouched = files(lake)["part=p3"]
     lake.upsert(frame(spark, [("a", "p9", 10), ("c", "p2", None), ("n", "p1", 5)]), ["k"])
     assert rows(lake.read(), "k", "part", "v") == [
         ("a", "p9", 10), ("b", "p1", 2), ("c", "p2", None), ("d", "p3", 4), ("n", "p1", 5),
     ]
-    assert untouched <= live_dirs(lake)
+    assert files(lake)["part=p3"] == untouched
 
 
 def test_upsert_null_keys_are_inserted_and_copies_stay(spark, lake):
@@ -188,69 +197,108 @@ def test_upsert_by_two_keys_and_new_columns(spark, lake):
     assert rows(lake.read()) == [("a", "p", 1, None), ("a", "q", 5, "n"), ("b", "q", 6, "m")]
 
 
-def test_a_batch_of_one_stream_is_appended_once(spark, lake):
-    lake.append(frame(spark, [("a", "p", 1)]), ("s", 0))
-    lake.append(frame(spark, [("b", "p", 2)]), ("s", 1))
-    version = lake.version()
-    lake.append(frame(spark, [("z", "p", 99)]), ("s", 1))
-    lake.append(frame(spark, [("z", "p", 99)]), ("s", 0))
-    assert lake.version() == version
-    lake.append(frame(spark, [("c", "p", 3)]), ("another checkpoint", 0))
-    assert rows(lake.read(), "k") == [("a",), ("b",), ("c",)]
+def test_a_partition_load_done_again_changes_nothing(spark, lake):
+    batches = [("s", 0, "a"), ("s", 1, "b"), ("s", 1, "z"), ("s", 1, "b"), ("another checkpoint", 0, "c")]
+    for stream, batch, k in batches:
+        loaded = frame(spark, [(k, stream, batch)], "k string, stream string, batch bigint")
+        lake.save(loaded, partition_by=["stream", "batch"], replace_partitions=True)
+    assert rows(lake.read(), "k", "stream", "batch") == [("a", "s", 0), ("b", "s", 1), ("c", "another checkpoint", 0)]
 
 
 @pytest.mark.parametrize("partition_by", [[], ["part"]])
-def test_live_directories_stay_as_many_as_partitions(spark, lake, partition_by):
-    for i in range(12):
+def test_folders_stay_as_many_as_partitions(spark, lake, partition_by):
+    for i in range(6):
         lake.upsert(frame(spark, [(str(i), "pq"[i % 2], i)]), ["k"], partition_by=partition_by)
-    assert lake.read().count() == 12
-    assert len(live_dirs(lake)) == (2 if partition_by else 1)
+    assert lake.read().count() == 6
+    assert len(files(lake)) == (2 if partition_by else 1)
+    assert all(len(names) <= BUCKETS for names in files(lake).values())
+    # The current rows, and those before the load, for frames that were read then.
+    assert len([d for d in folder(lake).parent.iterdir() if d.is_dir()]) == (1 if partition_by else 2)
 
 
 def test_only_touched_partitions_are_written_anew(spark, lake):
     data = [(f"{i:03d}", "pqrs"[i % 4], i) for i in range(80)]
     lake.save(frame(spark, data), partition_by=["part"])
-    before = live_dirs(lake)
+    before = files(lake)
     # 040 moves from p to q; r and s are neither left nor entered.
     lake.upsert(frame(spark, [("040", "q", -1)]), ["k"])
-    assert {d.rpartition("=")[2] for d in before & live_dirs(lake)} == {"r", "s"}
+    assert {d.rpartition("=")[2] for d in before if before[d] == files(lake)[d]} == {"r", "s"}
     assert rows(lake.read(), "k", "part", "v") == sorted(
         [r for r in data if r[0] != "040"] + [("040", "q", -1)], key=repr
     )
 
 
-def test_compacting_changes_no_row(spark, lake):
-    for i in range(5):
-        lake.save(frame(spark, [(str(i), "pq"[i % 2], i)]), mode="append", partition_by=["part"])
-    held = rows(lake.read(), "k", "part", "v")
-    assert len(live_dirs(lake)) == 5
-    lake.compact()
-    assert len(live_dirs(lake)) == 2 and rows(lake.read(), "k", "part", "v") == held
-
-
-def test_a_merge_is_done_again_after_a_conflict(spark, lake, monkeypatch):
-    lake.save(frame(spark, [("a", "p", 1)]))
-    publish, others = lake._publish, iter([("b", "p", 2), ("c", "p", 3)])
-
-    def raced(state):
-        other = next(others, None)
-        if other is not None:
-            LakeTable(spark, lake.path).save(frame(spark, [other]), mode="append")
-        return publish(state)
-
-    monkeypatch.setattr(lake, "_publish", raced)
-    lake.upsert(frame(spark, [("a", "p", 9), ("d", "p", 4)]), ["k"])
-    assert rows(lake.read(), "k", "v") == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
-    tried = []
-
-    def never(state):
-        tried.append(state["version"])
-        raise VersionConflict("always")
-
-    monkeypatch.setattr(lake, "_publish", never)
-    with pytest.raises(VersionConflict):
-        lake.upsert(frame(spark, [("a", "p", 10)]), ["k"])
-    assert len(tried) == ATTEMPTS
+def test_a_partition_that_all_rows_leave_goes(spark, lake):
+    lake.upsert(frame(spark, [("a", "p", 1), ("b", "p", 2), ("c", "", 3), ("d", None, 4), ("e", "x/y=z", 5)]), ["k"], partition_by=["part"])
+    moved = [("a", "q", 1), ("b", "q", 2), ("c", "q", 3), ("d", "q", 4), ("e", "", 5)]
+    lake.upsert(frame(spark, moved), ["k"])
+    assert rows(lake.read(), "k", "part", "v") == sorted(moved) and len(files(lake)) == 2
+    lake.upsert(frame(spark, moved), ["k"])
+    assert rows(lake.read(), "k", "part", "v") == sorted(moved)
+
+
+def _keyed(spark, lake, n=40_000):
+    """A table of many keys in 2 buckets, with small row groups."""
+    schema = StructType([StructField("k", LongType()), StructField("part", StringType()), StructField("v", LongType())])
+    lake.create(schema, partition_by=["part"], keys=["k"], buckets=2)
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", str(1 << 14))
+    try:
+        lake.save(spark.range(n).select((F.col("id") * 2).alias("k"), F.lit("p").alias("part"), F.col("id").alias("v")), mode="append")
+    finally:
+        conf.unset("parquet.block.size")
+    return lake
+
+
+def _scanned(df):
+    """Rows that the file scans of a frame hand on, after it ran."""
+    df.collect()
+    total, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if "Adaptive" in node.nodeName():
+            stack.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        else:
+            children = node.children()
+            stack += [children.apply(k) for k in range(children.size())]
+    return total
+
+
+def test_a_merge_of_few_keys_reads_few_row_groups(spark, lake):
+    table = _keyed(spark, lake)
+    with table._bucketed(table._about()) as name:
+        whole = _scanned(spark.table(name).select("k"))
+        keys = [20 + 8_000 * i for i in range(10)]
+        some = _scanned(spark.table(name).where(F.col("k").isin(keys)).select("k"))
+        # Odd keys lie within the range of most row groups, but in no Bloom filter.
+        none = _scanned(spark.table(name).where(F.col("k").isin([k + 1 for k in keys])).select("k"))
+    assert whole == 40_000 and 10 <= some < whole / 2 and none < some / 2
+    table.upsert(frame(spark, [(20, "p", -1), (21, "p", -2)], "k bigint, part string, v bigint"), ["k"])
+    assert rows(table.read().where("k IN (20, 21)"), "k", "v") == [(20, -1), (21, -2)]
+    assert table.read().count() == 40_001
+
+
+def test_a_merge_does_not_shuffle_the_table(spark, lake):
+    table = _keyed(spark, lake, 1_000)
+    about = table._about()
+    source = spark.range(500).select((F.col("id") * 3).alias("k"), F.lit("p").alias("part"), F.lit(0).cast("bigint").alias("v"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with table._bucketed(about) as name:
+            merged = table._merged(spark.table(name), source, ["k"], table.schema())
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    joins = plan.count("SortMergeJoin")
+    assert joins == 2 and plan.count("Bucketed: true") == 2
+    assert plan.count("Exchange hashpartitioning") == 2  # the source, once for each join; never the table
+    for part in plan.split("Scan parquet")[1:]:
+        assert "Exchange" not in part.splitlines()[0]
 
 
 def test_a_gate_keeps_rows_from_being_published(spark, lake):
@@ -268,15 +316,6 @@ def test_a_gate_keeps_rows_from_being_published(spark, lake):
     assert rows(lake.read(), "k") == [("a",), ("b",)]
 
 
-def test_two_writers_of_one_version_conflict(spark, lake):
-    lake.save(frame(spark, [("a", "p", 1)]))
-    state = lake._next_state(lake._state(), None)
-    lake.save(frame(spark, [("b", "p", 1)]), mode="append")
-    with pytest.raises(VersionConflict):
-        lake._publish(state)
-    assert rows(lake.read(), "k") == [("a",), ("b",)]
-
-
 KEYS = st.sampled_from(["a", "b", "c", None])
 ROW = st.tuples(KEYS, st.sampled_from(["p", "q", ""]), st.integers(0, 9))
 
