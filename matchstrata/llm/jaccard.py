@@ -20,10 +20,11 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchstrata.llm.common import components, numbered, small
+from matchstrata.llm.tokens import trim
 from matchstrata.session import stage
 
 SKETCH_BITS = 18
@@ -32,9 +33,9 @@ MOST_MATCHES = 4
 #: Prefix shingles with more classes than this are compared by blocks instead of pairs of rows.
 HOT = 32
 BLOCK_DOCS = 512
-BLOCK_SHINGLES = 1 << 20
-KEPT_WORDS = 200_000
-_COLUMNS_AT_ONCE = 8_192
+BLOCK_SHINGLES = 1 << 19
+KEPT_WORDS = 100_000
+_COLUMNS_AT_ONCE = 4_096
 
 
 @dataclass(frozen=True)
@@ -106,7 +107,7 @@ def _scan_sets(docs: DataFrame, rule: Rule) -> DataFrame:
                 counts += np.bincount(np.concatenate(seen), minlength=len(counts))
             none = [None] * len(keys)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), *_nulls(none)],
+                [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), *_nulls(none)],
                 names=_SCAN_NAMES,
             )
         parts = [p for p in range(len(counts) // _SKETCH_PART) if counts[p * _SKETCH_PART : (p + 1) * _SKETCH_PART].any()]
@@ -115,6 +116,7 @@ def _scan_sets(docs: DataFrame, rule: Rule) -> DataFrame:
             [
                 pa.array(none, pa.int64()),
                 pa.array(none, pa.binary()),
+                pa.array(none, pa.binary()),
                 pa.array(none, pa.int64()),
                 pa.array(parts, pa.int32()),
                 pa.array([TaskContext.get().partitionId() % 64] * len(parts), pa.int32()),
@@ -122,11 +124,12 @@ def _scan_sets(docs: DataFrame, rule: Rule) -> DataFrame:
             ],
             names=_SCAN_NAMES,
         )
+        trim()
 
-    return docs.mapInArrow(run, "doc_id long, key binary, n long, part int, share int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, text_key binary, key binary, n long, part int, share int, counts binary")
 
 
-_SCAN_NAMES = ["doc_id", "key", "n", "part", "share", "counts"]
+_SCAN_NAMES = ["doc_id", "text_key", "key", "n", "part", "share", "counts"]
 
 
 def _nulls(none: list) -> list[pa.Array]:
@@ -193,6 +196,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, rule: Rule) -> DataFrame:
                     ],
                     names=["key", "n", "matches", "shingles"],
                 )
+        trim()
 
     found = docs.mapInArrow(run, "key binary, n long, matches int, shingles array<long>")
     return found.dropDuplicates(["key"])
@@ -244,6 +248,7 @@ def _verified(members: DataFrame, rule: Rule) -> DataFrame:
                     [pa.array([keys[x] for x, _ in links], pa.binary()), pa.array([keys[y] for _, y in links], pa.binary())],
                     names=["a", "b"],
                 )
+        trim()
 
     placed = members.select("unit", "key", "shingles").repartition("unit").sortWithinPartitions("unit")
     return placed.mapInArrow(run, "a binary, b binary")
@@ -263,9 +268,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                 ],
                 names=["key", "shingles"],
             )
+        trim()
 
     ids = wanted.select(F.col("doc_id").alias("__id")).distinct()
-    few = docs.join(small(ids), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    few = docs.select("doc_id", "text").join(small(ids), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     # Documents may share an id; of each class one set stays.
     found = few.mapInArrow(run, "key binary, shingles binary").join(wanted.select("key"), "key", "left_semi")
     return found.dropDuplicates(["key"])
@@ -348,6 +354,11 @@ def _units(prefixes: DataFrame, rule: Rule) -> DataFrame:
     return blocked.unionByName(whole).unionByName(partners)
 
 
+def _text_key(text: Column) -> Column:
+    """A 128-bit digest of a text; null counts as empty."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
+
+
 def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id``.
 
@@ -357,40 +368,69 @@ def similar_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     id is reported only where the whole component has no other. No documents give
     no rows. Other columns are not looked at.
     """
+    found = _labelled(docs, rule, with_text=False)
+    smallest = found.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = found.where("n_shingles > 0").join(smallest, "component")
+    empty = found.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return linked.select(*columns).unionByName(empty.select(*columns))
+
+
+def _labelled(docs: DataFrame, rule: Rule, with_text: bool = True) -> DataFrame:
+    """Per document: ``doc_id, text_key, n_shingles, component`` (a class key)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scanned = stage(_scan_sets(rows, rule), "sets").df
-    sets = scanned.where("part IS NULL").select("doc_id", "key", "n")
+    rows = rows.withColumn("text_key", _text_key(F.col("text")) if with_text else F.lit(None).cast("binary"))
+    scanned = stage(_scan_sets(rows, rule), "sets")
+    sets = scanned.df.where("part IS NULL").select("doc_id", "text_key", "key", "n")
     full = sets.where("n > 0")
     classes = full.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    prefixes = stage(_prefixes(rows, _sketch(scanned), rule), "prefixes").df
-    units = stage(_units(prefixes, rule), "units").df
-    wanted = stage(units.select("key").distinct().join(classes, "key"), "wanted").df
-    members = units.join(_sets_of(rows, wanted, rule), "key")
-    links = stage(_verified(members, rule), "links").df
-    reached = stage(components(links).withColumnRenamed("node", "key"), "reached").df
-    labelled = classes.join(small(reached), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = stage(labelled.select("key", "component").join(smallest, "component").select("key", "component_id"), "named").df
-    empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return (
-        full.join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty)
+    prefixes = stage(_prefixes(rows, _sketch(scanned.df), rule), "prefixes")
+    units = stage(_units(prefixes.df, rule), "units")
+    prefixes.discard()
+    wanted = stage(units.df.select("key").distinct().join(classes, "key"), "wanted")
+    members = units.df.join(_sets_of(rows, wanted.df, rule), "key")
+    links = stage(_verified(members, rule), "links")
+    units.discard()
+    wanted.discard()
+    reached = stage(components(links.df).withColumnRenamed("node", "key"), "reached").df
+    links.discard()
+    found = sets.join(reached, "key", "left").select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component")
     )
+    kept = stage(found, "labelled").df
+    scanned.discard()
+    return kept
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component: that with its smallest id.
 
-    Documents without words are all kept, and so are rows without id. Repeated
-    rows of the document that stays: one of them stays.
+    Documents without words are all kept. A document is told by its id and its
+    set of shingles, so rows with one id and different texts go or stay each for
+    itself. Of several rows that would stay for one component (equal ids, or no id
+    at all) one stays, that with the smallest text key; a component without any
+    id keeps one row.
     """
-    found = similar_documents(docs, rule)
-    gone = found.where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    gone = stage(gone, "copies").df
-    kept = docs.join(small(gone), docs["doc_id"] == F.col("__id"), "left_anti")
-    twice = stage(
-        kept.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids"
-    ).df
-    if twice.isEmpty():
-        return kept
-    few = kept.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(small(twice), "doc_id", "left_anti").unionByName(few.select(*kept.columns))
+    found = _labelled(docs.select("doc_id", "text"), rule).where("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    ranked = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    told = found.join(ranked.select("component", "first"), "component").withColumn("stays", place == F.col("first"))
+    told = told.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(
+        F.bool_or("stays").alias("stays"), F.count("*").alias("rows")
+    )
+    told = stage(told.where("NOT stays OR rows > 1"), "copies").df
+    gone, twice = told.where("NOT stays"), told.where("stays")
+    rows = docs.select("*", F.col("doc_id").cast("long").alias(_ID), _text_key(F.col("text").cast("string")).alias(_KEY))
+
+    def among(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return df.join(some, F.col(_ID).eqNullSafe(some["id"]) & (F.col(_KEY) == some["key"]), how)
+
+    kept = among(rows, gone, "left_anti")
+    if not twice.isEmpty():
+        kept = among(kept, twice, "left_anti").unionByName(among(kept, twice, "left_semi").dropDuplicates([_ID, _KEY]))
+    return kept.select(*[f"`{c}`" for c in docs.columns])
+
+
+#: Names of helper columns, longer than any that a table is likely to have.
+_ID = "__id_of_a_row_in_the_similarity_join"
+_KEY = "__text_key_of_a_row_in_the_similarity_join"

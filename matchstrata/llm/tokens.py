@@ -12,9 +12,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that one Python worker keeps between batches, with their ids. Beyond them it keeps the last batch's.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
+#: New words that the library encodes in one call.
+WORDS_AT_ONCE = 20_000
 #: Text that is cut into words at once.
-BYTES_AT_ONCE = 8 << 20
+BYTES_AT_ONCE = 3 << 20
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
@@ -80,29 +82,30 @@ class BulkEncoder:
         self.kept_words = kept_words
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # for pieces: their texts hold no such name
-        if hasattr(self.plain.model, "_resize_cache"):
-            self.plain.model._resize_cache(0)  # it gets new pieces only
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # most of what it gets are new pieces
         size = self.tokenizer.get_vocab_size()
         # A byte-level token shows each of its bytes as one character.
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], dtype=np.int64)
-        self.stops = {c: self._ids(self.plain, c)[0] for c in ",."}
-        self.line_end = len(self._ids(self.plain, "\n"))
+        self.stops = {c: self._ids(c)[0] for c in ",."}
+        self.line_end = len(self._ids("\n"))
         self.known = _Words(pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, "<u4"))
 
-    @staticmethod
-    def _ids(tokenizer, text: str) -> np.ndarray:
-        found = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+    def _ids(self, text: str, plain: bool = False) -> np.ndarray:
+        """``plain``: names of added tokens count as ordinary text."""
+        self.tokenizer.encode_special_tokens = plain
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, dtype="<u4")
 
     def _learnt(self, words: pa.Array) -> _Words:
         """Different words, each led by a space or a line end, with the ids of the library."""
         if not len(words):
             return _Words(words, np.zeros(0, np.int32), np.zeros(0, "<u4"))
+        if len(words) > WORDS_AT_ONCE:
+            return self._learnt(words[:WORDS_AT_ONCE]).with_more(self._learnt(words[WORDS_AT_ONCE:]))
         led = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise(" ", words, ""))
         text = pc.binary_join(pa.ListArray.from_arrays([0, len(led)], led), "")[0].as_py()
-        ids = self._ids(self.plain, text)
+        ids = self._ids(text, plain=True)  # a text with such a name is encoded whole
         ends = np.cumsum(np.asarray(pc.binary_length(led)), dtype=np.int64)
         cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
         return _Words(words, np.diff(cuts, prepend=0).astype(np.int32), ids)
@@ -199,7 +202,7 @@ class BulkEncoder:
 
     def _whole(self, texts: list[str]) -> Iterator[np.ndarray]:
         for text in texts:  # one at a time: an encoding holds much more than the ids
-            yield self._ids(self.tokenizer, text)
+            yield self._ids(text)
 
 
 def slices(batches, text_at: int) -> Iterator[pa.RecordBatch]:

@@ -153,6 +153,18 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
 
 
+def test_rows_with_one_id_go_or_stay_each_for_itself(spark):
+    """Copies go by id and text: a clean text under the id of a copy is not lost."""
+    a, b = "a text that two rows hold in common", "quite another text that nobody else has"
+    rows = [(1, a, None), (2, a, None), (2, b, None), (None, b + " x y z", None), (None, a, None), (5, None, None), (5, "", None)]
+    rows += [(None, "same words without any id", None)] * 2 + [(7, "twice under one id and text", None)] * 3
+    kept = jaccard.one_of_each(frame(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(
+        [(1, a), (2, b), (None, b + " x y z"), (5, None), (5, ""), (None, "same words without any id"), (7, "twice under one id and text")],
+        key=repr,
+    )
+
+
 # Line dedup
 
 def distance(a, b):
