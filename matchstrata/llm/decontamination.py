@@ -213,8 +213,8 @@ def _covered(found: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a window of an item."""
-    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    hit = stage(
-        contaminated(docs, items).where("contaminated").select(F.col("text_key").alias("__key")).distinct(), "contaminated"
-    ).df
-    return docs.join(small(hit), key == F.col("__key"), "left_anti").select(*docs.columns)
+    found = contaminated(docs.select("doc_id", "text"), items.select("item_id", "text"))
+    hit = stage(found.where("contaminated").select("text_key").distinct(), "contaminated").df
+    key = F.sha2(F.coalesce("d.text", F.lit("")).cast("binary"), 256)
+    kept = docs.alias("d").join(small(hit.alias("h")), key == F.col("h.text_key"), "left_anti")
+    return kept.select(*[f"d.`{c}`" for c in docs.columns])

@@ -18,7 +18,7 @@ from matchstrata.llm.common import BROADCAST_ROWS, small
 from matchstrata.session import stage
 
 EDITS = 2
-#: Shorter lines are never touched: headings, list items and table cells repeat rightly.
+#: Shorter lines are compared for equality only: of few characters, two edits make other words.
 LEAST_CHARS = 50
 #: In larger groups of lines with one segment, all are first compared with the earliest.
 HOT = 16
@@ -127,13 +127,17 @@ def _key(text: Column) -> Column:
 _COUNTED = "acdehilnorstu "
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """``doc_id, text_key, line_no, line, length`` of the lines long enough."""
+# A line of nothing but these is blank.
+_BLANK = " \t\r\f\x0b"
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, line_no, line, length`` of the lines that are not blank."""
     return (
         docs.where("text IS NOT NULL")
         .select("doc_id", _key(F.col("text")).alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .withColumn("length", F.char_length("line"))
-        .where(F.col("length") >= least)
+        .where(F.ltrim("line", F.lit(_BLANK)) != "")
     )
 
 
@@ -158,7 +162,7 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
     """
     # Most segments occur in one line only; of a line that repeats, one id is the least and the greatest.
     shared = (
-        lines.select("id", F.explode("hashes").alias("hash"))
+        lines.select("id", F.explode("hashes").alias("hash"))  # no hashes: a short line
         .groupBy("hash")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low <> high")
@@ -176,7 +180,8 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
     keys = stage(entries.select("line_key", "id").distinct(), "segment-lines").df
     first = lines.join(small(keys.select("line_key")), "line_key", "left_semi").groupBy("line_key").agg(F.min("place").alias("place"))
     texts = (
-        _lines(docs, least)
+        _lines(docs)
+        .where(F.col("length") >= least)
         .select("line", "length", F.xxhash64("line").alias("id"))
         .join(small(keys.select("id")), "id", "left_semi")
         .withColumn("line_key", _key(F.col("line")))
@@ -221,27 +226,28 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, and ``n_lines, n_equal, n_near``.
 
-    Of lines of at least ``least_chars`` characters, one that equals an earlier
-    line goes (``n_equal``), and so does one within ``edits`` edits of a different
-    line that first occurs earlier, all its occurrences (``n_near``). Earlier is by
-    ``doc_id`` (null first), text digest and number of the line. Shorter lines
-    stay. A line that went may still be the earlier one of others. Rows with one
-    id and one text count as one document and get one result. A null text stays
-    null and has no lines; a document may be left with an empty text. Columns
-    named like the three counts are replaced, all others are kept.
+    A line that is not blank and equals an earlier one goes (``n_equal``). Of lines
+    of at least ``least_chars`` characters, so does one within ``edits`` edits of a
+    different line that first occurs earlier, all its occurrences (``n_near``).
+    Earlier is by ``doc_id`` (null first), text digest and number of the line.
+    Blank lines stay. A line that went may still be the earlier one of others.
+    Rows with one id and one text count as one document and get one result. A null
+    text stays null and has no lines; a document may be left with an empty text.
+    Columns named like the three counts are replaced, all others are kept.
     """
     counts = ["n_lines", "n_equal", "n_near"]
     docs = docs.drop(*counts)
+    read = docs.select("doc_id", "text")
     places = stage(
-        _lines(docs, least_chars).select(
+        _lines(read).select(
             F.struct("doc_id", "text_key", "line_no").alias("place"),
             _key(F.col("line")).alias("line_key"),
             F.xxhash64("line").alias("id"),
-            _hashes(F.col("line"), F.col("length"), edits).alias("hashes"),
+            F.when(F.col("length") >= least_chars, _hashes(F.col("line"), F.col("length"), edits)).alias("hashes"),
         ),
         "lines",
     ).df
-    near = stage(_near(docs, places, least_chars, edits).withColumn("near", F.lit(True)), "near-lines").df
+    near = stage(_near(read, places, least_chars, edits).withColumn("near", F.lit(True)), "near-lines").df
     repeated = (
         places.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("line_key", "first")
     )
@@ -260,14 +266,19 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     )  # at most the lines of one text
     if gone.count() <= BROADCAST_ROWS:
         lists = F.broadcast(lists)
-    keyed = docs.withColumn("__text_key", _key(F.col("text")))
-    joined = keyed.join(lists, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left")
-    split = F.split("text", "\n")
-    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    went, near_n = F.coalesce(F.size("__gone"), F.lit(0)), F.coalesce("__near", F.lit(0)).cast("int")
+    # The table's columns are told by their alias: they may have any names.
+    joined = docs.alias("d").join(
+        lists.alias("g"),
+        F.col("d.doc_id").eqNullSafe(F.col("g.__id")) & (_key(F.col("d.text")) == F.col("g.__key")),
+        "left",
+    )
+    text, lost = F.col("d.text"), F.col("g.__gone")
+    split = F.split(text, "\n")
+    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(lost, i)), "\n")
+    went, near_n = F.coalesce(F.size(lost), F.lit(0)), F.coalesce(F.col("g.__near"), F.lit(0)).cast("int")
     return joined.select(
-        *[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else docs[c] for c in docs.columns],
+        *[F.when(lost.isNull(), text).otherwise(left).alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
         F.coalesce(F.size(split), F.lit(0)).alias("n_lines"),
-        (F.when(F.col("__gone").isNull(), 0).otherwise(went) - near_n).alias("n_equal"),
+        (F.when(lost.isNull(), 0).otherwise(went) - near_n).alias("n_equal"),
         near_n.alias("n_near"),
     )

@@ -100,7 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality"):
     """The classifier, or None if the labels do not tell two kinds of documents apart."""
     chosen = _labels(labels, label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     chosen = stage(chosen.withColumnRenamed("doc_id", "__id"), "quality-sample").df
-    some = docs.join(small(chosen.select("__id")), docs["doc_id"] == F.col("__id"), "left_semi")
+    some = docs.select("doc_id", "text").join(small(chosen.select("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
     rows = (
         _features_of(some).join(small(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "x", "good").limit(2 * SAMPLE_DOCS).collect()
     )

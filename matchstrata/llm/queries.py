@@ -164,13 +164,14 @@ _OP5 = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
   FROM documents WHERE text IS NOT NULL
-), long AS (
-  SELECT doc_id, line_no, line, length(line) AS n FROM lines WHERE length(line) >= 50
 ), classes AS (
-  SELECT line, n, min((doc_id, line_no)) AS first FROM long GROUP BY line, n
+  SELECT line, length(line) AS n, min((doc_id, line_no)) AS first FROM lines
+  WHERE ltrim(line, chr(32) || chr(9) || chr(13) || chr(12) || chr(11)) <> '' GROUP BY line
+), long AS (
+  SELECT * FROM classes WHERE n >= 50
 ), near AS (
-  SELECT DISTINCT a.line FROM classes a
-  JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM classes) b ON a.n = b.m AND b.first < a.first
+  SELECT DISTINCT a.line FROM long a
+  JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM long) b ON a.n = b.m AND b.first < a.first
   WHERE levenshtein(a.line, b.line) <= 2
 ), judged AS (
   SELECT l.doc_id, l.line_no, l.line,

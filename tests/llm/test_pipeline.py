@@ -115,7 +115,7 @@ def test_empty_tables(spark, tmp_path):
 
 def test_queries_are_one_for_each_operator():
     names = queries()
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert set(oracle_sql()) <= set(names)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 

@@ -210,13 +210,13 @@ def brute_lines(rows, edits, least):
     for i, text in rows:
         if text is not None:
             key = hashlib.sha256(text.encode()).digest()[:16]
-            occ += [((i is not None, i or 0, key, n), line) for n, line in enumerate(text.split("\n")) if len(line) >= least]
+            occ += [((i is not None, i or 0, key, n), line) for n, line in enumerate(text.split("\n")) if line.strip(" \t\r\f\v")]
     first = {}
     for place, line in occ:
         first[line] = min(place, first.get(line, place))
     near = {
         a for a in first for b in first
-        if a != b and first[b] < first[a] and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits
+        if min(len(a), len(b)) >= least and a != b and first[b] < first[a] and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits
     }
     out = []
     for i, text in rows:
@@ -225,9 +225,9 @@ def brute_lines(rows, edits, least):
             continue
         key, kept, n_equal, n_near = hashlib.sha256(text.encode()).digest()[:16], [], 0, 0
         for n, line in enumerate(text.split("\n")):
-            if len(line) >= least and line in near:
+            if line in near:
                 n_near += 1
-            elif len(line) >= least and first[line] != (i is not None, i or 0, key, n):
+            elif line in first and first[line] != (i is not None, i or 0, key, n):
                 n_equal += 1
             else:
                 kept.append(line)
@@ -256,9 +256,17 @@ def test_lines_keep_all_columns(spark):
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
     assert line_dedup.dedup_lines(docs).columns == [*docs.columns, "n_lines", "n_equal", "n_near"]
     assert (got[1]["text"], got[2]["text"], got[1]["key"]) == ("x" * 60 + "\nshort", "", "k")
+    assert (got[1]["__id"], got[1]["__key"], got[1]["__gone"]) == (7, "k", 3)
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines_that_repeat_stay_once(spark):
+    rows = [(i, f"words of document {i}\nAll rights reserved.\n\n \t\n}}", None) for i in range(5)]
+    got = {r["doc_id"]: (r["text"], r["n_equal"]) for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert all(got[i] == (f"words of document {i}\n\n \t", 2) for i in range(1, 5))
+
+
 def test_lines_with_more_of_one_character_than_a_short_holds(spark):
     line = " ".join("x" * 32_768)  # 32,767 spaces
     docs = frame(spark, [(1, line, None), (2, line + " y", None), (3, line[:-1] + "z", None)])
