@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import finished, not_integral
 from ..schema import AWAY_WIN, DRAW, FINISHED_STATUSES, HOME_WIN
@@ -14,12 +14,18 @@ from ..schema import AWAY_WIN, DRAW, FINISHED_STATUSES, HOME_WIN
 VIOLATION_SCHEMA = "rule string, `column` string, n_failed bigint, sample string"
 
 
+#: Failing cases that are shown for each rule.
+CASES = 5
+
+
 class ContractViolation(ValueError):
     """Raised once, with every rule that failed."""
 
-    def __init__(self, contract: str, failures: Sequence):
+    def __init__(self, contract: str, failures: Sequence, cases: Sequence = ()):
         self.contract = contract
         self.failures = list(failures)
+        #: Failing cases, at most ``CASES`` a rule, each as (rule, column, place, shown).
+        self.cases = list(cases)
         lines = [
             f"{f['rule']}({f['column']}): {f['n_failed']} rows, e.g. {f['sample']}"
             for f in self.failures
@@ -117,6 +123,37 @@ class Contract:
         parts += [self._repeated(df, k, all_rules=True) for k in self.unique]
         return reduce(DataFrame.unionByName, parts).select("rule", "column", "n_failed")
 
+    def cases(self, df: DataFrame, n: int = CASES) -> DataFrame:
+        """The ``n`` smallest failing cases of each rule: rule, column, place (from 1), shown.
+
+        ``shown`` is the failing value, or the key of a row that breaks a condition;
+        a case that several rows share comes once. Failures of all row rules are
+        unpivoted in one scan and limited to ``n`` a rule in each task, before they
+        are shuffled; so are the keys that occur twice.
+        """
+        missing = self._missing(df)
+        rules = Contract(self.name, self.columns)._row_rules(df) if missing else self._row_rules(df)
+        parts = [df.sparkSession.createDataFrame([], "rule string, column string, shown string")]
+        if rules:
+            each = [
+                F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), failed.alias("failed"), shown.alias("shown"))
+                for rule, column, failed, shown in rules
+            ]
+            some = reduce(lambda a, b: a | b, [F.coalesce(failed, F.lit(False)) for _, _, failed, _ in rules])
+            failing = df.where(some).select(F.inline(F.array(*each))).where("failed").drop("failed")
+            parts.append(failing)
+        for key in self.unique:
+            if not set(key) & set(missing):
+                quoted = [f"`{k}`" for k in key]
+                twice = df.groupBy(*quoted).agg(F.count("*").alias("_copies")).where("_copies > 1")
+                shown = F.concat_ws("|", *[F.col(k).cast("string") for k in quoted])
+                parts.append(twice.select(F.lit("unique").alias("rule"), F.lit("|".join(key)).alias("column"), shown.alias("shown")))
+        # Equal cases meet in the aggregation first; of the different ones a window keeps n.
+        found = reduce(DataFrame.unionByName, parts).distinct()
+        order = Window.partitionBy("rule", "column").orderBy(F.asc_nulls_last("shown"))
+        ranked = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+        return ranked.select("rule", "column", "place", "shown")
+
     def holds(self, df: DataFrame) -> bool:
         return self.violations(df).isEmpty()
 
@@ -158,11 +195,13 @@ class Contract:
     def enforce(self, df: DataFrame) -> None:
         """Raise :class:`ContractViolation` naming all broken rules, if any.
 
-        What reaches the driver has at most one row per rule.
+        What reaches the driver has at most one row per rule, and then at most
+        ``CASES`` cases per rule.
         """
         failures = self.violations(df).collect()
         if failures:
-            raise ContractViolation(self.name, failures)
+            cases = self.cases(df).orderBy("rule", "column", "place").collect()
+            raise ContractViolation(self.name, failures, [tuple(c) for c in cases])
 
 
 SILVER_MATCHES = Contract(

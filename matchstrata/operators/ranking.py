@@ -52,6 +52,24 @@ def positions(
     return slots.join(starts, same).select(*[slots[c] for c in df.columns], place.alias(name))
 
 
+def numbered(df: DataFrame, name: str = "place") -> DataFrame:
+    """The rows of an ordered frame, numbered from 1 in the order it has.
+
+    A sorted frame is sorted within and between its partitions: each row's slot is
+    stored as written, and what lies before its partition is added.
+    """
+    slots = stage(df.withColumn("_slot", F.monotonically_increasing_id()), "numbered").df
+    slots = slots.withColumn("_part", F.shiftright("_slot", _ROW_BITS))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    starts = (
+        slots.groupBy(F.col("_part").alias("_p"))
+        .agg(F.min("_slot").alias("_first"), F.count("*").alias("_rows"))
+        .select("_p", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    place = (F.col("_slot") - F.col("_first") + F.col("_before") + 1).cast("bigint")
+    return slots.join(starts, F.col("_part") == F.col("_p")).select(*df.columns, place.alias(name))
+
+
 def top_of_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:

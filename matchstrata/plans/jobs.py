@@ -6,9 +6,11 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..functions import finished
 from ..operators.contracts import (
     GOLD_STANDINGS,
     SILVER_MATCHES,
@@ -51,6 +53,10 @@ class Lake:
     def source_health(self) -> LakeTable:
         return self._table("bronze/source_health")
 
+    @property
+    def set_aside(self) -> LakeTable:
+        return self._table("bronze/set_aside")
+
     @property
     def silver_matches(self) -> LakeTable:
         return self._table("silver/matches")
@@ -96,12 +102,32 @@ def run_bronze(
     as_of: datetime,
     leagues: Sequence[tuple[str, str, str]] | None = None,
     whole_files: bool = False,
+    keep_going: bool = False,
 ) -> DataFrame:
-    """Load landed responses into bronze; returns the health of the sources."""
+    """Load landed responses into bronze; returns the health of the sources.
+
+    Text that is no JSON is stored in ``bronze/set_aside`` (kind, source, reason,
+    text), which each load writes anew. A row that breaks a constraint of its table
+    stops the load; with ``keep_going`` it is set aside too, and the others load.
+    """
     create_bronze(lake)
     landed = ingest(lake.spark, teams_path, matches_path, as_of, leagues, whole_files)
-    load_teams(type_teams(landed.teams), lake.bronze_teams)
-    load_matches(type_bronze_matches(landed.matches), lake.bronze_matches)
+    kinds = [
+        ("teams", type_teams(landed.teams), TEAM_CHECKS, load_teams, lake.bronze_teams),
+        ("matches", type_bronze_matches(landed.matches), MATCH_CHECKS, load_matches, lake.bronze_matches),
+    ]
+    aside = [landed.broken.select("kind", "source", F.lit("not_json").alias("reason"), F.col("broken").alias("text"))]
+    for kind, rows, checks, load, table in kinds:
+        if keep_going:
+            met = F.lit(True)
+            for condition in checks.values():
+                met = met & F.coalesce(F.expr(condition), F.lit(False))
+            text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+            source = F.col("league_id").alias("source")
+            aside.append(rows.where(~met).select(F.lit(kind).alias("kind"), source, F.lit("constraint").alias("reason"), text.alias("text")))
+            rows = rows.where(met)
+        load(rows, table)
+    lake.set_aside.save(reduce(DataFrame.unionByName, aside))
     # One row per source, kept after the staged parse is gone.
     health = lake.source_health
     health.save(landed.health, schema_mode="overwrite")
@@ -153,11 +179,15 @@ def run_gold(lake: Lake) -> int:
 
 
 def run_all(lake: Lake, teams_path: str, matches_path: str, as_of: datetime, **options) -> DataFrame:
-    """The three layers in order; a failing one stops the rest."""
-    health = run_bronze(lake, teams_path, matches_path, as_of, **options)
+    """The three layers in order; a failing one stops the rest.
+
+    Returns the closing summary: a row per table, as :func:`summaries`. The health
+    of the sources stays in ``bronze/source_health``.
+    """
+    run_bronze(lake, teams_path, matches_path, as_of, **options)
     run_silver(lake)
     run_gold(lake)
-    return health
+    return summaries(lake)
 
 
 def ensure_built(lake: Lake, teams_path: str, matches_path: str, as_of: datetime, **options) -> bool:
@@ -168,6 +198,27 @@ def ensure_built(lake: Lake, teams_path: str, matches_path: str, as_of: datetime
     return True
 
 
+def layer_counts(lake: Lake) -> DataFrame:
+    """One row per layer: its rows, those of finished matches, its distinct keys.
+
+    Finished matches of bronze (rows, not matches) are the most that silver can
+    hold of what was refined together; gold has teams, so no finished ones.
+    """
+    matches = lake.bronze_matches.read().agg(
+        F.lit("bronze/matches").alias("layer"), F.count("*").alias("n_rows"),
+        F.count_if(finished("status")).alias("n_finished"), F.count_distinct("event_id").alias("n_keys"),
+    )
+    silver = lake.silver_matches.read().agg(
+        F.lit("silver/matches").alias("layer"), F.count("*").alias("n_rows"),
+        F.count("*").alias("n_finished"), F.count_distinct("event_id").alias("n_keys"),
+    )
+    gold = lake.gold_standings.read().agg(
+        F.lit("gold/standings").alias("layer"), F.count("*").alias("n_rows"),
+        F.lit(None).cast("bigint").alias("n_finished"), F.count_distinct("league", "team_id").alias("n_keys"),
+    )
+    return matches.unionByName(silver).unionByName(gold)
+
+
 def summaries(lake: Lake) -> DataFrame:
     """One summary row per table of the lake."""
     tables = {

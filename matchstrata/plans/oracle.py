@@ -115,6 +115,41 @@ EVENT_MESSAGES = """messages AS (
  FROM events)"""
 
 
+_CASES_GOLD = """faulty AS (SELECT * REPLACE (CASE WHEN won <> 1 THEN goals_against END AS goals_against,
+ lost - 1 AS lost, CASE WHEN drawn = 0 THEN '0' ELSE team_id END AS team_id) FROM gold)"""
+
+
+def _form(c: str) -> str:
+    return f"""CASE WHEN regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN '%Y-%m-%d'
+  WHEN regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}') THEN '%Y-%m-%d %H:%M:%S'
+  WHEN regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}}T\\d{{2}}:\\d{{2}}:\\d{{2}}') THEN '%Y-%m-%dT%H:%M:%S'
+  WHEN {c} LIKE '__/__/____' AND {c}[1:2]::INTEGER > 12 THEN '%d/%m/%Y'
+  WHEN {c} LIKE '__/__/____' THEN '%m/%d/%Y' END"""
+
+
+def _read_alike(c: str) -> str:
+    """A text of the column's form as a date; slashes mean the day first if they do in the first text."""
+    forms = ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%d/%m/%Y", "%m/%d/%Y")
+    cases = " ".join(f"WHEN '{f}' THEN try_strptime({c}, '{f}')" for f in forms)
+    return f"""CASE WHEN replace(coalesce({_form(c)}, ''), '%d/%m', '%m/%d') = replace({c}_form, '%d/%m', '%m/%d')
+  THEN CASE {c}_form {cases} END END::TIMESTAMP AS {c}"""
+
+
+_DATE_COLUMNS = ("with_time", "with_day", "mixed")
+_COLUMN_DATES = f"""WITH texts AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'to be defined'
+   WHEN o_orderkey % 11 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+   ELSE strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad((o_orderkey % 24)::VARCHAR, 2, '0') || ':30:00' END AS with_time,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN strftime(o_orderdate, '%d/%m/%Y') END AS with_day,
+  CASE o_orderpriority WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%d')
+   WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') || 'T20:00:00'
+   WHEN '2-HIGH' THEN strftime(o_orderdate, '%d/%m/%Y') WHEN '4-NOT SPECIFIED' THEN 'soon' END AS mixed
+  FROM orders),
+forms AS (SELECT {", ".join(
+    f"arg_min({_form(c)}, o_orderkey) FILTER ({_form(c)} IS NOT NULL) AS {c}_form" for c in _DATE_COLUMNS
+)} FROM texts)
+SELECT o_orderkey, {", ".join(_read_alike(c) for c in _DATE_COLUMNS)} FROM texts, forms"""
+
+
 def _with(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
@@ -412,13 +447,65 @@ totals AS (SELECT source, """ + ", ".join(
  UNION ALL SELECT topic, key, 'kept' FROM ({latest_message.format(topic='equipos')})
  UNION ALL SELECT topic, key, CASE WHEN topic = 'otros' THEN 'unknown_topic' ELSE 'not_a_json_object' END
  FROM messages WHERE topic = 'otros' OR NOT whole"""),
-        "stream_counts": _with(EVENT_MESSAGES, select="""SELECT topic, count(*) AS n_messages,
- count(*) FILTER (topic = 'otros' OR NOT whole) AS n_rejected, 3::BIGINT AS n_batches FROM messages GROUP BY topic"""),
-        "decoded_messages": _with(EVENT_MESSAGES, select="""SELECT topic, key, 'ñ ' || CASE WHEN NOT whole THEN '{"event_id":'
+        # A part of a third of the time is a batch; 'otros' is no known topic.
+        "stream_counts": _with(EVENT_MESSAGES, select="""SELECT arrival * 3 // ((SELECT max(arrival) FROM messages) + 1) AS batch_id,
+ nullif(topic, 'otros') AS topic, count(*) AS n_messages,
+ count(*) FILTER (topic = 'otros' OR NOT whole) AS n_rejected,
+ count(DISTINCT key) FILTER (topic <> 'otros' AND whole) AS n_upserted FROM messages GROUP BY ALL"""),
+        "stream_admission": _with(EVENT_MESSAGES, select=f"""SELECT topic, key AS id,
+  event_type AS label, k::BIGINT AS number, day, true AS several_batches
+ FROM ({latest_message.format(topic='partidos')})
+ UNION ALL SELECT topic, key, 'user ' || key || ' ' || k, k::BIGINT, day, true
+ FROM ({latest_message.format(topic='equipos')})"""),
+        "decoded_messages": _with(EVENT_MESSAGES, select="""SELECT topic, key,
+ CASE WHEN "offset" % 5 <> 0 THEN 'ñ ' || CASE WHEN NOT whole THEN '{"event_id":'
   WHEN topic = 'partidos' THEN '{"event_id":"' || key || '","event_name":"' || event_type || '","home_score":"' || k ||
    '","away_score":"' || floored || '","extract_date":"' || day || '"}'
   ELSE '{"team_id":"' || key || '","name":"user ' || key || ' ' || k ||
-   '","venue_capacity":"' || k || '","extracted_at":"' || day || '"}' END AS value, "offset", "partition" FROM messages"""),
+   '","venue_capacity":"' || k || '","extracted_at":"' || day || '"}' END END AS value, "offset", "partition",
+ CASE WHEN "offset" % 5 = 0 THEN base64('\\xC3'::BLOB) END AS undecoded FROM messages"""),
+        "column_dates": _COLUMN_DATES,
+        "contract_cases": _with(*_TO_GOLD, _CASES_GOLD, select="\nUNION ALL ".join(
+            f"""SELECT '{rule}' AS rule, '{column}' AS "column", place, shown FROM (
+ SELECT shown, row_number() OVER (ORDER BY shown)::INTEGER AS place FROM (SELECT DISTINCT {shown} AS shown FROM {source}))
+ WHERE place <= 5""" for rule, column, shown, source in (
+                ("not_null", "goals_against", "'NULL'", "faulty WHERE goals_against IS NULL"),
+                ("at_least_0", "lost", "lost::VARCHAR", "faulty WHERE lost < 0"),
+                ("played_is_won_drawn_lost", "*", "league || '|' || team_id", "faulty WHERE played <> won + drawn + lost"),
+                ("unique", "league|team_id", "league || '|' || team_id",
+                 "(SELECT league, team_id FROM faulty GROUP BY league, team_id HAVING count(*) > 1)"),
+            ))),
+        "document_paths": """WITH whole AS (SELECT * FROM events WHERE value >= 1)
+ SELECT path, type, n_values FROM (
+  SELECT '$' AS path, 'OBJECT' AS type, count(*) AS n_values FROM whole
+  UNION ALL SELECT '$.type', 'STRING', count(*) FROM whole
+  UNION ALL SELECT '$.props', 'OBJECT', count(*) FROM whole
+  UNION ALL SELECT '$.props.k', 'BIGINT', count(*) FROM whole WHERE json_type(props, '$.k') IN ('UBIGINT', 'BIGINT')
+  UNION ALL SELECT '$.tags', 'ARRAY', count(*) FROM whole
+  UNION ALL SELECT '$.tags[*]', 'BIGINT', count(*) FROM whole
+  UNION ALL SELECT '$.tags[*]', 'STRING', count(*) FROM whole
+  UNION ALL SELECT '$.cheap', 'BOOLEAN', count(*) FROM whole WHERE value < 10
+  UNION ALL SELECT '$.cheap', 'VOID', count(*) FROM whole WHERE value >= 10) WHERE n_values > 0""",
+        "set_aside": _with(MATCHES, TEAMS, select="""SELECT 'matches' AS kind, league_id AS source, 'not_json' AS reason,
+  '{"events":[' || event_id AS what FROM matches_raw WHERE league_id = '2' AND venue IS NULL
+ UNION ALL SELECT 'teams', league_id, 'constraint', team_id FROM teams_raw WHERE name IS NULL"""),
+        "medallion_summary": _with(
+            MATCHES, LATEST, _MEDALLION_BRONZE, _MEDALLION_SILVER, NAMES, GOLD, TEAMS,
+            select=f"""SELECT 'bronze/teams' AS name, 1::BIGINT AS version, count(*) AS n_rows, 14 AS n_columns,
+  NULL::BIGINT AS n_finished, NULL::BIGINT AS n_keys FROM teams_raw WHERE name IS NOT NULL
+ UNION ALL SELECT 'bronze/matches', 1, count(*), 17, count(*) FILTER ({FINISHED}), count(DISTINCT event_id) FROM bronze
+ UNION ALL SELECT 'silver/matches', 0, count(*), 25, count(*), count(DISTINCT event_id) FROM silver
+ UNION ALL SELECT 'gold/standings', 0, count(*), 11, NULL, count(DISTINCT (league, team_id)) FROM gold""",
+        ),
+        "built_once": _with(
+            MATCHES, LATEST, _MEDALLION_BRONZE, _MEDALLION_SILVER, NAMES, GOLD,
+            select="SELECT league, count(*) AS n_teams, true AS built, false AS built_again FROM gold GROUP BY league",
+        ),
+        "standings_shown": _with(*_TO_GOLD, select="""SELECT
+ row_number() OVER (ORDER BY league NULLS FIRST, points DESC, team_id) AS place, league, team_id, points FROM gold"""),
+        "blowouts_shown": _with(*_TO_SILVER, select="""SELECT
+ row_number() OVER (ORDER BY event_date DESC NULLS LAST, event_id) AS place, event_id, event_date
+ FROM silver WHERE is_blowout"""),
         "run_medallion": _with(
             MATCHES, LATEST, _MEDALLION_BRONZE, _MEDALLION_SILVER, NAMES, GOLD,
             select="SELECT * FROM gold"

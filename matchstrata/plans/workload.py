@@ -19,12 +19,13 @@ from ..functions import (
     not_integral,
     one_decimal,
     parse_date,
+    parse_dates_alike,
     signed,
     thousands,
     to_long,
     year_number,
 )
-from ..operators import contracts, dedup, refine, standings as table
+from ..operators import contracts, dedup, ranking, refine, standings as table
 from ..schema import (
     BRONZE_TEAMS,
     MATCH_COLUMNS,
@@ -228,6 +229,26 @@ def parse_dates(spark, sf):
     )
 
 
+def column_dates(spark, sf):
+    """Date texts of three columns, each read in the form of its first filled value."""
+    key, day = F.col("o_orderkey"), _day("o_orderdate")
+    times = (
+        F.when(key % 7 == 0, "to be defined").when(key % 11 == 0, day)
+        .otherwise(F.concat(day, F.lit(" "), F.lpad((key % 24).cast("string"), 2, "0"), F.lit(":30:00")))
+    )
+    dayed = F.when(F.col("o_orderpriority") != "5-LOW", F.date_format("o_orderdate", "dd/MM/yyyy"))
+    mixed = (
+        F.when(F.col("o_orderpriority") == "3-MEDIUM", day)
+        .when(F.col("o_orderpriority") == "1-URGENT", F.concat(day, F.lit("T20:00:00")))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "soon")
+    )
+    texts = _read(spark, sf, "orders").select(
+        "o_orderkey", times.alias("with_time"), dayed.alias("with_day"), mixed.alias("mixed")
+    )
+    return parse_dates_alike(texts, ["with_time", "with_day", "mixed"], ["o_orderkey"])
+
+
 def derive_outcome(spark, sf):
     derived = matches_raw(spark, sf).transform(refine.type_matches).transform(refine.derive_columns)
     return derived.select(
@@ -393,6 +414,30 @@ def contract_report(spark, sf):
                                  "rule string, column string, n_failed long")
 
 
+def contract_cases(spark, sf):
+    """Five failing cases of each broken rule of a faulty table."""
+    faulty = _stored(gold(spark, sf), "gold").withColumns(
+        {
+            "goals_against": F.when(F.col("won") == 1, F.lit(None)).otherwise(F.col("goals_against")),
+            "lost": F.col("lost") - 1,
+            "team_id": F.when(F.col("drawn") == 0, "0").otherwise(F.col("team_id")),
+        }
+    )
+    return contracts.GOLD_STANDINGS.cases(faulty)
+
+
+def document_paths(spark, sf):
+    """Events as JSON documents of no declared shape: types and counts by path."""
+    tags = F.concat(F.lit(',"tags":['), F.col("user_id").cast("string"), F.lit(',"'), F.col("event_type"), F.lit('"]'))
+    text = F.concat(
+        F.lit('{"type":"'), F.col("event_type"), F.lit('","props":'), F.col("props"), tags,
+        F.when(F.col("value") < 10, F.lit(',"cheap":true')).otherwise(F.lit(',"cheap":null')),
+        F.when(F.col("value") >= 1, F.lit("}")).otherwise(F.lit("")),  # the others are cut off
+    )
+    documents = _read(spark, sf, "events").select(envelopes.whole_document(text).alias("document"))
+    return envelopes.document_paths(documents, "document")
+
+
 def cross_layer_check(spark, sf):
     """Bronze against a sound silver, and against one the filter emptied."""
     bronze, kept = matches_raw(spark, sf), silver(spark, sf)
@@ -487,6 +532,20 @@ def ingest_union_with_health(spark, sf):
     return landed.health.join(kept, "source", "left").fillna(0, ["kept_teams", "kept_matches"])
 
 
+def set_aside(spark, sf):
+    """What a load does not take: text that is no JSON, and rows that break a constraint."""
+    cut = F.when(
+        (F.col("league_id") == "2") & F.col("venue").isNull(), F.concat(F.lit('{"events":['), "event_id")
+    ).otherwise(_response("events", MATCH_FIELDS))
+    lake = jobs.Lake(spark, scratch_path(spark, "lake"))
+    jobs.run_bronze(
+        lake, _land_teams(teams_raw(spark, sf)), _land_matches(matches_raw(spark, sf), cut), AS_OF, keep_going=True
+    )
+    kept = lake.set_aside.read()
+    team = F.get_json_object("text", "$.team_id")
+    return kept.select("kind", "source", "reason", F.coalesce(team, "text").alias("what"))
+
+
 # -- tables ----------------------------------------------------------------
 def _new_table(spark, label: str) -> LakeTable:
     return LakeTable(spark, scratch_path(spark, label))
@@ -722,7 +781,9 @@ def _land_part(spark, sf, landed: str, part: int) -> None:
     last = _read(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
     third = F.floor(F.col("event_id") * _PARTS / (last + 1))
     ids = _read(spark, sf, "events").where(third == part).select(F.timestamp_seconds("event_id").alias("timestamp"))
-    event_messages(spark, sf).join(ids, "timestamp", "left_semi").write.mode("append").json(landed)
+    messages_ = event_messages(spark, sf).join(ids, "timestamp", "left_semi")
+    # All messages of an id in one file: files of a part may be taken in any order.
+    messages_.repartition("topic", "key").write.mode("append").json(landed)
 
 
 def _new_sink(spark) -> BronzeStream:
@@ -735,11 +796,21 @@ def _run_stream(spark, sf) -> BronzeStream:
     sink, landed, checkpoint = _new_sink(spark), scratch_path(spark, "messages"), scratch_path(spark, "checkpoint")
     for part in range(_PARTS):
         _land_part(spark, sf, landed, part)
-        stream = messages.file_stream(spark, landed, files_per_batch=10_000)
-        sink.start(stream, checkpoint).awaitTermination()
+        sink.start(messages.file_stream(spark, landed), checkpoint).awaitTermination()
     return sink
 
 
+def stream_admission(spark, sf):
+    """All parts landed before the stream starts, admitted by bytes in several batches."""
+    sink, landed, archive = _new_sink(spark), scratch_path(spark, "messages"), scratch_path(spark, "archive")
+    for part in range(_PARTS):
+        _land_part(spark, sf, landed, part)
+    stream = messages.file_stream(spark, landed, bytes_per_batch="256k", archive=archive)
+    sink.start(stream, scratch_path(spark, "checkpoint")).awaitTermination()
+    batches = sink.counts.read().agg(F.count_distinct("batch_id")).first()[0]
+    return _stream_tables(sink).withColumn("several_batches", F.lit(batches >= _PARTS))
+
+
 def _resumed_stream(spark, sf) -> BronzeStream:
     """Half of the messages under one checkpoint, the rest under a fresh one."""
     sink = _new_sink(spark)
@@ -764,20 +835,17 @@ def stream_resumed(spark, sf):
 
 
 def stream_counts(spark, sf):
-    """What the stream recorded: messages and rejected messages by topic, over all batches."""
+    """What the stream recorded of each batch and topic: messages, rejected ones, rows upserted."""
     counts = _run_stream(spark, sf).counts.read()
-    return counts.groupBy("topic").agg(
-        F.sum("n_messages").alias("n_messages"), F.sum("n_rejected").alias("n_rejected"),
-        F.count_distinct("batch_id").alias("n_batches"),
-    )
+    return counts.select("batch_id", "topic", "n_messages", "n_rejected", "n_upserted")
 
 
 def decoded_messages(spark, sf):
-    """Binary keys and values, as a connector gives them, as text."""
-    raw = event_messages(spark, sf).withColumns(
-        {"key": F.col("key").cast("binary"), "value": F.encode(F.concat(F.lit("ñ "), "value"), "UTF-8")}
-    )
-    return messages.decoded(raw).select("topic", "key", "value", "offset", "partition")
+    """Binary keys and values, as a connector gives them, as text; some are cut within a character."""
+    text = F.encode(F.concat(F.lit("ñ "), "value"), "UTF-8")
+    cut = F.when(F.col("offset") % 5 == 0, F.substring(text, 1, 1)).otherwise(text)
+    raw = event_messages(spark, sf).withColumns({"key": F.col("key").cast("binary"), "value": cut})
+    return messages.decoded(raw).select("topic", "key", "value", "offset", "partition", "undecoded")
 
 
 def _stream_tables(sink: BronzeStream) -> DataFrame:
@@ -803,11 +871,14 @@ def feed_lines(spark, sf):
 
 
 # -- the whole chain -------------------------------------------------------
+def _landed(spark, sf) -> tuple:
+    """Landed teams, with and without a name, and matches."""
+    return _land_teams(teams_raw(spark, sf)), _land_matches(matches_raw(spark, sf)), AS_OF
+
+
 def _landed_lake(spark, sf) -> jobs.Lake:
-    # The bronze table takes named teams only.
-    named = teams_raw(spark, sf).where(F.col("name").isNotNull())
     lake = jobs.Lake(spark, scratch_path(spark, "lake"))
-    jobs.run_bronze(lake, _land_teams(named), _land_matches(matches_raw(spark, sf)), AS_OF)
+    jobs.run_bronze(lake, *_landed(spark, sf), keep_going=True)  # unnamed teams are set aside
     return lake
 
 
@@ -819,6 +890,36 @@ def run_medallion(spark, sf):
     return lake.gold_standings.read()
 
 
+def medallion_summary(spark, sf):
+    """The closing summary of a run of all layers, with what each layer holds."""
+    lake = jobs.Lake(spark, scratch_path(spark, "lake"))
+    summary = jobs.run_all(lake, *_landed(spark, sf), keep_going=True)
+    counts = jobs.layer_counts(lake).select(F.col("layer").alias("name"), "n_finished", "n_keys")
+    return summary.join(counts, "name", "left").select(
+        "name", "version", "n_rows", "n_columns", "n_finished", "n_keys"
+    )
+
+
+def built_once(spark, sf):
+    """The chain run where gold is absent, and not again."""
+    lake, landed = jobs.Lake(spark, scratch_path(spark, "lake")), _landed(spark, sf)
+    built = jobs.ensure_built(lake, *landed, keep_going=True)
+    again = jobs.ensure_built(lake, *landed, keep_going=True)
+    teams = lake.gold_standings.read().groupBy("league").agg(F.count("*").alias("n_teams"))
+    return teams.withColumns({"built": F.lit(built), "built_again": F.lit(again)})
+
+
+def standings_shown(spark, sf):
+    """Standings with their place in the order they are shown in."""
+    shown = table.in_table_order(gold(spark, sf))
+    return ranking.numbered(shown).select("place", "league", "team_id", "points")
+
+
+def blowouts_shown(spark, sf):
+    """Wide wins with their place in the order they are shown in, newest first."""
+    return ranking.numbered(reports.blowouts(silver(spark, sf))).select("place", "event_id", "event_date")
+
+
 def medallion_silver(spark, sf):
     """Landed JSON to the stored silver matches."""
     lake = _landed_lake(spark, sf)
@@ -840,6 +941,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         publish_messages, stream_upsert, stream_rejected, feed_lines, run_medallion,
         medallion_silver, partition_edge_values, check_rejected, storable_types, read_absent,
         ignore_empty, ranked_one_league, table_preview, stream_resumed, stream_counts,
-        decoded_messages, contract_report,
+        decoded_messages, contract_report, column_dates, contract_cases, document_paths, set_aside,
+        stream_admission, medallion_summary, built_once, standings_shown, blowouts_shown,
     ]
     return {q.__name__: q for q in named}

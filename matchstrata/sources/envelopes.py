@@ -85,6 +85,46 @@ def read_responses(
     )
 
 
+def whole_document(text: Column | str) -> Column:
+    """A JSON text as one value of any shape (VARIANT); NULL for text that is no JSON."""
+    return F.try_parse_json(text)
+
+
+def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """One row per landed response, read as a whole: source, document, broken text.
+
+    For responses without a record field: nothing of their shape is assumed.
+    """
+    lines = spark.read.text(path, wholetext=whole_files).where(F.length("value") > 0)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/source=([^/]+)/", 1)
+    source = F.coalesce(F.nullif(_decoded(folder), F.lit("")), F.col("_metadata.file_name"))
+    document = whole_document("value")
+    return lines.select(
+        source.alias("source"), document.alias("document"), F.when(document.isNull(), F.col("value")).alias("broken")
+    )
+
+
+def document_paths(df: DataFrame, document: str, depth: int = 3) -> DataFrame:
+    """What the documents hold: path, type, how many values.
+
+    Objects and arrays are opened down to ``depth`` levels, elements of an array
+    under ``[*]``; a path with values of several types has a row for each. Numbers
+    are BIGINT or DECIMAL, whatever their size.
+    """
+    level = df.select(F.lit("$").alias("path"), F.col(document).alias("v")).where(F.col(document).isNotNull())
+    parts = []
+    for below in range(depth + 1):
+        kind = F.regexp_extract(F.schema_of_variant("v"), "^([A-Z]+)", 1)
+        parts.append(level.select("path", kind.alias("type")))
+        if below < depth:
+            opened = level.where(kind.isin("OBJECT", "ARRAY")).lateralJoin(
+                df.sparkSession.tvf.variant_explode(F.col("v").outer()).toDF("pos", "key", "value")
+            )
+            step = F.when(F.col("key").isNull(), F.lit("[*]")).otherwise(F.concat(F.lit("."), F.col("key")))
+            level = opened.select(F.concat("path", step).alias("path"), F.col("value").alias("v"))
+    return reduce(DataFrame.unionByName, parts).groupBy("path", "type").agg(F.count("*").alias("n_values"))
+
+
 def explode_records(responses: DataFrame, on_empty: str = "ignore") -> DataFrame:
     """One row per record, with its place in the array.
 
