@@ -805,7 +805,9 @@ def stream_admission(spark, sf):
     sink, landed, archive = _new_sink(spark), scratch_path(spark, "messages"), scratch_path(spark, "archive")
     for part in range(_PARTS):
         _land_part(spark, sf, landed, part)
-    stream = messages.file_stream(spark, landed, bytes_per_batch="256k", archive=archive)
+    sizes = spark.read.text(landed).select("_metadata.file_path", "_metadata.file_size").distinct()
+    whole = sizes.agg(F.sum("file_size")).first()[0] or 0
+    stream = messages.file_stream(spark, landed, bytes_per_batch=max(1, whole // (2 * _PARTS)), archive=archive)
     sink.start(stream, scratch_path(spark, "checkpoint")).awaitTermination()
     batches = sink.counts.read().agg(F.count_distinct("batch_id")).first()[0]
     return _stream_tables(sink).withColumn("several_batches", F.lit(batches >= _PARTS))

@@ -58,7 +58,7 @@ def file_stream(
     spark: SparkSession,
     path: str,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | int | None = None,
+    bytes_per_batch: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
     """Messages landed as JSON files, oldest files first.
