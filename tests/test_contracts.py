@@ -146,3 +146,25 @@ def test_layers(spark):
         require_refined(bronze, none)
     require_refined(bronze, some)
     require_refined(pending, none)
+
+
+def test_cases_are_the_smallest_of_each_rule(spark):
+    lines = [line(team_id=f"{i:03}", won=-1 - i % 9, points=99) for i in range(40)] + [line(team_id="7"), line(team_id="7"), line(team=None)]
+    df = gold(spark, *lines).repartition(4)
+    got = {}
+    for r in GOLD_STANDINGS.cases(df, 3).orderBy("rule", "column", "place").collect():
+        got.setdefault((r["rule"], r["column"]), []).append((r["place"], r["shown"]))
+    assert got[("at_least_0", "won")] == [(1, "-1"), (2, "-2"), (3, "-3")]
+    assert got[("unique", "league|team_id")] == [(1, "East|7")]
+    assert got[("points_are_3_won_plus_drawn", "*")] == [(k + 1, f"East|{k:03}") for k in range(3)]
+    assert {k: len(v) for k, v in got.items()}.items() <= {k: 3 for k in got if k[0] != "unique"}.items() | {(k, 1) for k in got if k[0] == "unique"}
+    with pytest.raises(ContractViolation) as raised:
+        GOLD_STANDINGS.enforce(df)
+    assert ("at_least_0", "won", 1, "-1") in raised.value.cases and len(raised.value.cases) <= 5 * len(got)
+    assert GOLD_STANDINGS.cases(gold(spark, line())).count() == 0
+    assert GOLD_STANDINGS.cases(gold(spark, line()).drop("won")).count() == 0
+
+
+def test_cases_are_limited_before_the_shuffle(spark):
+    plan = GOLD_STANDINGS.cases(gold(spark, line()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2

@@ -183,3 +183,16 @@ def test_readers_refuse_fractions_unless_told(spark, tmp_path):
 def test_configuration_has_all_leagues(spark):
     config = envelopes.league_config(spark)
     assert config.count() == 9 and config.select("source").distinct().count() == 9
+
+
+def test_responses_are_read_as_whole_documents(spark, tmp_path):
+    path = land(tmp_path, "any", "5", {"a": 1, "b": [{"c": "x"}, {"c": 2.5}, 3], "n": None}, {"a": "text", "b": {}}, [True])
+    folder = Path(str(path)) / "source=5"
+    (folder / "cut.json").write_text('{"a":\n')
+    read = envelopes.read_documents(spark, str(path))
+    assert rows(read.where("document IS NULL"), "source", "broken") == [("5", '{"a":')]
+    assert rows(envelopes.document_paths(read, "document")) == sorted([
+        ("$", "OBJECT", 2), ("$", "ARRAY", 1), ("$[*]", "BOOLEAN", 1), ("$.a", "BIGINT", 1), ("$.a", "STRING", 1),
+        ("$.b", "ARRAY", 1), ("$.b", "OBJECT", 1), ("$.b[*]", "OBJECT", 2), ("$.b[*]", "BIGINT", 1),
+        ("$.b[*].c", "STRING", 1), ("$.b[*].c", "DECIMAL", 1), ("$.n", "VOID", 1)], key=repr)
+    assert rows(envelopes.document_paths(read, "document", depth=0)) == [("$", "ARRAY", 1), ("$", "OBJECT", 2)]

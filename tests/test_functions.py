@@ -98,3 +98,20 @@ def test_load_stamp_is_utc():
 def test_one_decimal_rounds_like_the_exact_value(spark, values):
     values = [v + 0.0 for v in values if v != 0]
     assert column(spark, "double", values, fn.one_decimal("c")) == [f"{v:.1f}" for v in values]
+
+
+def test_a_column_of_dates_is_read_in_the_form_of_its_first_filled_value(spark):
+    rows = [
+        (1, None, "soon", "01/02/2024", "no date", "2024-01-01T10:00:00"),
+        (2, "2024-01-05 07:30:00", "25/12/2023", "25/12/2023", "none", "2024-01-01"),
+        (3, "2024-01-05", "03/04/2024", "12/31/2023", "", "2024-13-01T10:00:00"),
+        (4, "2024-02-30 07:30:00", "2024-01-01", None, None, "x2024-01-01T10:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "i int, a string, b string, c string, d string, e string").repartition(3)
+    got = fn.parse_dates_alike(df, ["a", "b", "c", "d", "e"], ["i"]).orderBy("i").collect()
+    assert [r["a"] for r in got] == [None, datetime(2024, 1, 5, 7, 30), None, None]
+    assert [r["b"] for r in got] == [None, datetime(2023, 12, 25), datetime(2024, 4, 3), None]
+    assert [r["c"] for r in got] == [datetime(2024, 1, 2), None, datetime(2023, 12, 31), None]
+    assert [r["d"] for r in got] == [None] * 4
+    assert [r["e"] for r in got] == [datetime(2024, 1, 1, 10), None, None, None]
+    assert fn.parse_dates_alike(df.limit(0), ["a"], ["i"]).count() == 0

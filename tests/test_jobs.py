@@ -167,3 +167,30 @@ def test_match_reports(spark, gold, silver):
     assert rows(reports.outcome_counts(silver)) == [("A", 2, 1, 0)]
     assert [r["event_id"] for r in reports.blowouts(silver).collect()] == ["m3", "m1"]
     assert reports.blowouts(silver, "B").count() == 0
+
+
+def test_what_a_load_does_not_take_is_set_aside(spark, lake, tmp_path):
+    teams, events = fixtures(tmp_path)
+    land(tmp_path, "teams", "78", {"teams": [team(idTeam="503", strTeam=None, idLeague="78"), team(idTeam="504", idLeague="78")]})
+    from pathlib import Path
+
+    (Path(str(events)) / "source=77" / "cut.json").write_text('{"events":[{\n')
+    summary = jobs.run_all(lake, teams, events, AS_OF, keep_going=True)
+    aside = lake.set_aside.read()
+    assert rows(aside, "kind", "source", "reason") == [("matches", "77", "not_json"), ("teams", "78", "constraint")]
+    assert '"team_id":"503"' in aside.where("kind = 'teams'").first()["text"]
+    assert aside.where("kind = 'matches'").first()["text"] == '{"events":[{'
+    assert rows(lake.bronze_teams.read(), "team_id") == [("501",), ("502",), ("504",)]
+    assert {r["name"]: r["n_rows"] for r in summary.collect()} == {
+        "bronze/teams": 3, "bronze/matches": 3, "silver/matches": 2, "gold/standings": 2}
+    assert rows(jobs.layer_counts(lake)) == [
+        ("bronze/matches", 3, 2, 3), ("gold/standings", 2, None, 2), ("silver/matches", 2, 2, 2)]
+
+
+def test_rows_are_numbered_in_the_order_shown(spark):
+    from matchstrata.operators.ranking import numbered
+
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 AS k").repartition(7)
+    got = numbered(df.orderBy("k")).collect()
+    assert sorted((r["place"], r["k"]) for r in got) == [(i + 1, i) for i in range(1000)]
+    assert numbered(df.limit(0)).count() == 0
