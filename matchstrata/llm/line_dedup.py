@@ -22,8 +22,9 @@ EDITS = 2
 LEAST_CHARS = 50
 #: In larger groups of lines with one segment, all are first compared with the earliest.
 HOT = 16
-
-_INDEX, _PROBE = 0, 1
+#: How often what a large group has in common is taken out, and the characters that must be left.
+DEPTH = 8
+LEAST_REST = 9
 
 
 def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -37,20 +38,47 @@ def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     ]
 
 
-def _hashes(line: Column, length: Column, edits: int) -> Column:
+def _lookups(edits: int) -> list[list[tuple[int, int]]]:
+    """(segment, shift) by which a text is looked up, for texts shorter by 0, 1, ... characters.
+
+    Those of no difference begin with the unshifted segments, under which the text
+    is indexed itself.
+    """
+    out = []
+    for less in range(edits + 1):
+        found = [(k, 0) for k in range(edits + 1)] if less == 0 else []
+        for k in range(edits + 1):
+            low, high = max(-k, less - (edits - k)), min(k, less + (edits - k))
+            found += [(k, shift) for shift in range(low, high + 1) if less or shift]
+        out.append(found)
+    return out
+
+
+def _found_at(length: Column, edits: int, less: int, segment: int, shift: int) -> tuple[Column, Column]:
+    start, size = segments(length - less, edits)[segment]
+    return F.greatest(start + shift, F.lit(1)), size
+
+
+def _hashes(line: Column, length: Column, edits: int, less: int | None = None) -> Column:
     """Hashes of a line's segments (the first ``edits + 1``), then of what it is looked up by."""
-    indexed, probes = [], []
-    for less in range(edits + 1):  # to lines as long or shorter by this
-        target = length - less
-        for k, (start, size) in enumerate(segments(target, edits)):
-            of = lambda at: F.xxhash64(target, F.lit(k), F.substring(line, at, size))  # noqa: B023, E731
-            if less == 0:
-                indexed.append(of(start))
-            low = max(-k, less - (edits - k))
-            high = min(k, less + (edits - k))
-            # Unshifted segments of its own length are in the index.
-            probes += [of(F.greatest(start + shift, F.lit(1))) for shift in range(low, high + 1) if less or shift]
-    return F.array(*indexed, *probes)
+    made = []
+    for by, lookups in enumerate(_lookups(edits)):
+        if less is None or by == less:
+            for k, shift in lookups:
+                at, size = _found_at(length, edits, by, k, shift)
+                made.append(F.xxhash64(length - by, F.lit(k), F.substring(line, at, size)))
+    return F.array(*made)
+
+
+def _without(text: Column, edits: int, less: Column, number: Column) -> Column:
+    """``text`` without what it was looked up by: its look-up ``number`` for texts shorter by ``less``."""
+    length, out = F.char_length(text), F.lit(None).cast("string")
+    for by, lookups in enumerate(_lookups(edits)):
+        for n, (k, shift) in enumerate(lookups):
+            at, size = _found_at(length, edits, by, k, shift)
+            rest = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + size, length))
+            out = F.when((less == by) & (number == n), rest).otherwise(out)
+    return out
 
 
 def _let(value: Column, then) -> Column:
@@ -169,11 +197,15 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
         .select("hash")
     )
     shared = stage(shared, "shared-segments").df
-    role = F.when(F.col("k") <= edits, _INDEX).otherwise(_PROBE)
+    # Of the look-ups, which are for texts shorter by how much, and where those of each begin.
+    sizes = [len(x) for x in _lookups(edits)]
+    less_of = F.array(*[F.lit(by) for by, n in enumerate(sizes) for _ in range(n)])
+    begin_of = F.array(*[F.lit(sum(sizes[:by])) for by in range(edits + 1)])
+    less = F.element_at(less_of, F.col("k") + 1)
     entries = (
         lines.select("line_key", "id", F.posexplode("hashes").alias("k", "hash"))
         .join(small(shared), "hash")
-        .select("line_key", "id", "hash", role.alias("role"))
+        .select("line_key", "id", "hash", less.alias("less"), (F.col("k") - F.element_at(begin_of, less + 1)).alias("number"))
         .distinct()
     )
     entries = stage(entries, "segments").df
@@ -188,7 +220,19 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
         .dropDuplicates(["line_key"])
     )
     texts = stage(texts.withColumns(_counts(F.col("line"))).join(first, "line_key"), "segment-texts").df
-    placed = stage(entries.select("line_key", "hash", "role").join(texts.drop("line", "id"), "line_key"), "placed-segments").df
+    return _near_in_groups(entries.drop("id"), texts, edits)
+
+
+def _near_in_groups(entries: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """``line_key``: lines within reach of an earlier one that shares a look-up with them.
+
+    ``entries`` are ``line_key, hash, less, number``. A group of at most ``HOT``
+    entries with one hash is paired. In a larger one all are first compared with the
+    line that occurs earliest; if others are left, what the group has in common is
+    taken out of its lines, and what remains of them is cut and looked up in the same
+    way: two lines within reach are within reach without it. So lines with a long
+    common lead and different tails never meet as pairs.
+    """
 
     def near(pairs: DataFrame) -> DataFrame:
         """Of ``later, earlier`` the later ones of those within reach."""
@@ -198,29 +242,61 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
         found = pairs.distinct().join(texts_a, "later").join(texts_b, "earlier").repartition("later", "earlier")
         return found.where(within(F.col("__a"), F.col("__b"), edits)).select(F.col("later").alias("line_key")).distinct()
 
-    # Large groups: all are first compared with the line that occurs earliest.
-    hot = placed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("place", "line_key")).alias("head")).where(
-        F.col("n") > HOT
-    )
-    hot = stage(hot.select("hash", F.col("head.line_key").alias("line_key")), "hot-segments").df
+    def met(later: DataFrame, all_: DataFrame) -> DataFrame:
+        """Pairs of a group that its roles, lengths and counts allow."""
+        indexed = lambda side: (F.col(f"{side}.less") == 0) & (F.col(f"{side}.number") <= edits)
+        pairs = later.alias("a").join(
+            all_.alias("b"),
+            (F.col("a.hash") == F.col("b.hash"))
+            & (F.col("b.place") < F.col("a.place"))
+            & (indexed("a") | indexed("b"))
+            & _alike("a", "b", edits),
+        )
+        return pairs.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))
+
     counts = [f"c{k}" for k in range(len(_COUNTED))]
-    heads = hot.join(texts.select("line_key", "length", *counts), "line_key")
-    heads = stage(heads, "hot-heads").df
-    led = placed.alias("a").join(
-        heads.alias("b"),
-        (F.col("a.hash") == F.col("b.hash")) & (F.col("a.line_key") != F.col("b.line_key")) & _alike("a", "b", edits),
-    )
-    done = stage(near(led.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))), "near-heads").df
-    open_ = placed.join(small(done), "line_key", "left_anti")
-    pairs = open_.alias("a").join(
-        placed.alias("b"),
-        (F.col("a.hash") == F.col("b.hash"))
-        & (F.col("b.place") < F.col("a.place"))
-        & ((F.col("a.role") == _INDEX) | (F.col("b.role") == _INDEX))
-        & _alike("a", "b", edits),
-    )
-    rest = near(pairs.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier")))
-    return done.unionByName(rest)
+    level = entries.select("line_key", F.lit(0).cast("long").alias("above"), F.lit(0).alias("above_number"), "hash", "less", "number")
+    rests = texts.select("line_key", F.lit(0).cast("long").alias("above"), F.lit(0).alias("above_number"), F.col("line").alias("rest"))
+    done, found = None, []
+    for depth in range(DEPTH + 1):
+        placed = stage(level.join(texts.drop("line", "id"), "line_key"), f"placed-segments-{depth}").df
+        groups = placed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("place", "line_key")).alias("head"))
+        hot = stage(groups.where(F.col("n") > HOT).select("hash", F.col("head.line_key").alias("line_key")), f"hot-segments-{depth}").df
+        heads = stage(hot.join(texts.select("line_key", "length", *counts), "line_key"), f"hot-heads-{depth}").df
+        led = placed.alias("a").join(
+            heads.alias("b"),
+            (F.col("a.hash") == F.col("b.hash")) & (F.col("a.line_key") != F.col("b.line_key")) & _alike("a", "b", edits),
+        )
+        led = stage(near(led.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))), f"near-heads-{depth}").df
+        done = led if done is None else done.unionByName(led)
+        open_ = placed.join(done, "line_key", "left_anti")
+        found.append(near(met(open_.join(small(hot.select("hash")), "hash", "left_anti"), placed)))
+        left = stage(open_.join(small(hot.select("hash")), "hash", "left_semi").select("hash").distinct(), f"open-segments-{depth}").df
+        if left.isEmpty():
+            break
+        members = placed.join(small(left), "hash", "left_semi")
+        # What is short when the common part is out makes few different lines: those are paired.
+        cut = members.join(rests, ["line_key", "above", "above_number"]).select(
+            "line_key", "hash", "number", "less", _without(F.col("rest"), edits, F.col("less"), F.col("number")).alias("rest")
+        )
+        cut = stage(cut, f"segment-rests-{depth}").df
+        long = (F.char_length("rest") - F.col("less") >= LEAST_REST) if depth < DEPTH else F.lit(False)
+        short = small(cut.where(~long).select("hash").distinct())
+        found.append(near(met(members.join(done, "line_key", "left_anti").join(short, "hash", "left_semi"), placed)))
+        made = F.array().cast("array<long>")
+        for by in range(edits + 1):
+            made = F.when(F.col("less") == by, _hashes(F.col("rest"), F.char_length("rest"), edits, by)).otherwise(made)
+        level = cut.where(long).select(
+            "line_key", F.col("hash").alias("above"), F.col("number").alias("above_number"), "less", F.posexplode(made).alias("number", "sub")
+        ).select("line_key", "above", "above_number", F.xxhash64("above", "sub").alias("hash"), "less", "number")
+        level = stage(level, f"segment-level-{depth}").df
+        several = level.groupBy("hash").agg(F.min("line_key").alias("low"), F.max("line_key").alias("high")).where("low <> high")
+        level = level.join(stage(several.select("hash"), f"shared-rests-{depth}").df, "hash", "left_semi")
+        rests = cut.select("line_key", F.col("hash").alias("above"), F.col("number").alias("above_number"), "rest")
+    out = done
+    for one in found:
+        out = out.unionByName(one)
+    return out.distinct()
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:

@@ -260,6 +260,23 @@ def test_lines_keep_all_columns(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_of_one_lead_are_told_apart_by_what_follows(spark, monkeypatch):
+    """Groups of one segment are cut further instead of paired; no near line is lost."""
+    rng = random.Random(5)
+    lead = "This file is licensed under the terms that follow: "
+    lines = [lead + "".join(rng.choice("abcdefgh ") for _ in range(30)) for _ in range(250)]
+    lines += [mutated(rng, rng.choice(lines), rng.choice([1, 2, 2, 3])) for _ in range(60)]
+    lines += [x[:40] + "Q" + x[40:] for x in lines[:20]]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[i :: 40])) for i in range(40)]
+    seen = []
+    real = line_dedup.within
+    monkeypatch.setattr(line_dedup, "within", lambda a, b, edits: seen.append(1) or real(a, b, edits))
+    got = line_dedup.dedup_lines(frame(spark, [(i, t, None) for i, t in rows])).collect()
+    assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_equal"], r["n_near"]) for r in got), key=repr) == brute_lines(rows, 2, 50)
+    assert len(seen) > 3  # more than one level
+
+
 def test_short_lines_that_repeat_stay_once(spark):
     rows = [(i, f"words of document {i}\nAll rights reserved.\n\n \t\n}}", None) for i in range(5)]
     got = {r["doc_id"]: (r["text"], r["n_equal"]) for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
