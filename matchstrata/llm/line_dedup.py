@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchstrata.llm.common import BROADCAST_ROWS, small
+from matchstrata.llm.common import small
 from matchstrata.session import stage
 
 EDITS = 2
@@ -340,8 +340,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
     lists = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
         F.collect_list("line_no").alias("__gone"), F.count_if("near").alias("__near")
     )  # at most the lines of one text
-    if gone.count() <= BROADCAST_ROWS:
-        lists = F.broadcast(lists)
+    lists = stage(lists, "gone-line-lists").df  # stored, so that Catalyst knows its size
     # The table's columns are told by their alias: they may have any names.
     joined = docs.alias("d").join(
         lists.alias("g"),

@@ -157,7 +157,7 @@ _TYPES = [pa.string(), *[pa.int64()] * 4, *[pa.string()] * 5, pa.int64(), pa.int
 
 def _with_start(pieces: DataFrame, splits: DataFrame) -> DataFrame:
     """Adds ``start``: the place in the file where a piece's mark begins."""
-    return pieces.join(F.broadcast(splits), ["file", "split"]).withColumn(
+    return pieces.join(splits, ["file", "split"]).withColumn(
         "start", F.col("split_start") + F.col("before") - len(MARK)
     )
 
@@ -199,8 +199,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     splits = stage(
         sizes.select("file", "split", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("split_start")), "splits"
     ).df
-    ends = sizes.groupBy("file").agg((F.sum("n") - len(MARK)).alias("file_end"))
-    placed = _with_start(slim, splits).join(F.broadcast(ends), "file")
+    # Stored, as the starts of splits are, so that Catalyst knows their size: a row per file.
+    ends = stage(sizes.groupBy("file").agg((F.sum("n") - len(MARK)).alias("file_end")), "file-ends").df
+    placed = _with_start(slim, splits).join(ends, "file")
     after = F.col("start") + len(MARK) + F.col("head") + F.col("block_bytes")
     candidates = stage(
         placed.where("start >= 0").select(
@@ -213,8 +214,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         "candidates",
     ).df
     # A chain begins at byte 0, and nowhere else.
-    begun = candidates.where("start = 0").select("file")
-    known = reachable(candidates.join(F.broadcast(begun), "file", "left_semi")).withColumn("record", F.lit(True))
+    begun = stage(candidates.where("start = 0").select("file"), "begun-files").df
+    known = reachable(candidates.join(begun, "file", "left_semi")).withColumn("record", F.lit(True))
     flagged = _owned(candidates.join(known, ["file", "start"], "left"))
     # Marks inside a payload, and the records around them.
     owned = stage(
@@ -262,10 +263,10 @@ def _owned(flagged: DataFrame) -> DataFrame:
     upto = Window.partitionBy("file", "split").orderBy("start")
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     lasts = flagged.groupBy("file", "split").agg(F.max(here).alias("last"))  # a row per split
-    carried = lasts.select("file", "split", F.max("last").over(earlier).alias("carried"))
+    carried = stage(lasts.select("file", "split", F.max("last").over(earlier).alias("carried")), "carried-records").df
     owner = F.coalesce(F.last(here, ignorenulls=True).over(upto), F.col("carried"))
     return (
-        flagged.join(F.broadcast(carried), ["file", "split"])
+        flagged.join(carried, ["file", "split"])
         .withColumn("__owner", owner)
         .withColumns(
             {
