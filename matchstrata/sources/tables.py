@@ -23,7 +23,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 from operator import and_, or_
 from urllib.parse import unquote
@@ -255,13 +255,16 @@ class LakeTable:
         finally:
             self.spark.sql(f"DROP TABLE {name}")
 
-    def _write(self, df: DataFrame, about: dict, overwrite: bool) -> None:
-        """Add the rows of ``df`` (as on disk), or replace the partitions found in it."""
+    def _write(self, df: DataFrame, about: dict, overwrite: bool, name: str | None = None) -> None:
+        """Add the rows of ``df`` (as on disk), or replace the partitions found in it.
+
+        ``name``: what the session knows the bucketed table as, if it does already.
+        """
         by = about["partition_by"]
         if self._buckets(about):
             placed = df.repartition(about["buckets"], *[F.col(f"`{k}`") for k in self._buckets(about)])
-            with self._bucketed(about) as name:
-                placed.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=overwrite)
+            with nullcontext(name) if name else self._bucketed(about) as known:
+                placed.select(*self.spark.table(known).columns).write.insertInto(known, overwrite=overwrite)
             return
         if by:  # one file set per partition value; AQE splits a value with a large share of the rows
             df = df.hint("rebalance", *[F.col(f"`{c}`") for c in by])
@@ -280,13 +283,16 @@ class LakeTable:
         new_path, fs = self._hadoop()
         fs.delete(new_path(folder), True)
 
-    def _load(self, df: DataFrame, about: dict, gate: Gate | None, more: Mapping[str, str] | None = None) -> int:
-        """The frame becomes the table: written aside, held to its checks, then named."""
+    def _load(
+        self, df: DataFrame, about: dict, gate: Gate | None = None, more: Mapping[str, str] | None = None, checked: bool = False
+    ) -> int:
+        """The frame becomes the table: written aside, held to its checks unless that is done, then named."""
         former, gone = about["data"], about["former"]
         about = {**about, "data": f"data-{uuid.uuid4().hex}", "former": former}
         self._write(self._hidden(df, about), about, overwrite=False)
         try:
-            self._enforce(self._shown(self._scan(about), about), about, gate, more)
+            if not checked:
+                self._enforce(self._shown(self._scan(about), about), about, gate, more)
         except ContractViolation:
             self._delete(f"{self.path}/{about['data']}")
             raise
@@ -361,7 +367,7 @@ class LakeTable:
         staged = stage(rows, "load")
         self._enforce(staged.df, about, gate, {"replace_where": met})
         kept = self._shown(self._scan(about), about).where(f"NOT {met}")
-        version = self._load(kept.unionByName(staged.df), about, None)
+        version = self._load(kept.unionByName(staged.df), about, checked=True)
         staged.discard()
         return version
 
@@ -424,16 +430,16 @@ class LakeTable:
         self._enforce(source, about, gate)
         src = self._hidden(source, about)
         if about["data"] is None:
-            return self._load(conform(source, schema), about, None)
-        if about["keys"] != keys or not self._buckets(about):  # laid out for other keys, or none
-            return self._replaced(self._scan(about), src, keys, about)
+            return self._load(conform(source, schema), about, checked=True)
+        if not self._buckets(about):
+            return self._replaced(self._scan(about), src, keys, about, None)
         with self._bucketed(about) as name:
-            return self._replaced(self.spark.table(name), src, keys, about)
+            return self._replaced(self.spark.table(name), src, keys, about, name)
 
-    def _replaced(self, table: DataFrame, src: DataFrame, keys: list[str], about: dict) -> int:
+    def _replaced(self, table: DataFrame, src: DataFrame, keys: list[str], about: dict, name: str | None) -> int:
         schema, by = StructType.fromJson(about["schema"]), about["partition_by"]
         if not by:
-            return self._load(self._merged(table, src, keys, schema), about, None)
+            return self._load(self._merged(table, src, keys, schema), about, checked=True)
         left = self._touched(table, src, keys, by)
         entered = self._distinct(src, by) if set(by) <= set(src.columns) else []
         touched = left + [p for p in entered if p not in left]
@@ -447,7 +453,7 @@ class LakeTable:
                 StructType([f for f in schema if f.name in {*keys, *by}])), by)
             emptied = [p for p in left if p not in kept]
         folders = self._folders(about, emptied)
-        self._write(merged, about, overwrite=True)
+        self._write(merged, about, overwrite=True, name=name)
         for folder in folders:
             self._delete(folder)
         return self._declare(about)
