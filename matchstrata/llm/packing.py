@@ -15,7 +15,7 @@ from matchstrata.llm.tokens import slices, trim, worker_encoder
 WINDOW = 2048
 END_ID = 1
 #: Pieces that one task packs together. The windows left open at its end are the only loss of splitting.
-PIECES_PER_TASK = 16_384
+PIECES_PER_TASK = 8_192
 
 PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
@@ -149,23 +149,28 @@ def pack_pieces(
             held.append(batch)
             rows += batch.num_rows
             if rows >= PIECES_PER_TASK:
-                packed, used = pack(held, number)
-                yield packed
+                used = yield from pack(held, number)
                 number += used
                 held, rows = [], 0
         if rows:
-            yield pack(held, number)[0]
+            yield from pack(held, number)
+        trim()
 
     def pack(held, number):
-        table = pa.Table.from_batches(held).combine_chunks()
-        lengths = np.asarray(table.column(length_at).combine_chunks())
+        """The batches with their pieces' places; each is handed on as it came, without a copy."""
+        lengths = np.concatenate([np.asarray(batch.column(length_at)) for batch in held])
         at, offset, used = best_fit_decreasing(lengths, window)
-        arrays = [c.combine_chunks() for c in table.columns]
-        batch = pa.RecordBatch.from_arrays(
-            [*arrays, pa.array(number + at), pa.array(offset)],
-            names=[*columns, "sequence_id", "offset"],
-        )
-        return batch, used
+        start = 0
+        held.reverse()
+        while held:
+            batch = held.pop()
+            end = start + batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(number + at[start:end]), pa.array(offset[start:end])],
+                names=[*columns, "sequence_id", "offset"],
+            )
+            start = end
+        return used
 
     schema = StructType(
         [*shared.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]

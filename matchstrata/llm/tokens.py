@@ -12,11 +12,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that one Python worker keeps between batches, with their ids. Beyond them it keeps the last batch's.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: New words that the library encodes in one call.
 WORDS_AT_ONCE = 20_000
 #: Text that is cut into words at once.
-BYTES_AT_ONCE = 3 << 20
+BYTES_AT_ONCE = 2 << 20
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
