@@ -33,7 +33,6 @@ from ..schema import (
     MATCH_TOPIC,
     PUBLISHED_MATCHES,
     PUBLISHED_STANDINGS,
-    TEAM_COLUMNS,
     TEAM_FIELDS,
     TEAM_TOPIC,
     with_published_names,
