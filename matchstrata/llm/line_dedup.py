@@ -324,8 +324,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CH
         "lines",
     ).df
     near = stage(_near(read, places, least_chars, edits).withColumn("near", F.lit(True)), "near-lines").df
+    # Most lines occur once: told by their short hash first, so that few are shuffled with key and place.
+    again = stage(places.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated-ids").df
     repeated = (
-        places.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("line_key", "first")
+        places.join(small(again), "id", "left_semi").groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("line_key", "first")
     )
     repeated = stage(repeated, "repeated-lines").df
     gone = (
