@@ -44,6 +44,8 @@ from ..streaming import BronzeStream
 from . import jobs, reports
 
 AS_OF = datetime(2024, 5, 1, 12, 0, 0, tzinfo=timezone.utc)
+#: How landed text and messages are compressed; a file of it is read by one task.
+LANDED_CODEC = "lz4"
 TIE_BREAK = ("tie_price", "tie_supplier", "away_id", "home_score")
 
 
@@ -460,11 +462,12 @@ def _response(field: str, fields: dict[str, str], **values: Column) -> Column:
 def _land(responses: DataFrame, label: str, key: str, order: list[Column]) -> str:
     """Write (source, value) as one response a line, copies of a key in order.
 
-    Copies of one key go to one file; the order among keys does not matter.
+    Copies of one key go to one file; the order among keys does not matter. The
+    files are compressed: the keys of the records repeat in every line.
     """
     path = scratch_path(responses.sparkSession, label)
     placed = responses.repartition("source", key).sortWithinPartitions("source", key, *order)
-    placed.select("source", "value").write.partitionBy("source").text(path)
+    placed.select("source", "value").write.partitionBy("source").text(path, compression=LANDED_CODEC)
     return path
 
 

@@ -23,3 +23,11 @@ def test_flagship_entry(spark):
 
     df = entry.entry(spark)
     assert df.columns[:3] == ["league", "team_id", "team"] and not df.isEmpty()
+
+
+def test_landed_text_is_compressed(spark):
+    from pathlib import Path
+
+    path = workload._land_teams(workload.teams_raw(spark, SF_DIR))
+    files = [f for f in Path(path.removeprefix("file:")).rglob("part-*")]
+    assert files and all(f.suffix == ".lz4" for f in files)
