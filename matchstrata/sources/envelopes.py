@@ -238,11 +238,12 @@ class Ingest:
     broken: DataFrame
     staged_teams: Staged
     staged_matches: Staged
+    staged_sources: tuple[Staged, ...] = ()
 
     def discard(self) -> None:
         """Delete the staged parse; no frame of this ingest can be read after it."""
-        self.staged_teams.discard()
-        self.staged_matches.discard()
+        for staged in (self.staged_teams, self.staged_matches, *self.staged_sources):
+            staged.discard()
 
 
 def _fractional(numbers: Sequence[str]) -> Column:
@@ -310,7 +311,9 @@ def ingest(
     With ``leagues`` given, only those sources are loaded and "first" follows
     their order; otherwise sources are taken in the order of their names. The
     JSON is parsed once: rows, health and broken text all come from the staged
-    parse.
+    parse. The lists of sources, a row for each, are stored, so that Catalyst knows
+    their size and broadcasts them: shuffled by its source, a large source would be
+    one task's.
     """
     expected = league_config(spark, leagues) if leagues is not None else None
     arrival = ["source" if expected is None else "_load_order", *ARRIVAL]
@@ -319,7 +322,7 @@ def ingest(
         responses = read_responses(spark, path, field, record, whole_files)
         if expected is not None:
             order = expected.select("source", F.col("load_order").alias("_load_order"))
-            responses = responses.join(order, "source", "left")
+            responses = responses.join(F.broadcast(order), "source", "left")  # the caller's list
         rest = [c for c in responses.columns if c != "records"]
         every = responses.select(
             *rest, F.posexplode_outer("records").alias("_position", "record")
@@ -330,16 +333,22 @@ def ingest(
     all_matches = landed(matches_path, "events", RAW_MATCH, map_matches)
     health = source_health(all_teams.df, all_matches.df, expected)
 
+    listed: list[Staged] = []
+
+    def sources(rows: DataFrame, label: str) -> DataFrame:
+        listed.append(stage(rows.select("source").distinct(), label))
+        return listed[-1].df
+
     def usable(staged: Staged, numbers: Sequence[str]) -> DataFrame:
         """Records of listed sources in which no record of this kind has a fraction."""
         rows = staged.df.where("_position IS NOT NULL")
-        bad = rows.where(_fractional(numbers)).select("source").distinct()
+        bad = sources(rows.where(_fractional(numbers)), "fractional-sources")
         if expected is not None:
             rows = rows.where("_load_order IS NOT NULL")
         return rows.join(bad, "source", "left_anti")
 
     team_rows = usable(all_teams, TEAM_NUMBERS)
-    with_teams = team_rows.select("source").distinct()
+    with_teams = sources(team_rows, "sources-with-teams")
     match_rows = usable(all_matches, MATCH_NUMBERS).join(with_teams, "source", "left_semi")
     if match_rows.isEmpty():
         raise EmptySource("no source returned matches")
@@ -358,4 +367,5 @@ def ingest(
         ),
         staged_teams=all_teams,
         staged_matches=all_matches,
+        staged_sources=tuple(listed),
     )

@@ -196,3 +196,11 @@ def test_responses_are_read_as_whole_documents(spark, tmp_path):
         ("$.b", "ARRAY", 1), ("$.b", "OBJECT", 1), ("$.b[*]", "OBJECT", 2), ("$.b[*]", "BIGINT", 1),
         ("$.b[*].c", "STRING", 1), ("$.b[*].c", "DECIMAL", 1), ("$.n", "VOID", 1)], key=repr)
     assert rows(envelopes.document_paths(read, "document", depth=0)) == [("$", "ARRAY", 1), ("$", "OBJECT", 2)]
+
+
+def test_matches_are_not_shuffled_by_source(spark, tmp_path):
+    """Few sources hold all matches: an exchange by source would give each to one task."""
+    for sources in (LEAGUES, None):
+        got = envelopes.ingest(spark, *landed(tmp_path), AS_OF, sources)
+        plan = got.matches._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(source" not in plan and plan.count("BroadcastHashJoin") == 2
