@@ -79,12 +79,12 @@ def create_bronze(lake: Lake) -> None:
     )
 
 
-def load_teams(teams: DataFrame, table: LakeTable) -> int:
+def load_teams(teams: DataFrame, table: LakeTable, about_rows: int | None = None) -> int:
     """FULL load: the frame becomes the table."""
-    return table.save(teams, mode="overwrite", schema_mode="merge")
+    return table.save(teams, mode="overwrite", schema_mode="merge", about_rows=about_rows)
 
 
-def load_matches(matches: DataFrame, table: LakeTable) -> int:
+def load_matches(matches: DataFrame, table: LakeTable, about_rows: int | None = None) -> int:
     """INCREMENTAL load: the frame's extract dates are replaced, others stay."""
     return table.save(
         matches,
@@ -92,6 +92,7 @@ def load_matches(matches: DataFrame, table: LakeTable) -> int:
         partition_by=["extract_date"],
         replace_partitions=True,
         schema_mode="merge",
+        about_rows=about_rows,
     )
 
 
@@ -113,11 +114,12 @@ def run_bronze(
     create_bronze(lake)
     landed = ingest(lake.spark, teams_path, matches_path, as_of, leagues, whole_files)
     kinds = [
-        ("teams", type_teams(landed.teams), TEAM_CHECKS, load_teams, lake.bronze_teams),
-        ("matches", type_bronze_matches(landed.matches), MATCH_CHECKS, load_matches, lake.bronze_matches),
+        ("teams", type_teams(landed.teams), TEAM_CHECKS, load_teams, lake.bronze_teams, landed.staged_teams),
+        ("matches", type_bronze_matches(landed.matches), MATCH_CHECKS, load_matches, lake.bronze_matches,
+         landed.staged_matches),
     ]
     aside = [landed.broken.select("kind", "source", F.lit("not_json").alias("reason"), F.col("broken").alias("text"))]
-    for kind, rows, checks, load, table in kinds:
+    for kind, rows, checks, load, table, staged in kinds:
         if keep_going:
             met = F.lit(True)
             for condition in checks.values():
@@ -126,7 +128,7 @@ def run_bronze(
             source = F.col("league_id").alias("source")
             aside.append(rows.where(~met).select(F.lit(kind).alias("kind"), source, F.lit("constraint").alias("reason"), text.alias("text")))
             rows = rows.where(met)
-        load(rows, table)
+        load(rows, table, about_rows=staged.df.count())  # first copies are fewer: the count is an upper bound
     lake.set_aside.save(reduce(DataFrame.unionByName, aside))
     # One row per source, kept after the staged parse is gone.
     health = lake.source_health
@@ -160,7 +162,8 @@ def run_silver(lake: Lake, since: str | None = None) -> int:
         SILVER_MATCHES.enforce(written)
 
     version = lake.silver_matches.upsert(
-        refined, ["event_id"], partition_by=["season"], keys_are_unique=True, gate=gate
+        refined, ["event_id"], partition_by=["season"], keys_are_unique=True, gate=gate,
+        about_rows=bronze.count(),
     )
     log.info("silver: %d matches refined", counted.get["n"])
     return version

@@ -47,8 +47,10 @@ ABOUT = "_about.json"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Put before such values, and before values that begin with it, on disk.
 ESCAPE = "__TEXT__"
-#: Buckets of a table with keys, unless it is created with another number.
+#: Buckets of a table with keys at least, unless it is created with another number.
 BUCKETS = 4
+#: Rows for one bucket, and for one task that writes into it: a full load takes as many buckets as its rows need.
+BUCKET_ROWS = 1_000_000
 #: Up to so many keys of an upsert are looked for by value; beyond them by a join.
 LISTED_KEYS = 1_000
 
@@ -156,7 +158,8 @@ class LakeTable:
     ) -> "LakeTable":
         """An empty table with fixed columns and constraints; no-op if it exists.
 
-        With ``keys`` its files are bucketed and sorted by them.
+        With ``keys`` its files are bucketed and sorted by them, in ``buckets`` of
+        them or, from a full load on, as many more as its rows need.
         """
         if not self.exists():
             self._declare(
@@ -255,14 +258,19 @@ class LakeTable:
         finally:
             self.spark.sql(f"DROP TABLE {name}")
 
-    def _write(self, df: DataFrame, about: dict, overwrite: bool, name: str | None = None) -> None:
+    def _write(
+        self, df: DataFrame, about: dict, overwrite: bool, name: str | None = None, about_rows: int = 0
+    ) -> None:
         """Add the rows of ``df`` (as on disk), or replace the partitions found in it.
 
         ``name``: what the session knows the bucketed table as, if it does already.
+        More than ``BUCKET_ROWS`` rows a bucket are written by several tasks each: the
+        hash of a multiple of the buckets tells the bucket too.
         """
         by = about["partition_by"]
         if self._buckets(about):
-            placed = df.repartition(about["buckets"], *[F.col(f"`{k}`") for k in self._buckets(about)])
+            tasks = about["buckets"] * max(1, -(-about_rows // (BUCKET_ROWS * about["buckets"])))
+            placed = df.repartition(tasks, *[F.col(f"`{k}`") for k in self._buckets(about)])
             with nullcontext(name) if name else self._bucketed(about) as known:
                 placed.select(*self.spark.table(known).columns).write.insertInto(known, overwrite=overwrite)
             return
@@ -284,12 +292,24 @@ class LakeTable:
         fs.delete(new_path(folder), True)
 
     def _load(
-        self, df: DataFrame, about: dict, gate: Gate | None = None, more: Mapping[str, str] | None = None, checked: bool = False
+        self, df: DataFrame, about: dict, gate: Gate | None = None, more: Mapping[str, str] | None = None,
+        checked: bool = False, about_rows: int | None = None,
     ) -> int:
-        """The frame becomes the table: written aside, held to its checks unless that is done, then named."""
+        """The frame becomes the table: written aside, held to its checks unless that is done, then named.
+
+        Its rows, where the caller does not know about how many there are, are stored
+        and counted first, if the table has buckets.
+        """
         former, gone = about["data"], about["former"]
         about = {**about, "data": f"data-{uuid.uuid4().hex}", "former": former}
+        counted = stage(df, "load") if self._buckets(about) and about_rows is None else None
+        if counted is not None:
+            df = counted.df
+            about_rows = df.count()
+        about["buckets"] = max(about["buckets"], -(-(about_rows or 0) // BUCKET_ROWS))
         self._write(self._hidden(df, about), about, overwrite=False)
+        if counted is not None:
+            counted.discard()
         try:
             if not checked:
                 self._enforce(self._shown(self._scan(about), about), about, gate, more)
@@ -310,6 +330,7 @@ class LakeTable:
         schema_mode: str = "overwrite",
         replace_where: str | None = None,
         gate: Gate | None = None,
+        about_rows: int | None = None,
     ) -> int:
         """Write a frame; returns the table's version.
 
@@ -320,7 +341,8 @@ class LakeTable:
         must meet too; the whole table is written anew. ``schema_mode``: merge adds
         the frame's new columns to the table's, overwrite takes the frame's columns.
         Rows that break a constraint, or that ``gate`` rejects by raising
-        :class:`ContractViolation`, leave the table as it was.
+        :class:`ContractViolation`, leave the table as it was. ``about_rows``, an
+        estimate, spares a table with keys the count of the frame.
         """
         if mode not in ("overwrite", "append", "error", "ignore"):
             raise ValueError(f"unknown mode '{mode}'")
@@ -343,14 +365,17 @@ class LakeTable:
 
         if about["data"] is None or not keeps_rows:
             met = {"replace_where": f"coalesce({replace_where}, false)"} if replace_where else None
-            return self._load(rows, about, gate, met)
+            return self._load(rows, about, gate, met, about_rows=about_rows)
         if replace_where is not None:
             return self._replace_where(rows, about, replace_where, gate)
-        staged = stage(rows, "load") if about["checks"] or gate else None
+        unknown = about_rows is None and bool(self._buckets(about))
+        staged = stage(rows, "load") if about["checks"] or gate or unknown else None
         if staged is not None:
             rows = staged.df
             self._enforce(rows, about, gate)
-        self._write(self._hidden(rows, about), about, overwrite=mode != "append")
+        if unknown:
+            about_rows = rows.count()
+        self._write(self._hidden(rows, about), about, overwrite=mode != "append", about_rows=about_rows or 0)
         if staged is not None:
             staged.discard()
         return self._declare(about)
@@ -383,6 +408,7 @@ class LakeTable:
         schema_mode: str = "merge",
         keys_are_unique: bool = False,
         gate: Gate | None = None,
+        about_rows: int | None = None,
     ) -> int:
         """Update rows whose keys match, insert the rest, delete nothing.
 
@@ -397,6 +423,7 @@ class LakeTable:
         bucketed by ``keys``. Later ones look for the keys (see :meth:`_touched`)
         and write the partitions anew that hold a match or take rows in; the
         others are not read. An unpartitioned table is written anew as a whole.
+        ``about_rows``, an estimate, spares the first upsert the count of its rows.
         """
         keys = list(keys)
         current = self._about()
@@ -408,8 +435,10 @@ class LakeTable:
                 staged = staged or stage(first, "upsert")
                 first = staged.df
                 self._require_unique(first, keys)
+            if staged is not None:
+                about_rows = staged.df.count()
             about = {**current, "schema": _nullable(first.schema).jsonValue()}
-            version = self._load(first, about, gate)
+            version = self._load(first, about, gate, about_rows=about_rows)
         else:
             staged = source if isinstance(source, Staged) else stage(storable(source), "upsert")
             if not keys_are_unique:
@@ -430,7 +459,7 @@ class LakeTable:
         self._enforce(source, about, gate)
         src = self._hidden(source, about)
         if about["data"] is None:
-            return self._load(conform(source, schema), about, checked=True)
+            return self._load(conform(source, schema), about, checked=True, about_rows=source.count())
         if not self._buckets(about):
             return self._replaced(self._scan(about), src, keys, about, None)
         with self._bucketed(about) as name:
@@ -439,7 +468,8 @@ class LakeTable:
     def _replaced(self, table: DataFrame, src: DataFrame, keys: list[str], about: dict, name: str | None) -> int:
         schema, by = StructType.fromJson(about["schema"]), about["partition_by"]
         if not by:
-            return self._load(self._merged(table, src, keys, schema), about, checked=True)
+            n = table.count() + src.count() if name else None
+            return self._load(self._merged(table, src, keys, schema), about, checked=True, about_rows=n)
         left = self._touched(table, src, keys, by)
         entered = self._distinct(src, by) if set(by) <= set(src.columns) else []
         touched = left + [p for p in entered if p not in left]
@@ -453,7 +483,8 @@ class LakeTable:
                 StructType([f for f in schema if f.name in {*keys, *by}])), by)
             emptied = [p for p in left if p not in kept]
         folders = self._folders(about, emptied)
-        self._write(merged, about, overwrite=True, name=name)
+        n = old.count() + src.count() if name else 0
+        self._write(merged, about, overwrite=True, name=name, about_rows=n)
         for folder in folders:
             self._delete(folder)
         return self._declare(about)

@@ -334,3 +334,18 @@ def test_upsert_equals_a_loop(spark, target, source):
     if not any(r[0] is None for r in source):
         lake.upsert(frame(spark, source), ["k"])
         assert rows(lake.read(), "k", "part", "v") == sorted(expected, key=repr)
+
+
+def test_buckets_grow_with_the_rows(spark, lake, monkeypatch):
+    """A load takes as many buckets, and later writes as many tasks, as the rows need."""
+    monkeypatch.setattr("matchstrata.sources.tables.BUCKET_ROWS", 100)
+    schema = StructType([StructField("k", LongType()), StructField("part", StringType()), StructField("v", LongType())])
+    lake.create(schema, partition_by=["part"], keys=["k"])
+    some = lambda n, part: spark.range(n).select("id", F.lit(part).alias("p"), "id").toDF("k", "part", "v")
+    load = {"replace_partitions": True, "partition_by": ["part"], "schema_mode": "merge"}
+    lake.save(some(1_000, "a"), **load)
+    assert lake._about()["buckets"] == 10 and len(files(lake)["part=a"]) == 10
+    lake.save(some(3_000, "b"), **load)
+    assert lake._about()["buckets"] == 10 and len(files(lake)["part=b"]) == 30
+    lake.upsert(some(1_200, "a"), ["k"])
+    assert lake.read().count() == 4_000 and len(files(lake)["part=a"]) >= 10
