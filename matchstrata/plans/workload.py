@@ -62,20 +62,25 @@ def _tie_break() -> list[Column]:
 
 
 # -- adapter ---------------------------------------------------------------
-def matches_raw(spark: SparkSession, sf: str) -> DataFrame:
+def matches_raw(spark: SparkSession, sf: str, together: bool = False) -> DataFrame:
     """Bronze-shaped matches, plus the two columns that settle ties.
 
-    Each table is joined by itself: the size of a file is known before the
-    query runs, that of a join is only guessed, and the guess would shuffle
-    the lines where a broadcast does.
+    The lines, the most rows, meet two tables only, the narrower one first: beyond
+    the size of a broadcast each join shuffles them. Customers are joined to the orders.
+    ``together``: all copies of a match lie in one partition (by its order, so that the
+    join needs no further shuffle).
     """
-    return (
-        _read(spark, sf, "lineitem")
-        .join(_read(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    ordered = (
+        _read(spark, sf, "orders")
         .join(_read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(_read(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(_read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(_read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    lines = _read(spark, sf, "lineitem").join(_read(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if together:
+        lines = lines.repartition("l_orderkey")
+    return (
+        lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
             F.concat_ws(" vs ", "c_name", "p_name").alias("event_name"),
@@ -459,34 +464,35 @@ def _response(field: str, fields: dict[str, str], **values: Column) -> Column:
     return F.to_json(body, {"ignoreNullFields": "false"})
 
 
-def _land(responses: DataFrame, label: str, key: str, order: list[Column]) -> str:
-    """Write (source, value) as one response a line, copies of a key in order.
+def _land(records: DataFrame, value: Column, label: str, key: str, order: list[Column]) -> str:
+    """Write the value of each record as one response a line, copies of a key in order.
 
-    Copies of one key go to one file; the order among keys does not matter. The
-    files are compressed: the keys of the records repeat in every line.
+    The copies of a key, which lie in one partition, go to one file; the order among
+    keys does not matter. The files are compressed: the keys of the records repeat in
+    every line.
     """
-    path = scratch_path(responses.sparkSession, label)
-    placed = responses.repartition("source", key).sortWithinPartitions("source", key, *order)
-    placed.select("source", "value").write.partitionBy("source").text(path, compression=LANDED_CODEC)
+    path = scratch_path(records.sparkSession, label)
+    placed = records.sortWithinPartitions("league_id", key, *order)
+    lines = placed.select(F.col("league_id").alias("source"), value.alias("value"))
+    lines.write.partitionBy("source").text(path, compression=LANDED_CODEC)
     return path
 
 
 def _land_matches(matches: DataFrame, value: Column | None = None) -> str:
+    """``matches`` with their copies together."""
     value = _response("events", MATCH_FIELDS) if value is None else value
-    raw = matches.withColumns({"source": F.col("league_id"), "value": value})
-    return _land(raw, "events", "event_id", [F.desc("extract_date"), *_tie_break()])
+    return _land(matches, value, "events", "event_id", [F.desc("extract_date"), *_tie_break()])
 
 
 def _land_teams(teams: DataFrame, value: Column | None = None) -> str:
     value = _response("teams", TEAM_FIELDS) if value is None else value
-    raw = teams.withColumns({"source": F.col("league_id"), "value": value})
-    return _land(raw, "teams", "team_id", [])
+    return _land(teams.repartition("team_id"), value, "teams", "team_id", [])
 
 
 def map_raw_matches(spark, sf):
     """Matches as stored; a score that arrives as a fraction is NULL."""
     score = F.when(F.col("home_score") == 5, F.lit("5.5")).otherwise(F.col("home_score").cast("string"))
-    raw = matches_raw(spark, sf)
+    raw = matches_raw(spark, sf, together=True)
     path = _land_matches(raw, _response("events", MATCH_FIELDS, home_score=score))
     return envelopes.read_matches(spark, path, AS_OF, on_fraction="null")
 
@@ -518,7 +524,7 @@ def ingest_union_with_health(spark, sf):
     landed = envelopes.ingest(
         spark,
         _land_teams(teams_raw(spark, sf), responses),
-        _land_matches(matches_raw(spark, sf), events),
+        _land_matches(matches_raw(spark, sf, together=True), events),
         AS_OF,
         leagues,
     )
@@ -541,7 +547,7 @@ def set_aside(spark, sf):
     ).otherwise(_response("events", MATCH_FIELDS))
     lake = jobs.Lake(spark, scratch_path(spark, "lake"))
     jobs.run_bronze(
-        lake, _land_teams(teams_raw(spark, sf)), _land_matches(matches_raw(spark, sf), cut), AS_OF, keep_going=True
+        lake, _land_teams(teams_raw(spark, sf)), _land_matches(matches_raw(spark, sf, together=True), cut), AS_OF, keep_going=True
     )
     kept = lake.set_aside.read()
     team = F.get_json_object("text", "$.team_id")
@@ -877,7 +883,7 @@ def feed_lines(spark, sf):
 # -- the whole chain -------------------------------------------------------
 def _landed(spark, sf) -> tuple:
     """Landed teams, with and without a name, and matches."""
-    return _land_teams(teams_raw(spark, sf)), _land_matches(matches_raw(spark, sf)), AS_OF
+    return _land_teams(teams_raw(spark, sf)), _land_matches(matches_raw(spark, sf, together=True)), AS_OF
 
 
 def _landed_lake(spark, sf) -> jobs.Lake:

@@ -106,3 +106,28 @@ def test_a_hot_team_is_split_in_the_home_team_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_customers_meet_the_orders_not_the_lines(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # nation and region only
+    try:
+        plan = plan_of(workload.matches_raw(spark, "/root/testdata/sf0.01"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.index("hashpartitioning(o_custkey") > plan.index("FileScan parquet [l_")
+
+
+def test_copies_of_a_match_lie_together_without_a_shuffle_of_their_own(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (before, "4000"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            matches = workload.matches_raw(spark, "/root/testdata/sf0.01", together=True)
+            plan = plan_of(matches)
+            placed = matches.select("event_id", F.spark_partition_id().alias("at")).distinct()
+            assert placed.groupBy("event_id").count().where("count > 1").isEmpty()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert plan.count("hashpartitioning(l_orderkey") == 1
