@@ -735,7 +735,7 @@ def publish_messages(spark, sf):
     rows = matches_raw(spark, sf).select(*MATCH_COLUMNS)
     path = scratch_path(spark, "topic")
     messages.publish(
-        messages.to_messages(rows, MATCH_TOPIC, "event_id", PUBLISHED_MATCHES), path
+        messages.to_messages(rows, MATCH_TOPIC, "event_id", PUBLISHED_MATCHES), path, compression=LANDED_CODEC
     )
     back = spark.read.schema(messages.MESSAGE).json(path)
     trees = back.withColumn("tree", messages.parsed(MATCH_COLUMNS, PUBLISHED_MATCHES))

@@ -41,8 +41,20 @@ def to_messages(
     )
 
 
-def publish(messages: DataFrame, path: str | None = None, kafka: Mapping[str, str] | None = None):
-    """Append messages to a topic (connector options given) or to a JSON folder."""
+#: Messages in one file of a folder: a compressed file is read by one task.
+FILE_MESSAGES = 500_000
+
+
+def publish(
+    messages: DataFrame,
+    path: str | None = None,
+    kafka: Mapping[str, str] | None = None,
+    compression: str | None = None,
+):
+    """Append messages to a topic (connector options given) or to a JSON folder.
+
+    ``compression`` names the codec of the folder's files, which readers tell by their names.
+    """
     if (path is None) == (kafka is None):
         raise ValueError("give either a path or connector options")
     if kafka is not None:
@@ -51,7 +63,8 @@ def publish(messages: DataFrame, path: str | None = None, kafka: Mapping[str, st
         )
         encoded.write.format("kafka").options(**kafka).save()
     else:
-        messages.write.mode("append").json(path)
+        writer = messages.write.mode("append").option("maxRecordsPerFile", FILE_MESSAGES)
+        writer.json(path, compression=compression)
 
 
 def file_stream(

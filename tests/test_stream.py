@@ -225,3 +225,12 @@ def test_admission_by_bytes_makes_several_batches_and_archives_what_is_done(spar
     assert found["one"] == found["several"]
     left = len(list(topic.folder.glob("*.json")))
     assert left < 6 and left + len(list((tmp_path / "done").rglob("*.json"))) == 6
+
+
+def test_published_messages_may_be_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(messages, "FILE_MESSAGES", 10)
+    sent = spark.range(25).coalesce(1).selectExpr("'partidos' AS topic", "string(id) AS key", "'{}' AS value")
+    messages.publish(sent, str(tmp_path / "topic"), compression="lz4")
+    assert len(list((tmp_path / "topic").glob("part-*.json.lz4"))) == 3
+    back = spark.read.schema(messages.MESSAGE).json(str(tmp_path / "topic"))
+    assert rows(back, "key") == rows(sent, "key")
