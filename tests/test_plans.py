@@ -131,3 +131,11 @@ def test_copies_of_a_match_lie_together_without_a_shuffle_of_their_own(spark):
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         assert plan.count("hashpartitioning(l_orderkey") == 1
+
+
+def test_the_messages_of_a_part_are_read_once(spark, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.DataFrame.join", None)  # a part is a filter, no join
+    landed = scratch_path(spark, "part")
+    for part in range(3):
+        workload._land_part(spark, SF_DIR, landed, part)
+    assert spark.read.json(landed).count() == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
