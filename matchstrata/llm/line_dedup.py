@@ -22,9 +22,16 @@ EDITS = 2
 LEAST_CHARS = 50
 #: In larger groups of lines with one segment, all are first compared with the earliest.
 HOT = 16
-#: How often what a large group has in common is taken out, and the characters that must be left.
-DEPTH = 8
-LEAST_REST = 9
+#: Tasks that the pairs of a group are dealt to which nothing tells apart.
+DEALT = 16
+#: Pairs a line up to which large groups are paired: their lengths and counts are compared at once.
+PAIRS = 128
+#: Letters of about equal use stand in one row of ``2 * edits + 1``, so that the classes of characters are about even.
+_LETTERS = "etaoidhrsnlucmfbpgwyvkxqjz"
+#: Of the characters beyond Latin 1, where those begin that go to one class together.
+_BLOCKS = [
+    *range(0x100, 0x180, 0x20), 0x180, *range(0x400, 0x460, 0x10), *range(0x460, 0x3000, 0x800), *range(0x3000, 0xE000, 0x1000), 0xE000,
+]
 
 
 def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -59,28 +66,42 @@ def _found_at(length: Column, edits: int, less: int, segment: int, shift: int) -
     return F.greatest(start + shift, F.lit(1)), size
 
 
-def _hashes(line: Column, length: Column, edits: int, less: int | None = None) -> Column:
+def _hashes(line: Column, length: Column, edits: int) -> Column:
     """Hashes of a line's segments (the first ``edits + 1``), then of what it is looked up by."""
     made = []
     for by, lookups in enumerate(_lookups(edits)):
-        if less is None or by == less:
-            for k, shift in lookups:
-                at, size = _found_at(length, edits, by, k, shift)
-                made.append(F.xxhash64(length - by, F.lit(k), F.substring(line, at, size)))
+        for k, shift in lookups:
+            at, size = _found_at(length, edits, by, k, shift)
+            made.append(F.xxhash64(length - by, F.lit(k), F.substring(line, at, size)))
     return F.array(*made)
 
 
-def _without(text: Column, edits: int, less: Column, number: Column) -> Column:
-    """``text`` without what it was looked up by: its look-up ``number`` for texts shorter by ``less``."""
-    length, out = F.char_length(text), F.lit(None).cast("string")
-    for by, lookups in enumerate(_lookups(edits)):
-        for n, (k, shift) in enumerate(lookups):
-            at, size = _found_at(length, edits, by, k, shift)
-            rest = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + size, length))
-            out = F.when((less == by) & (number == n), rest).otherwise(out)
+def _classes(edits: int, way: int) -> list[str]:
+    """Patterns of ``2 * edits + 1`` classes of characters; each character is in one.
+
+    Characters of one class in one way are in different classes in the others, as
+    far as they stand in different rows.
+    """
+    n = 2 * edits + 1
+    latin = [c for letter in _LETTERS for c in (letter, letter.upper())] + [chr(x) for x in range(0x100) if chr(x).lower() not in _LETTERS]
+    out = [""] * n
+    for k, c in enumerate(latin):
+        place = k // 2 if k < 2 * len(_LETTERS) else k
+        out[(place + way * (place // n)) % n] += f"\\x{{{ord(c):x}}}"
+    for k, (low, high) in enumerate(zip(_BLOCKS, [*_BLOCKS[1:], 0x110000])):
+        out[(k + way * (k // n)) % n] += f"\\x{{{low:x}}}-\\x{{{high - 1:x}}}"
     return out
 
 
+def _by_class(line: Column, edits: int, way: int) -> Column:
+    """Hashes of what is left of a line when all but one class of characters is taken out.
+
+    An edit touches two classes at most, so ``edits`` of them leave one of
+    ``2 * edits + 1`` as it was.
+    """
+    return F.array(*[F.xxhash64(F.regexp_replace(line, f"[^{c}]+", "")) for c in _classes(edits, way)])
+
+
 def _let(value: Column, then) -> Column:
     """``then(value)`` with ``value`` computed once."""
     return F.transform(F.array(value), then)[0]
@@ -163,7 +184,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, line_no, line, length`` of the lines that are not blank."""
     return (
         docs.where("text IS NOT NULL")
-        .select("doc_id", _key(F.col("text")).alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        .select("doc_id", "text", _key(F.col("text")).alias("text_key"))  # beside the generator it would be made for each line
+        .select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .withColumn("length", F.char_length("line"))
         .where(F.ltrim("line", F.lit(_BLANK)) != "")
     )
@@ -197,41 +219,27 @@ def _near(docs: DataFrame, lines: DataFrame, least: int, edits: int) -> DataFram
         .select("hash")
     )
     shared = stage(shared, "shared-segments").df
-    # Of the look-ups, which are for texts shorter by how much, and where those of each begin.
-    sizes = [len(x) for x in _lookups(edits)]
-    less_of = F.array(*[F.lit(by) for by, n in enumerate(sizes) for _ in range(n)])
-    begin_of = F.array(*[F.lit(sum(sizes[:by])) for by in range(edits + 1)])
-    less = F.element_at(less_of, F.col("k") + 1)
-    entries = (
-        lines.select("line_key", "id", F.posexplode("hashes").alias("k", "hash"))
-        .join(small(shared), "hash")
-        .select("line_key", "id", "hash", less.alias("less"), (F.col("k") - F.element_at(begin_of, less + 1)).alias("number"))
-        .distinct()
-    )
-    entries = stage(entries, "segments").df
-    keys = stage(entries.select("line_key", "id").distinct(), "segment-lines").df
-    first = lines.join(small(keys.select("line_key")), "line_key", "left_semi").groupBy("line_key").agg(F.min("place").alias("place"))
-    texts = (
-        _lines(docs)
-        .where(F.col("length") >= least)
-        .select("line", "length", F.xxhash64("line").alias("id"))
-        .join(small(keys.select("id")), "id", "left_semi")
-        .withColumn("line_key", _key(F.col("line")))
-        .dropDuplicates(["line_key"])
-    )
+    entries = lines.select("id", F.posexplode("hashes").alias("k", "hash")).join(small(shared), "hash")
+    # Texts that share an id share what either is looked up by.
+    entries = stage(entries.groupBy("id", "hash").agg(F.max(F.col("k") <= edits).alias("indexed")), "segments").df
+    ids = stage(entries.select("id").distinct(), "segment-lines").df
+    first = lines.join(small(ids), "id", "left_semi").groupBy("line_key").agg(F.min("place").alias("place"))
+    long = _lines(docs).where(F.col("length") >= least).select("line", "length", F.xxhash64("line").alias("id"))
+    texts = long.join(small(ids), "id", "left_semi").withColumn("line_key", _key(F.col("line"))).dropDuplicates(["line_key"])
     texts = stage(texts.withColumns(_counts(F.col("line"))).join(first, "line_key"), "segment-texts").df
-    return _near_in_groups(entries.drop("id"), texts, edits)
+    return _near_in_groups(entries.join(texts.select("id", "line_key"), "id").select("line_key", "hash", "indexed"), texts, edits)
 
 
 def _near_in_groups(entries: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """``line_key``: lines within reach of an earlier one that shares a look-up with them.
 
-    ``entries`` are ``line_key, hash, less, number``. A group of at most ``HOT``
-    entries with one hash is paired. In a larger one all are first compared with the
-    line that occurs earliest; if others are left, what the group has in common is
-    taken out of its lines, and what remains of them is cut and looked up in the same
-    way: two lines within reach are within reach without it. So lines with a long
-    common lead and different tails never meet as pairs.
+    ``entries`` are ``line_key, hash, indexed``. A group of at most ``HOT`` entries
+    with one hash is paired. In a larger one all are first compared with the line
+    that occurs earliest. The lines of groups in which others are left are grouped
+    anew, by classes of characters, in one more way each time: two lines within reach
+    agree in all characters of one class. Groups of the same lines are looked at once.
+    When the groups left make at most ``PAIRS`` pairs a line, or nothing tells them
+    apart, they are paired whatever their size, dealt out over many tasks.
     """
 
     def near(pairs: DataFrame) -> DataFrame:
@@ -242,57 +250,57 @@ def _near_in_groups(entries: DataFrame, texts: DataFrame, edits: int) -> DataFra
         found = pairs.distinct().join(texts_a, "later").join(texts_b, "earlier").repartition("later", "earlier")
         return found.where(within(F.col("__a"), F.col("__b"), edits)).select(F.col("later").alias("line_key")).distinct()
 
-    def met(later: DataFrame, all_: DataFrame) -> DataFrame:
+    def met(later: DataFrame, all_: DataFrame, on: tuple[str, ...] = ("hash",)) -> DataFrame:
         """Pairs of a group that its roles, lengths and counts allow."""
-        indexed = lambda side: (F.col(f"{side}.less") == 0) & (F.col(f"{side}.number") <= edits)
-        pairs = later.alias("a").join(
-            all_.alias("b"),
-            (F.col("a.hash") == F.col("b.hash"))
-            & (F.col("b.place") < F.col("a.place"))
-            & (indexed("a") | indexed("b"))
-            & _alike("a", "b", edits),
-        )
+        meet = (F.col("b.place") < F.col("a.place")) & (F.col("a.indexed") | F.col("b.indexed")) & _alike("a", "b", edits)
+        for c in on:
+            meet = (F.col(f"a.{c}") == F.col(f"b.{c}")) & meet
+        pairs = later.alias("a").join(all_.alias("b"), meet)
         return pairs.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))
 
     counts = [f"c{k}" for k in range(len(_COUNTED))]
-    level = entries.select("line_key", F.lit(0).cast("long").alias("above"), F.lit(0).alias("above_number"), "hash", "less", "number")
-    rests = texts.select("line_key", F.lit(0).cast("long").alias("above"), F.lit(0).alias("above_number"), F.col("line").alias("rest"))
-    done, found = None, []
-    for depth in range(DEPTH + 1):
-        placed = stage(level.join(texts.drop("line", "id"), "line_key"), f"placed-segments-{depth}").df
-        groups = placed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("place", "line_key")).alias("head"))
-        hot = stage(groups.where(F.col("n") > HOT).select("hash", F.col("head.line_key").alias("line_key")), f"hot-segments-{depth}").df
-        heads = stage(hot.join(texts.select("line_key", "length", *counts), "line_key"), f"hot-heads-{depth}").df
+    ways = 2 * edits + 1
+    level, done, found = entries, None, []
+    for way in range(ways + 1):
+        placed = stage(level.join(texts.drop("line", "id"), "line_key"), f"placed-segments-{way}").df
+        member = F.xxhash64("line_key", "indexed")
+        groups = placed.groupBy("hash").agg(
+            F.count("*").alias("n"),
+            F.min(F.struct("place", "line_key")).alias("head"),
+            F.bit_xor(member).alias("xor"),
+            F.sum(member.cast("decimal(20,0)")).alias("sum"),
+        )
+        hot = groups.where(F.col("n") > HOT).groupBy("n", "xor", "sum").agg(F.min("hash").alias("hash"), F.min("head").alias("head"))
+        hot = stage(hot.select("hash", "n", F.col("head.line_key").alias("line_key")), f"hot-segments-{way}").df
+        few = stage(groups.where((F.col("n") > 1) & (F.col("n") <= HOT)).select("hash"), f"cold-segments-{way}").df
+        heads = stage(hot.select("hash", "line_key").join(texts.select("line_key", "length", *counts), "line_key"), f"hot-heads-{way}").df
         led = placed.alias("a").join(
             heads.alias("b"),
             (F.col("a.hash") == F.col("b.hash")) & (F.col("a.line_key") != F.col("b.line_key")) & _alike("a", "b", edits),
         )
-        led = stage(near(led.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))), f"near-heads-{depth}").df
+        led = stage(near(led.select(F.col("a.line_key").alias("later"), F.col("b.line_key").alias("earlier"))), f"near-heads-{way}").df
         done = led if done is None else done.unionByName(led)
         open_ = placed.join(done, "line_key", "left_anti")
-        found.append(near(met(open_.join(small(hot.select("hash")), "hash", "left_anti"), placed)))
-        left = stage(open_.join(small(hot.select("hash")), "hash", "left_semi").select("hash").distinct(), f"open-segments-{depth}").df
+        cold = placed.join(small(few), "hash", "left_semi")
+        found.append(near(met(cold.join(done, "line_key", "left_anti"), cold)))
+        others = (F.col("h.hash") == F.col("o.hash")) & (F.col("h.line_key") != F.col("o.line_key"))  # than the earliest
+        left = stage(hot.alias("h").join(open_.alias("o"), others, "left_semi").select("hash", "n"), f"open-segments-{way}").df
         if left.isEmpty():
             break
-        members = placed.join(small(left), "hash", "left_semi")
-        # What is short when the common part is out makes few different lines: those are paired.
-        cut = members.join(rests, ["line_key", "above", "above_number"]).select(
-            "line_key", "hash", "number", "less", _without(F.col("rest"), edits, F.col("less"), F.col("number")).alias("rest")
-        )
-        cut = stage(cut, f"segment-rests-{depth}").df
-        long = (F.char_length("rest") - F.col("less") >= LEAST_REST) if depth < DEPTH else F.lit(False)
-        short = small(cut.where(~long).select("hash").distinct())
-        found.append(near(met(members.join(done, "line_key", "left_anti").join(short, "hash", "left_semi"), placed)))
-        made = F.array().cast("array<long>")
-        for by in range(edits + 1):
-            made = F.when(F.col("less") == by, _hashes(F.col("rest"), F.char_length("rest"), edits, by)).otherwise(made)
-        level = cut.where(long).select(
-            "line_key", F.col("hash").alias("above"), F.col("number").alias("above_number"), "less", F.posexplode(made).alias("number", "sub")
-        ).select("line_key", "above", "above_number", F.xxhash64("above", "sub").alias("hash"), "less", "number")
-        level = stage(level, f"segment-level-{depth}").df
-        several = level.groupBy("hash").agg(F.min("line_key").alias("low"), F.max("line_key").alias("high")).where("low <> high")
-        level = level.join(stage(several.select("hash"), f"shared-rests-{depth}").df, "hash", "left_semi")
-        rests = cut.select("line_key", F.col("hash").alias("above"), F.col("number").alias("above_number"), "rest")
+        members = placed.join(small(left.select("hash")), "hash", "left_semi")
+        pairs = left.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
+        if way == ways or pairs <= PAIRS * texts.count():
+            one, all_ = F.pmod(F.xxhash64("line_key"), F.lit(DEALT)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))
+            dealt = members.join(done, "line_key", "left_anti").withColumn("deal", one)
+            found.append(near(met(dealt, members.withColumn("deal", all_), ("hash", "deal"))))
+            break
+        if way == 0:  # all classes of the line: no need to keep the segments apart
+            members = members.select("line_key").distinct().select("line_key", F.lit(0).cast("long").alias("hash"))
+        lines = texts.join(members.select("line_key").distinct(), "line_key", "left_semi")
+        kept = stage(lines.select("line_key", _by_class(F.col("line"), edits, way).alias("kept")), f"classes-{way}").df
+        level = members.select("line_key", "hash").join(kept, "line_key")
+        level = level.select("line_key", "hash", F.posexplode("kept").alias("class", "kept"))
+        level = level.select("line_key", F.xxhash64("hash", "class", "kept").alias("hash"), F.lit(True).alias("indexed"))
     out = done
     for one in found:
         out = out.unionByName(one)

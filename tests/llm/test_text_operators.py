@@ -277,6 +277,44 @@ def test_lines_of_one_lead_are_told_apart_by_what_follows(spark, monkeypatch):
     assert len(seen) > 3  # more than one level
 
 
+def test_near_copies_of_one_line_are_told_apart_by_few_entries(spark, monkeypatch):
+    """Lines with words replaced anywhere share most segments: what is stored for them grows with the lines."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(6))
+    base = [word() for _ in range(24)]
+    lines = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            words[rng.randrange(len(words))] = word()
+        lines.append(" ".join(words))
+    lines += [mutated(rng, x, rng.choice([1, 2, 3])) for x in rng.sample(lines, 20)]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[i::15])) for i in range(15)]
+    stored, real = {}, line_dedup.stage
+
+    def counted(df, label, *more):
+        out = real(df, label, *more)
+        stored[label] = out.df.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    monkeypatch.setattr(line_dedup, "PAIRS", 2, raising=False)
+    got = line_dedup.dedup_lines(frame(spark, [(i, t, None) for i, t in rows])).collect()
+    assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_equal"], r["n_near"]) for r in got), key=repr) == brute_lines(rows, 2, 50)
+    assert max(stored.values()) <= 12 * len(lines), stored  # 12 look-ups a line
+
+
+def test_classes_of_characters_hold_each_once():
+    every = [chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]
+    for edits in (1, 2):
+        for way in range(2 * edits + 1):
+            classes = [re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\U{int(m[1], 16):08x}", c) + "]") for c in line_dedup._classes(edits, way)]
+            assert len(classes) == 2 * edits + 1
+            for c in every[:0x600] + every[0x600::997]:
+                assert sum(x.match(c) is not None for x in classes) == 1
+
+
 def test_short_lines_that_repeat_stay_once(spark):
     rows = [(i, f"words of document {i}\nAll rights reserved.\n\n \t\n}}", None) for i in range(5)]
     got = {r["doc_id"]: (r["text"], r["n_equal"]) for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
