@@ -34,17 +34,6 @@ _BLOCKS = [
 ]
 
 
-def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
-    """Start (from 1) and size of the ``edits + 1`` even segments of a line of ``length``."""
-    parts = edits + 1
-    base = F.floor(length / parts).cast("int")
-    short = parts - (length - base * parts)  # the last ones are longer by one
-    return [
-        (F.lit(1) + base * k + F.greatest(F.lit(k) - short, F.lit(0)), base + F.when(F.lit(k) >= short, 1).otherwise(0))
-        for k in range(parts)
-    ]
-
-
 def _lookups(edits: int) -> list[list[tuple[int, int]]]:
     """(segment, shift) by which a text is looked up, for texts shorter by 0, 1, ... characters.
 
@@ -61,19 +50,33 @@ def _lookups(edits: int) -> list[list[tuple[int, int]]]:
     return out
 
 
-def _found_at(length: Column, edits: int, less: int, segment: int, shift: int) -> tuple[Column, Column]:
-    start, size = segments(length - less, edits)[segment]
-    return F.greatest(start + shift, F.lit(1)), size
+def _hashes(line: Column, length: Column, edits: int) -> Column:
+    """Hashes of a line's segments (the first ``edits + 1``), then of what it is looked up by.
 
+    One expression over a list of look-ups: written out for each, they would be more
+    code than a method may have that the JVM compiles.
+    """
+    found = [(by, k, shift) for by, lookups in enumerate(_lookups(edits)) for k, shift in lookups]
+    table = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("by", "segment", "shift"), row)]) for row in found])
+    parts = edits + 1
 
-def _hashes(line: Column, length: Column, edits: int) -> Column:
-    """Hashes of a line's segments (the first ``edits + 1``), then of what it is looked up by."""
-    made = []
-    for by, lookups in enumerate(_lookups(edits)):
-        for k, shift in lookups:
-            at, size = _found_at(length, edits, by, k, shift)
-            made.append(F.xxhash64(length - by, F.lit(k), F.substring(line, at, size)))
-    return F.array(*made)
+    bytes_ = line.cast("binary")
+
+    def hashed(row: Column) -> Column:
+        of = length - row["by"]
+
+        def cut(base: Column) -> Column:
+            longer = row["segment"] - (parts - (of - base * parts))  # the last segments are longer by one
+            start = base * row["segment"] + F.greatest(longer, F.lit(0)) + row["shift"] + 1
+            size = base + F.when(longer >= 0, 1).otherwise(0)
+            start = F.greatest(start, F.lit(1))
+            # In a text of single bytes a place is found without counting characters; the hash is of the same bytes.
+            of_bytes = F.xxhash64(of, row["segment"], F.substring(bytes_, start, size))
+            return F.when(F.octet_length(line) == length, of_bytes).otherwise(F.xxhash64(of, row["segment"], F.substring(line, start, size)))
+
+        return _let(F.floor(of / parts).cast("int"), cut)
+
+    return F.transform(table, hashed)
 
 
 def _classes(edits: int, way: int) -> list[str]:
