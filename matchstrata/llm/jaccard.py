@@ -6,6 +6,11 @@ l-prefix) share at least l. Every document chooses its own l by estimated cost:
 a longer prefix is looked up more often but admits fewer candidates. A pair is
 verified only if its prefixes share as many shingles as the smaller l of the two.
 
+The estimate has a fixed size, so in a large corpus it cannot tell a shingle of a
+few dozen documents from a unique one. What turns out frequent among the prefixes
+of documents that have rarer shingles besides is put last in the order, by its
+exact count, and the prefixes that held it are chosen again.
+
 Documents with equal sets are one class and go through the join once. Classes
 that share a frequent prefix shingle (a group of near copies) never become pairs
 of rows: they are gathered in blocks, in order of set size, and compared block
@@ -23,15 +28,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchstrata.llm.common import components, numbered, small
+from matchstrata.llm.common import BROADCAST_ROWS, components, numbered, small
 from matchstrata.llm.tokens import trim
-from matchstrata.session import stage
+from matchstrata.session import Staged, stage
 
 SKETCH_BITS = 18
 _SKETCH_PART = 4_096
 MOST_MATCHES = 4
 #: Prefix shingles with more classes than this are compared by blocks instead of pairs of rows.
 HOT = 32
+#: Times that prefixes are chosen again, and the most shingles put last each time.
+ROUNDS = 3
+DEMOTED = 1 << 18
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 19
 KEPT_WORDS = 100_000
@@ -171,18 +179,29 @@ def prefix(shingles: np.ndarray, seen: np.ndarray, rule: Rule) -> tuple[int, np.
     return best, shingles[order[: n - overlap + best]]
 
 
-def _prefixes(docs: DataFrame, sketch: np.ndarray, rule: Rule) -> DataFrame:
-    """``key, n, matches, shingles`` of each class."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)  # fixed size
+def _seen(shingles: np.ndarray, table: np.ndarray, late: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each shingle occurs: those in ``late`` (sorted) by their counts, after all others."""
+    seen = table[_bucket(shingles)]
+    if len(late):
+        at = np.minimum(np.searchsorted(late, shingles), len(late) - 1)
+        known = late[at] == shingles
+        seen[known] = table.max() + 1 + counts[at[known]]
+    return seen
+
+
+def _prefixes(docs: DataFrame, sketch: np.ndarray, rule: Rule, late: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """``key, n, matches, shingles`` of each class. ``late``: shingles that come last in the order, and their counts."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((sketch, *(late or none)))  # of bounded size
 
     def run(batches):
-        shingles, table = Shingler(rule.words), shared.value
+        shingles, order = Shingler(rule.words), shared.value
         for batch in batches:
             rows = []
             for text in batch.column(1):
                 s = shingles(text.as_py())
                 if len(s):
-                    matches, first = prefix(s, table[_bucket(s)], rule)
+                    matches, first = prefix(s, _seen(s, *order), rule)
                     rows.append((xxhash.xxh3_128_digest(s.tobytes()), len(s), matches, first.view(np.int64)))
             if rows:
                 keys, sizes, matches, firsts = zip(*rows, strict=True)
@@ -306,15 +325,79 @@ def _blocked_units(hot: DataFrame, rule: Rule) -> DataFrame:
     return blocks.join(units, ["cluster", "width", "at"]).select("unit", "key")
 
 
-def _units(prefixes: DataFrame, rule: Rule) -> DataFrame:
-    """``unit, key``: groups of classes within which every link between classes occurs."""
-    times = stage(
-        prefixes.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().where("count > 1"), "shared-shingles"
-    ).df
-    postings = stage(
+def _shared(prefixes: DataFrame) -> Staged:
+    """``shingle, count`` of those that occur in several prefixes."""
+    return stage(prefixes.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().where("count > 1"), "shared-shingles")
+
+
+def _avoidable(prefixes: DataFrame, times: DataFrame) -> tuple[np.ndarray, np.ndarray, Staged]:
+    """Hot shingles that most of their classes need not have in the prefix, their counts, and the classes that have one.
+
+    A class whose prefix is mostly hot is a copy among many: other shingles of it
+    would be as frequent. Of too many such shingles the most frequent are taken.
+    """
+    often = times.where(F.col("count") > HOT)
+    held = prefixes.select("key", F.size("shingles").alias("long"), F.explode("shingles").alias("shingle"))
+    held = stage(held.join(small(often), "shingle"), "hot-shingles")
+    loose = held.df.groupBy("key").agg((F.count("*") * 2 < F.max("long")).alias("loose"))
+    late = (
+        held.df.join(loose, "key")
+        .groupBy("shingle")
+        .agg(F.max("count").alias("count"), F.count_if("loose").alias("loose"))
+        .where(F.col("loose") * 2 >= F.col("count"))
+        .orderBy(F.desc("count"), "shingle")
+        .select("shingle", "count")
+        .limit(DEMOTED)
+    )
+    late = stage(late, "late-shingles")
+    found = late.df.toArrow()
+    holders = stage(held.df.join(F.broadcast(late.df), "shingle", "left_semi").select("key").distinct(), "holders")
+    held.discard()
+    late.discard()
+    return found["shingle"].to_numpy().view(np.uint64), found["count"].to_numpy(), holders
+
+
+def _chosen_again(rows: DataFrame, classes: DataFrame, prefixes: Staged, sketch: np.ndarray, rule: Rule) -> tuple[Staged, Staged]:
+    """The prefixes without hot shingles that can be avoided, and their shared shingles.
+
+    A shingle that moves to the end of the order changes only the prefixes that
+    held it, so only these are made anew.
+    """
+    times, late, counts = _shared(prefixes.df), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for _ in range(ROUNDS):
+        more, their, holders = _avoidable(prefixes.df, times.df)
+        # Of a shingle that stays frequent although it is last already, nothing better can be said; few classes are few blocks.
+        fresh = ~np.isin(more, late)
+        if not fresh.any() or holders.df.count() <= 2 * BLOCK_DOCS:
+            holders.discard()
+            break
+        late, counts = np.concatenate([late, more[fresh]]), np.concatenate([counts, their[fresh]])
+        order = np.argsort(late)
+        late, counts = late[order], counts[order]
+        ids = stage(holders.df.join(classes, "key").select(F.col("doc_id").alias("__id")).distinct(), "holder-ids")
+        few = rows
+        if ids.df.count() <= BROADCAST_ROWS:  # beyond that all texts are read again, not shuffled
+            few = rows.join(F.broadcast(ids.df), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+        anew = _prefixes(few, sketch, rule, (late, counts)).join(small(holders.df), "key", "left_semi")
+        kept = prefixes.df.join(small(holders.df), "key", "left_anti")
+        chosen = stage(kept.unionByName(anew), "prefixes")
+        for old in (prefixes, times, holders, ids):
+            old.discard()
+        prefixes = chosen
+        times = _shared(prefixes.df)
+    return prefixes, times
+
+
+def _units(prefixes: DataFrame, times: DataFrame, rule: Rule) -> Staged:
+    """``unit, key``: groups of classes within which every link between classes occurs.
+
+    ``times``: the shingles shared among the prefixes, with their counts.
+    """
+    stored = stage(
         # Both sides grow with the corpus: joined by shuffle at every size.
         prefixes.select("key", "n", "matches", F.explode("shingles").alias("shingle")).join(times, "shingle"), "postings"
-    ).df
+    )
+    postings = stored.df
     hot = postings.where(F.col("count") > HOT)
     stars = hot.join(hot.groupBy("shingle").agg(F.min("key").alias("first")), "shingle")
     clusters = stage(
@@ -351,7 +434,9 @@ def _units(prefixes: DataFrame, rule: Rule) -> DataFrame:
     large = pairs.join(labelled.where(F.col("members") > BLOCK_DOCS).select("a"), "a", "left_semi")
     unit = F.concat(F.lit("p-"), F.hex("a"))
     partners = large.select(unit.alias("unit"), F.explode(F.array("a", "b")).alias("key")).distinct()
-    return blocked.unionByName(whole).unionByName(partners)
+    units = stage(blocked.unionByName(whole).unionByName(partners), "units")
+    stored.discard()
+    return units
 
 
 def _text_key(text: Column) -> Column:
@@ -384,9 +469,12 @@ def _labelled(docs: DataFrame, rule: Rule, with_text: bool = True) -> DataFrame:
     sets = scanned.df.where("part IS NULL").select("doc_id", "text_key", "key", "n")
     full = sets.where("n > 0")
     classes = full.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    prefixes = stage(_prefixes(rows, _sketch(scanned.df), rule), "prefixes")
-    units = stage(_units(prefixes.df, rule), "units")
+    sketch = _sketch(scanned.df)
+    prefixes = stage(_prefixes(rows, sketch, rule), "prefixes")
+    prefixes, times = _chosen_again(rows, classes, prefixes, sketch, rule)
+    units = _units(prefixes.df, times.df, rule)
     prefixes.discard()
+    times.discard()
     wanted = stage(units.df.select("key").distinct().join(classes, "key"), "wanted")
     members = units.df.join(_sets_of(rows, wanted.df, rule), "key")
     links = stage(_verified(members, rule), "links")

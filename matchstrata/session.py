@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SCRATCH_PREFIX = "matchstrata-"
 
 
@@ -55,6 +58,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{_SCRATCH_PREFIX}{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What a write in this block shuffles is removed when the write ends.
+
+    Without it the files of each shuffle stay until the driver happens to collect
+    garbage, so those of many writes lie on the disks at once.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, "false")
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
+
 class Staged:
     """A frame written once to the scratch folder and read back from there.
 
@@ -68,7 +86,8 @@ class Staged:
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path)
+        with shuffles_removed(self.spark):
+            writer.parquet(self.path)
         self.schema = df.schema
 
     @property

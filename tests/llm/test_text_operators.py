@@ -113,6 +113,20 @@ def test_join_of_large_groups_goes_by_blocks(spark, monkeypatch):
     check_join(spark, near_copies(4, 3, 30, 90, 5) + near_copies(5, 20, 3, 40, 2))
 
 
+def test_documents_with_a_common_passage_are_not_compared_for_it(spark, monkeypatch):
+    """An estimate that cannot tell frequent shingles does not chain the documents that hold them."""
+    monkeypatch.setattr(jaccard, "HOT", 8)
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 5)
+    monkeypatch.setattr(jaccard, "_sketch", lambda scanned: np.zeros(1 << jaccard.SKETCH_BITS, np.int64))
+    compared, verified = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda members, rule: compared.append(members.count()) or verified(members, rule))
+    rng = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " " + passage for _ in range(40)]
+    check_join(spark, [*texts, texts[0] + " more", texts[1] + " more"])
+    assert compared[0] < 40  # fewer members than documents; by blocks, all with all, 378
+
+
 def test_join_of_long_candidate_chains(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "HOT", 50)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 3)
