@@ -258,6 +258,25 @@ def test_top_k_is_exact(spark):
     assert vector_search.top_k(vector_search.quantized(df.limit(0)), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("held", [1 << 25, 30_000])
+def test_queries_meet_many_blocks_without_being_copied(spark, monkeypatch, held):
+    monkeypatch.setattr(vector_search, "ROWS_PER_BLOCK", 16)
+    monkeypatch.setattr(vector_search, "QUERIES_PER_BLOCK", 4)
+    monkeypatch.setattr(vector_search, "QUERY_BYTES", held)
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 41 == 5 else i, [float(x) for x in rng.integers(-3, 4, 6)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = vector_search.top_k(vector_search.quantized(df), F.col("vec_id") % 5 == 0)
+    assert "explode" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = []
+    for a, (i, q) in enumerate(rows):
+        if i is not None and i % 5 == 0:
+            scores = sorted((-65536 * int(np.dot(q, x)), j is not None, j or 0) for b, (j, x) in enumerate(rows) if b != a)
+            want += [(i, k + 1, j if is_id else None, -s) for k, (s, is_id, j) in enumerate(scores[:5])]
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 PAGES = [
     (1, "http://a/1", "<p>" + "x" * 200), (2, "http://a/2", "<p>" + "x" * 200), (3, None, None), (4, "u\r\nWARC-Type: no", ""),
     (5, "u", "short"), (6, "u", "short"), (7, "u", "before WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\n" * 9),
