@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -84,7 +84,7 @@ def load_teams(teams: DataFrame, table: LakeTable, about_rows: int | None = None
     return table.save(teams, mode="overwrite", schema_mode="merge", about_rows=about_rows)
 
 
-def load_matches(matches: DataFrame, table: LakeTable, about_rows: int | None = None) -> int:
+def load_matches(matches: DataFrame, table: LakeTable, about_rows: int | None = None, placed: bool = False) -> int:
     """INCREMENTAL load: the frame's extract dates are replaced, others stay."""
     return table.save(
         matches,
@@ -93,6 +93,7 @@ def load_matches(matches: DataFrame, table: LakeTable, about_rows: int | None =
         replace_partitions=True,
         schema_mode="merge",
         about_rows=about_rows,
+        placed=placed,
     )
 
 
@@ -112,11 +113,11 @@ def run_bronze(
     stops the load; with ``keep_going`` it is set aside too, and the others load.
     """
     create_bronze(lake)
-    landed = ingest(lake.spark, teams_path, matches_path, as_of, leagues, whole_files)
+    landed = ingest(lake.spark, teams_path, matches_path, as_of, leagues, whole_files, place=lake.bronze_matches.placed)
     kinds = [
         ("teams", type_teams(landed.teams), TEAM_CHECKS, load_teams, lake.bronze_teams, landed.staged_teams),
-        ("matches", type_bronze_matches(landed.matches), MATCH_CHECKS, load_matches, lake.bronze_matches,
-         landed.staged_matches),
+        ("matches", type_bronze_matches(landed.matches), MATCH_CHECKS, partial(load_matches, placed=True),
+         lake.bronze_matches, landed.staged_matches),
     ]
     aside = [landed.broken.select("kind", "source", F.lit("not_json").alias("reason"), F.col("broken").alias("text"))]
     for kind, rows, checks, load, table, staged in kinds:
@@ -150,21 +151,22 @@ def run_silver(lake: Lake, since: str | None = None) -> int:
     there. A change in the teams then reaches these matches only; without
     ``since`` all matches are refined anew.
     """
-    bronze = lake.bronze_matches.read()
-    if since is not None:
-        bronze = bronze.where(F.col("extract_date") >= since)
     teams = clean_teams(lake.bronze_teams.read())
     counted = Observation("silver")
-    refined = refine_matches(bronze, teams).observe(counted, F.count(F.lit(1)).alias("n"))
-
-    def gate(written: DataFrame) -> None:
-        require_refined(bronze, written)
-        SILVER_MATCHES.enforce(written)
-
-    version = lake.silver_matches.upsert(
-        refined, ["event_id"], partition_by=["season"], keys_are_unique=True, gate=gate,
-        about_rows=bronze.count(),
-    )
+    about_rows = lake.bronze_matches.read().count()
+    with lake.bronze_matches.read_by_keys(about_rows) as bronze:  # the newest extract is chosen where the copies lie
+        if since is not None:
+            bronze = bronze.where(F.col("extract_date") >= since)
+        refined = refine_matches(bronze, teams).observe(counted, F.count(F.lit(1)).alias("n"))
+
+        def gate(written: DataFrame) -> None:
+            require_refined(bronze, written)
+            SILVER_MATCHES.enforce(written)
+
+        version = lake.silver_matches.upsert(
+            refined, ["event_id"], partition_by=["season"], keys_are_unique=True, gate=gate,
+            about_rows=bronze.count() if since is not None else about_rows,
+        )
     log.info("silver: %d matches refined", counted.get["n"])
     return version
 

@@ -37,7 +37,7 @@ from ..schema import (
     TEAM_TOPIC,
     with_published_names,
 )
-from ..session import scratch_path, stage
+from ..session import delete, scratch_path, shuffles_removed, stage
 from ..sources import envelopes, messages
 from ..sources.tables import LakeTable
 from ..streaming import BronzeStream
@@ -474,7 +474,8 @@ def _land(records: DataFrame, value: Column, label: str, key: str, order: list[C
     path = scratch_path(records.sparkSession, label)
     placed = records.sortWithinPartitions("league_id", key, *order)
     lines = placed.select(F.col("league_id").alias("source"), value.alias("value"))
-    lines.write.partitionBy("source").text(path, compression=LANDED_CODEC)
+    with shuffles_removed(records.sparkSession):
+        lines.write.partitionBy("source").text(path, compression=LANDED_CODEC)
     return path
 
 
@@ -885,8 +886,10 @@ def _landed(spark, sf) -> tuple:
 
 
 def _landed_lake(spark, sf) -> jobs.Lake:
-    lake = jobs.Lake(spark, scratch_path(spark, "lake"))
-    jobs.run_bronze(lake, *_landed(spark, sf), keep_going=True)  # unnamed teams are set aside
+    lake, landed = jobs.Lake(spark, scratch_path(spark, "lake")), _landed(spark, sf)
+    jobs.run_bronze(lake, *landed, keep_going=True)  # unnamed teams are set aside
+    for path in landed[:2]:
+        delete(spark, path)
     return lake
 
 

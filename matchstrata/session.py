@@ -58,6 +58,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{_SCRATCH_PREFIX}{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the scratch folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """What a write in this block shuffles is removed when the write ends.
@@ -96,8 +102,7 @@ class Staged:
 
     def discard(self) -> None:
         """Delete the stored copy once nothing reads it any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.path)
 
 
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Staged:

@@ -7,7 +7,7 @@ id of the league they were asked for). A line is the unit Spark splits on;
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -305,6 +305,7 @@ def ingest(
     as_of: datetime,
     leagues: Sequence[tuple[str, str, str]] | None = None,
     whole_files: bool = False,
+    place: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> Ingest:
     """All landed sources together; a bad source is left out, not fatal.
 
@@ -313,7 +314,8 @@ def ingest(
     JSON is parsed once: rows, health and broken text all come from the staged
     parse. The lists of sources, a row for each, are stored, so that Catalyst knows
     their size and broadcasts them: shuffled by its source, a large source would be
-    one task's.
+    one task's. ``place`` puts the match rows, at most so many, where their table wants
+    them: by event, as the choice of the first copy wants them too.
     """
     expected = league_config(spark, leagues) if leagues is not None else None
     arrival = ["source" if expected is None else "_load_order", *ARRIVAL]
@@ -352,6 +354,8 @@ def ingest(
     match_rows = usable(all_matches, MATCH_NUMBERS).join(with_teams, "source", "left_semi")
     if match_rows.isEmpty():
         raise EmptySource("no source returned matches")
+    if place is not None:
+        match_rows = place(match_rows, all_matches.df.count())
     return Ingest(
         teams=keep_first(team_rows, ["team_id"], arrival).select(*TEAM_COLUMNS),
         matches=keep_first(match_rows, ["event_id", "extract_date"], arrival).select(

@@ -39,7 +39,7 @@ from pyspark.sql.types import (
 )
 
 from ..operators.contracts import Contract, ContractViolation
-from ..session import Staged, stage
+from ..session import Staged, shuffles_removed, stage
 
 ABOUT = "_about.json"
 # Fixed value: what Spark names the partition of NULL. A partition value '' would
@@ -258,27 +258,67 @@ class LakeTable:
         finally:
             self.spark.sql(f"DROP TABLE {name}")
 
+    @contextmanager
+    def read_by_keys(self, about_rows: int) -> Iterator[DataFrame]:
+        """The whole table, a bucket a task: what groups by its keys needs no exchange.
+
+        The frame is to be used within the block. A table without buckets, or with too
+        few for so many rows (it grew by partition loads), is read as any other.
+        """
+        about = self._existing()
+        new_path, fs = self._hadoop()
+        few = about_rows > 2 * BUCKET_ROWS * about["buckets"]
+        if few or not self._buckets(about) or about["data"] is None or not fs.exists(new_path(f"{self.path}/{about['data']}")):
+            yield self.read()
+            return
+        with self._bucketed(about) as name:
+            yield self._shown(self.spark.table(name), about)
+
+    @staticmethod
+    def _needed(about: dict, about_rows: int | None) -> int:
+        """Buckets of the table if a load of so many rows writes it anew."""
+        return max(about["buckets"], -(-(about_rows or 0) // BUCKET_ROWS))
+
+    @staticmethod
+    def _tasks(buckets: int, about_rows: int) -> int:
+        """More than ``BUCKET_ROWS`` rows a bucket are written by several tasks each: the
+        hash of a multiple of the buckets tells the bucket too."""
+        return buckets * max(1, -(-about_rows // (BUCKET_ROWS * buckets)))
+
+    def placed(self, df: DataFrame, about_rows: int) -> DataFrame:
+        """``df`` as a save of so many rows places it: by its keys, so that a step by key before the save shares the shuffle.
+
+        The table must exist; one without buckets places nothing.
+        """
+        about = self._existing()
+        keys = self._buckets(about)
+        if not keys or not set(keys) <= set(df.columns):
+            return df
+        buckets = self._needed(about, about_rows) if about["data"] is None else about["buckets"]
+        return df.repartition(self._tasks(buckets, about_rows), *[F.col(f"`{k}`") for k in keys])
+
     def _write(
-        self, df: DataFrame, about: dict, overwrite: bool, name: str | None = None, about_rows: int = 0
+        self, df: DataFrame, about: dict, overwrite: bool, name: str | None = None, about_rows: int = 0,
+        placed: bool = False,
     ) -> None:
         """Add the rows of ``df`` (as on disk), or replace the partitions found in it.
 
         ``name``: what the session knows the bucketed table as, if it does already.
-        More than ``BUCKET_ROWS`` rows a bucket are written by several tasks each: the
-        hash of a multiple of the buckets tells the bucket too.
+        ``placed``: the rows already lie as :meth:`placed` puts them.
         """
         by = about["partition_by"]
         if self._buckets(about):
-            tasks = about["buckets"] * max(1, -(-about_rows // (BUCKET_ROWS * about["buckets"])))
-            placed = df.repartition(tasks, *[F.col(f"`{k}`") for k in self._buckets(about)])
-            with nullcontext(name) if name else self._bucketed(about) as known:
+            tasks = self._tasks(about["buckets"], about_rows)
+            placed = df if placed else df.repartition(tasks, *[F.col(f"`{k}`") for k in self._buckets(about)])
+            with nullcontext(name) if name else self._bucketed(about) as known, shuffles_removed(self.spark):
                 placed.select(*self.spark.table(known).columns).write.insertInto(known, overwrite=overwrite)
             return
         if by:  # one file set per partition value; AQE splits a value with a large share of the rows
             df = df.hint("rebalance", *[F.col(f"`{c}`") for c in by])
         writer = df.write.mode("overwrite" if overwrite else "append")
         writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*by).parquet(f"{self.path}/{about['data']}")
+        with shuffles_removed(self.spark):
+            writer.partitionBy(*by).parquet(f"{self.path}/{about['data']}")
 
     def _enforce(self, df: DataFrame, about: dict, gate: Gate | None, more: Mapping[str, str] | None = None) -> None:
         rules = {**about["checks"], **(more or {})}
@@ -293,7 +333,7 @@ class LakeTable:
 
     def _load(
         self, df: DataFrame, about: dict, gate: Gate | None = None, more: Mapping[str, str] | None = None,
-        checked: bool = False, about_rows: int | None = None,
+        checked: bool = False, about_rows: int | None = None, placed: bool = False,
     ) -> int:
         """The frame becomes the table: written aside, held to its checks unless that is done, then named.
 
@@ -306,8 +346,8 @@ class LakeTable:
         if counted is not None:
             df = counted.df
             about_rows = df.count()
-        about["buckets"] = max(about["buckets"], -(-(about_rows or 0) // BUCKET_ROWS))
-        self._write(self._hidden(df, about), about, overwrite=False)
+        about["buckets"] = self._needed(about, about_rows)
+        self._write(self._hidden(df, about), about, overwrite=False, placed=placed)
         if counted is not None:
             counted.discard()
         try:
@@ -331,6 +371,7 @@ class LakeTable:
         replace_where: str | None = None,
         gate: Gate | None = None,
         about_rows: int | None = None,
+        placed: bool = False,
     ) -> int:
         """Write a frame; returns the table's version.
 
@@ -342,7 +383,8 @@ class LakeTable:
         the frame's new columns to the table's, overwrite takes the frame's columns.
         Rows that break a constraint, or that ``gate`` rejects by raising
         :class:`ContractViolation`, leave the table as it was. ``about_rows``, an
-        estimate, spares a table with keys the count of the frame.
+        estimate, spares a table with keys the count of the frame; ``placed``, that the
+        frame comes from :meth:`placed` with it, spares a shuffle.
         """
         if mode not in ("overwrite", "append", "error", "ignore"):
             raise ValueError(f"unknown mode '{mode}'")
@@ -365,17 +407,17 @@ class LakeTable:
 
         if about["data"] is None or not keeps_rows:
             met = {"replace_where": f"coalesce({replace_where}, false)"} if replace_where else None
-            return self._load(rows, about, gate, met, about_rows=about_rows)
+            return self._load(rows, about, gate, met, about_rows=about_rows, placed=placed)
         if replace_where is not None:
             return self._replace_where(rows, about, replace_where, gate)
         unknown = about_rows is None and bool(self._buckets(about))
         staged = stage(rows, "load") if about["checks"] or gate or unknown else None
         if staged is not None:
-            rows = staged.df
+            rows, placed = staged.df, False
             self._enforce(rows, about, gate)
         if unknown:
             about_rows = rows.count()
-        self._write(self._hidden(rows, about), about, overwrite=mode != "append", about_rows=about_rows or 0)
+        self._write(self._hidden(rows, about), about, overwrite=mode != "append", about_rows=about_rows or 0, placed=placed)
         if staged is not None:
             staged.discard()
         return self._declare(about)

@@ -1,3 +1,4 @@
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -32,3 +33,17 @@ def test_staged_frames_can_be_read_again_until_discarded(spark):
     staged.discard()
     with pytest.raises(Exception):
         staged.df.count()
+
+
+def test_a_stored_frame_leaves_no_shuffle_behind(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: disk.getAllFiles().mkString("\n").count("/shuffle_")
+    before = shuffled()
+    staged = session.stage(spark.range(1000).repartition(7, "id"), "shuffled")
+    for _ in range(50):  # the files go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert staged.df.count() == 1000
+    assert spark.conf.get(session.SHUFFLE_CLEANUP_CONF, "false") == "false"

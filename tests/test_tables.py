@@ -8,6 +8,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from conftest import rows
 from matchstrata.operators.contracts import Contract, ContractViolation
+from matchstrata.operators.dedup import keep_first
 from matchstrata.session import scratch_path
 from matchstrata.sources.tables import BUCKETS, LakeTable
 
@@ -349,3 +350,32 @@ def test_buckets_grow_with_the_rows(spark, lake, monkeypatch):
     assert lake._about()["buckets"] == 10 and len(files(lake)["part=b"]) == 30
     lake.upsert(some(1_200, "a"), ["k"])
     assert lake.read().count() == 4_000 and len(files(lake)["part=a"]) >= 10
+
+
+def exchanges(df):
+    """Shuffles by hash in the plan of a frame."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_a_step_by_key_shares_the_shuffle_of_the_save(spark, lake, monkeypatch):
+    """Rows placed as the save wants them are shuffled once for the choice of a copy and the buckets."""
+    monkeypatch.setattr("matchstrata.sources.tables.BUCKET_ROWS", 20)
+    lake.create(StructType([StructField("k", StringType()), StructField("part", StringType()), StructField("v", LongType())]), partition_by=["part"], keys=["k"])
+    data = [(f"k{i % 100}", f"p{i % 3}", i) for i in range(150)]
+    df = frame(spark, data, "k string, part string, v long")
+    first = keep_first(lake.placed(df, 150), ["k", "part"], ["v"])
+    assert exchanges(first) == 1
+    written = []
+    inner = LakeTable._write
+    monkeypatch.setattr(LakeTable, "_write", lambda self, rows, *a, **more: written.append((exchanges(rows), more["placed"])) or inner(self, rows, *a, **more))
+    lake.save(first, replace_partitions=True, schema_mode="merge", about_rows=150, placed=True)
+    assert written == [(1, True)]
+    want = rows(keep_first(df, ["k", "part"], ["v"]), "k", "part", "v")
+    assert rows(lake.read(), "k", "part", "v") == want
+    assert all(len({re.search(r"_(\d+)\.", f).group(1) for f in fs}) == len(fs) for fs in files(lake).values())  # a file a bucket
+    with lake.read_by_keys(150) as by_keys:
+        latest = keep_first(by_keys, ["k"], ["v"])
+        assert exchanges(latest) == 0
+        assert rows(latest, "k", "v") == rows(keep_first(df, ["k"], ["v"]), "k", "v")
+    with lake.read_by_keys(10_000) as grown:  # too few buckets for so many rows
+        assert exchanges(keep_first(grown, ["k"], ["v"])) == 1
